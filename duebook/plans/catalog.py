@@ -5,9 +5,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.operators import aging, blocks, normalize, payments, risk
+from duebook.operators import (
+    aging, blocks, constraints, conversations, kpis, lookups, merge, normalize, operations,
+    payments, risk, staging,
+)
 from duebook.plans.core import Core, core
-from duebook.sources import fixtures
+from duebook.sources import fixtures, raw
 
 QUERIES: dict[str, Callable[[Core], DataFrame]] = {}
 
@@ -21,6 +24,113 @@ def register(**entries):
     QUERIES.update(entries)
 
 
+# ---- sources, staging, quality ----------------------------------------------------------
+def _typed(c):
+    return raw.coerce_types(raw.conform_columns(c.raw))
+
+
+def _checked(c):
+    rules = {
+        **staging.length_rules({k: v for k, v in staging.TEXT_LIMITS.items() if k != "source_file"}),
+        **staging.required_rules("quantity", "invoice_date", "unit_price"),
+        "description shortened": F.length("description") >= 500,
+    }
+    return staging.split_rejects(_typed(c), rules)
+
+
+register(
+    read_raw_transactions=lambda c: c.raw,
+    conform_columns=lambda c: raw.conform_columns(c.raw),
+    coerce_types=_typed,
+    split_rejects=lambda c: _checked(c)[1].drop("description"),
+    stage_transactions=lambda c: staging.stage_transactions(
+        _checked(c)[0], "transactions.csv", fixtures.load_date()
+    ),
+    profile_transactions=lambda c: staging.profile_transactions(c.staging),
+    source_inventory=lambda c: staging.source_inventory(c.raw),
+    source_sample=lambda c: staging.source_sample(
+        c.raw.withColumn("transaction_id", F.col("transaction_id").cast("bigint")),
+        ["transaction_id"],
+    ).select("source_part", "sample_row", "transaction_id", "Invoice", "StockCode"),
+)
+
+
+@query
+def upsert(c):
+    # Every third customer arrives again with a new limit, next to customers not seen before.
+    known = c.customers.where("customer_id % 3 = 0").select(
+        "customer_id", "customer_name", "status", F.lit("25000").cast("decimal(12,2)").alias("credit_limit")
+    )
+    fresh = c.invoices.select(
+        (F.col("invoice_id") + 1000000).alias("customer_id"),
+        F.concat(F.lit("New customer "), F.col("invoice_id").cast("string")).alias("customer_name"),
+        F.lit("ACTIVE").alias("status"),
+        F.lit("500").cast("decimal(12,2)").alias("credit_limit"),
+    )
+    return merge.upsert(c.customers, known.unionByName(fresh), ["customer_id"]).select(
+        "customer_id", "customer_name", "email", "status", "credit_limit", "current_balance"
+    )
+
+
+@query
+def update_from(c):
+    largest = c.invoices.where("customer_id % 2 = 0").groupBy("customer_id").agg(
+        F.max("invoice_amount").alias("credit_limit")
+    )
+    return merge.update_from(c.customers, largest, ["customer_id"]).select(
+        "customer_id", "customer_name", "credit_limit"
+    )
+
+
+def _damaged(c):
+    """All tables with defects planted by rule."""
+    iid = F.col("invoice_id")
+    invoices = c.invoices.withColumns(
+        {
+            "invoice_status": F.when(iid % 100 == 0, "LATE").otherwise(F.col("invoice_status")),
+            "dispute_flag": F.when(iid % 150 == 0, "X").otherwise(F.col("dispute_flag")),
+            "due_date": F.when(iid % 70 != 0, F.col("due_date")),
+        }
+    )
+    return {
+        "customers": c.customers.where("customer_id % 50 <> 1"),
+        "payment_terms": c.terms,
+        "invoices": invoices.unionByName(invoices.where("invoice_id % 500 = 0")),
+        "invoice_lines": c.lines.withColumns(
+            {
+                "quantity": F.when(F.col("invoice_line_id") % 90 != 0, F.col("quantity")).otherwise(0),
+                "description": F.when(
+                    F.col("invoice_line_id") % 80 == 0, F.repeat("description", 50)
+                ).otherwise(F.col("description")),
+            }
+        ),
+        "payments": c.payments.withColumns(
+            {
+                "payment_amount": F.when(F.col("payment_id") % 40 != 0, F.col("payment_amount")).otherwise(0),
+                "invoice_id": F.when(F.col("payment_id") % 60 != 0, F.col("invoice_id")).otherwise(-1),
+            }
+        ),
+        "agent_conversations": conversations.conversation_sessions(c.activity).where(
+            "conversation_id <> 'conv-7'"
+        ),
+        "agent_activity_log": c.activity.withColumn(
+            "error_message", F.concat(F.col("error_message"), F.lit("!"))
+        ),
+        "agent_approval_requests": c.approvals.where("approval_id % 50 <> 4").withColumn(
+            "approval_status",
+            F.when(F.col("approval_id") % 33 == 0, "LOST").otherwise(F.col("approval_status")),
+        ),
+        "agent_notification_outbox": c.outbox,
+        "agent_notification_recovery_log": c.recovery_log,
+        "agent_orchestration_runs": c.orchestrations,
+    }
+
+
+@query
+def constraint_violations(c):
+    return constraints.constraint_violations(_damaged(c))
+
+
 # ---- normalisation --------------------------------------------------------------------
 @query
 def eligible_transactions(c):
@@ -136,6 +246,143 @@ register(
     ),
 )
 
+# ---- lookups ----------------------------------------------------------------------------
+def _wanted_customers(c):
+    """All customers of the order table, known or not."""
+    return fixtures.read_table(c.spark, c.folder, "orders").select(
+        F.col("o_custkey").alias("customer_id")
+    )
+
+
+def _wanted_invoices(c):
+    return fixtures.read_table(c.spark, c.folder, "orders").select(
+        F.col("o_orderkey").cast("string").alias("invoice_number")
+    )
+
+
+@query
+def sql_functions(c):
+    lookups.register_lookups(c.spark, c.invoices, c.customers, c.aging, c.risk)
+    return c.spark.sql("SELECT * FROM get_collection_queue()")
+
+
+register(
+    customer_summary=lambda c: lookups.customer_summary(c.risk, _wanted_customers(c)),
+    unknown_customers=lambda c: lookups.unknown_customers(_wanted_customers(c), c.customers),
+    overdue_invoices=lambda c: lookups.overdue_invoices(c.aging, _wanted_customers(c)),
+    overdue_invoices_top3=lambda c: lookups.overdue_invoices(c.aging, limit=3),
+    invoice_details=lambda c: lookups.invoice_details(c.invoices, c.customers, _wanted_invoices(c)),
+    unknown_invoices=lambda c: lookups.unknown_invoices(_wanted_invoices(c), c.invoices),
+)
+
+
+# ---- indicators -------------------------------------------------------------------------
+def _indicators(c, by=(), frames=None):
+    f = frames or {}
+    return (
+        kpis.portfolio_kpis(f.get("invoices", c.invoices), by),
+        kpis.overdue_kpis(f.get("aging", c.aging), by),
+        kpis.orchestration_kpis(f.get("runs", c.orchestrations), by),
+        kpis.approval_kpis(f.get("approvals", c.approvals), by),
+        kpis.notification_kpis(f.get("outbox", c.outbox), by),
+    )
+
+
+@query
+def collections_narrative_by_status(c):
+    """The narrative per customer status; workflow rows belong to the customer of their invoice."""
+    status = c.customers.select("customer_id", "status")
+    invoices = c.invoices.join(status, "customer_id")
+    owner = invoices.select("invoice_number", "status")
+    runs = c.orchestrations.join(owner, "invoice_number")
+    subject = F.regexp_extract("subject_text", "Invoice (.*)$", 1).alias("invoice_number")
+    frames = {
+        "invoices": invoices,
+        "aging": c.aging.join(status, "customer_id"),
+        "runs": runs,
+        "approvals": c.approvals.withColumn(
+            "invoice_number", F.get_json_object("action_payload", "$.invoice_number")
+        ).join(owner, "invoice_number"),
+        "outbox": c.outbox.select("notification_status", subject).join(owner, "invoice_number"),
+    }
+    by = ("status",)
+    return kpis.collections_narrative(*_indicators(c, by, frames), by=by)
+
+
+register(
+    portfolio_kpis=lambda c: kpis.portfolio_kpis(c.invoices),
+    overdue_kpis=lambda c: kpis.overdue_kpis(c.aging),
+    orchestration_kpis=lambda c: kpis.orchestration_kpis(c.orchestrations),
+    approval_kpis=lambda c: kpis.approval_kpis(c.approvals),
+    notification_kpis=lambda c: kpis.notification_kpis(c.outbox),
+    top_overdue_invoices=lambda c: kpis.top_overdue_invoices(c.aging),
+    recent_orchestrations=lambda c: kpis.recent_orchestrations(c.orchestrations),
+    collections_narrative=lambda c: kpis.collections_narrative(*_indicators(c)),
+    executive_dashboard=lambda c: kpis.executive_dashboard(*_indicators(c)),
+)
+
+
+# ---- operations reports -----------------------------------------------------------------
+def _failed_runs(c):
+    return c.orchestrations.where("orchestration_status = 'FAILED'").select("orchestration_id")
+
+
+register(
+    notification_status_summary=lambda c: operations.notification_status_summary(c.outbox),
+    notification_metrics=lambda c: operations.notification_metrics(c.outbox),
+    recent_notifications=lambda c: operations.recent_notifications(c.outbox),
+    notification_failures=lambda c: operations.notification_failures(c.outbox),
+    recovery_history=lambda c: operations.recovery_history(c.recovery_log),
+    recovery_history_all=lambda c: operations.recovery_history(c.recovery_log, None),
+    approval_status_summary=lambda c: operations.approval_status_summary(c.approvals),
+    recent_approvals=lambda c: operations.recent_approvals(c.approvals),
+    approval_notification_lifecycle=lambda c: operations.approval_notification_lifecycle(
+        c.approvals, c.outbox
+    ),
+    approval_notification_recent=lambda c: operations.approval_notification_lifecycle(
+        c.approvals, c.outbox, 20
+    ),
+    retry_status=lambda c: operations.retry_status(c.outbox),
+    dead_notifications=lambda c: operations.dead_notifications(c.outbox),
+    pending_approvals=lambda c: operations.pending_approvals(c.approvals),
+    outbox_listing=lambda c: operations.outbox_listing(c.outbox),
+    orchestration_status=lambda c: operations.orchestration_status(c.orchestrations, c.approvals),
+    orchestration_status_by_id=lambda c: operations.orchestration_status(
+        c.orchestrations, c.approvals, _failed_runs(c)
+    ),
+    orchestration_status_summary=lambda c: operations.orchestration_status_summary(c.orchestrations),
+    record_lookup=lambda c: operations.record_lookup(
+        c.approvals, "approval_id", c.outbox.where("notification_status = 'DEAD'")
+    ),
+    customer_contacts=lambda c: operations.customer_contacts(c.customers),
+    recipient_coverage=lambda c: operations.recipient_coverage(c.invoices, c.customers),
+    reachable_recipients=lambda c: operations.recipient_coverage(
+        c.invoices, c.customers, reachable_only=True
+    ),
+    recipient_coverage_all=lambda c: operations.recipient_coverage(c.invoices, c.customers, n=None),
+)
+
+
+# ---- conversations ----------------------------------------------------------------------
+@query
+def recent_context(c):
+    lines = F.transform("context", lambda m: F.concat(m["role"], F.lit(": "), m["text"]))
+    return conversations.recent_context(c.messages).select(
+        "conv_id", "message_count", F.array_join(lines, "\n").alias("context")
+    )
+
+
+register(
+    activity_log=lambda c: c.activity,
+    conversation_sessions=lambda c: conversations.conversation_sessions(c.activity),
+    classify_message=lambda c: conversations.classify_messages(c.messages).drop("is_follow_up"),
+    is_follow_up=lambda c: conversations.classify_messages(c.messages).select(
+        "conv_id", "turn", "is_follow_up"
+    ),
+    session_memory=lambda c: conversations.session_memory(c.activity),
+    conversation_activity_summary=lambda c: conversations.conversation_activity_summary(c.activity),
+)
+
 
 def comparable(df: DataFrame) -> DataFrame:
     """Amounts as doubles and instants without a zone, the form other engines are compared in."""

@@ -8,9 +8,10 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from duebook.operators import aging, normalize, payments, risk
+from duebook.operators import aging, conversations, normalize, payments, risk
 from duebook.sources import fixtures
-from duebook.storage import materialize
+from duebook.sources.raw import read_raw_transactions
+from duebook.storage import materialize, new_path
 
 _CORES = {}
 
@@ -60,6 +61,23 @@ class Core:
             normalize.customer_balances(fixtures.with_contacts(plain), self.invoices), "customers"
         )
 
+    @cached_property
+    def raw_parts(self) -> dict[str, str]:
+        """The staged rows as two folders of raw CSV files."""
+        rows = fixtures.raw_transactions(self.staging)
+        parts = {
+            "even orders": rows.where("transaction_id % 2000 < 1000"),
+            "odd orders": rows.where("transaction_id % 2000 >= 1000"),
+        }
+        paths = {name: new_path(self.spark, "raw") for name in parts}
+        for name, part in parts.items():
+            part.write.option("header", True).csv(paths[name])
+        return paths
+
+    @property
+    def raw(self) -> DataFrame:
+        return read_raw_transactions(self.spark, self.raw_parts)
+
     # ---- views -------------------------------------------------------------------
     @property
     def aging(self) -> DataFrame:
@@ -80,6 +98,14 @@ class Core:
     def outbox(self) -> DataFrame:
         return fixtures.outbox_table(self.spark, self.folder)
 
+    @property
+    def activity(self) -> DataFrame:
+        return conversations.activity_log(fixtures.activity_events(self.spark, self.folder))
+
+    @property
+    def messages(self) -> DataFrame:
+        return fixtures.messages(self.spark, self.folder)
+
     @property
     def recovery_log(self) -> DataFrame:
         return fixtures.recovery_log(self.spark, self.folder)

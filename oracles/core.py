@@ -29,6 +29,24 @@ JOIN customer ON c_custkey = o_custkey
 JOIN nation ON n_nationkey = c_nationkey
 WHERE o_custkey % 3 <> 0 OR o_orderkey % 8 = 1"""
 
+CTES["raw"] = """
+SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, invoice_no AS "Invoice", stock_code AS "StockCode",
+  CASE WHEN transaction_id % 101 = 0 THEN repeat(description, 60) ELSE description END AS "Description",
+  CASE WHEN transaction_id % 97 = 0 THEN 'n/a' ELSE CAST(quantity AS VARCHAR) END AS "Quantity",
+  CASE WHEN transaction_id % 89 = 0 THEN 'not a date' ELSE strftime(invoice_date, '%Y-%m-%d %H:%M:%S') END AS "InvoiceDate",
+  CASE WHEN transaction_id % 83 = 0 THEN 'free' ELSE CAST(unit_price AS VARCHAR) END AS "Price",
+  CAST(customer_id AS VARCHAR) || '.0' AS "Customer ID", country AS "Country",
+  CASE WHEN transaction_id % 2000 < 1000 THEN 'even orders' ELSE 'odd orders' END AS source_part
+FROM stg"""
+
+CTES["typed"] = """
+SELECT transaction_id, "Invoice" AS invoice_no, "StockCode" AS stock_code,
+  substr("Description", 1, 500) AS description, TRY_CAST("Quantity" AS DECIMAL(18,4)) AS quantity,
+  TRY_CAST("InvoiceDate" AS TIMESTAMP) AS invoice_date, TRY_CAST("Price" AS DECIMAL(18,4)) AS unit_price,
+  CAST(trunc(TRY_CAST("Customer ID" AS DOUBLE)) AS BIGINT) AS customer_id,
+  substr("Country", 1, 100) AS country, source_part
+FROM raw"""
+
 CTES["good"] = """
 SELECT * FROM stg
 WHERE customer_id IS NOT NULL AND invoice_no IS NOT NULL AND invoice_no NOT LIKE 'C%'
@@ -225,6 +243,42 @@ SELECT conv_id, turn, role,
 FROM conversations"""
 
 
+CTES["log"] = """
+SELECT activity_id, conversation_id, activity_time, activity_type, user_question, tool_name,
+  CASE WHEN customer_id IS NOT NULL THEN '{"customer_id":' || CAST(customer_id AS VARCHAR) || '}'
+       WHEN invoice_number IS NOT NULL THEN '{"invoice_number":"' || invoice_number || '"}' END AS tool_arguments,
+  records_returned, agent_response,
+  CASE WHEN activity_type = 'ERROR' THEN 'FAILED' ELSE 'SUCCESS' END AS execution_status,
+  substr(error_message, 1, 4000) AS error_message, customer_id, invoice_number
+FROM act"""
+
+CTES["conv"] = """
+SELECT conversation_id, min(activity_time) AS started_at,
+  coalesce(max(CASE WHEN activity_type = 'SESSION_END' THEN activity_time END), max(activity_time)) AS ended_at,
+  CASE WHEN bool_or(activity_type = 'SESSION_END') THEN 'COMPLETED' ELSE 'ERROR' END AS conversation_status,
+  'SYSTEM' AS created_by
+FROM log GROUP BY conversation_id"""
+
+CTES["said"] = """
+SELECT *, regexp_replace(lower(text), '^\\s+|\\s+$', '', 'g') AS line,
+  regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS clean FROM msg WHERE role = 'user'"""
+
+CTES["typed_msg"] = """
+SELECT *, CASE
+    WHEN line = '' OR line IN ('context', 'approvals', 'outbox') THEN NULL
+    WHEN line = 'exit' OR line = 'quit' THEN 'SESSION_END'
+    WHEN line = 'clear' THEN 'MEMORY_CLEAR'
+    WHEN starts_with(line, 'request reminder ') THEN 'APPROVAL_REQUEST'
+    WHEN regexp_matches(line, '^(approve|reject) \\s*[+-]?[0-9]+$') THEN 'APPROVAL_DECISION'
+    WHEN regexp_matches(line, '^execute \\s*[+-]?[0-9]+$') THEN 'ACTION_EXECUTION'
+    WHEN regexp_matches(line, '^(approve|reject|execute) ') THEN NULL
+    ELSE 'USER_MESSAGE' END AS activity_type,
+  CASE WHEN starts_with(line, 'request reminder ') THEN trim(substr(clean, 18))
+       WHEN regexp_matches(line, '^(approve|reject|execute) \\s*[+-]?[0-9]+$')
+       THEN CAST(CAST(regexp_extract(line, '[+-]?[0-9]+$') AS BIGINT) AS VARCHAR) END AS argument
+FROM said"""
+
+
 def _mentions(sql):
     return set(re.findall(r"(?:FROM|JOIN)\s+([a-z_0-9]+)", sql))
 

@@ -189,3 +189,92 @@ SUMMARY = f"""customer_id, customer_name, total_invoice_count, open_invoice_coun
 SQL["customer_collection_summary"] = f"SELECT {SUMMARY} FROM scored"
 SQL["risk_score"] = "SELECT customer_id, risk_score FROM scored"
 SQL["customer_risk_summary"] = f"SELECT {SUMMARY}, risk_level, recommended_action FROM risk"
+
+SQL["read_raw_transactions"] = "SELECT * FROM raw"
+
+SQL["conform_columns"] = """
+SELECT transaction_id, "Invoice" AS invoice_no, "StockCode" AS stock_code, "Description" AS description,
+  "Quantity" AS quantity, "InvoiceDate" AS invoice_date, "Price" AS unit_price, "Customer ID" AS customer_id,
+  "Country" AS country, source_part FROM raw"""
+
+TYPED = """transaction_id, invoice_no, stock_code, CAST(quantity AS DOUBLE) AS quantity, invoice_date,
+  CAST(unit_price AS DOUBLE) AS unit_price, customer_id, country"""
+
+SQL["coerce_types"] = f"SELECT {TYPED}, description, source_part FROM typed"
+
+SQL["split_rejects"] = f"""
+SELECT {TYPED}, source_part, concat_ws('; ', CASE WHEN quantity IS NULL THEN 'quantity missing' END,
+    CASE WHEN invoice_date IS NULL THEN 'invoice_date missing' END,
+    CASE WHEN unit_price IS NULL THEN 'unit_price missing' END,
+    CASE WHEN length(description) >= 500 THEN 'description shortened' END) AS failed_rules
+FROM typed WHERE quantity IS NULL OR invoice_date IS NULL OR unit_price IS NULL OR length(description) >= 500"""
+
+SQL["stage_transactions"] = f"""
+SELECT row_number() OVER (ORDER BY invoice_no NULLS FIRST, stock_code NULLS FIRST, description NULLS FIRST,
+    quantity NULLS FIRST, invoice_date NULLS FIRST, unit_price NULLS FIRST, customer_id NULLS FIRST,
+    country NULLS FIRST) AS transaction_id, invoice_no, stock_code, description,
+  CAST(quantity AS DOUBLE) AS quantity, invoice_date, {money('unit_price', 'unit_price')}, customer_id, country,
+  timestamp '2001-08-02 00:00:00' AS load_date, 'transactions.csv' AS source_file
+FROM typed WHERE quantity IS NOT NULL AND invoice_date IS NOT NULL AND unit_price IS NOT NULL
+  AND length(description) < 500"""
+
+SQL["profile_transactions"] = """
+SELECT count(*) AS total_rows, count(DISTINCT invoice_no) AS unique_invoices,
+  count(DISTINCT stock_code) AS unique_products, count(DISTINCT customer_id) AS unique_customers,
+  count(DISTINCT country) AS countries, count(CASE WHEN invoice_no LIKE 'C%' THEN 1 END) AS cancelled_rows,
+  count(CASE WHEN quantity < 0 THEN 1 END) AS negative_quantity_rows,
+  count(*) - count(customer_id) AS missing_customer_ids FROM stg"""
+
+SQL["source_inventory"] = """
+SELECT source_part, count(*) AS row_count, 9 AS column_count,
+  'transaction_id, Invoice, StockCode, Description, Quantity, InvoiceDate, Price, Customer ID, Country' AS column_names
+FROM raw GROUP BY source_part"""
+
+SQL["source_sample"] = """
+SELECT * FROM (SELECT source_part, CAST(row_number() OVER (PARTITION BY source_part ORDER BY CAST(transaction_id AS BIGINT))
+    AS INTEGER) AS sample_row, CAST(transaction_id AS BIGINT) AS transaction_id, "Invoice", "StockCode" FROM raw)
+WHERE sample_row <= 5"""
+
+SQL["upsert"] = f"""
+SELECT customer_id, customer_name, email, status,
+  CAST(CASE WHEN customer_id % 3 = 0 THEN 25000 ELSE 10000 END AS DOUBLE) AS credit_limit,
+  {money('current_balance', 'current_balance')} FROM cust
+UNION ALL
+SELECT invoice_id + 1000000, 'New customer ' || CAST(invoice_id AS VARCHAR), NULL, 'ACTIVE', 500, NULL FROM inv"""
+
+SQL["update_from"] = f"""
+SELECT c.customer_id, c.customer_name, {money('coalesce(m.top, 10000)', 'credit_limit')}
+FROM cust c LEFT JOIN (SELECT customer_id, max(invoice_amount) AS top FROM inv WHERE customer_id % 2 = 0
+                       GROUP BY customer_id) m ON m.customer_id = c.customer_id"""
+
+RISK = SUMMARY + ", risk_level, recommended_action"
+SQL["customer_summary"] = f"SELECT {RISK} FROM risk WHERE customer_id IN (SELECT o_custkey FROM orders)"
+
+SQL["unknown_customers"] = """
+SELECT DISTINCT o_custkey AS customer_id, 'Customer does not exist: ' || CAST(o_custkey AS VARCHAR) AS error
+FROM orders WHERE o_custkey NOT IN (SELECT customer_id FROM cust)"""
+
+OVERDUE = f"""customer_id, invoice_id, invoice_number, invoice_date, due_date,
+  {money('outstanding_amount', 'outstanding_amount')}, CAST(days AS INTEGER) AS days_past_due, aging_bucket,
+  collection_priority, recommended_action"""
+
+RANKED = """(SELECT *, row_number() OVER (PARTITION BY customer_id
+  ORDER BY days DESC, outstanding_amount DESC, invoice_id) AS place FROM aging WHERE days > 0)"""
+
+SQL["overdue_invoices"] = f"""
+SELECT {OVERDUE} FROM {RANKED} WHERE place <= 100 AND customer_id IN (SELECT o_custkey FROM orders)"""
+SQL["overdue_invoices_top3"] = f"SELECT {OVERDUE} FROM {RANKED} WHERE place <= 3"
+
+SQL["invoice_details"] = f"""
+SELECT i.invoice_id, i.invoice_number, i.invoice_date, i.due_date, {money('i.invoice_amount', 'invoice_amount')},
+  {money('i.amount_paid', 'amount_paid')}, {money('i.outstanding_amount', 'outstanding_amount')}, i.invoice_status,
+  c.customer_id, c.customer_name, CAST(a.days AS INTEGER) AS days_past_due, a.aging_bucket,
+  a.collection_priority, a.recommended_action
+FROM inv i JOIN cust c ON c.customer_id = i.customer_id LEFT JOIN aging a ON a.invoice_id = i.invoice_id
+WHERE i.invoice_number IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders)"""
+
+SQL["unknown_invoices"] = """
+SELECT DISTINCT n AS invoice_number, 'Invoice does not exist: ' || n AS error
+FROM (SELECT CAST(o_orderkey AS VARCHAR) AS n FROM orders) WHERE n NOT IN (SELECT invoice_number FROM inv)"""
+
+SQL["sql_functions"] = SQL["collection_queue"]
