@@ -5,12 +5,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duebook import constants as K
 from duebook.operators import (
-    aging, blocks, constraints, conversations, kpis, lookups, merge, normalize, operations,
-    payments, risk, staging,
+    aging, blocks, checks, constraints, conversations, kpis, lookups, merge, normalize, operations,
+    payments, risk, staging, workflow,
 )
 from duebook.plans.core import Core, core
-from duebook.sources import fixtures, raw
+from duebook.sources import fixtures, raw, requests
 
 QUERIES: dict[str, Callable[[Core], DataFrame]] = {}
 
@@ -383,6 +384,162 @@ register(
     conversation_activity_summary=lambda c: conversations.conversation_activity_summary(c.activity),
 )
 
+# ---- workflow -----------------------------------------------------------------------------
+def _workflow(c):
+    """Every transition on the fixture tables, as functions so that only the wanted one runs."""
+    now, at = fixtures.now(), (c.spark, c.folder)
+
+    def execute(form):
+        return workflow.execute_approved(
+            c.approvals, c.outbox, requests.executions(*at), now, c.invoices, c.customers, form
+        )
+
+    return {
+        "request_reminders": lambda: workflow.request_reminders(
+            requests.reminder_requests(*at), c.approvals, now
+        ),
+        "decide_approvals": lambda: workflow.decide_approvals(
+            c.approvals, requests.decisions(*at), now
+        ),
+        "execute_approved": lambda: execute("recipient"),
+        "execute_approved_plain": lambda: execute("plain"),
+        "execute_approved_message": lambda: execute("message"),
+        "apply_delivery_results": lambda: workflow.apply_delivery_results(
+            c.outbox, requests.attempts(*at), now
+        ),
+        "apply_delivery_results_final": lambda: workflow.apply_delivery_results(
+            c.outbox, requests.attempts(*at), now, retries=False
+        ),
+        "requeue": lambda: workflow.requeue(
+            c.outbox, c.recovery_log, requests.recoveries(*at), now
+        ),
+        "start_orchestrations": lambda: workflow.start_orchestrations(
+            requests.run_requests(*at), c.orchestrations, c.approvals,
+            conversations.conversation_sessions(c.activity), c.invoices, c.customers, now,
+        ),
+        "complete_orchestrations": lambda: workflow.complete_orchestrations(
+            c.orchestrations, c.approvals, c.outbox, requests.run_approvals(*at), c.invoices,
+            c.customers, now,
+        ),
+    }
+
+
+def _table(step, table):
+    return lambda c: _workflow(c)[step]().tables[table]
+
+
+def _rejects(step):
+    return lambda c: _workflow(c)[step]().rejects
+
+
+def _step_events(step):
+    return lambda c: _workflow(c)[step]().events.drop("activity_id")
+
+
+def _delivered(c):
+    """Claim, then one delivery round that fails where there is no address."""
+    claimed = workflow.claim_notifications(c.outbox, fixtures.now())
+    return workflow.apply_delivery_results(
+        claimed, workflow.delivery_results(claimed), fixtures.now()
+    ).tables[workflow.OUTBOX]
+
+
+@query
+def append_activity_events(c):
+    decided = _workflow(c)["decide_approvals"]().events
+    return workflow.append_events(c.activity, decided)
+
+
+def _history(c):
+    changes = requests.status_changes(c.spark, c.folder)
+    return workflow.transition_history(changes, K.NOTIFICATION_TRANSITIONS)
+
+
+register(
+    resolve_recipients=lambda c: workflow.resolve_recipients(
+        requests.run_requests(c.spark, c.folder), c.invoices, c.customers
+    ),
+    resolve_recipients_address_first=lambda c: workflow.resolve_recipients(
+        requests.run_requests(c.spark, c.folder), c.invoices, c.customers, status_first=False
+    ),
+    request_reminders=_table("request_reminders", workflow.APPROVALS),
+    request_reminders_events=_step_events("request_reminders"),
+    decide_approvals=_table("decide_approvals", workflow.APPROVALS),
+    decide_approvals_rejects=_rejects("decide_approvals"),
+    execute_approved=_table("execute_approved", workflow.APPROVALS),
+    execute_approved_outbox=_table("execute_approved", workflow.OUTBOX),
+    execute_approved_rejects=_rejects("execute_approved"),
+    execute_approved_plain=_table("execute_approved_plain", workflow.OUTBOX),
+    execute_approved_message=_table("execute_approved_message", workflow.APPROVALS),
+    claim_notifications=lambda c: workflow.claim_notifications(c.outbox, fixtures.now()),
+    claim_notifications_oldest=lambda c: workflow.claim_notifications(c.outbox, fixtures.now(), 25),
+    claim_notifications_simple=lambda c: workflow.claim_notifications(
+        c.outbox, fixtures.now(), retries=False
+    ),
+    apply_delivery_results=_table("apply_delivery_results", workflow.OUTBOX),
+    apply_delivery_results_rejects=_rejects("apply_delivery_results"),
+    apply_delivery_results_final=_table("apply_delivery_results_final", workflow.OUTBOX),
+    delivery_round=_delivered,
+    requeue=_table("requeue", workflow.OUTBOX),
+    requeue_log=_table("requeue", workflow.RECOVERY),
+    requeue_rejects=_rejects("requeue"),
+    start_orchestrations=_table("start_orchestrations", workflow.RUNS),
+    start_orchestrations_approvals=_table("start_orchestrations", workflow.APPROVALS),
+    start_orchestrations_conversations=_table("start_orchestrations", workflow.CONVERSATIONS),
+    complete_orchestrations=_table("complete_orchestrations", workflow.RUNS),
+    complete_orchestrations_approvals=_table("complete_orchestrations", workflow.APPROVALS),
+    complete_orchestrations_outbox=_table("complete_orchestrations", workflow.OUTBOX),
+    complete_orchestrations_steps=_step_events("complete_orchestrations"),
+    complete_orchestrations_rejects=_rejects("complete_orchestrations"),
+    transition_history=_history,
+    illegal_transitions=lambda c: workflow.illegal_transitions(_history(c)),
+)
+
+
+# ---- checks ---------------------------------------------------------------------------------
+def _checked_tables(c):
+    return {
+        "customers": c.customers,
+        "invoices": c.invoices,
+        "agent_conversations": conversations.conversation_sessions(c.activity),
+        "agent_approval_requests": c.approvals,
+        "agent_notification_outbox": c.outbox,
+        "agent_orchestration_runs": c.orchestrations,
+        "vw_ar_aging_detail": c.aging,
+    }
+
+
+@query
+def integrity_checks(c):
+    iid = F.col("invoice_id")
+    damaged = c.invoices.withColumns(
+        {
+            "outstanding_amount": F.when(iid % 90 == 0, -F.col("invoice_amount"))
+            .when(iid % 91 == 0, F.col("invoice_amount") + 1)
+            .otherwise(F.col("outstanding_amount")),
+            "due_date": F.when(iid % 70 != 0, F.col("due_date")),
+        }
+    )
+    return checks.integrity_checks(damaged, c.customers.where("customer_id % 50 <> 1"))
+
+
+@query
+def schema_checks(c):
+    tables = _checked_tables(c)
+    del tables["agent_orchestration_runs"]
+    return checks.schema_checks(c.spark, tables, shapes=True)
+
+
+register(
+    workflow_checks=lambda c: checks.workflow_checks(
+        c.orchestrations, c.approvals, c.outbox, fixtures.now()
+    ),
+    all_checks=lambda c: checks.all_checks(c.spark, _checked_tables(c), fixtures.now()),
+    readiness_report=lambda c: checks.readiness_report(
+        checks.all_checks(c.spark, _checked_tables(c), fixtures.now())
+    ),
+)
+
 
 def comparable(df: DataFrame) -> DataFrame:
     """Amounts as doubles and instants without a zone, the form other engines are compared in."""

@@ -162,7 +162,7 @@ FROM scored"""
 CTES["ev"] = """
 SELECT event_id, ts, user_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
        'conv-' || CAST(user_id AS VARCHAR) AS conversation_id,
-       CAST(event_id % (SELECT count(*) FROM orders) AS VARCHAR) AS invoice_number
+       CAST((event_id * 3 + 1) % (SELECT count(*) FROM orders) AS VARCHAR) AS invoice_number
 FROM events"""
 
 CTES["appr"] = """
