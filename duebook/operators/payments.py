@@ -36,6 +36,11 @@ def paid_per_invoice(payments: DataFrame) -> DataFrame:
 
 def apply_payments(invoices: DataFrame, payments: DataFrame) -> DataFrame:
     """Paid and outstanding amount and status, recomputed from all payments."""
+    return settle(invoices, paid_per_invoice(payments))
+
+
+def settle(invoices: DataFrame, totals: DataFrame) -> DataFrame:
+    """Invoices after `total_paid` per invoice; those without payments are open."""
     amount = F.col("invoice_amount")
     paid = F.coalesce(F.col("total_paid"), F.lit(0).cast("decimal(12,2)"))
     changed = {
@@ -47,7 +52,7 @@ def apply_payments(invoices: DataFrame, payments: DataFrame) -> DataFrame:
         .when(F.col("total_paid") > 0, "PARTIALLY_PAID")
         .otherwise("OPEN"),
     }
-    joined = invoices.join(paid_per_invoice(payments), "invoice_id", "left")
+    joined = invoices.join(totals, "invoice_id", "left")
     return conform(joined.withColumns(changed), "invoices")
 
 

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from duebook import constants as K
 from duebook.operators import (
     aging, blocks, checks, constraints, conversations, kpis, lookups, merge, normalize, operations,
-    payments, risk, staging, workflow,
+    payments, replay, risk, staging, workflow,
 )
 from duebook.plans.core import Core, core
 from duebook.sources import fixtures, raw, requests
+from duebook.streaming import jobs
 
 QUERIES: dict[str, Callable[[Core], DataFrame]] = {}
 
@@ -540,6 +541,31 @@ register(
     ),
 )
 
+# ---- streams, and the same results from whole histories -------------------------------------
+def _event_rows(c):
+    return fixtures.read_table(c.spark, c.folder, "events")
+
+
+def _final_watermark(c):
+    """Newest event less the allowed lateness."""
+    return _event_rows(c).agg(F.max("ts") - F.expr("INTERVAL 1 HOUR")).scalar()
+
+
+register(
+    stream_payments_to_balances=jobs.payments_to_balances,
+    stream_notification_metrics=jobs.notification_metrics,
+    stream_notification_metrics_sliding=lambda c: jobs.notification_metrics(c, slide="6 hours"),
+    stream_retry_machine=jobs.retry_machine,
+    stream_stuck_detector=jobs.stuck_detector,
+    stream_sessions=jobs.session_stream,
+    stream_dedup_requests=jobs.dedup_requests,
+    retry_outcomes=lambda c: replay.retry_outcomes(jobs.attempts_of(_event_rows(c))),
+    stuck_intervals=lambda c: replay.stuck_intervals(
+        requests.status_changes(c.spark, c.folder), _final_watermark(c)
+    ),
+    sessions=lambda c: replay.sessions(_event_rows(c), "user_id", "ts", "event_id"),
+)
+
 
 def comparable(df: DataFrame) -> DataFrame:
     """Amounts as doubles and instants without a zone, the form other engines are compared in."""

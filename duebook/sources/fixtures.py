@@ -130,10 +130,18 @@ def with_contacts(customers: DataFrame) -> DataFrame:
     return customers.withColumns({"email": email, "status": status})
 
 
+def order_count(spark: SparkSession, folder: str) -> Column:
+    return read_table(spark, folder, "orders").agg(F.count("*")).scalar()
+
+
 def _events(spark: SparkSession, folder: str) -> DataFrame:
-    orders = read_table(spark, folder, "orders").agg(F.count("*")).scalar()
+    return events_of(read_table(spark, folder, "events"), order_count(spark, folder))
+
+
+def events_of(events: DataFrame, orders: Column) -> DataFrame:
+    """Events, stored or streamed, with the ids that the workflow rules use."""
     eid = F.col("event_id")
-    return read_table(spark, folder, "events").select(
+    return events.select(
         "event_id",
         "ts",
         "user_id",
@@ -180,6 +188,10 @@ def approvals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def outbox(spark: SparkSession, folder: str) -> DataFrame:
+    return outbox_of(read_table(spark, folder, "events"), order_count(spark, folder))
+
+
+def outbox_of(events: DataFrame, orders: Column) -> DataFrame:
     """Notifications of executed approvals, and of every fifth approved one (a duplicate guard case)."""
     eid, k = F.col("event_id"), F.col("k")
     status = first_match(
@@ -196,7 +208,7 @@ def outbox(spark: SparkSession, folder: str) -> DataFrame:
     updated = F.timestamp_add("MINUTE", k, F.col("ts"))
     failed = st.isin("RETRY", "DEAD", "FAILED")
     rows = (
-        _events(spark, folder)
+        events_of(events, orders)
         .where((eid % 5 == 4) | (eid % 25 == 1))
         .withColumn("notification_status", status)
         .select(

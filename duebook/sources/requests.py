@@ -119,6 +119,10 @@ def run_approvals(spark, folder) -> DataFrame:
 
 
 def status_changes(spark, folder) -> DataFrame:
+    return status_changes_of(_events(spark, folder))
+
+
+def status_changes_of(events: DataFrame) -> DataFrame:
     """Event types read as notification statuses of the event's user."""
     status = first_match(
         [
@@ -130,7 +134,7 @@ def status_changes(spark, folder) -> DataFrame:
         ],
         F.lit("FAILED"),
     )
-    return _events(spark, folder).select(
+    return events.select(
         F.col("user_id").alias("entity_id"), _eid().alias("change_id"),
         F.col("ts").alias("changed_at"), status.alias("status"),
     )
