@@ -114,17 +114,23 @@ def aging_bucket_summary(aging: DataFrame) -> DataFrame:
     )
 
 
-def top_overdue_customers(aging: DataFrame, n=10) -> DataFrame:
-    """Customers with the largest open balance."""
+def top_overdue_customers(invoices: DataFrame, customers: DataFrame, n=10, as_of=None) -> DataFrame:
+    """Customers with the largest open balance.
+
+    Invoices are added up per customer before names are joined, so a customer with very many
+    invoices costs no more than others after the map side.
+    """
     old = F.when(F.col("aging_bucket") == K.OLDEST_BUCKET, F.col("outstanding_amount")).otherwise(0)
     return (
-        aging.groupBy("customer_id", "customer_name")
+        age_invoices(invoices, as_of)
+        .groupBy("customer_id")
         .agg(
             F.count("invoice_id").alias("open_invoice_count"),
             F.max("days_past_due").alias("maximum_days_past_due"),
             total(F.col("outstanding_amount")).alias("total_outstanding_amount"),
             F.sum(old).cast(TOTAL).alias("amount_over_90_days"),
         )
+        .join(customers.select("customer_id", "customer_name"), "customer_id")
         .orderBy(F.desc("total_outstanding_amount"), "customer_id")
         .limit(n)
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from duebook.storage import materialize
 
+_COPIES_PER_PIECE = 1_000_000
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row's place in its low 33 bits
 
 
@@ -44,6 +45,35 @@ def dense_key(df: DataFrame, name: str, order, start: Column | int = 0, blocks=N
     )
 
 
+def dense_key_with_copies(df: DataFrame, name: str, blocks=None) -> DataFrame:
+    """`dense_key` in the order of all columns, for rows that may have any number of copies.
+
+    Copies are counted before the sort, so they cannot fill one block, and are written out
+    again in pieces that different tasks take.
+    """
+    order = df.columns
+    cut = ordered_blocks(
+        df.groupBy(*order).agg(F.count("*").alias("_copies")), order, blocks, name=f"keys-{name}"
+    )
+    sizes = cut.groupBy("_block").agg(F.sum("_copies").alias("_rows"))
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        "_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
+    )
+    inside = Window.partitionBy("_block").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("_offset") + F.coalesce(F.sum("_copies").over(inside), F.lit(0))
+    placed = cut.join(F.broadcast(offsets), "_block").withColumn("_first", first)
+    last_piece = F.expr(f"(_copies - 1) div {_COPIES_PER_PIECE}")
+    pieces = placed.select(
+        *order, "_first", "_copies", F.explode(F.sequence(F.lit(0), last_piece)).alias("_piece")
+    ).repartition("_first", "_piece")
+    low = F.col("_piece") * _COPIES_PER_PIECE
+    high = F.least(low + _COPIES_PER_PIECE, F.col("_copies"))
+    return pieces.select(
+        *order, F.explode(F.sequence(F.col("_first") + low + 1, F.col("_first") + high)).alias(name)
+    ).select(name, *order)
+
+
 def running(cut: DataFrame, keys, sums=None, lasts=None) -> DataFrame:
     """Running values per key over ordered blocks, current row included.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from duebook import constants as K
 from duebook.functions.expr import blank_to_null, fill
+from duebook.operators.constraints import orphan_count
 from duebook.schemas import TABLES, struct
 
 # --- fixed values: objects that must be there ----------------------------------------
@@ -86,7 +87,7 @@ def integrity_checks(invoices: DataFrame, customers: DataFrame) -> DataFrame:
         ],
     )
     orphans = _judged(
-        invoices.join(customers, "customer_id", "left_anti").agg(F.count("*").alias("n")),
+        orphan_count(invoices, "customer_id", customers, "n"),
         [("n", "Orphan Invoices", "FAIL", "%s invoice(s) without a valid customer.")],
     )
     silent = _judged(

@@ -117,35 +117,83 @@ def _row_violations(table: str, df: DataFrame) -> DataFrame:
     return counts.unpivot([], [f"`{n}`" for n in rules], "rule", "violations")
 
 
-def _surplus(df: DataFrame, column: str) -> DataFrame:
-    """Rows beyond the first one per value."""
-    sizes = df.where(F.col(column).isNotNull()).groupBy(column).agg((F.count("*") - 1).alias("n"))
-    return sizes.agg(
-        F.lit(f"{column} UNIQUE").alias("rule"),
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("violations"),
+def _values(tables, keys) -> DataFrame:
+    """(table_name, rule, value, place) for every non-NULL value of the listed columns.
+
+    `keys` lists (table to read, column, table to report, rule, place).
+    """
+    parts = [
+        tables[source]
+        .where(F.col(column).isNotNull())
+        .select(
+            F.lit(table).alias("table_name"), F.lit(rule).alias("rule"),
+            F.col(column).cast("string").alias("value"), F.lit(place).alias("place"),
+        )
+        for source, column, table, rule, place in keys
+    ]
+    # One valueless row per rule, so that rules without any value are reported as well.
+    spark = parts[0].sparkSession
+    seeds = sorted({(table, rule, None, "seed") for _, _, table, rule, _ in keys})
+    parts.append(spark.createDataFrame(seeds, parts[0].schema))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _per_rule(counted: DataFrame, violations: Column) -> DataFrame:
+    return counted.groupBy("table_name", "rule").agg(
+        F.coalesce(F.sum(violations), F.lit(0)).cast("bigint").alias("violations")
+    )
+
+
+def _unique_violations(tables) -> DataFrame | None:
+    """Rows beyond the first one per value, for all unique columns in one shuffle."""
+    keys = [
+        (t, c, t, f"{c} UNIQUE", "row") for t in tables for c in UNIQUE.get(t, [])
+    ]
+    if not keys:
+        return None
+    sizes = _values(tables, keys).groupBy("table_name", "rule", "value").agg(
+        F.count("*").alias("_n")
     )
+    return _per_rule(sizes, F.col("_n") - 1)
+
 
+def _reference_violations(tables) -> DataFrame | None:
+    """Rows whose value the parent lacks, for all foreign keys in one shuffle.
 
-def _orphans(df: DataFrame, column: str, parent: DataFrame) -> DataFrame:
-    rows = df.where(F.col(column).isNotNull()).select(column)
-    return rows.join(parent.select(column), column, "left_anti").agg(
-        F.lit(f"{column} REFERENCES").alias("rule"), F.count("*").alias("violations")
+    Rows are counted per value before they meet the parent's values.
+    """
+    keys = []
+    for t in tables:
+        for c, parent in REFERENCES.get(t, {}).items():
+            if parent in tables:
+                rule = f"{c} REFERENCES"
+                keys += [(t, c, t, rule, "row"), (parent, c, t, rule, "parent")]
+    if not keys:
+        return None
+    met = _values(tables, keys).groupBy("table_name", "rule", "value").agg(
+        F.count_if(F.col("place") == "row").alias("_n"),
+        F.count_if(F.col("place") == "parent").alias("_known"),
+    )
+    return _per_rule(met, F.when(F.col("_known") == 0, F.col("_n")).otherwise(0))
+
+
+def orphan_count(df: DataFrame, column: str, parent: DataFrame, name: str) -> DataFrame:
+    """Number of rows whose `column` is not in `parent`; rows are counted per value first."""
+    sizes = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
+    return sizes.join(parent.select(column), column, "left_anti").agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias(name)
     )
 
 
 def constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
-    """Violations per table and rule: one pass per table, plus one per unique or foreign key.
+    """Violations per table and rule: one pass per table for rules on single rows, one shuffle
+    for all unique columns and one for all foreign keys.
 
     Foreign keys are checked where the parent table is supplied as well.
     """
-    parts = []
-    for table, df in tables.items():
-        found = [_row_violations(table, df)]
-        found += [_surplus(df, c) for c in UNIQUE.get(table, [])]
-        found += [
-            _orphans(df, c, tables[parent])
-            for c, parent in REFERENCES.get(table, {}).items()
-            if parent in tables
-        ]
-        parts += [p.select(F.lit(table).alias("table_name"), "rule", "violations") for p in found]
-    return reduce(DataFrame.unionByName, parts)
+    parts = [
+        _row_violations(table, df).select(F.lit(table).alias("table_name"), "rule", "violations")
+        for table, df in tables.items()
+    ]
+    across = [_unique_violations(tables), _reference_violations(tables)]
+    return reduce(DataFrame.unionByName, parts + [df for df in across if df is not None])

@@ -98,20 +98,26 @@ def session_memory(log: DataFrame) -> DataFrame:
         ["conversation_id", "activity_time", "activity_id"],
         name="memory",
     )
-    forgets = F.when(F.col("activity_type") == "MEMORY_CLEAR", 1).otherwise(0).cast("bigint")
-    spans = running(cut, ["conversation_id"], sums={"clears": forgets})
+    clears = F.col("activity_type") == "MEMORY_CLEAR"
     is_tool = F.col("activity_type") == "TOOL_CALL"
+
+    def remembered(c):
+        # A clear is remembered too, as an empty value that hides what came before it.
+        return F.when(clears | (is_tool & F.col(c).isNotNull()), F.struct(F.when(is_tool, F.col(c)).alias("v")))
+
+    memory = {
+        "memory_customer_id": "_customer",
+        "memory_invoice_number": "_invoice",
+        "memory_tool_name": "tool_name",
+    }
     return running(
-        spans,
-        ["conversation_id", "clears"],
-        lasts={
-            "memory_customer_id": F.when(is_tool, F.col("_customer")),
-            "memory_invoice_number": F.when(is_tool, F.col("_invoice")),
-            "memory_tool_name": F.when(is_tool, F.col("tool_name")),
-        },
+        cut,
+        ["conversation_id"],
+        sums={"clears": F.when(clears, 1).otherwise(0).cast("bigint")},
+        lasts={name: remembered(c) for name, c in memory.items()},
     ).select(
         "conversation_id", "activity_id", "activity_time", "activity_type", "clears",
-        "memory_customer_id", "memory_invoice_number", "memory_tool_name",
+        *[F.col(f"{name}.v").alias(name) for name in memory],
     )
 
 

@@ -6,14 +6,21 @@ from pyspark.sql import functions as F
 from duebook import constants as K
 from duebook.functions.expr import at_least, fill
 from duebook.operators import aging as A
+from duebook.operators import risk as R
 
 OVERDUE_LIMIT = 100
+SHORT_LIST = 100_000  # ids up to which a list of ids may be broadcast
 OVERDUE_COLUMNS = (
     "invoice_id", "invoice_number", "invoice_date", "due_date", "outstanding_amount",
     "days_past_due", "aging_bucket", "collection_priority", "recommended_action",
 )
 
 
+def is_small(ids: DataFrame, rows=SHORT_LIST) -> bool:
+    """Whether a frame of ids has at most `rows` rows; counts no further than that."""
+    return ids.limit(rows + 1).count() <= rows
+
+
 def unknown_ids(ids: DataFrame, table: DataFrame, key: str, message: str) -> DataFrame:
     """Requested ids that `table` does not have, with an error text."""
     return (
@@ -32,31 +39,56 @@ def unknown_invoices(numbers: DataFrame, invoices: DataFrame) -> DataFrame:
     return unknown_ids(numbers, invoices, "invoice_number", K.ERR_INVOICE_LOOKUP)
 
 
-def customer_summary(risk: DataFrame, ids: DataFrame) -> DataFrame:
-    """Risk rows of the requested customers."""
-    return risk.join(ids.select("customer_id"), "customer_id", "left_semi")
+def customer_summary(
+    customers: DataFrame, invoices: DataFrame, ids: DataFrame, as_of=None
+) -> DataFrame:
+    """Risk rows of the requested customers.
+
+    For a short id list the invoices are filtered before they are added up; the reporting date
+    still comes from all of them.
+    """
+    date = A.as_of_column(invoices, as_of)
+    wanted = ids.select("customer_id")
+    if is_small(wanted):
+        invoices = invoices.join(F.broadcast(wanted), "customer_id", "left_semi")
+    asked = customers.join(wanted, "customer_id", "left_semi")
+    return R.customer_risk_summary(R.customer_collection_summary(asked, invoices, date))
 
 
-def overdue_invoices(aging: DataFrame, ids: DataFrame | None = None, limit=OVERDUE_LIMIT) -> DataFrame:
+def overdue_invoices(
+    invoices: DataFrame, customers: DataFrame, ids: DataFrame | None = None, limit=OVERDUE_LIMIT,
+    as_of=None,
+) -> DataFrame:
     """Overdue invoices of the requested customers, the latest `limit` per customer.
 
-    The rank filter is applied before the shuffle as well, so a customer with very many
-    invoices sends at most `limit` rows per task.
+    A short id list filters the invoices first.  Otherwise the rank comes first: its filter is
+    applied before the shuffle as well, so a customer with very many invoices sends at most
+    `limit` rows per task, and only ranked rows are joined.
     """
-    late = aging.where(F.col("days_past_due") > 0)
-    if ids is not None:
-        late = late.join(ids.select("customer_id"), "customer_id", "left_semi")
-    out = late.select("customer_id", *OVERDUE_COLUMNS)
-    if limit is None:
-        return out
-    worst_first = Window.partitionBy("customer_id").orderBy(
-        F.desc("days_past_due"), F.desc("outstanding_amount"), "invoice_id"
-    )
-    return (
-        out.withColumn("_place", F.row_number().over(worst_first))
-        .where(F.col("_place") <= limit)
-        .drop("_place")
-    )
+    late = A.age_invoices(invoices, as_of).where(F.col("days_past_due") > 0)
+    days, amount = F.col("days_past_due"), F.col("outstanding_amount")
+    out = late.withColumns(
+        {
+            "collection_priority": A.priority_of(days, amount),
+            "recommended_action": A.action_of(days, amount),
+        }
+    ).select("customer_id", *OVERDUE_COLUMNS)
+    wanted = None if ids is None else ids.select("customer_id")
+    short = wanted is not None and is_small(wanted)
+    if short:
+        out = out.join(F.broadcast(wanted), "customer_id", "left_semi")
+    if limit is not None:
+        worst_first = Window.partitionBy("customer_id").orderBy(
+            F.desc("days_past_due"), F.desc("outstanding_amount"), "invoice_id"
+        )
+        out = (
+            out.withColumn("_place", F.row_number().over(worst_first))
+            .where(F.col("_place") <= limit)
+            .drop("_place")
+        )
+    if wanted is not None and not short:
+        out = out.join(wanted, "customer_id", "left_semi")
+    return out.join(customers.select("customer_id"), "customer_id", "left_semi")
 
 
 def invoice_details(

@@ -71,14 +71,16 @@ def recent_approvals(approvals: DataFrame, n: int | None = 20) -> DataFrame:
 def approval_notification_lifecycle(approvals: DataFrame, outbox: DataFrame, n=None) -> DataFrame:
     """Approvals with their notification, newest approval first."""
     wanted = approvals.select("approval_id", "action_type", "approval_status")
-    if n is not None:
-        # An approval has at most one notification, so the cut may come before the join.
-        wanted = wanted.orderBy(F.desc("approval_id")).limit(n)
     sent = outbox.select(
         "approval_id", "notification_id", "notification_type", "recipient_address",
         "notification_status", "retry_count", "max_retry_count", "failure_reason", "created_at",
         "processed_at",
     )
+    if n is not None:
+        # An approval has at most one notification, so the cut may come before the join,
+        # and the n ids filter the notifications in place.
+        wanted = wanted.orderBy(F.desc("approval_id")).limit(n)
+        sent = sent.join(F.broadcast(wanted.select("approval_id")), "approval_id", "left_semi")
     joined = wanted.join(sent, "approval_id", "left").orderBy(F.desc("approval_id"))
     return joined if n is None else joined.limit(n)
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from duebook import constants as K
 from duebook.functions.expr import money, total
 from duebook.operators.blocks import dense_key
+from duebook.operators.constraints import orphan_count
 from duebook.schemas import conform
 
 
@@ -79,9 +80,7 @@ def invalid_invoice_balances(invoices: DataFrame) -> DataFrame:
 
 def orphan_payments(payments: DataFrame, invoices: DataFrame) -> DataFrame:
     """Number of payments without an invoice."""
-    return payments.join(invoices, "invoice_id", "left_anti").agg(
-        F.count("*").alias("orphan_payments")
-    )
+    return orphan_count(payments, "invoice_id", invoices, "orphan_payments")
 
 
 def top_payments(payments: DataFrame, invoices: DataFrame, customers: DataFrame, n=20) -> DataFrame:

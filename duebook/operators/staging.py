@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duebook import constants as K
-from duebook.operators.blocks import dense_key
+from duebook.operators.blocks import dense_key_with_copies
 from duebook.schemas import conform
 
 # Longest text per staging column.
@@ -48,7 +48,7 @@ def stage_transactions(df: DataFrame, source_file: str, loaded: Column) -> DataF
     Ids follow the order of the row's values, so a reload of the same data gives the same ids.
     """
     facts = df.select(*FACTS).withColumn("unit_price", F.round("unit_price", 2).cast("decimal(10,2)"))
-    keyed = dense_key(facts, "transaction_id", FACTS)
+    keyed = dense_key_with_copies(facts, "transaction_id")
     return conform(
         keyed.withColumns({"load_date": loaded, "source_file": F.lit(source_file)}),
         "stg_retail_transactions",

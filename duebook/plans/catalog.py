@@ -234,7 +234,7 @@ register(
     ar_aging_detail=lambda c: c.aging,
     ar_aging_detail_early=lambda c: aging.ar_aging_detail(c.invoices, c.customers, "2001-07-15"),
     aging_bucket_summary=lambda c: aging.aging_bucket_summary(c.aging),
-    top_overdue_customers=lambda c: aging.top_overdue_customers(c.aging),
+    top_overdue_customers=lambda c: aging.top_overdue_customers(c.invoices, c.customers),
     collection_queue=lambda c: aging.collection_queue(c.aging),
     collection_queue_high=lambda c: aging.collection_queue(c.aging, priority="high"),
     collection_queue_top=lambda c: aging.collection_queue(c.aging, n=20),
@@ -269,10 +269,14 @@ def sql_functions(c):
 
 
 register(
-    customer_summary=lambda c: lookups.customer_summary(c.risk, _wanted_customers(c)),
+    customer_summary=lambda c: lookups.customer_summary(
+        c.customers, c.invoices, _wanted_customers(c)
+    ),
     unknown_customers=lambda c: lookups.unknown_customers(_wanted_customers(c), c.customers),
-    overdue_invoices=lambda c: lookups.overdue_invoices(c.aging, _wanted_customers(c)),
-    overdue_invoices_top3=lambda c: lookups.overdue_invoices(c.aging, limit=3),
+    overdue_invoices=lambda c: lookups.overdue_invoices(
+        c.invoices, c.customers, _wanted_customers(c)
+    ),
+    overdue_invoices_top3=lambda c: lookups.overdue_invoices(c.invoices, c.customers, limit=3),
     invoice_details=lambda c: lookups.invoice_details(c.invoices, c.customers, _wanted_invoices(c)),
     unknown_invoices=lambda c: lookups.unknown_invoices(_wanted_invoices(c), c.invoices),
 )

@@ -23,12 +23,19 @@ def now() -> Column:
     return F.lit(NOW).cast("timestamp")
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A driver table with zone-less timestamps read as UTC instants."""
+def read_table(spark: SparkSession, folder: str, name: str, place=False) -> DataFrame:
+    """A driver table with zone-less timestamps read as UTC instants.
+
+    `place` adds each row's file and position, which tell exact copies of a row apart.
+    """
     df = spark.read.parquet(f"{folder}/{name}.parquet")
     zoneless = {f.name for f in df.schema if f.dataType.typeName() == "timestamp_ntz"}
+    where = [
+        F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"),
+    ]
     return df.select(
-        *[F.col(c).cast("timestamp").alias(c) if c in zoneless else F.col(c) for c in df.columns]
+        *[F.col(c).cast("timestamp").alias(c) if c in zoneless else F.col(c) for c in df.columns],
+        *(where if place else []),
     )
 
 
@@ -38,7 +45,8 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
     def table(name):
         return read_table(spark, folder, name)
 
-    lines = table("lineitem").select(
+    lines = read_table(spark, folder, "lineitem", place=True).select(
+        "_file", "_row",
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_shipdate", "l_returnflag", "l_linestatus",
     )
@@ -61,8 +69,9 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
     last = F.lit(LAST_DAY).cast("date")
     age = (F.datediff(last, F.to_date("o_orderdate")) % SPAN_DAYS).cast("int")
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    unit_cents = F.expr("{} div {}".format("_cents", "(CAST(l_quantity AS BIGINT) * 20)"))
+    unit_cents = F.expr("_cents div (CAST(l_quantity AS BIGINT) * 20)")
     return joined.withColumn("_cents", cents).select(
+        "_file", "_row",
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_shipdate", "l_returnflag", "l_linestatus",
         F.concat(F.when(cancelled, "C").otherwise(""), F.col("o_orderkey").cast("string")).alias(
@@ -80,7 +89,7 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
 
 SALES_ORDER = [
     "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-    "l_shipdate", "l_returnflag", "l_linestatus",
+    "l_shipdate", "l_returnflag", "l_linestatus", "_file", "_row",
 ]
 
 
