@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from duebook import constants as K
 from duebook.functions import text as T
-from duebook.operators.blocks import ordered_blocks, running
+from duebook.operators.blocks import HOT_ROWS, Ordered
 from duebook.schemas import conform
 
 
@@ -82,12 +82,12 @@ def recent_context(messages: DataFrame, k=6) -> DataFrame:
     )
 
 
-def session_memory(log: DataFrame) -> DataFrame:
+def session_memory(log: DataFrame, hot_rows=HOT_ROWS) -> DataFrame:
     """Customer, invoice and tool in memory after every audit event.
 
     A tool call replaces what it names; a clear forgets everything before it.
     """
-    cut = ordered_blocks(
+    told = Ordered(
         log.select(
             "conversation_id", "activity_time", "activity_id", "activity_type", "tool_name",
             F.get_json_object("tool_arguments", "$.customer_id").cast("bigint").alias("_customer"),
@@ -95,7 +95,9 @@ def session_memory(log: DataFrame) -> DataFrame:
                 F.get_json_object("tool_arguments", "$.invoice_number"), F.lit("")
             ).alias("_invoice"),
         ),
-        ["conversation_id", "activity_time", "activity_id"],
+        ["conversation_id"],
+        ["activity_time", "activity_id"],
+        hot_rows,
         name="memory",
     )
     clears = F.col("activity_type") == "MEMORY_CLEAR"
@@ -110,12 +112,11 @@ def session_memory(log: DataFrame) -> DataFrame:
         "memory_invoice_number": "_invoice",
         "memory_tool_name": "tool_name",
     }
-    return running(
-        cut,
-        ["conversation_id"],
+    remembering = told.running(
         sums={"clears": F.when(clears, 1).otherwise(0).cast("bigint")},
         lasts={name: remembered(c) for name, c in memory.items()},
-    ).select(
+    )
+    return remembering.result().select(
         "conversation_id", "activity_id", "activity_time", "activity_type", "clears",
         *[F.col(f"{name}.v").alias(name) for name in memory],
     )

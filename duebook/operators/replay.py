@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duebook import constants as K
-from duebook.operators.blocks import neighbour, ordered_blocks, running
+from duebook.operators.blocks import HOT_ROWS, Ordered
 
 
 def retry_outcomes(attempts: DataFrame) -> DataFrame:
@@ -45,33 +45,34 @@ def retry_outcomes(attempts: DataFrame) -> DataFrame:
     )
 
 
-def stuck_intervals(changes: DataFrame, until: Column) -> DataFrame:
+def stuck_intervals(changes: DataFrame, until: Column, hot_rows=HOT_ROWS) -> DataFrame:
     """PROCESSING changes that no other change followed within the staleness limit.
 
     The last change of an entity counts when `until` lies past the limit.
     """
-    cut = ordered_blocks(
+    ordered = Ordered(
         changes.select("entity_id", "changed_at", "change_id", "status"),
-        ["entity_id", "changed_at", "change_id"],
-        name="stuck",
+        ["entity_id"], ["changed_at", "change_id"], hot_rows, name="stuck",
     )
     limit = F.col("changed_at") + F.expr(f"INTERVAL {K.STALE_AFTER}")
-    following = neighbour(cut, ["entity_id"], {"next_at": "changed_at"}, 1)
+    following = ordered.neighbour({"next_at": "changed_at"}, 1).result()
     return following.where(
         (F.col("status") == "PROCESSING")
         & (F.coalesce(F.col("next_at"), until) > limit)
     ).select("entity_id", F.col("changed_at").alias("stuck_since"), limit.alias("detected_at"))
 
 
-def sessions(events: DataFrame, key: str, time: str, tie: str, gap=K.STALE_AFTER) -> DataFrame:
+def sessions(
+    events: DataFrame, key: str, time: str, tie: str, gap=K.STALE_AFTER, hot_rows=HOT_ROWS
+) -> DataFrame:
     """Sessions per key: runs of events less than `gap` apart; a busy key spans many blocks."""
-    cut = ordered_blocks(events.select(key, time, tie), [key, time, tie], name="sessions")
-    before = neighbour(cut, [key], {"_previous": time}, -1)
+    ordered = Ordered(events.select(key, time, tie), [key], [time, tie], hot_rows, name="sessions")
+    ordered.neighbour({"_previous": time}, -1)
     pause = F.expr(f"INTERVAL {gap}")
     starts = F.col("_previous").isNull() | (F.col(time) > F.col("_previous") + pause)
-    numbered = running(
-        before, [key], sums={"_session": F.when(starts, 1).otherwise(0).cast("bigint")}
-    )
+    numbered = ordered.running(
+        sums={"_session": F.when(starts, 1).otherwise(0).cast("bigint")}
+    ).result()
     return (
         numbered.groupBy(key, "_session")
         .agg(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from duebook import constants as K
 from duebook.functions.expr import empty_to_null, fill, first_match
 from duebook.functions.text import stripped
-from duebook.operators.blocks import dense_key, neighbour, ordered_blocks
+from duebook.operators.blocks import HOT_ROWS, Ordered, dense_key
 from duebook.schemas import conform
 from duebook.storage import materialize
 
@@ -699,19 +699,20 @@ def complete_orchestrations(
 
 
 # ---- history ------------------------------------------------------------------------------
-def transition_history(changes: DataFrame, allowed) -> DataFrame:
+def transition_history(changes: DataFrame, allowed, hot_rows=HOT_ROWS) -> DataFrame:
     """Status changes per entity with the previous status, time spent and whether it is allowed.
 
     `changes` has entity_id, change_id, changed_at and status.
     """
-    key = ["entity_id"]
-    cut = ordered_blocks(
+    ordered = Ordered(
         changes.select("entity_id", "changed_at", "change_id", "status"),
-        ["entity_id", "changed_at", "change_id"],
-        name="history",
+        ["entity_id"], ["changed_at", "change_id"], hot_rows, name="history",
+    )
+    both = (
+        ordered.neighbour({"previous_status": "status"}, -1)
+        .neighbour({"_until": "changed_at"}, 1)
+        .result()
     )
-    before = neighbour(cut, key, {"previous_status": "status"}, -1)
-    both = neighbour(before, key, {"_until": "changed_at"}, 1)
     pair = F.concat_ws(">", "previous_status", "status")
     pairs = [f"{a}>{b}" for a, b in allowed]
     spent = (F.unix_micros("_until") - F.unix_micros("changed_at")).cast("double") / 1000000

@@ -112,9 +112,7 @@ def _damaged(c):
                 "invoice_id": F.when(F.col("payment_id") % 60 != 0, F.col("invoice_id")).otherwise(-1),
             }
         ),
-        "agent_conversations": conversations.conversation_sessions(c.activity).where(
-            "conversation_id <> 'conv-7'"
-        ),
+        "agent_conversations": c.sessions.where("conversation_id <> 'conv-7'"),
         "agent_activity_log": c.activity.withColumn(
             "error_message", F.concat(F.col("error_message"), F.lit("!"))
         ),
@@ -379,7 +377,9 @@ def recent_context(c):
 
 
 register(
-    activity_log=lambda c: c.activity,
+    activity_log=lambda c: conversations.activity_log(
+        fixtures.activity_events(c.spark, c.folder)
+    ),
     conversation_sessions=lambda c: conversations.conversation_sessions(c.activity),
     classify_message=lambda c: conversations.classify_messages(c.messages).drop("is_follow_up"),
     is_follow_up=lambda c: conversations.classify_messages(c.messages).select(
@@ -420,7 +420,7 @@ def _workflow(c):
         ),
         "start_orchestrations": lambda: workflow.start_orchestrations(
             requests.run_requests(*at), c.orchestrations, c.approvals,
-            conversations.conversation_sessions(c.activity), c.invoices, c.customers, now,
+            c.sessions, c.invoices, c.customers, now,
         ),
         "complete_orchestrations": lambda: workflow.complete_orchestrations(
             c.orchestrations, c.approvals, c.outbox, requests.run_approvals(*at), c.invoices,
@@ -506,7 +506,7 @@ def _checked_tables(c):
     return {
         "customers": c.customers,
         "invoices": c.invoices,
-        "agent_conversations": conversations.conversation_sessions(c.activity),
+        "agent_conversations": c.sessions,
         "agent_approval_requests": c.approvals,
         "agent_notification_outbox": c.outbox,
         "agent_orchestration_runs": c.orchestrations,

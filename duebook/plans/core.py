@@ -89,30 +89,35 @@ class Core:
             risk.customer_collection_summary(self.customers, self.invoices)
         )
 
-    # ---- workflow tables (projections of the event table) --------------------------
-    @property
+    # ---- workflow tables -----------------------------------------------------------
+    @cached_property
     def approvals(self) -> DataFrame:
-        return fixtures.approvals(self.spark, self.folder)
+        return materialize(fixtures.approvals(self.spark, self.folder), "approvals")
 
-    @property
+    @cached_property
     def outbox(self) -> DataFrame:
-        return fixtures.outbox_table(self.spark, self.folder)
+        return materialize(fixtures.outbox_table(self.spark, self.folder), "outbox")
 
-    @property
+    @cached_property
     def activity(self) -> DataFrame:
-        return conversations.activity_log(fixtures.activity_events(self.spark, self.folder))
+        events = fixtures.activity_events(self.spark, self.folder)
+        return materialize(conversations.activity_log(events), "activity")
 
-    @property
-    def messages(self) -> DataFrame:
-        return fixtures.messages(self.spark, self.folder)
+    @cached_property
+    def sessions(self) -> DataFrame:
+        return materialize(conversations.conversation_sessions(self.activity), "conversations")
 
-    @property
+    @cached_property
     def recovery_log(self) -> DataFrame:
-        return fixtures.recovery_log(self.spark, self.folder)
+        return materialize(fixtures.recovery_log(self.spark, self.folder), "recovery-log")
 
-    @property
+    @cached_property
     def orchestrations(self) -> DataFrame:
-        return fixtures.orchestrations(self.spark, self.folder)
+        return materialize(fixtures.orchestrations(self.spark, self.folder), "orchestrations")
+
+    @property
+    def messages(self) -> DataFrame:
+        return fixtures.messages(self.spark, self.folder)
 
 
 def core(spark: SparkSession, folder: str) -> Core:

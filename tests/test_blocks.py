@@ -58,11 +58,12 @@ def test_copies_get_keys_of_their_own(spark, monkeypatch):
     assert sum(r["s"] == "a" for r in out) == 23
 
 
-def test_rank_within(skewed):
+@pytest.mark.parametrize("hot_rows", [10, 10**9])
+def test_rank_within(skewed, hot_rows):
     want = skewed.withColumn(
         "r", F.row_number().over(Window.partitionBy("key").orderBy("t", "id")).cast("bigint")
     )
-    same(rank_within(skewed, "r", ["key"], ["t", "id"], blocks=9), want)
+    same(rank_within(skewed, "r", ["key"], ["t", "id"], hot_rows, blocks=9), want)
 
 
 def test_running_sum_and_last(skewed):
@@ -81,11 +82,30 @@ def test_neighbour(skewed, step):
     same(neighbour(cut, ["key"], {"o": "id"}, step).drop("_block", "_pos"), want)
 
 
-def test_sessions_match_session_window(spark, skewed):
+@pytest.mark.parametrize("hot_rows", [10, 10**9])
+def test_sessions_match_session_window(spark, skewed, hot_rows):
     events = skewed.select("key", F.timestamp_seconds("t").alias("ts"), "id")
-    got = replay.sessions(events, "key", "ts", "id")
+    got = replay.sessions(events, "key", "ts", "id", hot_rows=hot_rows)
     want = events.groupBy("key", F.session_window("ts", "30 minutes").alias("s")).agg(
         F.count("*").alias("event_count")
     )
     same(got, want.select("key", F.col("s.start").alias("session_start"),
                           F.col("s.end").alias("session_end"), "event_count"))
+
+
+def test_both_ways_agree_for_history_and_memory(spark):
+    from duebook import constants as K
+    from duebook.operators import conversations, workflow
+    from duebook.plans.core import core
+    from duebook.sources import requests
+
+    folder = "/root/testdata/sf0.001"
+    c = core(spark, folder)
+    changes = requests.status_changes(spark, folder)
+    same(
+        workflow.transition_history(changes, K.NOTIFICATION_TRANSITIONS, hot_rows=0),
+        workflow.transition_history(changes, K.NOTIFICATION_TRANSITIONS),
+    )
+    same(conversations.session_memory(c.activity, hot_rows=0), conversations.session_memory(c.activity))
+    until = F.lit("2024-02-01").cast("timestamp")
+    same(replay.stuck_intervals(changes, until, hot_rows=0), replay.stuck_intervals(changes, until))
