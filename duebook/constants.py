@@ -144,6 +144,7 @@ ERR_BLANK_EMAIL = "Customer %s does not have a usable email address."
 ERR_APPROVAL_MISSING = "Approval request %s was not found."
 ERR_APPROVAL_STATUS = "Approval request %s is %s, not APPROVED."
 ERR_ACTION = "Unsupported action type: %s"
+ERR_PAYLOAD = "The action payload names no invoice."
 ERR_DUPLICATE = "Approval request %s already has notification %s."
 ERR_DECISION = "Decision must be APPROVED or REJECTED."
 ERR_NOTIFICATION_MISSING = "Notification %s was not found."

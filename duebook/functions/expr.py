@@ -3,8 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(12,2)"
-TOTAL = "decimal(18,2)"
+MONEY = "decimal(18,2)"
+TOTAL = "decimal(28,2)"
 
 
 def blank_to_null(c: Column) -> Column:
@@ -76,4 +76,4 @@ def fill(template: str, *args) -> Column:
 
 
 def money_text(c: Column) -> Column:
-    return F.format_number(F.coalesce(c, F.lit(0)).cast("decimal(20,2)"), 2)
+    return F.format_number(F.coalesce(c, F.lit(0)).cast(TOTAL), 2)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duebook import constants as K
-from duebook.functions.expr import TOTAL, at_least, first_match, position_in, total, total0
+from duebook.functions.expr import MONEY, TOTAL, at_least, first_match, position_in, total, total0
 
 QUEUE_COLUMNS = (
     "invoice_id", "invoice_number", "customer_id", "customer_name", "outstanding_amount",
@@ -50,7 +50,7 @@ def _tiers(days: Column, amount: Column, text_at: int, default: str) -> Column:
     for tier in K.COLLECTION_TIERS:
         reached = days >= tier[0]
         if tier[1] is not None:
-            reached = reached & (amount >= F.lit(tier[1]).cast("decimal(12,2)"))
+            reached = reached & (amount >= F.lit(tier[1]).cast(MONEY))
         pairs.append((reached, F.lit(tier[text_at])))
     return first_match(pairs, F.lit(default))
 

@@ -46,8 +46,13 @@ def _shape_fault(name: str, df: DataFrame) -> str | None:
     return None
 
 
-def schema_checks(spark: SparkSession, tables: dict[str, DataFrame], shapes=False) -> DataFrame:
-    """Whether the required tables and views are supplied; `shapes` also checks their columns."""
+def schema_checks(
+    spark: SparkSession, tables: dict[str, DataFrame], shapes=False, counts=False
+) -> DataFrame:
+    """Whether the required tables and views are supplied.
+
+    `shapes` also checks their columns, `counts` adds their number of rows.
+    """
     rows = []
     for kind, names in (("table", REQUIRED_TABLES), ("view", REQUIRED_VIEWS)):
         for name in names:
@@ -57,8 +62,18 @@ def schema_checks(spark: SparkSession, tables: dict[str, DataFrame], shapes=Fals
             elif shapes:
                 fault = _shape_fault(name, tables[name])
             message = fault or f"Required {kind} exists."
-            rows.append((name.upper(), "FAIL" if fault else "PASS", message))
-    return spark.createDataFrame(rows, CHECK_SCHEMA)
+            rows.append((name, "FAIL" if fault else "PASS", message))
+    if not counts:
+        named = [(name.upper(), status, message) for name, status, message in rows]
+        return spark.createDataFrame(named, CHECK_SCHEMA)
+
+    def counted(name, status, message):
+        size = F.count("*") if name in tables else F.lit(None).cast("bigint")
+        result = [F.lit(name.upper()).alias("check_name"), F.lit(status).alias("status"),
+                  F.lit(message).alias("message"), size.alias("row_count")]
+        return tables[name].agg(*result) if name in tables else spark.range(1).select(*result)
+
+    return reduce(DataFrame.unionByName, [counted(*row) for row in rows])
 
 
 def connection_check(spark: SparkSession) -> DataFrame:

@@ -70,6 +70,13 @@ LENGTH = {
     "agent_notification_recovery_log": {"recovery_reason": 1000},
     "agent_orchestration_runs": {"invoice_number": 100, "error_message": 4000},
 }
+AMOUNTS = {  # columns of at most 12 digits, two of them decimal
+    "customers": ["credit_limit", "current_balance"],
+    "invoices": ["invoice_amount", "amount_paid", "outstanding_amount"],
+    "invoice_lines": ["unit_price", "line_amount"],
+    "payments": ["payment_amount"],
+}
+AMOUNT_BOUND = 10**10
 UNIQUE = {
     "customers": ["customer_id"],
     "payment_terms": ["payment_term_id", "term_name"],
@@ -106,6 +113,8 @@ def row_rules(table: str) -> dict[str, Column]:
         rules[f"{c} allowed values"] = ~F.col(c).isin(words)
     for c, (low, inclusive) in MINIMUM.get(table, {}).items():
         rules[f"{c} minimum"] = (F.col(c) < low) if inclusive else (F.col(c) <= low)
+    for c in AMOUNTS.get(table, []):
+        rules[f"{c} precision"] = F.abs(c) >= AMOUNT_BOUND
     for c, n in LENGTH.get(table, {}).items():
         rules[f"{c} length"] = F.length(c) > n
     return rules

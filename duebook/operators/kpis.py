@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from duebook import constants as K
 from duebook.functions.expr import fill, first_match, money_text, total0
 
-FIGURE = "decimal(20,4)"
+FIGURE = "decimal(32,4)"
 
 
 def _statuses(column: str, names: dict[str, str]) -> list[Column]:

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duebook import constants as K
-from duebook.functions.expr import money, total
+from duebook.functions.expr import MONEY, money, total
 from duebook.operators.blocks import dense_key
 from duebook.operators.constraints import orphan_count
 from duebook.schemas import conform
@@ -43,7 +43,7 @@ def apply_payments(invoices: DataFrame, payments: DataFrame) -> DataFrame:
 def settle(invoices: DataFrame, totals: DataFrame) -> DataFrame:
     """Invoices after `total_paid` per invoice; those without payments are open."""
     amount = F.col("invoice_amount")
-    paid = F.coalesce(F.col("total_paid"), F.lit(0).cast("decimal(12,2)"))
+    paid = F.coalesce(F.col("total_paid"), F.lit(0).cast(MONEY))
     changed = {
         "amount_paid": paid,
         "outstanding_amount": F.when(
@@ -72,7 +72,7 @@ def invoices_by_status(invoices: DataFrame) -> DataFrame:
 
 def invalid_invoice_balances(invoices: DataFrame) -> DataFrame:
     """Number of invoices whose amount is not paid + outstanding."""
-    zero = F.lit(0).cast("decimal(12,2)")
+    zero = F.lit(0).cast(MONEY)
     parts = F.coalesce("amount_paid", zero) + F.coalesce("outstanding_amount", zero)
     wrong = F.round("invoice_amount", 2) != F.round(parts, 2)
     return invoices.agg(F.count_if(wrong).alias("invalid_invoice_balances"))

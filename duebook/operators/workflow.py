@@ -249,6 +249,7 @@ def execute_approved(
             F.col("action_type") != K.REMINDER_ACTION, "UNSUPPORTED_ACTION",
             fill(K.ERR_ACTION, F.col("action_type")),
         ),
+        (F.col("invoice_number").isNull(), "BAD_PAYLOAD", F.lit(K.ERR_PAYLOAD)),
     ]
     if form == "recipient":
         found = resolve_recipients(found, invoices, customers).withColumnsRenamed(

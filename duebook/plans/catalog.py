@@ -61,13 +61,13 @@ register(
 def upsert(c):
     # Every third customer arrives again with a new limit, next to customers not seen before.
     known = c.customers.where("customer_id % 3 = 0").select(
-        "customer_id", "customer_name", "status", F.lit("25000").cast("decimal(12,2)").alias("credit_limit")
+        "customer_id", "customer_name", "status", F.lit("25000").cast("decimal(18,2)").alias("credit_limit")
     )
     fresh = c.invoices.select(
         (F.col("invoice_id") + 1000000).alias("customer_id"),
         F.concat(F.lit("New customer "), F.col("invoice_id").cast("string")).alias("customer_name"),
         F.lit("ACTIVE").alias("status"),
-        F.lit("500").cast("decimal(12,2)").alias("credit_limit"),
+        F.lit("500").cast("decimal(18,2)").alias("credit_limit"),
     )
     return merge.upsert(c.customers, known.unionByName(fresh), ["customer_id"]).select(
         "customer_id", "customer_name", "email", "status", "credit_limit", "current_balance"
@@ -90,6 +90,7 @@ def _damaged(c):
     invoices = c.invoices.withColumns(
         {
             "invoice_status": F.when(iid % 100 == 0, "LATE").otherwise(F.col("invoice_status")),
+            "invoice_amount": F.when(iid % 110 == 0, 10**10).otherwise(F.col("invoice_amount")),
             "dispute_flag": F.when(iid % 150 == 0, "X").otherwise(F.col("dispute_flag")),
             "due_date": F.when(iid % 70 != 0, F.col("due_date")),
         }
@@ -260,10 +261,33 @@ def _wanted_invoices(c):
     )
 
 
-@query
-def sql_functions(c):
-    lookups.register_lookups(c.spark, c.invoices, c.customers, c.aging, c.risk)
-    return c.spark.sql("SELECT * FROM get_collection_queue()")
+def _sql(text):
+    """A query over the registered table functions, with all wanted ids in the view `wanted`."""
+
+    def run(c):
+        lookups.register_lookups(c.spark, c.invoices, c.customers, c.aging, c.risk)
+        orders = fixtures.read_table(c.spark, c.folder, "orders")
+        orders.select(F.col("o_custkey").alias("customer_id")).distinct().createOrReplaceTempView(
+            "wanted_customers"
+        )
+        _wanted_invoices(c).createOrReplaceTempView("wanted_invoices")
+        return c.spark.sql(text)
+
+    return run
+
+
+register(
+    sql_collection_queue=_sql("SELECT * FROM get_collection_queue('high')"),
+    sql_customer_summary=_sql(
+        "SELECT f.* FROM wanted_customers w, LATERAL get_customer_summary(w.customer_id) f"
+    ),
+    sql_overdue_invoices=_sql(
+        "SELECT w.customer_id, f.* FROM wanted_customers w, LATERAL get_overdue_invoices(w.customer_id) f"
+    ),
+    sql_invoice_details=_sql(
+        "SELECT f.* FROM wanted_invoices w, LATERAL get_invoice_details(w.invoice_number) f"
+    ),
+)
 
 
 register(
@@ -532,7 +556,7 @@ def integrity_checks(c):
 def schema_checks(c):
     tables = _checked_tables(c)
     del tables["agent_orchestration_runs"]
-    return checks.schema_checks(c.spark, tables, shapes=True)
+    return checks.schema_checks(c.spark, tables, shapes=True, counts=True)
 
 
 register(

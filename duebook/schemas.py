@@ -1,4 +1,8 @@
-"""Explicit schemas of all tables (never inferred)."""
+"""Explicit schemas of all tables (never inferred).
+
+Amounts are declared for 12 digits, but kept in 18: the sum of a very large invoice or
+customer must not stop a load.  Amounts beyond 12 digits are reported as rule violations.
+"""
 
 from pyspark.sql.types import StructType
 
@@ -9,23 +13,23 @@ STAGING = """
 
 CUSTOMERS = """
   customer_id bigint, customer_name string, customer_type string, industry string,
-  email string, phone string, credit_limit decimal(12,2), current_balance decimal(12,2),
+  email string, phone string, credit_limit decimal(18,2), current_balance decimal(18,2),
   risk_category string, status string, created_date timestamp"""
 
 PAYMENT_TERMS = "payment_term_id bigint, term_name string, due_days int, description string"
 
 INVOICES = """
   invoice_id bigint, invoice_number string, customer_id bigint, payment_term_id bigint,
-  invoice_date timestamp, due_date timestamp, invoice_amount decimal(12,2),
-  amount_paid decimal(12,2), outstanding_amount decimal(12,2), invoice_status string,
+  invoice_date timestamp, due_date timestamp, invoice_amount decimal(18,2),
+  amount_paid decimal(18,2), outstanding_amount decimal(18,2), invoice_status string,
   dispute_flag string, created_date timestamp"""
 
 INVOICE_LINES = """
   invoice_line_id bigint, invoice_id bigint, product_code string, description string,
-  quantity decimal(18,4), unit_price decimal(12,2), line_amount decimal(12,2)"""
+  quantity decimal(18,4), unit_price decimal(12,2), line_amount decimal(18,2)"""
 
 PAYMENTS = """
-  payment_id bigint, invoice_id bigint, payment_date timestamp, payment_amount decimal(12,2),
+  payment_id bigint, invoice_id bigint, payment_date timestamp, payment_amount decimal(18,2),
   payment_method string, reference_number string, created_date timestamp"""
 
 CONVERSATIONS = """

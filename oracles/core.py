@@ -55,7 +55,7 @@ WHERE customer_id IS NOT NULL AND invoice_no IS NOT NULL AND invoice_no NOT LIKE
 CTES["inv0"] = """
 SELECT row_number() OVER (ORDER BY invoice_no, customer_id) AS invoice_id, *
 FROM (SELECT invoice_no, customer_id, min(invoice_date) AS invoice_date,
-             CAST(sum(quantity * unit_price) AS DECIMAL(12,2)) AS invoice_amount
+             CAST(sum(quantity * unit_price) AS DECIMAL(18,2)) AS invoice_amount
       FROM good GROUP BY invoice_no, customer_id)
 WHERE invoice_amount >= 0"""
 
@@ -63,14 +63,14 @@ CTES["pay"] = """
 SELECT row_number() OVER (ORDER BY invoice_id) AS payment_id, invoice_id,
        invoice_date + to_days(CAST(invoice_id % 45 + 1 AS INTEGER)) AS payment_date,
        CASE WHEN invoice_id % 5 = 0 THEN invoice_amount
-            ELSE CAST(round(invoice_amount * CAST(0.5 AS DECIMAL(2,1)), 2) AS DECIMAL(12,2)) END AS payment_amount,
+            ELSE CAST(round(invoice_amount * CAST(0.5 AS DECIMAL(2,1)), 2) AS DECIMAL(18,2)) END AS payment_amount,
        CASE invoice_id % 4 WHEN 0 THEN 'ACH' WHEN 1 THEN 'CREDIT CARD'
             WHEN 2 THEN 'WIRE TRANSFER' ELSE 'CHECK' END AS payment_method,
        'PAY-' || lpad(CAST(invoice_id AS VARCHAR), 10, '0') AS reference_number
 FROM inv0 WHERE invoice_id % 5 IN (0, 1) AND invoice_amount > 0"""
 
 CTES["paid"] = """
-SELECT invoice_id, CAST(sum(payment_amount) AS DECIMAL(12,2)) AS paid FROM pay GROUP BY invoice_id"""
+SELECT invoice_id, CAST(sum(payment_amount) AS DECIMAL(18,2)) AS paid FROM pay GROUP BY invoice_id"""
 
 CTES["inv"] = """
 SELECT i.invoice_id, i.invoice_no AS invoice_number, i.customer_id, i.invoice_date,
@@ -95,7 +95,7 @@ LEFT JOIN (SELECT customer_id, sum(outstanding_amount) AS bal FROM inv GROUP BY
 
 CTES["lines"] = """
 SELECT g.transaction_id AS invoice_line_id, i.invoice_id, g.stock_code AS product_code, g.description,
-       g.quantity, g.unit_price, CAST(round(g.quantity * g.unit_price, 2) AS DECIMAL(12,2)) AS line_amount
+       g.quantity, g.unit_price, CAST(round(g.quantity * g.unit_price, 2) AS DECIMAL(18,2)) AS line_amount
 FROM good g JOIN inv0 i ON i.invoice_no = g.invoice_no AND i.customer_id = g.customer_id"""
 
 CTES["aged"] = """

@@ -277,4 +277,8 @@ SQL["unknown_invoices"] = """
 SELECT DISTINCT n AS invoice_number, 'Invoice does not exist: ' || n AS error
 FROM (SELECT CAST(o_orderkey AS VARCHAR) AS n FROM orders) WHERE n NOT IN (SELECT invoice_number FROM inv)"""
 
-SQL["sql_functions"] = SQL["collection_queue"]
+SQL["sql_collection_queue"] = SQL["collection_queue_high"]
+SQL["sql_customer_summary"] = SQL["customer_summary"]
+SQL["sql_overdue_invoices"] = f"""
+SELECT {OVERDUE} FROM aging WHERE days > 0 AND customer_id IN (SELECT o_custkey FROM orders)"""
+SQL["sql_invoice_details"] = SQL["invoice_details"]

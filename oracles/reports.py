@@ -6,8 +6,9 @@ SQL = {}
 
 # ---- table rules: defects are planted in the same way as in the query --------------------
 DAMAGED = """
-WITH c1 AS (SELECT *, 'LOW' AS risk_category FROM cust WHERE customer_id % 50 <> 1),
-i0 AS (SELECT invoice_id, invoice_number, customer_id, 1 AS payment_term_id, invoice_date, invoice_amount,
+WITH c1 AS (SELECT *, 'LOW' AS risk_category, 10000 AS credit_limit FROM cust WHERE customer_id % 50 <> 1),
+i0 AS (SELECT invoice_id, invoice_number, customer_id, 1 AS payment_term_id, invoice_date, amount_paid, outstanding_amount,
+    CASE WHEN invoice_id % 110 = 0 THEN 10000000000 ELSE invoice_amount END AS invoice_amount,
     CASE WHEN invoice_id % 100 = 0 THEN 'LATE' ELSE invoice_status END AS invoice_status,
     CASE WHEN invoice_id % 150 = 0 THEN 'X' ELSE 'N' END AS dispute_flag,
     CASE WHEN invoice_id % 70 <> 0 THEN due_date END AS due_date FROM inv),
@@ -76,6 +77,9 @@ def _violations():
     for t, c, bad in [("t1", "due_days", "<= 0"), ("l1", "quantity", "<= 0"), ("l1", "unit_price", "< 0"),
                       ("l1", "line_amount", "< 0"), ("p1", "payment_amount", "<= 0")]:
         out.append(_count(t, f"{c} minimum", f"{c} {bad}"))
+    for t, names in [("c1", "credit_limit current_balance"), ("i1", "invoice_amount amount_paid outstanding_amount"),
+                     ("l1", "unit_price line_amount"), ("p1", "payment_amount")]:
+        out += [_count(t, f"{c} precision", f"abs({c}) > 9999999999.99") for c in names.split()]
     for t, c, n in [
         ("c1", "customer_name", 150), ("c1", "email", 150), ("i1", "invoice_number", 50),
         ("l1", "product_code", 50), ("l1", "description", 200), ("p1", "payment_method", 30),

@@ -422,10 +422,11 @@ PRESENT = [
     f"SELECT '{o}' AS check_name, 'PASS' AS status, 'Required {'view' if o[:3] == 'VW_' else 'table'} exists.' AS message"
     for o in OBJECTS
 ]
-SQL["schema_checks"] = UNION.join(PRESENT).replace(
-    "'AGENT_ORCHESTRATION_RUNS' AS check_name, 'PASS' AS status, 'Required table exists.'",
-    "'AGENT_ORCHESTRATION_RUNS' AS check_name, 'FAIL' AS status, 'Required table is missing.'",
-)
+SOURCES = "cust inv conv appr box runs aging".split()
+SQL["schema_checks"] = UNION.join(
+    f"{present}, (SELECT count(*) FROM {source}) AS row_count" for present, source in zip(PRESENT, SOURCES)
+    if source != "runs"
+) + UNION + "SELECT 'AGENT_ORCHESTRATION_RUNS', 'FAIL', 'Required table is missing.', NULL"
 ALL = UNION.join(
     ["SELECT 'Database Connection' AS check_name, 'PASS' AS status, 'Session is healthy.' AS message"]
     + PRESENT + integrity("inv", "cust") + WORK

@@ -49,7 +49,7 @@ def test_top_rows_are_not_fully_sorted(c, build):
 def test_reports_read_few_columns_with_filters(c):
     text = plan(aging.aging_summary(c.invoices, "2001-08-20"))
     assert "GreaterThan(outstanding_amount,0.00)" in text
-    assert "ReadSchema: struct<due_date:timestamp,outstanding_amount:decimal(12,2)>" in text
+    assert "ReadSchema: struct<due_date:timestamp,outstanding_amount:decimal(18,2)>" in text
 
 
 def test_row_checks_share_one_scan(c):
