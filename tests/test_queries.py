@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry
+import oracles
+from duebook.plans.catalog import runnable
 from tests.compare import differences, duck
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = runnable()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
