@@ -1,11 +1,12 @@
 """Registered queries of the training-data operators, and SQL where SQL can express them."""
 
-from duebook.llm import bpe, language, lines, mixing, quality, sharding, topk, urls
+from duebook.llm import bpe, language, lines, mixing, near_dup, quality, sharding, topk, urls
 
 
 def queries():
     return {
         "op2_quality_rules": quality.op2_quality_rules,
+        "op3_minhash_dedup": near_dup.op3_minhash_dedup,
         "op4_bpe_round_trip": bpe.op4_bpe_round_trip,
         "op5_mix_sources": mixing.op5_mix_sources,
         "op6_url_filter": urls.op6_url_filter,
@@ -19,6 +20,7 @@ def queries():
 def oracle_sql():
     return {
         "op2_quality_rules": quality.OP2_SQL,
+        "op3_minhash_dedup": near_dup.OP3_SQL,
         "op5_mix_sources": mixing.OP5_SQL,
         "op6_url_filter": urls.OP6_SQL,
         "op8_line_dedup": lines.OP8_SQL,
