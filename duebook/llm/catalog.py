@@ -1,10 +1,11 @@
 """Registered queries of the training-data operators, and SQL where SQL can express them."""
 
-from duebook.llm import bpe, language, lines, mixing, near_dup, quality, sharding, topk, urls
+from duebook.llm import bpe, language, lines, mixing, near_dup, quality, repeats, sharding, topk, urls
 
 
 def queries():
     return {
+        "op1_suffix_dedup": repeats.op1_suffix_dedup,
         "op2_quality_rules": quality.op2_quality_rules,
         "op3_minhash_dedup": near_dup.op3_minhash_dedup,
         "op4_bpe_round_trip": bpe.op4_bpe_round_trip,

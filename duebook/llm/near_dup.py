@@ -22,7 +22,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duebook.llm.common import packed, read, row_key
@@ -272,8 +272,7 @@ def dedup(docs: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:
     found = near_duplicates(docs, size, threshold)
     stay = found.where("_id = rep_id and _fp = rep_fp").select("_id", "_fp").distinct()
     rows = docs.select(packed(docs), *row_key()).join(stay, ["_id", "_fp"])
-    one = Window.partitionBy("_id", "_fp").orderBy("_id", "_fp")
-    return rows.withColumn("_n", F.row_number().over(one)).where("_n = 1").select("_row.*")
+    return rows.groupBy("_id", "_fp").agg(F.any_value("_row").alias("_row")).select("_row.*")
 
 
 def op3_minhash_dedup(spark, folder: str) -> DataFrame:
