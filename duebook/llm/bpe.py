@@ -117,11 +117,12 @@ def round_trip(docs: DataFrame, path: str | None = None, text: str = "text", kee
     return rows.mapInArrow(run, schema)
 
 
-def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row."""
+def digests(docs: DataFrame, path: str | None = None, ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row, and `ids` if asked for."""
     return round_trip(docs, path, keep=["doc_id"]).select(
         "_row.doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+        *(["ids"] if ids else []),
     )
 
 

@@ -1,5 +1,6 @@
 """Registered queries of the training-data operators, and SQL where SQL can express them."""
 
+import corpus_pipeline
 from duebook.llm import bpe, language, lines, mixing, near_dup, quality, repeats, sharding, topk, urls
 
 
@@ -15,11 +16,13 @@ def queries():
         "op8_line_dedup": lines.op8_line_dedup,
         "op9_shards": sharding.op9_shards,
         "op10_top_k": topk.op10_top_k,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql():
-    return {
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return pipeline | {
         "op2_quality_rules": quality.OP2_SQL,
         "op3_minhash_dedup": near_dup.OP3_SQL,
         "op5_mix_sources": mixing.OP5_SQL,
