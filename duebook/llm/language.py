@@ -89,18 +89,27 @@ def fit(
 ) -> Model:
     """Model from `text`, `lang` of labelled rows.
 
-    At most `per_language` texts of each language are used (those with the smallest hashes
-    of their text, so reruns agree) and at most `max_languages` languages; both bound what
+    At most `per_language` different texts of each language are used (those with the smallest
+    hashes, so reruns agree) and at most `max_languages` languages; both bound what
     the tasks and the driver hold.  Rows with null lang or without a letter teach nothing.
     A centroid accepts texts whose cosine is at least `slack` times the lowest one of its
     sample.
     """
     spark = labelled.sparkSession
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
+    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
+        "lang", "text", F.xxhash64("text").alias("h")
+    )
+    # Hashes are chosen before texts travel; copies of a text count once.
+    order = Window.partitionBy("lang").orderBy("h")
+    chosen = (
+        rows.groupBy("lang", "h").agg(F.lit(1).alias("one"))
+        .withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language)
+        .groupBy(F.col("lang").alias("_lang")).agg(F.max("h").alias("_last"))
+    )
+    limits = materialize(chosen, "language-limits")  # one row per language
     sample = (
-        labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-        .select("lang", "text").withColumn("_n", F.row_number().over(order))
-        .where(F.col("_n") <= per_language).drop("_n")
+        rows.join(limits, (F.col("lang") == F.col("_lang")) & (F.col("h") <= F.col("_last")))
+        .groupBy("lang", "h").agg(F.any_value("text").alias("text"))
     )
 
     def vectors(batches):

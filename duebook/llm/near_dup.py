@@ -4,8 +4,8 @@
    known by a 64-bit fingerprint; its sketch keeps the `K` smallest hashes of the set.
 2. Inverted lists: a key is made of `RUN` neighbouring values of a sketch.  Two sets that
    agree in 80% share such a run: always, when the sketch holds the whole set (among the
-   runs that at most 20% of foreign values leave, one has 3 values from 6 values on; smaller
-   sets use runs of 2), and else with a probability of all but 0.697^64 < 1e-10.
+   runs that at most 20% of foreign values leave in the union, one has 3 values if the union
+   has 6; sets of up to 5 use runs of 2 as well), and else with a probability of all but 0.697^64 < 1e-10.
 3. Each list hangs its classes on its smallest one, its centre.  All classes of a centre
    form a canopy; classes that share any list are together in a canopy, and a class is in a
    canopy once, however many lists it shares.  No pair is ever written.
@@ -77,7 +77,7 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _keys(sketch: Column, n: Column) -> Column:
-    """Keys of a sketch; sets of up to five shingles also have keys of two values."""
+    """Keys of a sketch; sets of up to five shingles have keys of two values as well."""
 
     def runs(length):
         last = F.size(sketch) - length
@@ -87,7 +87,7 @@ def _keys(sketch: Column, n: Column) -> Column:
                         lambda i: F.xxhash64(*[F.get(sketch, i + j) for j in range(length)], F.lit(length))),
         ).otherwise(F.array().cast("array<bigint>"))
 
-    return F.when(n <= 5, runs(2)).otherwise(runs(RUN))
+    return F.when(n <= 5, F.concat(runs(2), runs(RUN))).otherwise(runs(RUN))
 
 
 def links_of(cids: np.ndarray, sets: list, threshold: int) -> list[tuple[int, int]]:

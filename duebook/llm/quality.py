@@ -174,7 +174,7 @@ def quality_rules(
     )
     n = F.col("n_words")
     base = (n < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * n)
-    inside, wide = F.lit(True), F.greatest(F.lit(1.0), F.sqrt(F.lit(100.0) / n))
+    inside, wide = F.lit(True), F.greatest(F.lit(1.0), F.sqrt(F.lit(100.0) / F.when(n > 0, n)))
     for m, (low, high) in MEASURES.items():
         if low is not None:
             inside = inside & (F.col(m) >= F.col(f"{m}_low") - low * wide)
