@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from duebook.storage import materialize
 
-HOT_ROWS = 2_000_000  # rows of one key that a single task may still sort
 _COPIES_PER_PIECE = 1_000_000
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row's place in its low 33 bits
 
@@ -159,53 +158,32 @@ def neighbour(cut: DataFrame, keys, columns, step: int) -> DataFrame:
 class Ordered:
     """Rows in a given order within each key, ready for running values and neighbours.
 
-    When every key has at most `hot_rows` rows, plain windows over the key do the work in one
-    shuffle.  Otherwise the rows are cut into ordered blocks.  Both give the same result.
+    The rows are cut into ordered blocks, so a key of any size spans as many tasks as it needs.
     """
 
-    def __init__(self, df: DataFrame, keys, order, hot_rows=HOT_ROWS, blocks=None, name="ordered"):
+    def __init__(self, df: DataFrame, keys, order, blocks=None, name="ordered"):
         self.keys = list(keys)
-        self.order = list(order)
         self.columns = df.columns
-        self.cut = largest_key(df, keys) > hot_rows
-        self.rows = ordered_blocks(df, [*keys, *order], blocks, name) if self.cut else df
+        self.rows = ordered_blocks(df, [*keys, *order], blocks, name)
 
     def running(self, sums=None, lasts=None) -> "Ordered":
         """Adds running sums and latest non-NULL values per key, current row included."""
         sums, lasts = sums or {}, lasts or {}
-        if self.cut:
-            return self._with(running(self.rows, self.keys, sums, lasts), [*sums, *lasts])
-        upto = self._window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        added = {n: F.sum(c).over(upto) for n, c in sums.items()}
-        kept = {n: F.last(c, ignorenulls=True).over(upto) for n, c in lasts.items()}
-        return self._with(self.rows.withColumns({**added, **kept}), [*sums, *lasts])
+        return self._with(running(self.rows, self.keys, sums, lasts), [*sums, *lasts])
 
     def neighbour(self, columns: dict[str, str], step: int) -> "Ordered":
         """Adds columns of the previous (-1) or next (1) row of the same key."""
-        if self.cut:
-            return self._with(neighbour(self.rows, self.keys, columns, step), columns)
-        shift = F.lag if step < 0 else F.lead
-        near = {n: shift(c).over(self._window()) for n, c in columns.items()}
-        return self._with(self.rows.withColumns(near), columns)
+        return self._with(neighbour(self.rows, self.keys, columns, step), columns)
 
     def result(self) -> DataFrame:
         return self.rows.select(*self.columns)
 
-    def _window(self):
-        return Window.partitionBy(*self.keys).orderBy(*self.order)
-
     def _with(self, rows: DataFrame, names) -> "Ordered":
         self.rows, self.columns = rows, [*self.columns, *names]
         return self
 
 
-def largest_key(df: DataFrame, keys) -> int:
-    """Rows of the most frequent key; reads the key columns only."""
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    return sizes.agg(F.coalesce(F.max("_n"), F.lit(0))).first()[0]
-
-
-def rank_within(df: DataFrame, name: str, keys, order, hot_rows=HOT_ROWS, blocks=None) -> DataFrame:
+def rank_within(df: DataFrame, name: str, keys, order, blocks=None) -> DataFrame:
     """`df` plus `name` = 1, 2, ... per key in `order`; safe when one key holds most rows."""
-    ranked = Ordered(df, keys, order, hot_rows, blocks, name=f"rank-{name}")
+    ranked = Ordered(df, keys, order, blocks, name=f"rank-{name}")
     return ranked.running(sums={name: F.lit(1).cast("bigint")}).result()

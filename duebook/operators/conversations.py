@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from duebook import constants as K
 from duebook.functions import text as T
-from duebook.operators.blocks import HOT_ROWS, Ordered
+from duebook.operators.blocks import Ordered
 from duebook.schemas import conform
 
 
@@ -82,7 +82,7 @@ def recent_context(messages: DataFrame, k=6) -> DataFrame:
     )
 
 
-def session_memory(log: DataFrame, hot_rows=HOT_ROWS) -> DataFrame:
+def session_memory(log: DataFrame) -> DataFrame:
     """Customer, invoice and tool in memory after every audit event.
 
     A tool call replaces what it names; a clear forgets everything before it.
@@ -97,7 +97,6 @@ def session_memory(log: DataFrame, hot_rows=HOT_ROWS) -> DataFrame:
         ),
         ["conversation_id"],
         ["activity_time", "activity_id"],
-        hot_rows,
         name="memory",
     )
     clears = F.col("activity_type") == "MEMORY_CLEAR"

@@ -1,6 +1,6 @@
 """Parameterised lookups: many requested ids at once, unknown ids reported."""
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from duebook import constants as K
@@ -8,19 +8,12 @@ from duebook.functions.expr import at_least, fill
 from duebook.operators import aging as A
 from duebook.operators import risk as R
 
-OVERDUE_LIMIT = 100
-SHORT_LIST = 100_000  # ids up to which a list of ids may be broadcast
 OVERDUE_COLUMNS = (
     "invoice_id", "invoice_number", "invoice_date", "due_date", "outstanding_amount",
     "days_past_due", "aging_bucket", "collection_priority", "recommended_action",
 )
 
 
-def is_small(ids: DataFrame, rows=SHORT_LIST) -> bool:
-    """Whether a frame of ids has at most `rows` rows; counts no further than that."""
-    return ids.limit(rows + 1).count() <= rows
-
-
 def unknown_ids(ids: DataFrame, table: DataFrame, key: str, message: str) -> DataFrame:
     """Requested ids that `table` does not have, with an error text."""
     return (
@@ -44,26 +37,29 @@ def customer_summary(
 ) -> DataFrame:
     """Risk rows of the requested customers.
 
-    For a short id list the invoices are filtered before they are added up; the reporting date
-    still comes from all of them.
+    Invoices are filtered before they are added up; the reporting date still comes from all
+    of them.
     """
     date = A.as_of_column(invoices, as_of)
     wanted = ids.select("customer_id")
-    if is_small(wanted):
-        invoices = invoices.join(F.broadcast(wanted), "customer_id", "left_semi")
+    invoices = invoices.join(wanted, "customer_id", "left_semi")
     asked = customers.join(wanted, "customer_id", "left_semi")
     return R.customer_risk_summary(R.customer_collection_summary(asked, invoices, date))
 
 
+def worst_first() -> list[Column]:
+    return [F.desc("days_past_due"), F.desc("outstanding_amount"), F.asc("invoice_id")]
+
+
 def overdue_invoices(
-    invoices: DataFrame, customers: DataFrame, ids: DataFrame | None = None, limit=OVERDUE_LIMIT,
-    as_of=None,
+    invoices: DataFrame, customers: DataFrame, ids: DataFrame | None = None,
+    limit: int | None = None, as_of=None,
 ) -> DataFrame:
-    """Overdue invoices of the requested customers, the latest `limit` per customer.
+    """Overdue invoices of the requested customers, all of them or the latest `limit` of each.
 
-    A short id list filters the invoices first.  Otherwise the rank comes first: its filter is
-    applied before the shuffle as well, so a customer with very many invoices sends at most
-    `limit` rows per task, and only ranked rows are joined.
+    With a limit, rows come with `overdue_rank`, 1 for the latest; its filter is applied
+    before the shuffle as well, so a customer with very many invoices sends few rows per task.
+    Without one, `worst_first` gives the order in which a customer's rows are to be shown.
     """
     late = A.age_invoices(invoices, as_of).where(F.col("days_past_due") > 0)
     days, amount = F.col("days_past_due"), F.col("outstanding_amount")
@@ -73,22 +69,13 @@ def overdue_invoices(
             "recommended_action": A.action_of(days, amount),
         }
     ).select("customer_id", *OVERDUE_COLUMNS)
-    wanted = None if ids is None else ids.select("customer_id")
-    short = wanted is not None and is_small(wanted)
-    if short:
-        out = out.join(F.broadcast(wanted), "customer_id", "left_semi")
-    if limit is not None:
-        worst_first = Window.partitionBy("customer_id").orderBy(
-            F.desc("days_past_due"), F.desc("outstanding_amount"), "invoice_id"
-        )
-        out = (
-            out.withColumn("_place", F.row_number().over(worst_first))
-            .where(F.col("_place") <= limit)
-            .drop("_place")
-        )
-    if wanted is not None and not short:
-        out = out.join(wanted, "customer_id", "left_semi")
-    return out.join(customers.select("customer_id"), "customer_id", "left_semi")
+    if ids is not None:
+        out = out.join(ids.select("customer_id"), "customer_id", "left_semi")
+    out = out.join(customers.select("customer_id"), "customer_id", "left_semi")
+    if limit is None:
+        return out
+    place = F.row_number().over(Window.partitionBy("customer_id").orderBy(*worst_first()))
+    return out.withColumn("overdue_rank", place).where(F.col("overdue_rank") <= limit)
 
 
 def invoice_details(
@@ -137,7 +124,8 @@ def register_lookups(
         ),
         "get_overdue_invoices(wanted BIGINT)": (
             aging.select(*OVERDUE_COLUMNS),
-            f"SELECT {overdue} FROM vw_ar_aging_detail WHERE customer_id = wanted AND days_past_due > 0",
+            f"SELECT {overdue} FROM vw_ar_aging_detail WHERE customer_id = wanted AND days_past_due > 0 "
+            "ORDER BY days_past_due DESC, outstanding_amount DESC, invoice_id",
         ),
         "get_collection_queue(wanted STRING DEFAULT NULL)": (
             aging.select(*A.QUEUE_COLUMNS),

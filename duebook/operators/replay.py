@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duebook import constants as K
-from duebook.operators.blocks import HOT_ROWS, Ordered
+from duebook.operators.blocks import Ordered
 
 
 def retry_outcomes(attempts: DataFrame) -> DataFrame:
@@ -45,14 +45,14 @@ def retry_outcomes(attempts: DataFrame) -> DataFrame:
     )
 
 
-def stuck_intervals(changes: DataFrame, until: Column, hot_rows=HOT_ROWS) -> DataFrame:
+def stuck_intervals(changes: DataFrame, until: Column) -> DataFrame:
     """PROCESSING changes that no other change followed within the staleness limit.
 
     The last change of an entity counts when `until` lies past the limit.
     """
     ordered = Ordered(
         changes.select("entity_id", "changed_at", "change_id", "status"),
-        ["entity_id"], ["changed_at", "change_id"], hot_rows, name="stuck",
+        ["entity_id"], ["changed_at", "change_id"], name="stuck",
     )
     limit = F.col("changed_at") + F.expr(f"INTERVAL {K.STALE_AFTER}")
     following = ordered.neighbour({"next_at": "changed_at"}, 1).result()
@@ -63,10 +63,10 @@ def stuck_intervals(changes: DataFrame, until: Column, hot_rows=HOT_ROWS) -> Dat
 
 
 def sessions(
-    events: DataFrame, key: str, time: str, tie: str, gap=K.STALE_AFTER, hot_rows=HOT_ROWS
+    events: DataFrame, key: str, time: str, tie: str, gap=K.STALE_AFTER
 ) -> DataFrame:
     """Sessions per key: runs of events less than `gap` apart; a busy key spans many blocks."""
-    ordered = Ordered(events.select(key, time, tie), [key], [time, tie], hot_rows, name="sessions")
+    ordered = Ordered(events.select(key, time, tie), [key], [time, tie], name="sessions")
     ordered.neighbour({"_previous": time}, -1)
     pause = F.expr(f"INTERVAL {gap}")
     starts = F.col("_previous").isNull() | (F.col(time) > F.col("_previous") + pause)

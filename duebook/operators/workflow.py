@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from duebook import constants as K
 from duebook.functions.expr import empty_to_null, fill, first_match
 from duebook.functions.text import stripped
-from duebook.operators.blocks import HOT_ROWS, Ordered, dense_key
+from duebook.operators.blocks import Ordered, dense_key
 from duebook.schemas import conform
 from duebook.storage import materialize
 
@@ -700,14 +700,14 @@ def complete_orchestrations(
 
 
 # ---- history ------------------------------------------------------------------------------
-def transition_history(changes: DataFrame, allowed, hot_rows=HOT_ROWS) -> DataFrame:
+def transition_history(changes: DataFrame, allowed) -> DataFrame:
     """Status changes per entity with the previous status, time spent and whether it is allowed.
 
     `changes` has entity_id, change_id, changed_at and status.
     """
     ordered = Ordered(
         changes.select("entity_id", "changed_at", "change_id", "status"),
-        ["entity_id"], ["changed_at", "change_id"], hot_rows, name="history",
+        ["entity_id"], ["changed_at", "change_id"], name="history",
     )
     both = (
         ordered.neighbour({"previous_status": "status"}, -1)

@@ -35,7 +35,6 @@ def _checked(c):
     rules = {
         **staging.length_rules({k: v for k, v in staging.TEXT_LIMITS.items() if k != "source_file"}),
         **staging.required_rules("quantity", "invoice_date", "unit_price"),
-        "description shortened": F.length("description") >= 500,
     }
     return staging.split_rejects(_typed(c), rules)
 
@@ -249,15 +248,16 @@ register(
 
 # ---- lookups ----------------------------------------------------------------------------
 def _wanted_customers(c):
-    """All customers of the order table, known or not."""
+    """All customers of the order table, and as many ids that no customer has."""
     return fixtures.read_table(c.spark, c.folder, "orders").select(
-        F.col("o_custkey").alias("customer_id")
+        F.explode(F.array("o_custkey", -F.col("o_custkey") - 1)).alias("customer_id")
     )
 
 
 def _wanted_invoices(c):
+    number = F.col("o_orderkey").cast("string")
     return fixtures.read_table(c.spark, c.folder, "orders").select(
-        F.col("o_orderkey").cast("string").alias("invoice_number")
+        F.explode(F.array(number, F.concat(F.lit("X"), number))).alias("invoice_number")
     )
 
 
@@ -298,6 +298,9 @@ register(
     overdue_invoices=lambda c: lookups.overdue_invoices(
         c.invoices, c.customers, _wanted_customers(c)
     ),
+    overdue_invoices_100=lambda c: lookups.overdue_invoices(
+        c.invoices, c.customers, _wanted_customers(c), limit=100
+    ),
     overdue_invoices_top3=lambda c: lookups.overdue_invoices(c.invoices, c.customers, limit=3),
     invoice_details=lambda c: lookups.invoice_details(c.invoices, c.customers, _wanted_invoices(c)),
     unknown_invoices=lambda c: lookups.unknown_invoices(_wanted_invoices(c), c.invoices),

@@ -66,8 +66,8 @@ class Core:
         """The staged rows as two folders of raw CSV files."""
         rows = fixtures.raw_transactions(self.staging)
         parts = {
-            "even orders": rows.where("transaction_id % 2000 < 1000"),
-            "odd orders": rows.where("transaction_id % 2000 >= 1000"),
+            "even rows": rows.where("transaction_id % 2 = 0"),
+            "odd rows": rows.where("transaction_id % 2 = 1"),
         }
         paths = {name: new_path(self.spark, "raw") for name in parts}
         for name, part in parts.items():

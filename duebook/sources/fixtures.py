@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from duebook import constants as K
 from duebook.functions.expr import fill, first_match
-from duebook.operators.blocks import rank_within
+from duebook.operators.blocks import dense_key
 from duebook.schemas import conform
 
 # Instants used in place of the wall clock.
@@ -39,20 +39,24 @@ def read_table(spark: SparkSession, folder: str, name: str, place=False) -> Data
     )
 
 
+SALES_ORDER = [
+    "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+    "l_shipdate", "l_returnflag", "l_linestatus", "_file", "_row",
+]
+
+
 def sales(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines in the shape of staged transactions, still without ids."""
+    """Order lines in the shape of staged transactions."""
 
     def table(name):
         return read_table(spark, folder, name)
 
-    lines = read_table(spark, folder, "lineitem", place=True).select(
-        "_file", "_row",
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-        "l_shipdate", "l_returnflag", "l_linestatus",
-    )
-    orders = table("orders").where("o_custkey % 3 <> 0 OR o_orderkey % 8 = 1").select(
-        "o_orderkey", "o_custkey", "o_orderdate"
+    # Ids are given to the order lines themselves, before any join.
+    lines = dense_key(
+        read_table(spark, folder, "lineitem", place=True).select("l_orderkey", *SALES_ORDER),
+        "transaction_id", ["l_orderkey", *SALES_ORDER],
     )
+    orders = table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
     joined = (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("part").select("p_partkey", "p_name"), F.col("p_partkey") == F.col("l_partkey"))
@@ -71,9 +75,7 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     unit_cents = F.expr("_cents div (CAST(l_quantity AS BIGINT) * 20)")
     return joined.withColumn("_cents", cents).select(
-        "_file", "_row",
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-        "l_shipdate", "l_returnflag", "l_linestatus",
+        "transaction_id",
         F.concat(F.when(cancelled, "C").otherwise(""), F.col("o_orderkey").cast("string")).alias(
             "invoice_no"
         ),
@@ -87,19 +89,11 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-SALES_ORDER = [
-    "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-    "l_shipdate", "l_returnflag", "l_linestatus", "_file", "_row",
-]
-
-
 def staging(spark: SparkSession, folder: str) -> DataFrame:
-    """Staged transactions; ids are 1000 x order key + place of the line in its order."""
-    ranked = rank_within(sales(spark, folder), "_line", ["l_orderkey"], SALES_ORDER)
+    """Staged transactions; ids are the places of the lines in the order of their values."""
     return conform(
-        ranked.withColumns(
+        sales(spark, folder).withColumns(
             {
-                "transaction_id": F.col("l_orderkey") * 1000 + F.col("_line"),
                 "load_date": load_date(),
                 "source_file": F.lit("lineitem.parquet"),
             }

@@ -6,9 +6,8 @@ import re
 CTES = {}
 
 CTES["stg"] = """
-SELECT l_orderkey * 1000 + row_number() OVER (PARTITION BY l_orderkey
-         ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
-                  l_shipdate, l_returnflag, l_linestatus) AS transaction_id,
+SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
+                  l_extendedprice, l_shipdate, l_returnflag, l_linestatus) AS transaction_id,
        CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'C' ELSE '' END
          || CAST(o_orderkey AS VARCHAR) AS invoice_no,
        CAST(l_partkey AS VARCHAR) AS stock_code,
@@ -26,8 +25,7 @@ FROM lineitem
 JOIN orders ON l_orderkey = o_orderkey
 JOIN part ON p_partkey = l_partkey
 JOIN customer ON c_custkey = o_custkey
-JOIN nation ON n_nationkey = c_nationkey
-WHERE o_custkey % 3 <> 0 OR o_orderkey % 8 = 1"""
+JOIN nation ON n_nationkey = c_nationkey"""
 
 CTES["raw"] = """
 SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, invoice_no AS "Invoice", stock_code AS "StockCode",
@@ -36,15 +34,15 @@ SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, invoice_no AS "Invoice
   CASE WHEN transaction_id % 89 = 0 THEN 'not a date' ELSE strftime(invoice_date, '%Y-%m-%d %H:%M:%S') END AS "InvoiceDate",
   CASE WHEN transaction_id % 83 = 0 THEN 'free' ELSE CAST(unit_price AS VARCHAR) END AS "Price",
   CAST(customer_id AS VARCHAR) || '.0' AS "Customer ID", country AS "Country",
-  CASE WHEN transaction_id % 2000 < 1000 THEN 'even orders' ELSE 'odd orders' END AS source_part
+  CASE WHEN transaction_id % 2 = 0 THEN 'even rows' ELSE 'odd rows' END AS source_part
 FROM stg"""
 
 CTES["typed"] = """
 SELECT transaction_id, "Invoice" AS invoice_no, "StockCode" AS stock_code,
-  substr("Description", 1, 500) AS description, TRY_CAST("Quantity" AS DECIMAL(18,4)) AS quantity,
+  "Description" AS description, TRY_CAST("Quantity" AS DECIMAL(18,4)) AS quantity,
   TRY_CAST("InvoiceDate" AS TIMESTAMP) AS invoice_date, TRY_CAST("Price" AS DECIMAL(18,4)) AS unit_price,
-  CAST(trunc(TRY_CAST("Customer ID" AS DOUBLE)) AS BIGINT) AS customer_id,
-  substr("Country", 1, 100) AS country, source_part
+  CAST(trunc(TRY_CAST("Customer ID" AS DECIMAL(38,4))) AS BIGINT) AS customer_id,
+  "Country" AS country, source_part
 FROM raw"""
 
 CTES["good"] = """

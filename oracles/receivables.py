@@ -203,11 +203,11 @@ TYPED = """transaction_id, invoice_no, stock_code, CAST(quantity AS DOUBLE) AS q
 SQL["coerce_types"] = f"SELECT {TYPED}, description, source_part FROM typed"
 
 SQL["split_rejects"] = f"""
-SELECT {TYPED}, source_part, concat_ws('; ', CASE WHEN quantity IS NULL THEN 'quantity missing' END,
+SELECT {TYPED}, source_part, concat_ws('; ', CASE WHEN length(description) > 500 THEN 'description too long' END,
+    CASE WHEN quantity IS NULL THEN 'quantity missing' END,
     CASE WHEN invoice_date IS NULL THEN 'invoice_date missing' END,
-    CASE WHEN unit_price IS NULL THEN 'unit_price missing' END,
-    CASE WHEN length(description) >= 500 THEN 'description shortened' END) AS failed_rules
-FROM typed WHERE quantity IS NULL OR invoice_date IS NULL OR unit_price IS NULL OR length(description) >= 500"""
+    CASE WHEN unit_price IS NULL THEN 'unit_price missing' END) AS failed_rules
+FROM typed WHERE quantity IS NULL OR invoice_date IS NULL OR unit_price IS NULL OR length(description) > 500"""
 
 SQL["stage_transactions"] = f"""
 SELECT row_number() OVER (ORDER BY invoice_no NULLS FIRST, stock_code NULLS FIRST, description NULLS FIRST,
@@ -216,7 +216,7 @@ SELECT row_number() OVER (ORDER BY invoice_no NULLS FIRST, stock_code NULLS FIRS
   CAST(quantity AS DOUBLE) AS quantity, invoice_date, {money('unit_price', 'unit_price')}, customer_id, country,
   timestamp '2001-08-02 00:00:00' AS load_date, 'transactions.csv' AS source_file
 FROM typed WHERE quantity IS NOT NULL AND invoice_date IS NOT NULL AND unit_price IS NOT NULL
-  AND length(description) < 500"""
+  AND length(description) <= 500"""
 
 SQL["profile_transactions"] = """
 SELECT count(*) AS total_rows, count(DISTINCT invoice_no) AS unique_invoices,
@@ -251,8 +251,9 @@ RISK = SUMMARY + ", risk_level, recommended_action"
 SQL["customer_summary"] = f"SELECT {RISK} FROM risk WHERE customer_id IN (SELECT o_custkey FROM orders)"
 
 SQL["unknown_customers"] = """
-SELECT DISTINCT o_custkey AS customer_id, 'Customer does not exist: ' || CAST(o_custkey AS VARCHAR) AS error
-FROM orders WHERE o_custkey NOT IN (SELECT customer_id FROM cust)"""
+SELECT DISTINCT id AS customer_id, 'Customer does not exist: ' || CAST(id AS VARCHAR) AS error
+FROM (SELECT o_custkey AS id FROM orders UNION SELECT -o_custkey - 1 FROM orders)
+WHERE id NOT IN (SELECT customer_id FROM cust)"""
 
 OVERDUE = f"""customer_id, invoice_id, invoice_number, invoice_date, due_date,
   {money('outstanding_amount', 'outstanding_amount')}, CAST(days AS INTEGER) AS days_past_due, aging_bucket,
@@ -262,8 +263,11 @@ RANKED = """(SELECT *, row_number() OVER (PARTITION BY customer_id
   ORDER BY days DESC, outstanding_amount DESC, invoice_id) AS place FROM aging WHERE days > 0)"""
 
 SQL["overdue_invoices"] = f"""
-SELECT {OVERDUE} FROM {RANKED} WHERE place <= 100 AND customer_id IN (SELECT o_custkey FROM orders)"""
-SQL["overdue_invoices_top3"] = f"SELECT {OVERDUE} FROM {RANKED} WHERE place <= 3"
+SELECT {OVERDUE} FROM aging WHERE days > 0 AND customer_id IN (SELECT o_custkey FROM orders)"""
+SQL["overdue_invoices_100"] = f"""
+SELECT {OVERDUE}, CAST(place AS INTEGER) AS overdue_rank FROM {RANKED}
+WHERE place <= 100 AND customer_id IN (SELECT o_custkey FROM orders)"""
+SQL["overdue_invoices_top3"] = f"SELECT {OVERDUE}, CAST(place AS INTEGER) AS overdue_rank FROM {RANKED} WHERE place <= 3"
 
 SQL["invoice_details"] = f"""
 SELECT i.invoice_id, i.invoice_number, i.invoice_date, i.due_date, {money('i.invoice_amount', 'invoice_amount')},
@@ -275,7 +279,8 @@ WHERE i.invoice_number IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders)"""
 
 SQL["unknown_invoices"] = """
 SELECT DISTINCT n AS invoice_number, 'Invoice does not exist: ' || n AS error
-FROM (SELECT CAST(o_orderkey AS VARCHAR) AS n FROM orders) WHERE n NOT IN (SELECT invoice_number FROM inv)"""
+FROM (SELECT CAST(o_orderkey AS VARCHAR) AS n FROM orders UNION SELECT 'X' || CAST(o_orderkey AS VARCHAR) FROM orders)
+WHERE n NOT IN (SELECT invoice_number FROM inv)"""
 
 SQL["sql_collection_queue"] = SQL["collection_queue_high"]
 SQL["sql_customer_summary"] = SQL["customer_summary"]
