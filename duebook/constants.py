@@ -14,9 +14,6 @@ RAW_HEADER = {
     "Customer ID": "customer_id",
     "Country": "country",
 }
-DESCRIPTION_LIMIT = 500
-COUNTRY_LIMIT = 100
-ERROR_LIMIT = 4000
 
 # --- fixed values: customer and invoice defaults -----------------------------------
 CUSTOMER_NAME_PREFIX = "Retail Customer "
@@ -138,6 +135,7 @@ TEXT_DEAD = "Maximum retry count reached."
 TEXT_RETRY = "Notification delivery failed."
 TEXT_NO_RECIPIENT = "Recipient address is missing."
 ERR_INVOICE = "Invoice %s was not found."
+ERR_AMBIGUOUS = "Invoice number %s belongs to %s invoices."
 ERR_INACTIVE = "Customer %s is INACTIVE."
 ERR_NO_EMAIL = "Customer %s does not have an email address."
 ERR_BLANK_EMAIL = "Customer %s does not have a usable email address."

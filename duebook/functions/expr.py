@@ -36,10 +36,6 @@ def total0(c: Column) -> Column:
     return F.coalesce(F.round(F.sum(c), 2), F.lit(0)).cast(TOTAL)
 
 
-def count_where(condition: Column) -> Column:
-    return F.count_if(condition)
-
-
 def steps(c: Column, bounds, default) -> Column:
     """Value of the first (lower bound, value) pair whose bound `c` reaches."""
     out = None

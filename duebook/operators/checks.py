@@ -76,14 +76,6 @@ def schema_checks(
     return reduce(DataFrame.unionByName, [counted(*row) for row in rows])
 
 
-def connection_check(spark: SparkSession) -> DataFrame:
-    return spark.range(1).select(
-        F.lit("Database Connection").alias("check_name"),
-        F.lit("PASS").alias("status"),
-        F.lit("Session is healthy.").alias("message"),
-    )
-
-
 def integrity_checks(invoices: DataFrame, customers: DataFrame) -> DataFrame:
     """Money, due date, owner and address checks; one pass over each table, one anti join."""
     found = "%s invoice(s) found."
@@ -146,9 +138,8 @@ def workflow_checks(runs: DataFrame, approvals: DataFrame, outbox: DataFrame, no
 
 
 def all_checks(spark: SparkSession, tables: dict[str, DataFrame], now: Column) -> DataFrame:
-    """Connection, schema, integrity and workflow checks."""
+    """Schema, integrity and workflow checks."""
     parts = [
-        connection_check(spark),
         schema_checks(spark, tables),
         integrity_checks(tables["invoices"], tables["customers"]),
         workflow_checks(

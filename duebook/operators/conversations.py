@@ -10,9 +10,10 @@ from duebook.schemas import conform
 
 
 def activity_log(events: DataFrame) -> DataFrame:
-    """Typed audit rows: tool arguments as JSON, errors marked FAILED and cut.
+    """Typed audit rows: tool arguments as JSON, errors marked FAILED.
 
-    `events` may carry `customer_id` and `invoice_number` as tool arguments.
+    `events` may carry `customer_id` and `invoice_number` as tool arguments.  Events of other
+    types are left to `activity_rejects`.
     """
     arguments = [c for c in ("customer_id", "invoice_number") if c in events.columns]
     given = F.coalesce(*[F.col(c).cast("string") for c in arguments]) if arguments else F.lit(None)
@@ -23,12 +24,17 @@ def activity_log(events: DataFrame) -> DataFrame:
             if arguments
             else F.lit(None).cast("string"),
             "execution_status": F.when(is_error, "FAILED").otherwise("SUCCESS"),
-            "error_message": F.substring("error_message", 1, K.ERROR_LIMIT),
         }
     )
     return conform(rows, "agent_activity_log")
 
 
+def activity_rejects(events: DataFrame) -> DataFrame:
+    """Events that the activity log does not take, with the reason."""
+    known = F.coalesce(F.col("activity_type").isin(K.ACTIVITY_TYPES), F.lit(False))
+    return events.where(~known).withColumn("reason", F.lit("UNKNOWN_ACTIVITY_TYPE"))
+
+
 def conversation_sessions(log: DataFrame, created_by: str = "SYSTEM") -> DataFrame:
     """Start, end and outcome per conversation; COMPLETED when it was ended by a command."""
     closing = F.when(F.col("activity_type") == "SESSION_END", F.col("activity_time"))

@@ -97,8 +97,8 @@ def build_invoice_lines(staging: DataFrame, invoices: DataFrame) -> DataFrame:
         .select(
             F.col("transaction_id").alias("invoice_line_id"),
             "invoice_id",
-            F.substring("stock_code", 1, 50).alias("product_code"),
-            F.substring("description", 1, K.DESCRIPTION_LIMIT).alias("description"),
+            F.col("stock_code").alias("product_code"),
+            "description",
             "quantity",
             "unit_price",
             money(F.col("quantity") * F.col("unit_price")).alias("line_amount"),

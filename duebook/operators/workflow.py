@@ -40,7 +40,9 @@ def highest(df: DataFrame, key: str) -> Column:
 def first_request(requests: DataFrame, key: str, order: str) -> DataFrame:
     """The earliest request per id; partial aggregation keeps busy ids cheap."""
     rest = [c for c in requests.columns if c != key]
-    return requests.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("_r")).select(
+    # The other columns settle requests that share an id.
+    place = F.struct(order, *rest)
+    return requests.groupBy(key).agg(F.min_by(F.struct(*rest), place).alias("_r")).select(
         key, *[F.col(f"_r.{c}").alias(c) for c in rest]
     )
 
@@ -101,13 +103,19 @@ def resolve_recipients(
         "customer_id", "customer_name", empty_to_null(F.col("email")).alias("_email"),
         F.upper("status").alias("_status"), F.lit(True).alias("_known"),
     )
-    owner = invoices.select("invoice_number", "customer_id")
+    # One row per number: requests must not multiply where invoices share one.
+    owner = invoices.groupBy("invoice_number").agg(
+        F.min_by("customer_id", "invoice_id").alias("customer_id"), F.count("*").alias("_same")
+    )
     # Requests drive both joins, so customers are only met for the requested invoices.
     found = requests.join(owner, "invoice_number", "left").join(contact, "customer_id", "left")
     cid = F.col("customer_id")
     missing = [
         (F.col("_known").isNull(), "INVOICE_NOT_FOUND", fill(K.ERR_INVOICE, F.col("invoice_number")))
     ]
+    missing.append(
+        (F.col("_same") > 1, "AMBIGUOUS_INVOICE", fill(K.ERR_AMBIGUOUS, F.col("invoice_number"), F.col("_same")))
+    )
     inactive = [(F.col("_status") == "INACTIVE", "CUSTOMER_INACTIVE", fill(K.ERR_INACTIVE, cid))]
     address = [
         (F.col("_email").isNull(), "NO_EMAIL", fill(K.ERR_NO_EMAIL, cid)),
@@ -355,15 +363,6 @@ def claim_notifications(outbox: DataFrame, now: Column, n: int | None = None, re
     return conform(changed, OUTBOX)
 
 
-def delivery_results(outbox: DataFrame) -> DataFrame:
-    """One attempt per notification in processing; it fails when there is no recipient."""
-    none = empty_to_null(F.col("recipient_address")).isNull()
-    return outbox.where(F.col("notification_status") == "PROCESSING").select(
-        F.col("notification_id").alias("attempt_id"), "notification_id",
-        F.when(none, K.TEXT_NO_RECIPIENT).alias("error"),
-    )
-
-
 def apply_delivery_results(
     outbox: DataFrame, results: DataFrame, now: Column, retries=True
 ) -> Transition:
@@ -402,7 +401,7 @@ def apply_delivery_results(
         return F.when(sent, on_sent).when(failed, on_failed).otherwise(F.col(c))
 
     null = F.lit(None)
-    text = F.substring("_error", 1, K.ERROR_LIMIT)
+    text = F.col("_error")
     moved = judged.select(
         *[c for c in outbox.columns if c not in (
             "notification_status", "retry_count", "processed_at", "updated_at", "next_retry_at",
@@ -537,7 +536,7 @@ def start_orchestrations(
             "current_step": F.lit("FAILED"),
             "started_at": now,
             "completed_at": now,
-            "error_message": F.substring("message", 1, K.ERROR_LIMIT),
+            "error_message": F.col("message"),
         }
     )
     invoice = F.col("invoice_number")
@@ -649,7 +648,7 @@ def complete_orchestrations(
     next_approvals = approvals.join(closing, "approval_id", "left").withColumns(
         {c: F.when(hit, v).otherwise(F.col(c)) for c, v in executed.items()}
     )
-    error = F.substring("message", 1, K.ERROR_LIMIT)
+    error = F.col("message")
     ends = ok.select(
         "orchestration_id", F.lit("COMPLETED").alias("_to"), F.col("notification_id").alias("_new"),
         F.lit(None).cast("string").alias("_error"),

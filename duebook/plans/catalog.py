@@ -203,7 +203,7 @@ def invoice_relationships(c):
 # ---- payments ---------------------------------------------------------------------------
 @query
 def derive_payments(c):
-    return payments.derive_payments(c.new_invoices, fixtures.load_date())
+    return fixtures.derive_payments(c.new_invoices, fixtures.load_date())
 
 
 @query
@@ -395,6 +395,13 @@ register(
 
 
 # ---- conversations ----------------------------------------------------------------------
+def _odd_events(c):
+    """Audit events of which some have a type that the log does not know, or none."""
+    eid = F.col("activity_id")
+    kind = F.when(eid % 17 == 0, "NOTE").when(eid % 17 != 1, F.col("activity_type"))
+    return fixtures.activity_events(c.spark, c.folder).withColumn("activity_type", kind)
+
+
 @query
 def recent_context(c):
     lines = F.transform("context", lambda m: F.concat(m["role"], F.lit(": "), m["text"]))
@@ -407,6 +414,9 @@ register(
     activity_log=lambda c: conversations.activity_log(
         fixtures.activity_events(c.spark, c.folder)
     ),
+    activity_log_rejects=lambda c: conversations.activity_rejects(_odd_events(c)).select(
+        "activity_id", "conversation_id", "activity_type", "reason"
+    ),
     conversation_sessions=lambda c: conversations.conversation_sessions(c.activity),
     classify_message=lambda c: conversations.classify_messages(c.messages).drop("is_follow_up"),
     is_follow_up=lambda c: conversations.classify_messages(c.messages).select(
@@ -472,7 +482,7 @@ def _delivered(c):
     """Claim, then one delivery round that fails where there is no address."""
     claimed = workflow.claim_notifications(c.outbox, fixtures.now())
     return workflow.apply_delivery_results(
-        claimed, workflow.delivery_results(claimed), fixtures.now()
+        claimed, requests.delivery_results(claimed), fixtures.now()
     ).tables[workflow.OUTBOX]
 
 
@@ -482,6 +492,12 @@ def append_activity_events(c):
     return workflow.append_events(c.activity, decided)
 
 
+def _shared_numbers(c):
+    """Invoices of which every seventh customer's come twice, under the same number."""
+    again = c.invoices.where("customer_id % 7 = 0").withColumn("invoice_id", -F.col("invoice_id"))
+    return c.invoices.unionByName(again)
+
+
 def _history(c):
     changes = requests.status_changes(c.spark, c.folder)
     return workflow.transition_history(changes, K.NOTIFICATION_TRANSITIONS)
@@ -494,6 +510,9 @@ register(
     resolve_recipients_address_first=lambda c: workflow.resolve_recipients(
         requests.run_requests(c.spark, c.folder), c.invoices, c.customers, status_first=False
     ),
+    resolve_recipients_ambiguous=lambda c: workflow.resolve_recipients(
+        requests.run_requests(c.spark, c.folder), _shared_numbers(c), c.customers
+    ),
     request_reminders=_table("request_reminders", workflow.APPROVALS),
     request_reminders_events=_step_events("request_reminders"),
     decide_approvals=_table("decide_approvals", workflow.APPROVALS),

@@ -41,7 +41,7 @@ class Core:
     @cached_property
     def payments(self) -> DataFrame:
         return materialize(
-            payments.derive_payments(self.new_invoices, fixtures.load_date()), "payments"
+            fixtures.derive_payments(self.new_invoices, fixtures.load_date()), "payments"
         )
 
     @cached_property

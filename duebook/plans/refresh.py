@@ -17,13 +17,13 @@ def _store(df: DataFrame, folder: str, table: str, schema=None) -> DataFrame:
 
 def refresh(
     spark: SparkSession, parts, folder: str, source_file: str, loaded: Column, fmt="csv",
-    payments=P.derive_payments, terms: DataFrame | None = None, rules=staging.staging_rules,
+    payments: DataFrame | None = None, terms: DataFrame | None = None, rules=staging.staging_rules,
 ) -> dict[str, DataFrame]:
     """Read raw `parts`, and write every receivables table below `folder`.
 
     A run replaces the whole folder content table by table; give every run its own folder and
-    point readers at it when it is complete.  `payments` is a function from (invoices, loaded)
-    to the payments table.  Rows that break a rule go to `rejects` and take no further part.
+    point readers at it when it is complete.  `payments` is the payments table, by invoice id;
+    without one every invoice is open.  Rows that break a rule go to `rejects` and take no further part.
     """
     typed = raw.coerce_types(raw.conform_columns(raw.read_raw_transactions(spark, parts, fmt)))
     named = typed.withColumn("source_file", F.lit(source_file))
@@ -45,7 +45,8 @@ def refresh(
     opened = _store(
         normalize.build_invoices(staged, terms, loaded), folder, "opened_invoices", struct("invoices")
     )
-    paid = store("payments", payments(opened, loaded))
+    none = spark.createDataFrame([], struct("payments"))
+    paid = store("payments", none if payments is None else payments)
     invoices = store("invoices", P.apply_payments(opened, paid))
     store("invoice_lines", normalize.build_invoice_lines(staged, invoices))
     customers = normalize.build_customers(staged, loaded)

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duebook import constants as K
-from duebook.functions.expr import fill, first_match
+from duebook.functions.expr import fill, first_match, money
 from duebook.operators.blocks import dense_key
 from duebook.schemas import conform
 
@@ -122,6 +122,27 @@ def raw_transactions(staging: DataFrame) -> DataFrame:
     return staging.select("transaction_id", *[c.alias(n) for n, c in text.items()])
 
 
+def derive_payments(invoices: DataFrame, created: Column) -> DataFrame:
+    """Payment fixture: ids divisible by 5 paid in full, the next id half, others unpaid."""
+    turn, amount = F.col("invoice_id") % 5, F.col("invoice_amount")
+    methods = F.array(*[F.lit(m) for m in K.PAYMENT_METHODS])
+    rows = invoices.where(turn.isin(0, 1) & (amount > 0)).select(
+        "invoice_id",
+        F.timestamp_add("DAY", (F.col("invoice_id") % 45 + 1).cast("int"), F.col("invoice_date")).alias(
+            "payment_date"
+        ),
+        F.when(turn == 0, amount).otherwise(money(amount * F.lit("0.50").cast("decimal(3,2)"))).alias(
+            "payment_amount"
+        ),
+        F.get(methods, (F.col("invoice_id") % 4).cast("int")).alias("payment_method"),
+        F.concat(
+            F.lit(K.PAYMENT_REFERENCE_PREFIX), F.lpad(F.col("invoice_id").cast("string"), 10, "0")
+        ).alias("reference_number"),
+        created.alias("created_date"),
+    )
+    return conform(dense_key(rows, "payment_id", ["invoice_id"]), "payments")
+
+
 def with_contacts(customers: DataFrame) -> DataFrame:
     """Customers with missing, blank and real addresses and all three statuses, by rule."""
     cid = F.col("customer_id")

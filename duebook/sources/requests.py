@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duebook import constants as K
-from duebook.functions.expr import first_match
+from duebook.functions.expr import empty_to_null, first_match
 from duebook.sources.fixtures import _events, outbox
 
 LATER = 10**10  # added to a request id to make a later repeat
@@ -85,6 +85,15 @@ def attempts(spark, folder) -> DataFrame:
     )
 
 
+def delivery_results(outbox: DataFrame) -> DataFrame:
+    """One attempt per notification in processing; it fails when there is no recipient."""
+    none = empty_to_null(F.col("recipient_address")).isNull()
+    return outbox.where(F.col("notification_status") == "PROCESSING").select(
+        F.col("notification_id").alias("attempt_id"), "notification_id",
+        F.when(none, K.TEXT_NO_RECIPIENT).alias("error"),
+    )
+
+
 def recoveries(spark, folder) -> DataFrame:
     rows = outbox(spark, folder).withColumn("k", F.col("_k")).where(_key() % 3 == 0)
     nid = F.col("notification_id")

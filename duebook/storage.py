@@ -2,10 +2,12 @@
 
 Results that several jobs need are written once as Parquet into the folder that
 ``spark.checkpoint.dir`` names, so they survive the loss of any executor and are read
-back with column pruning and filter pushdown.
+back with column pruning and filter pushdown.  Where that is unset they go below the
+warehouse, the other folder that all executors share.  An application's tables are removed
+when its Python process ends.
 """
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,19 +15,30 @@ from pyspark.sql import DataFrame, SparkSession
 _FOLDERS = {}
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(conf).delete(place, True)
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for this application under ``spark.checkpoint.dir``."""
+    """Folder for this application below ``spark.checkpoint.dir``."""
     app = spark.sparkContext.applicationId
     if app not in _FOLDERS:
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            if not spark.sparkContext.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            base = tempfile.mkdtemp(prefix="duebook-")
+        base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
         _FOLDERS[app] = f"{base.rstrip('/')}/duebook-{app}-{uuid.uuid4().hex[:8]}"
+        atexit.register(_remove, spark, app)
     return _FOLDERS[app]
 
 
+def _remove(spark: SparkSession, app: str) -> None:
+    try:
+        if spark.sparkContext._jsc and spark.sparkContext.applicationId == app:
+            _delete(spark, _FOLDERS[app])
+    except Exception:  # the session has ended before: its files stay for whoever owns the folder
+        pass
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
@@ -36,3 +49,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove materialized tables that no later job reads."""
+    for table in tables:
+        for path in {f.rpartition("/")[0] for f in table.inputFiles()}:
+            _delete(table.sparkSession, path)

@@ -3,6 +3,9 @@
 SQL = {}
 
 SQL["activity_log"] = "SELECT * EXCLUDE (customer_id, invoice_number) FROM log"
+SQL["activity_log_rejects"] = """
+SELECT activity_id, conversation_id, CASE WHEN activity_id % 17 = 0 THEN 'NOTE' END AS activity_type,
+  'UNKNOWN_ACTIVITY_TYPE' AS reason FROM act WHERE activity_id % 17 IN (0, 1)"""
 SQL["conversation_sessions"] = "SELECT * FROM conv"
 SQL["classify_message"] = "SELECT conv_id, turn, text, activity_type, argument FROM typed_msg"
 

@@ -247,7 +247,7 @@ SELECT activity_id, conversation_id, activity_time, activity_type, user_question
        WHEN invoice_number IS NOT NULL THEN '{"invoice_number":"' || invoice_number || '"}' END AS tool_arguments,
   records_returned, agent_response,
   CASE WHEN activity_type = 'ERROR' THEN 'FAILED' ELSE 'SUCCESS' END AS execution_status,
-  substr(error_message, 1, 4000) AS error_message, customer_id, invoice_number
+  error_message, customer_id, invoice_number
 FROM act"""
 
 CTES["conv"] = """

@@ -16,20 +16,23 @@ RUNS = cols("""orchestration_id invoice_number approval_id notification_id orche
   started_at completed_at error_message""")
 
 
-def recipients(requests, status_first):
+def recipients(requests, status_first, invoices="inv"):
     """CTE `res`: requests with contact and reason."""
     inactive = "WHEN upper(status) = 'INACTIVE' THEN 'CUSTOMER_INACTIVE'"
     address = """WHEN email IS NULL OR email = '' THEN 'NO_EMAIL' WHEN trim(email) = '' THEN 'BLANK_EMAIL'"""
     order = inactive + " " + address if status_first else address + " " + inactive
     return f"""
-res0 AS (SELECT q.*, c.customer_id AS cid, c.customer_name, c.email, c.status
-  FROM {requests} q LEFT JOIN (SELECT i.invoice_number AS inum, c.* FROM inv i
+res0 AS (SELECT q.*, c.customer_id AS cid, c.customer_name, c.email, c.status, c.same
+  FROM {requests} q LEFT JOIN (SELECT i.invoice_number AS inum, i.same, c.* FROM
+    (SELECT invoice_number, arg_min(customer_id, invoice_id) AS customer_id, count(*) AS same FROM {invoices}
+     GROUP BY invoice_number) i
     JOIN cust c ON c.customer_id = i.customer_id) c ON c.inum = q.invoice_number),
 res AS (SELECT *, CASE why WHEN 'INVOICE_NOT_FOUND' THEN 'Invoice ' || invoice_number || ' was not found.'
+    WHEN 'AMBIGUOUS_INVOICE' THEN 'Invoice number ' || invoice_number || ' belongs to ' || same || ' invoices.'
     WHEN 'CUSTOMER_INACTIVE' THEN 'Customer ' || cid || ' is INACTIVE.'
     WHEN 'NO_EMAIL' THEN 'Customer ' || cid || ' does not have an email address.'
     WHEN 'BLANK_EMAIL' THEN 'Customer ' || cid || ' does not have a usable email address.' END AS txt
-  FROM (SELECT *, CASE WHEN cid IS NULL THEN 'INVOICE_NOT_FOUND' {order} END AS why FROM res0))"""
+  FROM (SELECT *, CASE WHEN cid IS NULL THEN 'INVOICE_NOT_FOUND' WHEN same > 1 THEN 'AMBIGUOUS_INVOICE' {order} END AS why FROM res0))"""
 
 
 RUN_REQUESTS = "wanted AS (SELECT event_id AS request_id, invoice_number FROM ev WHERE event_id % 4 = 0)"
@@ -40,6 +43,13 @@ WITH {RUN_REQUESTS}, {recipients('wanted', first)}
 SELECT request_id, invoice_number, cid AS customer_id, customer_name,
   CASE WHEN why IS NULL THEN trim(email) END AS recipient_address, why AS reason, txt AS message FROM res"""
 
+SQL["resolve_recipients_ambiguous"] = f"""
+WITH {RUN_REQUESTS}, twice AS (SELECT invoice_id, invoice_number, customer_id FROM inv
+  UNION ALL SELECT -invoice_id, invoice_number, customer_id FROM inv WHERE customer_id % 7 = 0),
+{recipients('wanted', True, 'twice')}
+SELECT request_id, invoice_number, cid AS customer_id, customer_name,
+  CASE WHEN why IS NULL THEN trim(email) END AS recipient_address, why AS reason, txt AS message FROM res"""
+
 # ---- approvals -----------------------------------------------------------------------------
 REMIND = """
 rq AS (SELECT event_id, conversation_id, 'user-' || user_id AS requested_by, invoice_number,
@@ -214,7 +224,7 @@ def settled(source, tries="won"):
   CASE WHEN sent OR dead THEN NULL WHEN bad THEN {NOW} + INTERVAL 1 MINUTE ELSE next_retry_at END AS next_retry_at,
   CASE WHEN sent THEN NULL WHEN dead THEN 'Maximum retry count reached.' WHEN bad THEN 'Notification delivery failed.'
        ELSE failure_reason END AS failure_reason,
-  CASE WHEN sent THEN NULL WHEN bad THEN substr(error, 1, 4000) ELSE error_message END AS error_message,
+  CASE WHEN sent THEN NULL WHEN bad THEN error ELSE error_message END AS error_message,
   CASE WHEN dead THEN {NOW} ELSE dead_at END AS dead_at)
 FROM (SELECT *, bad AND retry_count + 1 >= max_retry_count AS dead FROM (
   SELECT b.*, w.attempt_id, w.error,
@@ -231,7 +241,7 @@ SELECT * EXCLUDE (tried, error) REPLACE (
   CASE WHEN tried AND error IS NOT NULL THEN retry_count + 1 ELSE retry_count END AS retry_count,
   CASE WHEN tried THEN {NOW} ELSE processed_at END AS processed_at,
   CASE WHEN tried THEN {NOW} ELSE updated_at END AS updated_at,
-  CASE WHEN tried THEN substr(error, 1, 4000) ELSE error_message END AS error_message)
+  CASE WHEN tried THEN error ELSE error_message END AS error_message)
 FROM (SELECT {BOX}, error, notification_status = 'PROCESSING' AND attempt_id IS NOT NULL AS tried
   FROM box LEFT JOIN (SELECT notification_id AS wid, attempt_id, error FROM won) ON wid = notification_id
   )"""
@@ -428,8 +438,7 @@ SQL["schema_checks"] = UNION.join(
     if source != "runs"
 ) + UNION + "SELECT 'AGENT_ORCHESTRATION_RUNS', 'FAIL', 'Required table is missing.', NULL"
 ALL = UNION.join(
-    ["SELECT 'Database Connection' AS check_name, 'PASS' AS status, 'Session is healthy.' AS message"]
-    + PRESENT + integrity("inv", "cust") + WORK
+    PRESENT + integrity("inv", "cust") + WORK
 )
 SQL["all_checks"] = ALL
 SQL["readiness_report"] = f"""

@@ -8,13 +8,15 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("duebook-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tmp_path_factory.mktemp("shared").as_uri())
+        .config("spark.sql.warehouse.dir", tmp_path_factory.mktemp("warehouse").as_uri())
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )

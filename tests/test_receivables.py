@@ -194,11 +194,45 @@ def test_coercion(spark):
     assert (a["quantity"], a["invoice_date"], a["customer_id"]) == (
         Decimal("12.5"), dt.datetime(2009, 12, 1, 7, 45), 13085
     )
-    assert len(a["description"]) == 500 and len(a["country"]) == 100
+    assert len(a["description"]) == 600 and len(a["country"]) == 120
     assert (b["quantity"], b["unit_price"], b["customer_id"]) == (None, None, None)
     assert b["invoice_date"] == dt.datetime(2009, 12, 1)
 
 
+def test_ids_are_not_read_as_doubles(spark):
+    row = ("1", "A", "x", "1", "2009-12-01", "1", "9007199254740993", "y")
+    names = ["invoice_no", "stock_code", "description", "quantity", "invoice_date", "unit_price",
+             "customer_id", "country"]
+    assert raw.coerce_types(spark.createDataFrame([row], names)).first()["customer_id"] == 9007199254740993
+
+
+def test_listed_files_are_read_by_their_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Invoice,Country,StockCode\n1,FR,\"say \"\"hi\"\"\"\n")
+    (tmp_path / "b.csv").write_text("Country,Invoice,StockCode\nPE,2,x\n")
+    rows = raw.read_raw_transactions(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")])
+    got = {r["Invoice"]: (r["Country"], r["StockCode"], r["source_part"]) for r in rows.collect()}
+    assert got == {"1": ("FR", 'say "hi"', "a.csv"), "2": ("PE", "x", "b.csv")}
+    with pytest.raises(Exception, match="header"):
+        raw.read_raw_transactions(spark, [str(tmp_path)]).collect()
+
+
+def test_a_merge_source_with_a_repeated_key_is_an_error(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, name string")
+    source = spark.createDataFrame([(1, "b"), (1, "c")], "k int, name string")
+    for change in (merge.upsert, merge.update_from):
+        with pytest.raises(Exception, match="several rows"):
+            change(target, source, ["k"]).collect()
+
+
+def test_overdue_invoices_are_whole_unless_a_limit_is_asked_for(spark):
+    invoices = frame(spark, "invoices", [invoice(i, due=due_before(5 + i % 7)) for i in range(1, 251)])
+    customers = frame(spark, "customers", [customer(1)])
+    ids = spark.createDataFrame([(1,)], "customer_id bigint")
+    assert lookups.overdue_invoices(invoices, customers, ids, as_of=AS_OF).count() == 250
+    three = lookups.overdue_invoices(invoices, customers, ids, 3, AS_OF)
+    assert by(three, "overdue_rank", "invoice_id") == {1: 6, 2: 13, 3: 20}
+
+
 def test_rejects_name_every_broken_rule(spark):
     df = spark.createDataFrame([("1", "x" * 60), ("2" * 30, "x" * 60), ("3", "ok")],
                                ["invoice_no", "stock_code"])
@@ -219,6 +253,7 @@ LINES = [
     "103,A,Lamp,3,2026-07-03 10:00:00,5.00,,Peru",
     "104,A,Lamp,0,2026-07-03 10:00:00,5.00,9.0,Peru",
     "10" + "5" * 30 + ",A,Lamp,1,2026-07-03 10:00:00,5.00,9.0,Peru",
+    "106,A," + "x" * 700 + ",1,2026-07-03 10:00:00,5.00,9.0,Peru",
 ]
 
 
@@ -227,8 +262,13 @@ def test_refresh_from_files(spark, tmp_path):
         (tmp_path / f"{name}.csv").write_text(HEADER + "\n".join(rows) + "\n")
     loaded = F.lit("2026-08-01").cast("timestamp")
     parts = {n: str(tmp_path / f"{n}.csv") for n in ("a", "b")}
-    tables = refresh(spark, parts, str(tmp_path / "run1"), "retail", loaded)
-    assert tables["rejects"].count() == 1
+    unpaid = refresh(spark, parts, str(tmp_path / "run0"), "retail", loaded)
+    assert unpaid["payments"].count() == 0
+    assert {r["invoice_status"] for r in unpaid["invoices"].collect()} == {"OPEN"}
+    assert by(unpaid["rejects"], "failed_rules", "source_part") == {
+        "invoice_no too long": "b", "description too long": "b"}
+    payments = frame(spark, "payments", [{"payment_id": 1, "invoice_id": 1, "payment_amount": "70.25"}])
+    tables = refresh(spark, parts, str(tmp_path / "run1"), "retail", loaded, payments=payments)
     staged = tables["stg_retail_transactions"]
     assert sorted(r[0] for r in staged.select("transaction_id").collect()) == list(range(1, 8))
     got = by(
@@ -244,6 +284,6 @@ def test_refresh_from_files(spark, tmp_path):
     assert by(tables["customers"], "customer_id", "current_balance") == {
         7: Decimal("70.25"), 8: Decimal("0.00"), 9: Decimal("0.00")
     }
-    again = refresh(spark, parts, str(tmp_path / "run2"), "retail", loaded)
+    again = refresh(spark, parts, str(tmp_path / "run2"), "retail", loaded, payments=payments)
     for t in tables:
         assert sorted(map(str, again[t].collect())) == sorted(map(str, tables[t].collect()))

@@ -141,7 +141,7 @@ def test_delivery_then_requeue_then_claim(spark, now):
         1: ("SENT", 0, None, None), 2: ("RETRY", 2, NOW + dt.timedelta(minutes=1), None),
         3: ("DEAD", 3, None, NOW), 4: ("SENT", 0, None, None),
     }
-    assert len(by(after, "notification_id", "error_message")[2]) == 4000
+    assert len(by(after, "notification_id", "error_message")[2]) == 5000
     assert by(out.rejects, "attempt_id", "reason") == {4: "NOT_PROCESSING", 5: "ALREADY_SETTLED", 6: "NOT_FOUND"}
 
     log = frame(spark, W.RECOVERY, [])
@@ -225,3 +225,45 @@ def test_readiness(spark, now):
     found = by(checks.workflow_checks(runs, frame(spark, W.APPROVALS, []), outbox, now), "check_name", "message")
     assert found["Stale STARTED Orchestrations"] == "1 stale orchestration(s) found."
     assert found["Stuck Notifications"] == "1 stuck notification(s) found."
+
+
+def shared_number(spark):
+    """Two invoices under one number, and one with a number of its own."""
+    invoices = frame(spark, "invoices", [
+        invoice(1, customer=1), {**invoice(2, customer=6), "invoice_number": "N0001"}, invoice(3, customer=1)])
+    return invoices, frame(spark, "customers", [customer(1), customer(6)])
+
+
+def test_a_number_of_two_invoices_is_turned_down(spark, now):
+    invoices, customers = shared_number(spark)
+    asked = spark.createDataFrame([("N0001",), ("N0003",)], "invoice_number string")
+    found = W.resolve_recipients(asked, invoices, customers)
+    assert by(found, "invoice_number", "reason") == {"N0001": "AMBIGUOUS_INVOICE", "N0003": None}
+    assert found.count() == 2
+
+    approvals = frame(spark, W.APPROVALS, [approval(1, "APPROVED", "N0001"), approval(2, "APPROVED", "N0003")])
+    outbox = frame(spark, W.OUTBOX, [])
+    wanted = spark.createDataFrame([(1, 1), (2, 2)], "request_id bigint, approval_id bigint")
+    out = W.execute_approved(approvals, outbox, wanted, now, invoices, customers)
+    assert by(out.rejects, "request_id", "reason") == {1: "AMBIGUOUS_INVOICE"}
+    assert out.tables[W.APPROVALS].count() == 2 and out.tables[W.OUTBOX].count() == 1
+
+
+def test_runs_keep_their_number_of_rows_when_invoices_share_a_number(spark, now):
+    invoices, customers = shared_number(spark)
+    none = {t: frame(spark, t, []) for t in (W.RUNS, W.APPROVALS, W.CONVERSATIONS, W.OUTBOX)}
+    wanted = spark.createDataFrame([(1, "N0001"), (2, "N0003")], "request_id bigint, invoice_number string")
+    started = W.start_orchestrations(
+        wanted, none[W.RUNS], none[W.APPROVALS], none[W.CONVERSATIONS], invoices, customers, now)
+    assert started.tables[W.RUNS].count() == 2 and started.tables[W.APPROVALS].count() == 1
+    runs = started.tables[W.RUNS]
+    ended = W.complete_orchestrations(
+        runs, started.tables[W.APPROVALS], none[W.OUTBOX], runs.select("orchestration_id"), invoices, customers, now)
+    assert ended.tables[W.RUNS].count() == 2 and ended.tables[W.OUTBOX].count() == 1
+
+
+def test_requests_that_share_an_id_are_settled_by_their_values(spark):
+    rows = [(1, 7, "b"), (1, 7, "a"), (1, 8, "z")]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "k int, request_id int, v string")
+        assert W.first_request(df, "k", "request_id").first()["v"] == "a"
