@@ -15,9 +15,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def byte_values(raw: bytes) -> np.ndarray:
+def byte_values(data: np.ndarray) -> np.ndarray:
     """A random 64-bit value for each byte."""
-    return _TABLE[np.frombuffer(raw, dtype=np.uint8)]
+    return _TABLE[data]
 
 
 def _powers(kind: str, n: int) -> np.ndarray:
@@ -31,5 +31,5 @@ def _powers(kind: str, n: int) -> np.ndarray:
 def slices(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of raw[start:end] for each pair; equal slices have equal hashes wherever they are."""
     total = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum(byte_values(raw) * _powers("up", len(raw) + 1)[: len(raw)], dtype=np.uint64, out=total[1:])
+    np.cumsum(byte_values(np.frombuffer(raw, dtype=np.uint8)) * _powers("up", len(raw) + 1)[: len(raw)], dtype=np.uint64, out=total[1:])
     return mix((total[ends] - total[starts]) * _powers("down", len(raw) + 1)[starts])

@@ -7,17 +7,18 @@ used again in the next round.  An identifier is a 64-bit name of the bytes it st
 it means the same in every task: the name of 2L bytes at p is made of the names of L bytes at
 p and at p + L.
 
-* First buckets.  Every string of LENGTH bytes holds LENGTH - Q + 1 q-grams; those with the
-  smallest name among them are its anchors.  Equal strings have equal anchors at equal
-  places, so only anchors need buckets, about one position in 160.
-* Refinement.  An anchor stands for up to SPAN strings, those that start 0 to SPAN - 1 bytes
-  before it.  A node is a range of these starts.  Its core, the bytes that all its strings
-  share, names its bucket; its whole, the bytes that any of them covers, is the bucket it is
-  refined to.  Nodes whose core occurs once hold no repeat.  Nodes whose whole occurs again
-  are repeats as a whole: all are marked, and one of them goes on as a witness for others.
-  The rest is cut into smaller nodes and refined again, down to single strings.
-* Only the bytes around anchors that are neither marked nor out leave their document; text is
-  read twice, for those bytes and for the cutting at the end.
+* First buckets.  Of the q-grams inside a string of LENGTH bytes the one with the smallest
+  name, the leftmost of equals, is its anchor.  Equal strings have equal anchors at equal
+  places, so only anchors need buckets, about one position in 120.
+* Refinement.  An anchor stands for the strings that have it, a run of up to SPAN starts.  A
+  node is a range of these starts.  Its core, the bytes that all strings of its cell of a
+  fixed grid share, names its bucket; its whole, the bytes that any of its strings covers, is
+  the bucket it is refined to.  Nodes whose core occurs once hold no repeat.  Nodes whose
+  whole occurs again are repeats as a whole: all are marked, and one of them goes on as a
+  witness for others.  The rest is cut along a finer grid and refined again, down to single
+  strings.
+* Texts stay in their rows: each round joins its open nodes to the texts and takes names of
+  their parts; only names travel.
 """
 
 import numpy as np
@@ -28,12 +29,14 @@ from pyspark.sql import types as T
 
 from duebook.llm.common import packed, read, row_key
 from duebook.llm.hashing import byte_values, mix
-from duebook.storage import materialize
+from duebook.storage import discard, materialize
 
 LENGTH = 400
-SPAN = 320
+SPAN = 240
 Q = LENGTH - SPAN + 1
-STEPS = (64, 8, 1)  # sizes of the nodes of the refinement rounds; the first node has SPAN starts
+STEPS = (64, 8, 1)  # cells of the grid in each round; the first cell has SPAN starts
+CHUNK = 1 << 18  # bytes whose names are taken together
+_HIGH, _LOW = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
 _A, _B = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xCA5A826395121157)
 
 
@@ -47,8 +50,8 @@ def _pair(first: np.ndarray, later: np.ndarray) -> np.ndarray:
 class Names:
     """Names of the strings of a text: of every 2^i bytes, and from those of any length."""
 
-    def __init__(self, raw: bytes, most: int):
-        self.n, self.levels = len(raw), [byte_values(raw)]
+    def __init__(self, data: np.ndarray, most: int = 256):
+        self.n, self.levels = len(data), [byte_values(data)]
         while 2 ** len(self.levels) <= min(most, self.n):
             last, half = self.levels[-1], 2 ** (len(self.levels) - 1)
             self.levels.append(_pair(last[:-half], last[half:]))
@@ -79,54 +82,131 @@ class Names:
         return mix(out)
 
 
-def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
-    """Smallest (or largest) of every `width` neighbours."""
+def _slide(x: np.ndarray, width: int) -> np.ndarray:
+    """Smallest of every `width` neighbours."""
     step = 1
     while step * 2 <= width:
-        x = pick(x[:-step], x[step:])
+        x = np.minimum(x[:-step], x[step:])
         step *= 2
-    return x if step == width else pick(x[: len(x) - (width - step)], x[width - step:])
-
-
-def anchors(names: Names) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and q-gram names of the anchors of a text of at least LENGTH bytes."""
-    grams = mix(names.all(Q))
-    least = _slide(grams, SPAN, np.minimum)  # of each start
-    edge = np.zeros(SPAN - 1, dtype=np.uint64)
-    best = _slide(np.concatenate((edge, least, edge)), SPAN, np.maximum)
-    at = np.flatnonzero(best == grams)
-    return at, grams[at]
+    return x if step == width else np.minimum(x[: len(x) - (width - step)], x[width - step:])
+
+
+def _utf8(column) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and bytes of a text column as they lie in memory; null is empty."""
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, dtype=kind)[column.offset: column.offset + len(column) + 1].astype(np.int64)
+    return at, np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)
+
+
+def _pieces(offsets: np.ndarray):
+    """Groups of (row, first byte, end) of about CHUNK neighbouring bytes; long texts in pieces
+    that overlap by LENGTH - 1 bytes, so that every string is in exactly one."""
+    group, size = [], 0
+    for row, (start, end) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+        if end - start > 2 * CHUNK:
+            if group:
+                yield group
+            for at in range(start, end - LENGTH + 1, CHUNK):
+                yield [(row, at, min(end, at + CHUNK + LENGTH - 1))]
+            group, size = [], 0
+            continue
+        group.append((row, start, end))
+        size += end - start
+        if size >= CHUNK:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def first_nodes(offsets: np.ndarray, data: np.ndarray):
+    """(row, pos, low, high, core, whole) arrays of the anchors of each group of texts.
+
+    A node stands for the strings that start `high` to `low` bytes before its anchor.
+    """
+    for group in _pieces(offsets):
+        rows, starts, ends = (np.array(c, dtype=np.int64) for c in zip(*group))
+        base = starts[0]
+        here = data[base: ends[-1]]
+        if len(here) < LENGTH:
+            continue
+        names = Names(here)
+        grams = mix(names.all(Q))
+        order = (grams & _HIGH) | np.arange(len(grams), dtype=np.uint64)
+        anchor = (_slide(order, SPAN) & _LOW).astype(np.int64)  # of the string at each start
+        text = np.repeat(np.arange(len(rows)), ends - starts)[: len(anchor)]
+        inside = np.arange(len(anchor)) + LENGTH <= (ends - base)[text]
+        new = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (inside[1:] != inside[:-1])))
+        first = np.flatnonzero(new)
+        last = np.concatenate((first[1:], [len(anchor)])) - 1
+        first, last = first[inside[first]], last[inside[first]]
+        p, t = anchor[first], text[first]
+        yield (rows[t], p - (offsets[rows[t]] - base), p - last, p - first, grams[p], names.at(first, last + LENGTH))
 
 
 def _first_nodes(docs: DataFrame) -> DataFrame:
-    """_id, _fp, pos, low, high (first and last start before pos, inclusive), core, whole."""
-
     def run(batches):
         for b in batches:
-            cols = [[] for _ in range(7)]
-            for i, f, t in zip(b.column("_id").to_pylist(), b.column("_fp").to_pylist(), b.column("_text")):
-                raw = (t.as_py() or "").encode("utf-8", "surrogatepass")
-                if len(raw) < LENGTH:
-                    continue
-                names = Names(raw, 256)
-                p, core = anchors(names)
-                low, high = np.maximum(0, p + LENGTH - len(raw)), np.minimum(p, SPAN - 1)
-                whole = names.at(p - high, p - low + LENGTH)
-                for c, v in zip(cols, (np.full(len(p), i), np.full(len(p), f), p, low, high, core.view(np.int64), whole.view(np.int64))):
-                    c.append(v)
-                if sum(map(len, cols[2])) > 100_000:
-                    yield _batch(cols)
-                    cols = [[] for _ in range(7)]
-            yield _batch(cols)
+            ids, fps = b.column("_id").to_numpy(), b.column("_fp").to_numpy()
+            for row, pos, low, high, core, whole in first_nodes(*_utf8(b.column("_text"))):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (ids[row], fps[row], pos.astype(np.int32), low.astype(np.int32),
+                                           high.astype(np.int32), core.view(np.int64), whole.view(np.int64))],
+                    ["_id", "_fp", "pos", "low", "high", "core", "whole"],
+                )
 
     rows = docs.select(*row_key(), F.col("text").alias("_text"))
     return rows.mapInArrow(run, "_id long, _fp long, pos int, low int, high int, core long, whole long")
 
 
-def _batch(cols):
-    kinds = (np.int64, np.int64, np.int32, np.int32, np.int32, np.int64, np.int64)
-    arrays = [pa.array(np.concatenate(c).astype(k) if c else np.zeros(0, k)) for c, k in zip(cols, kinds)]
-    return pa.RecordBatch.from_arrays(arrays, ["_id", "_fp", "pos", "low", "high", "core", "whole"])
+def cut_nodes(pos, low, high, start, data, size):
+    """(node, low, high, core, whole): the nodes along a grid of `size`; `start` is the first
+    byte of each node's text.  The core is that of the whole cell of the grid, so a string
+    that two nodes share is under the same core in both."""
+    a, e = start + pos - high, start + pos - low + LENGTH
+    base = np.concatenate(([0], np.cumsum(e - a)))[:-1]
+    names = Names(np.concatenate([data[x:y] for x, y in zip(a.tolist(), e.tolist())]))
+    count = high // size - low // size + 1
+    node = np.repeat(np.arange(len(pos)), count)
+    step = np.arange(len(node)) - np.repeat(np.cumsum(count) - count, count)
+    cell = (low[node] // size + step) * size
+    lo, hi, at = np.maximum(cell, low[node]), np.minimum(cell + size - 1, high[node]), (base + high)[node]
+    core = mix(_pair(names.at(at - cell, at - (cell + size - 1) + LENGTH), cell.astype(np.uint64)))
+    return node, lo, hi, core, names.at(at - hi, at - lo + LENGTH)
+
+
+def _cut(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """The open nodes cut along a grid of `size` starts, with core and whole."""
+    asked = nodes.groupBy("_id", "_fp").agg(F.collect_list(F.struct("pos", "low", "high", "alone")).alias("_ask"))
+    # Rows that repeat a document are one here: their nodes are already counted.
+    rows = (
+        docs.select(*row_key(), F.col("text").alias("_text")).join(asked, ["_id", "_fp"])
+        .groupBy("_id", "_fp").agg(F.any_value("_text").alias("_text"), F.any_value("_ask").alias("_ask"))
+    )
+    names = ["_id", "_fp", "pos", "low", "high", "alone", "core", "whole"]
+
+    def run(batches):
+        for b in batches:
+            ids, fps, ask = b.column("_id").to_numpy(), b.column("_fp").to_numpy(), b.column("_ask")
+            offsets, data = _utf8(b.column("_text"))
+            row = np.repeat(np.arange(len(ids)), ask.value_lengths().to_numpy(zero_copy_only=False))
+            flat = ask.flatten()
+            pos, low, high = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("pos", "low", "high"))
+            alone = flat.field("alone").to_numpy(zero_copy_only=False)
+            for at in range(0, len(pos), 512):
+                part = slice(at, at + 512)
+                r, p = row[part], pos[part]
+                node, lo, hi, core, whole = cut_nodes(p, low[part], high[part], offsets[r], data, size)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (ids[r][node], fps[r][node], p[node].astype(np.int32), lo.astype(np.int32),
+                                           hi.astype(np.int32), alone[part][node], core.view(np.int64), whole.view(np.int64))],
+                    names,
+                )
+
+    return rows.mapInArrow(
+        run, "_id long, _fp long, pos int, low int, high int, alone boolean, core long, whole long"
+    )
 
 
 def _refine(nodes: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
@@ -137,88 +217,35 @@ def _refine(nodes: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     to other buckets, all buckets of the core go on, each through one node.
     """
     bucket = ["core", "whole", "low", "high"]
-    sizes = nodes.groupBy(*bucket).agg(
+    nodes = materialize(nodes, f"repeats-nodes-{name}")
+    cores = nodes.groupBy("core").agg(F.count("*").alias("n"), F.max("alone").alias("alone")).where("n > 1 and alone")
+    met = materialize(nodes.join(cores.select("core"), "core", "left_semi"), f"repeats-met-{name}")
+    discard(nodes)
+    sizes = met.groupBy(*bucket).agg(
         F.count("*").alias("n"), F.max("alone").alias("alone"), F.min(F.struct("_id", "_fp", "pos")).alias("rep")
     )
-    sizes = materialize(sizes.withColumn("alone", F.col("alone") & (F.col("n") == 1)), f"repeats-{name}")
-    cores = sizes.groupBy("core").agg(F.count("*").alias("parts"), F.max("alone").alias("open"))
-    again = sizes.join(cores.where("parts > 1 and open").select("core"), "core").select(
+    sizes = materialize(sizes.withColumn("alone", F.col("alone") & (F.col("n") == 1)), f"repeats-buckets-{name}")
+    parts = sizes.groupBy("core").agg(F.count("*").alias("parts"), F.max("alone").alias("open"))
+    again = sizes.join(parts.where("parts > 1 and open").select("core"), "core", "left_semi").select(
         "rep._id", "rep._fp", "rep.pos", "low", "high", "alone"
     )
-    marked = nodes.where("alone").join(sizes.where("n > 1").select(*bucket), bucket, "left_semi")
-    return (
+    marked = met.where("alone").join(sizes.where("n > 1").select(*bucket), bucket, "left_semi")
+    out = (
         materialize(marked.select("_id", "_fp", "pos", "low", "high"), f"repeats-marked-{name}"),
         materialize(again, f"repeats-open-{name}"),
     )
-
-
-def _contexts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The bytes around the anchors of `nodes`: _id, _fp, pos, base (place of the first byte), bytes."""
-    asked = nodes.select("_id", "_fp", "pos").groupBy("_id", "_fp").agg(F.collect_list("pos").alias("_ask"))
-    # Rows that repeat a document are one here: their nodes are already counted.
-    rows = (
-        docs.select(*row_key(), F.col("text").alias("_text")).join(asked, ["_id", "_fp"])
-        .groupBy("_id", "_fp").agg(F.any_value("_text").alias("_text"), F.any_value("_ask").alias("_ask"))
-    )
-
-    def run(batches):
-        for b in batches:
-            out = [[], [], [], [], []]
-            for i, f, t, ask in zip(b.column("_id").to_pylist(), b.column("_fp").to_pylist(), b.column("_text"), b.column("_ask")):
-                raw = t.as_py().encode("utf-8", "surrogatepass")
-                for pos in ask.as_py():
-                    base = max(0, pos - SPAN + 1)
-                    for c, v in zip(out, (i, f, pos, base, raw[base: pos + LENGTH])):
-                        c.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["_id", "_fp", "pos", "base", "bytes"])
-
-    return materialize(rows.mapInArrow(run, "_id long, _fp long, pos int, base int, bytes binary"), "repeats-contexts")
-
-
-def _cut(nodes: DataFrame, size: int) -> DataFrame:
-    """Nodes of at most `size` starts of a fixed grid, with core and whole, from nodes with bytes.
-
-    The core is that of the whole cell of the grid, also where the text ends inside the cell,
-    so a string that two nodes share is under the same core in both.
-    """
-    names = ["_id", "_fp", "pos", "low", "high", "core", "whole", "alone"]
-
-    def run(batches):
-        for b in batches:
-            cols = [b.column(c).to_pylist() for c in ("_id", "_fp", "pos", "low", "high", "alone", "base", "bytes")]
-            out = [[] for _ in names]
-            for i, f, pos, low, high, alone, base, raw in zip(*cols):
-                cells = np.arange(low // size * size, high + 1, size)
-                lo, hi = np.maximum(cells, low), np.minimum(cells + size - 1, high)
-                ids, at = Names(raw, 256), pos - base
-                core = _pair(ids.at(at - cells, at - (cells + size - 1) + LENGTH), cells.astype(np.uint64))
-                whole = ids.at(at - hi, at - lo + LENGTH)
-                n = len(cells)
-                for c, v in zip(out, ([i] * n, [f] * n, [pos] * n, lo.tolist(), hi.tolist(),
-                                      mix(core).view(np.int64).tolist(), whole.view(np.int64).tolist(), [alone] * n)):
-                    c += v
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
-
-    return nodes.mapInArrow(
-        run, "_id long, _fp long, pos int, low int, high int, core long, whole long, alone boolean"
-    )
+    discard(met, sizes)
+    return out
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """_id, _fp, `spans` (array of start and end, as found, overlapping) of texts with repeats."""
-    first = materialize(_first_nodes(docs), "repeats-nodes").withColumn("alone", F.lit(True))
-    marked, again = _refine(first, "first")
-    found = [marked]
-    contexts = _contexts(docs, again)
+    marked, again = _refine(_first_nodes(docs).withColumn("alone", F.lit(True)), "first")
+    every = marked
     for size in STEPS:
-        nodes = _cut(again.join(contexts, ["_id", "_fp", "pos"]), size)
-        marked, again = _refine(materialize(nodes, f"repeats-nodes-{size}"), f"by-{size}")
-        found.append(marked)
-    every = found[0]
-    for more in found[1:]:
-        every = every.unionByName(more)
+        marked, left = _refine(_cut(docs, again, size), f"by-{size}")
+        discard(again)
+        every, again = every.unionByName(marked), left
     span = F.struct((F.col("pos") - F.col("high")).alias("start"), (F.col("pos") - F.col("low") + LENGTH).alias("end"))
     return every.groupBy("_id", "_fp").agg(F.collect_list(span).alias("spans"))
 

@@ -69,6 +69,17 @@ def test_repeats_at_every_limit(spark):
     assert got == brute.repeats(rows)
 
 
+def test_repeats_across_the_pieces_of_a_long_text(spark):
+    rng = np.random.default_rng(4)
+    chars = rng.integers(97, 123, 3 * repeats.CHUNK).astype(np.uint8).tobytes().decode()
+    at = [(repeats.CHUNK - 900, 1800), (2 * repeats.CHUNK - 399, 400), (2 * repeats.CHUNK + 5000, 399)]
+    other = "#".join(chars[a: a + n] for a, n in at)
+    rows = [(1, chars), (2, other), (3, chars[: repeats.LENGTH - 1])]
+    got = {r._row.doc_id: [tuple(x) for x in r.spans]
+           for r in repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: [(a, a + n) for a, n in at[:2]], 2: [(0, 1800), (1801, 2201)], 3: []}
+
+
 def test_quality(spark, docs, nothing):
     rows = {(r.doc_id, r.n_words): r for r in quality.quality_rules(docs).collect()}
     assert quality.quality_rules(docs).count() == len(ROWS)
