@@ -116,36 +116,29 @@ def links_of(cids: np.ndarray, sets: list, threshold: int) -> list[tuple[int, in
     # Both sketches cut at the smaller of their largest values: a sketch of the union.
     heads = [s[:K] for s in sets]
     ends = np.array([h[-1] if len(s) > K else np.iinfo(np.uint64).max for h, s in zip(heads, sets)], dtype=np.uint64)
+    below = np.array([np.searchsorted(h, ends, side="right") for h in heads])
     common = overlaps(heads)
-    maybe = sizes[:, None] * 100 >= threshold * sizes[None, :]
-    maybe = np.triu(maybe & maybe.T, 1)
-    parent = list(range(m))
-
-    def top(i):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    rows, cols = np.nonzero(maybe & (common > 0))
-    # Sketch values below both ends; their number in each sketch bounds the union's sketch.
-    keep = []
-    for i, j in zip(rows.tolist(), cols.tolist()):
-        end = min(ends[i], ends[j])
-        a, b = np.searchsorted(heads[i], end, side="right"), np.searchsorted(heads[j], end, side="right")
-        union = a + b - common[i, j]
-        if common[i, j] >= (threshold / 100 - SLACK) * union:
-            keep.append((i, j))
-    if not keep:
+    near = sizes[:, None] * 100 >= threshold * sizes[None, :]
+    maybe = near & near.T & (common > 0)
+    maybe &= common >= (threshold / 100 - SLACK) * (below + below.T - common)
+    np.fill_diagonal(maybe, False)
+    some = np.flatnonzero(maybe.any(axis=1))
+    if not len(some):
         return []
+    sets, sizes, cids, m = [sets[i] for i in some], sizes[some], cids[some], len(some)
     full = overlaps(sets)
-    out = []
-    for i, j in keep:
-        if 100 * full[i, j] >= threshold * (sizes[i] + sizes[j] - full[i, j]):
-            a, b = top(i), top(j)
-            if a != b:
-                parent[a] = b
-                out.append((int(cids[i]), int(cids[j])))
+    linked = maybe[np.ix_(some, some)] & (100 * full >= threshold * (sizes[:, None] + sizes[None, :] - full))
+    out, left = [], np.ones(m, dtype=bool)
+    for start in range(m):
+        if not left[start]:
+            continue
+        left[start], todo = False, [start]
+        while todo:
+            i = todo.pop()
+            found = np.flatnonzero(linked[i] & left)
+            left[found] = False
+            out += [(int(cids[i]), int(cids[j])) for j in found]
+            todo += found.tolist()
     return out
 
 
