@@ -36,6 +36,15 @@ def total0(c: Column) -> Column:
     return F.coalesce(F.round(F.sum(c), 2), F.lit(0)).cast(TOTAL)
 
 
+def top_with(rows, order, n: int, other, key: str):
+    """The first `n` rows of `rows`, of those that `other` has, joined to `other`, in order.
+
+    Only key columns are met before the cut, the other columns for `n` rows.
+    """
+    first = rows.join(other.select(key), key, "left_semi").orderBy(*order).limit(n)
+    return first.join(other, key).orderBy(*order).limit(n)
+
+
 def steps(c: Column, bounds, default) -> Column:
     """Value of the first (lower bound, value) pair whose bound `c` reaches."""
     out = None

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duebook import constants as K
-from duebook.functions.expr import MONEY, TOTAL, at_least, first_match, position_in, total, total0
+from duebook.functions.expr import (
+    MONEY, TOTAL, at_least, first_match, position_in, top_with, total, total0,
+)
 
 QUEUE_COLUMNS = (
     "invoice_id", "invoice_number", "customer_id", "customer_name", "outstanding_amount",
@@ -121,7 +123,7 @@ def top_overdue_customers(invoices: DataFrame, customers: DataFrame, n=10, as_of
     invoices costs no more than others after the map side.
     """
     old = F.when(F.col("aging_bucket") == K.OLDEST_BUCKET, F.col("outstanding_amount")).otherwise(0)
-    return (
+    sums = (
         age_invoices(invoices, as_of)
         .groupBy("customer_id")
         .agg(
@@ -130,9 +132,36 @@ def top_overdue_customers(invoices: DataFrame, customers: DataFrame, n=10, as_of
             total(F.col("outstanding_amount")).alias("total_outstanding_amount"),
             F.sum(old).cast(TOTAL).alias("amount_over_90_days"),
         )
-        .join(customers.select("customer_id", "customer_name"), "customer_id")
-        .orderBy(F.desc("total_outstanding_amount"), "customer_id")
-        .limit(n)
+    )
+    names = customers.select("customer_id", "customer_name")
+    order = [F.desc("total_outstanding_amount"), F.asc("customer_id")]
+    return top_with(sums, order, n, names, "customer_id")
+
+
+def _judged(aged: DataFrame) -> DataFrame:
+    days, amount = F.col("days_past_due"), F.col("outstanding_amount")
+    return aged.withColumns(
+        {"collection_priority": priority_of(days, amount), "recommended_action": action_of(days, amount)}
+    )
+
+
+def top_of_queue(invoices: DataFrame, customers: DataFrame, n: int, as_of=None) -> DataFrame:
+    """The first `n` rows of the collection queue; names are joined to those only."""
+    order = [
+        priority_order(F.col("collection_priority")), F.desc("outstanding_amount"), F.asc("invoice_id")
+    ]
+    names = customers.select("customer_id", "customer_name")
+    return top_with(_judged(age_invoices(invoices, as_of)), order, n, names, "customer_id").select(*QUEUE_COLUMNS)
+
+
+def top_overdue_invoices(invoices: DataFrame, customers: DataFrame, n=10, as_of=None) -> DataFrame:
+    """The invoices longest past due; names are joined to the `n` rows only."""
+    late = _judged(age_invoices(invoices, as_of).where(F.col("days_past_due") > 0))
+    order = [F.desc("days_past_due"), F.desc("outstanding_amount"), F.asc("invoice_id")]
+    names = customers.select("customer_id", "customer_name")
+    return top_with(late, order, n, names, "customer_id").select(
+        "invoice_id", "invoice_number", "customer_name", "due_date", "outstanding_amount",
+        "days_past_due", "aging_bucket", "collection_priority", "recommended_action",
     )
 
 

@@ -120,70 +120,39 @@ def row_rules(table: str) -> dict[str, Column]:
     return rules
 
 
-def _row_violations(table: str, df: DataFrame) -> DataFrame:
-    rules = row_rules(table)
-    counts = df.agg(*[F.count_if(bad).alias(name) for name, bad in rules.items()])
-    return counts.unpivot([], [f"`{n}`" for n in rules], "rule", "violations")
-
-
-def _values(tables, keys) -> DataFrame:
-    """(table_name, rule, value, place) for every non-NULL value of the listed columns.
-
-    `keys` lists (table to read, column, table to report, rule, place).
-    """
-    parts = [
-        tables[source]
-        .where(F.col(column).isNotNull())
-        .select(
-            F.lit(table).alias("table_name"), F.lit(rule).alias("rule"),
-            F.col(column).cast("string").alias("value"), F.lit(place).alias("place"),
-        )
-        for source, column, table, rule, place in keys
-    ]
-    # One valueless row per rule, so that rules without any value are reported as well.
-    spark = parts[0].sparkSession
-    seeds = sorted({(table, rule, None, "seed") for _, _, table, rule, _ in keys})
-    parts.append(spark.createDataFrame(seeds, parts[0].schema))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _per_rule(counted: DataFrame, violations: Column) -> DataFrame:
-    return counted.groupBy("table_name", "rule").agg(
-        F.coalesce(F.sum(violations), F.lit(0)).cast("bigint").alias("violations")
-    )
-
-
-def _unique_violations(tables) -> DataFrame | None:
-    """Rows beyond the first one per value, for all unique columns in one shuffle."""
-    keys = [
-        (t, c, t, f"{c} UNIQUE", "row") for t in tables for c in UNIQUE.get(t, [])
-    ]
-    if not keys:
-        return None
-    sizes = _values(tables, keys).groupBy("table_name", "rule", "value").agg(
-        F.count("*").alias("_n")
+def _rules(tables) -> list[tuple[str, str, str]]:
+    """(table, rule, kind) of every rule that applies to the supplied tables."""
+    out = []
+    for t in tables:
+        out += [(t, rule, "row") for rule in row_rules(t)]
+        out += [(t, f"{c} UNIQUE", "unique") for c in UNIQUE.get(t, [])]
+        out += [(t, f"{c} REFERENCES", "reference") for c, p in REFERENCES.get(t, {}).items() if p in tables]
+    return out
+
+
+def _entry(number: int, df: DataFrame, column: str | None, parent=False, when: Column | None = None) -> Column:
+    """A struct (rule, long_key, text_key, parent); null where there is nothing to note."""
+    is_long = column is not None and df.schema[column].dataType.typeName() in ("long", "integer")
+    key = F.lit(None) if column is None else F.col(column)
+    noted = F.struct(
+        F.lit(number).alias("rule_number"),
+        (key if is_long else F.lit(None)).cast("bigint").alias("long_key"),
+        (F.lit(None) if is_long else key).cast("string").alias("text_key"),
+        F.lit(parent).alias("parent"),
     )
-    return _per_rule(sizes, F.col("_n") - 1)
+    return F.when(key.isNotNull() if when is None else when, noted)
 
 
-def _reference_violations(tables) -> DataFrame | None:
-    """Rows whose value the parent lacks, for all foreign keys in one shuffle.
-
-    Rows are counted per value before they meet the parent's values.
-    """
-    keys = []
-    for t in tables:
-        for c, parent in REFERENCES.get(t, {}).items():
-            if parent in tables:
-                rule = f"{c} REFERENCES"
-                keys += [(t, c, t, rule, "row"), (parent, c, t, rule, "parent")]
-    if not keys:
-        return None
-    met = _values(tables, keys).groupBy("table_name", "rule", "value").agg(
-        F.count_if(F.col("place") == "row").alias("_n"),
-        F.count_if(F.col("place") == "parent").alias("_known"),
-    )
-    return _per_rule(met, F.when(F.col("_known") == 0, F.col("_n")).otherwise(0))
+def _entries(table: str, df: DataFrame, tables, numbers) -> DataFrame:
+    """Broken row rules and key values of one table, all from one reading of it."""
+    found = [_entry(numbers[table, rule], df, None, when=bad) for rule, bad in row_rules(table).items()]
+    found += [_entry(numbers[table, f"{c} UNIQUE"], df, c) for c in UNIQUE.get(table, [])]
+    for child in tables:
+        for c, parent in REFERENCES.get(child, {}).items():
+            if parent in tables and table in (child, parent):
+                rule = numbers[child, f"{c} REFERENCES"]
+                found += [_entry(rule, df, c)] * (table == child) + [_entry(rule, df, c, parent=True)] * (table == parent)
+    return df.select(F.inline(F.filter(F.array(*found), lambda e: e.isNotNull())))
 
 
 def orphan_count(df: DataFrame, column: str, parent: DataFrame, name: str) -> DataFrame:
@@ -195,14 +164,28 @@ def orphan_count(df: DataFrame, column: str, parent: DataFrame, name: str) -> Da
 
 
 def constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
-    """Violations per table and rule: one pass per table for rules on single rows, one shuffle
-    for all unique columns and one for all foreign keys.
+    """Violations per table and rule: every table is read once, and one shuffle counts all keys.
 
-    Foreign keys are checked where the parent table is supplied as well.
+    Keys keep their type and are counted per value before the shuffle.  A unique rule counts
+    the rows beyond the first of a value, a foreign key the rows whose value the parent lacks;
+    it is checked where the parent table is supplied as well.
     """
-    parts = [
-        _row_violations(table, df).select(F.lit(table).alias("table_name"), "rule", "violations")
-        for table, df in tables.items()
-    ]
-    across = [_unique_violations(tables), _reference_violations(tables)]
-    return reduce(DataFrame.unionByName, parts + [df for df in across if df is not None])
+    rules = _rules(tables)
+    numbers = {(t, rule): i for i, (t, rule, _) in enumerate(rules)}
+    entries = reduce(DataFrame.unionByName, [_entries(t, df, tables, numbers) for t, df in tables.items()])
+    counted = entries.groupBy("rule_number", "long_key", "text_key").agg(
+        F.count_if(~F.col("parent")).alias("_n"), F.count_if(F.col("parent")).alias("_known")
+    )
+    kind = F.get(F.array(*[F.lit(k) for _, _, k in rules]), F.col("rule_number"))
+    wrong = (
+        F.when(kind == "row", F.col("_n")).when(kind == "unique", F.col("_n") - 1)
+        .when(F.col("_known") == 0, F.col("_n")).otherwise(0)
+    )
+    sums = counted.groupBy("rule_number").agg(F.sum(wrong).alias("_violations"))
+    spark = entries.sparkSession
+    named = spark.createDataFrame(
+        [(i, t, rule) for i, (t, rule, _) in enumerate(rules)], "rule_number int, table_name string, rule string"
+    )
+    return named.join(sums, "rule_number", "left").select(
+        "table_name", "rule", F.coalesce("_violations", F.lit(0)).cast("bigint").alias("violations")
+    )

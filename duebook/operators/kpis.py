@@ -67,18 +67,6 @@ def notification_kpis(outbox: DataFrame, by=()) -> DataFrame:
     )
 
 
-def top_overdue_invoices(aging: DataFrame, n=10) -> DataFrame:
-    return (
-        aging.where((F.col("days_past_due") > 0) & (F.col("outstanding_amount") > 0))
-        .orderBy(F.desc("days_past_due"), F.desc("outstanding_amount"), "invoice_id")
-        .limit(n)
-        .select(
-            "invoice_id", "invoice_number", "customer_name", "due_date", "outstanding_amount",
-            "days_past_due", "aging_bucket", "collection_priority", "recommended_action",
-        )
-    )
-
-
 def recent_orchestrations(runs: DataFrame, n=10) -> DataFrame:
     return (
         runs.orderBy(F.desc("orchestration_id"))

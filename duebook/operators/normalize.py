@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duebook import constants as K
-from duebook.functions.expr import TOTAL, money, total, total0
+from duebook.functions.expr import TOTAL, money, top_with, total, total0
 from duebook.operators.blocks import dense_key
 from duebook.operators.merge import update_from
 from duebook.schemas import conform
@@ -170,14 +170,10 @@ def top_customers_by_outstanding(customers: DataFrame, invoices: DataFrame, n=10
         total(F.col("invoice_amount")).alias("total_invoice_amount"),
         total(F.col("outstanding_amount")).alias("outstanding_amount"),
     )
-    return (
-        per_customer.join(customers.select("customer_id", "customer_name"), "customer_id")
-        .orderBy(F.desc("outstanding_amount"), "customer_id")
-        .limit(n)
-        .select(
-            "customer_id", "customer_name", "invoice_count", "total_invoice_amount",
-            "outstanding_amount",
-        )
+    names = customers.select("customer_id", "customer_name")
+    order = [F.desc("outstanding_amount"), F.asc("customer_id")]
+    return top_with(per_customer, order, n, names, "customer_id").select(
+        "customer_id", "customer_name", "invoice_count", "total_invoice_amount", "outstanding_amount"
     )
 
 

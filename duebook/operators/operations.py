@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duebook import constants as K
+from duebook.functions.expr import top_with
 
 
 def status_summary(df: DataFrame, column: str, count_name: str) -> DataFrame:
@@ -145,8 +146,12 @@ def recipient_coverage(
     contacts = customers.select("customer_id", "customer_name", "email")
     if reachable_only:
         contacts = contacts.where((F.col("email") != "") & F.col("email").isNotNull())
-    found = invoices.select("invoice_number", "customer_id").join(contacts, "customer_id")
-    return _newest(found, ["invoice_number", "customer_id"], n).select(
+    numbers, order = invoices.select("invoice_number", "customer_id"), ["invoice_number", "customer_id"]
+    if n is None:
+        found = numbers.join(contacts, "customer_id").orderBy(*order)
+    else:
+        found = top_with(numbers, order, n, contacts, "customer_id")
+    return found.select(
         "invoice_number", "customer_id", "customer_name",
         F.col("email").alias("recipient_address"),
     )

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duebook.functions.expr import MONEY, money, total
+from duebook.functions.expr import MONEY, money, top_with, total
 from duebook.operators.constraints import orphan_count
 from duebook.schemas import conform
 
@@ -62,13 +62,14 @@ def orphan_payments(payments: DataFrame, invoices: DataFrame) -> DataFrame:
 
 def top_payments(payments: DataFrame, invoices: DataFrame, customers: DataFrame, n=20) -> DataFrame:
     """Largest payments with invoice and customer."""
-    headers = invoices.select(
+    headers = invoices.join(customers.select("customer_id"), "customer_id", "left_semi").select(
         "invoice_id", "invoice_number", "customer_id", "invoice_status", "outstanding_amount"
     )
+    order = [F.desc("payment_amount"), F.asc("payment_id")]
     return (
-        payments.join(headers, "invoice_id")
+        top_with(payments, order, n, headers, "invoice_id")
         .join(customers.select("customer_id", "customer_name"), "customer_id")
-        .orderBy(F.desc("payment_amount"), "payment_id")
+        .orderBy(*order)
         .limit(n)
         .select(
             "payment_id", "invoice_number", "customer_name", "payment_date", "payment_amount",

@@ -235,7 +235,7 @@ register(
     top_overdue_customers=lambda c: aging.top_overdue_customers(c.invoices, c.customers),
     collection_queue=lambda c: aging.collection_queue(c.aging),
     collection_queue_high=lambda c: aging.collection_queue(c.aging, priority="high"),
-    collection_queue_top=lambda c: aging.collection_queue(c.aging, n=20),
+    collection_queue_top=lambda c: aging.top_of_queue(c.invoices, c.customers, 20),
     aging_validation=lambda c: aging.aging_validation(c.aging, c.invoices),
     aging_summary=lambda c: aging.aging_summary(c.invoices, "2001-08-20"),
     priority_summary=lambda c: aging.priority_summary(c.invoices, "2001-08-20"),
@@ -346,7 +346,7 @@ register(
     orchestration_kpis=lambda c: kpis.orchestration_kpis(c.orchestrations),
     approval_kpis=lambda c: kpis.approval_kpis(c.approvals),
     notification_kpis=lambda c: kpis.notification_kpis(c.outbox),
-    top_overdue_invoices=lambda c: kpis.top_overdue_invoices(c.aging),
+    top_overdue_invoices=lambda c: aging.top_overdue_invoices(c.invoices, c.customers),
     recent_orchestrations=lambda c: kpis.recent_orchestrations(c.orchestrations),
     collections_narrative=lambda c: kpis.collections_narrative(*_indicators(c)),
     executive_dashboard=lambda c: kpis.executive_dashboard(*_indicators(c)),

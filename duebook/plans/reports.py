@@ -25,7 +25,7 @@ def management_report(
         "dashboard": kpis.executive_dashboard(*indicators),
         "aging": aging.aging_summary(invoices, today),
         "priority": aging.priority_summary(invoices, today),
-        "overdue": kpis.top_overdue_invoices(detail, n),
+        "overdue": aging.top_overdue_invoices(invoices, customers, n),
         "actions": kpis.recent_orchestrations(runs, n),
         "summary": kpis.collections_narrative(*indicators),
     }

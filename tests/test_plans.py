@@ -5,7 +5,7 @@ import io
 
 import pytest
 
-from duebook.operators import aging, checks, kpis, operations, risk
+from duebook.operators import aging, checks, constraints, normalize, operations, payments, risk
 from duebook.operators.blocks import dense_key
 from duebook.plans.core import core
 
@@ -34,9 +34,12 @@ def test_keys_never_gather_the_rows(c):
 @pytest.mark.parametrize(
     "build",
     [
-        lambda c: aging.collection_queue(c.aging, n=20),
+        lambda c: aging.top_of_queue(c.invoices, c.customers, 20),
         lambda c: aging.top_overdue_customers(c.invoices, c.customers),
-        lambda c: kpis.top_overdue_invoices(c.aging),
+        lambda c: aging.top_overdue_invoices(c.invoices, c.customers),
+        lambda c: normalize.top_customers_by_outstanding(c.customers, c.invoices),
+        lambda c: payments.top_payments(c.payments, c.invoices, c.customers),
+        lambda c: operations.recipient_coverage(c.invoices, c.customers),
         lambda c: operations.recent_notifications(c.outbox),
     ],
 )
@@ -45,6 +48,24 @@ def test_top_rows_are_not_fully_sorted(c, build):
     assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
 
 
+def test_names_are_joined_after_the_cut(c):
+    for df in (aging.top_of_queue(c.invoices, c.customers, 20), aging.top_overdue_customers(c.invoices, c.customers),
+               aging.top_overdue_invoices(c.invoices, c.customers), operations.recipient_coverage(c.invoices, c.customers),
+               normalize.top_customers_by_outstanding(c.customers, c.invoices),
+               payments.top_payments(c.payments, c.invoices, c.customers)):
+        tree = plan(df).split("\n(1) ")[0]
+        cut = tree.rindex("TakeOrderedAndProject")
+        assert "Inner" in plan(df) and "Join" in tree[:cut], tree
+
+
+def test_constraints_read_every_table_once(c):
+    from duebook.plans import catalog
+
+    tables = catalog._damaged(c)
+    tree = plan(constraints.constraint_violations(tables)).split("\n(1) ")[0]
+    assert tree.count("Scan parquet") <= len(tables) + 1  # one table is made of two readings
+
+
 def test_reports_read_few_columns_with_filters(c):
     text = plan(aging.aging_summary(c.invoices, "2001-08-20"))
     assert "GreaterThan(outstanding_amount,0.00)" in text
