@@ -180,18 +180,28 @@ def _plus(amount: int, unit: str, c: str = "ts") -> Column:
     return F.timestamp_add(unit, F.lit(amount), F.col(c))
 
 
+def _twice(events: DataFrame) -> DataFrame:
+    """Two approvals per event: one in any state, and one, with a negative id, that was executed."""
+    second = F.explode(F.array(F.lit(False), F.lit(True))).alias("_second")
+    return events.select("*", second).withColumn(
+        "_approval", F.when(F.col("_second"), -F.col("event_id") - 1).otherwise(F.col("event_id"))
+    ).withColumn(
+        "_notification", F.when(F.col("_second"), F.col("_approval")).otherwise(F.col("event_id") + 1)
+    )
+
+
 def approvals(spark: SparkSession, folder: str) -> DataFrame:
     eid = F.col("event_id")
-    status = F.get(
-        F.array(*[F.lit(s) for s in K.APPROVAL_STATUSES]), (eid % 5).cast("int")
+    status = F.when(F.col("_second"), "EXECUTED").otherwise(
+        F.get(F.array(*[F.lit(s) for s in K.APPROVAL_STATUSES]), (eid % 5).cast("int"))
     )
     executed = F.col("approval_status") == "EXECUTED"
     reviewed = F.col("approval_status") != "PENDING"
     rows = (
-        _events(spark, folder)
+        _twice(_events(spark, folder))
         .withColumn("approval_status", status)
         .select(
-            eid.alias("approval_id"),
+            F.col("_approval").alias("approval_id"),
             "conversation_id",
             F.col("ts").alias("requested_at"),
             F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("requested_by"),
@@ -205,7 +215,7 @@ def approvals(spark: SparkSession, folder: str) -> DataFrame:
             F.when(reviewed, K.REVIEWER).alias("reviewed_by"),
             F.when(executed, _plus(2, "HOUR")).alias("executed_at"),
             F.when(executed, "SUCCESS").alias("execution_status"),
-            F.when(executed, fill(K.TEXT_EXECUTED_RUN, eid + 1)).alias("execution_message"),
+            F.when(executed, fill(K.TEXT_EXECUTED_RUN, F.col("_notification"))).alias("execution_message"),
         )
     )
     return conform(rows, "agent_approval_requests")
@@ -216,7 +226,8 @@ def outbox(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def outbox_of(events: DataFrame, orders: Column) -> DataFrame:
-    """Notifications of executed approvals, and of every fifth approved one (a duplicate guard case)."""
+    """Notifications of executed approvals, which every event has, and of every fifth approved
+    one (a duplicate guard case)."""
     eid, k = F.col("event_id"), F.col("k")
     status = first_match(
         [
@@ -232,12 +243,12 @@ def outbox_of(events: DataFrame, orders: Column) -> DataFrame:
     updated = F.timestamp_add("MINUTE", k, F.col("ts"))
     failed = st.isin("RETRY", "DEAD", "FAILED")
     rows = (
-        events_of(events, orders)
-        .where((eid % 5 == 4) | (eid % 25 == 1))
+        _twice(events_of(events, orders))
+        .where(F.col("_second") | (eid % 5 == 4) | (eid % 25 == 1))
         .withColumn("notification_status", status)
         .select(
-            (eid + 1).alias("notification_id"),
-            eid.alias("approval_id"),
+            F.col("_notification").alias("notification_id"),
+            F.col("_approval").alias("approval_id"),
             "conversation_id",
             F.lit(K.REMINDER_TYPE).alias("notification_type"),
             F.when(
@@ -266,9 +277,7 @@ def outbox_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def recovery_log(spark: SparkSession, folder: str) -> DataFrame:
-    rows = outbox(spark, folder).where(
-        (F.col("_k") % 10 == 0) & F.col("notification_status").isin(*K.RECOVERABLE_STATUSES)
-    )
+    rows = outbox(spark, folder).where(F.col("notification_status").isin(*K.RECOVERABLE_STATUSES))
     return conform(
         rows.select(
             F.col("notification_id").alias("recovery_id"),

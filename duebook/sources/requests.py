@@ -26,7 +26,7 @@ def _union(*parts: DataFrame) -> DataFrame:
 
 
 def reminder_requests(spark, folder) -> DataFrame:
-    return _events(spark, folder).where(_eid() % 4 == 0).select(
+    return _events(spark, folder).select(
         _eid().alias("request_id"),
         "conversation_id",
         F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("requested_by"),
@@ -35,7 +35,7 @@ def reminder_requests(spark, folder) -> DataFrame:
 
 
 def decisions(spark, folder) -> DataFrame:
-    ev = _events(spark, folder).where(_eid() % 3 == 0)
+    ev = _events(spark, folder)
     word = first_match(
         [(_key() % 10 == 4, F.lit("MAYBE")), (_key() % 2 == 1, F.lit(" approved "))], F.lit("REJECTED")
     )
@@ -56,7 +56,7 @@ def decisions(spark, folder) -> DataFrame:
 
 
 def executions(spark, folder) -> DataFrame:
-    ev = _events(spark, folder).where(_eid() % 4 != 3)
+    ev = _events(spark, folder)
     return _union(
         ev.select(_eid().alias("request_id"), _eid().alias("approval_id")),
         ev.where(_eid() % 10 == 1).select((_eid() + LATER).alias("request_id"), _eid().alias("approval_id")),
@@ -67,7 +67,7 @@ def executions(spark, folder) -> DataFrame:
 
 
 def attempts(spark, folder) -> DataFrame:
-    rows = outbox(spark, folder).withColumn("k", F.col("_k")).where(_key() % 4 != 3)
+    rows = outbox(spark, folder).withColumn("k", F.col("_k"))
     nid = F.col("notification_id")
     error = F.when(_key() % 9 == 0, F.repeat(F.lit("timeout "), 600)).when(
         _key() % 2 == 1, K.TEXT_NO_RECIPIENT
@@ -95,7 +95,7 @@ def delivery_results(outbox: DataFrame) -> DataFrame:
 
 
 def recoveries(spark, folder) -> DataFrame:
-    rows = outbox(spark, folder).withColumn("k", F.col("_k")).where(_key() % 3 == 0)
+    rows = outbox(spark, folder).withColumn("k", F.col("_k"))
     nid = F.col("notification_id")
     reason = F.when(_key() % 2 == 0, F.concat(F.lit("reason "), _key().cast("string")))
 
@@ -113,13 +113,13 @@ def recoveries(spark, folder) -> DataFrame:
 
 
 def run_requests(spark, folder) -> DataFrame:
-    return _events(spark, folder).where(_eid() % 4 == 0).select(
+    return _events(spark, folder).select(
         _eid().alias("request_id"), "invoice_number"
     )
 
 
 def run_approvals(spark, folder) -> DataFrame:
-    ev = _events(spark, folder).where(_eid() % 3 != 2)
+    ev = _events(spark, folder)
     return _union(
         ev.select(_eid().alias("orchestration_id")),
         ev.where(_eid() % 10 == 1).select(_eid().alias("orchestration_id")),

@@ -163,23 +163,29 @@ SELECT event_id, ts, user_id, event_type, CAST(json_extract(props, '$.k') AS INT
        CAST((event_id * 3 + 1) % (SELECT count(*) FROM orders) AS VARCHAR) AS invoice_number
 FROM events"""
 
+CTES["ev2"] = """
+SELECT *, CASE WHEN second THEN 4 ELSE event_id % 5 END AS state,
+  CASE WHEN second THEN -event_id - 1 ELSE event_id END AS aid,
+  CASE WHEN second THEN -event_id - 1 ELSE event_id + 1 END AS nid
+FROM ev, (VALUES (false), (true)) s(second)"""
+
 CTES["appr"] = """
-SELECT event_id AS approval_id, conversation_id, ts AS requested_at,
+SELECT aid AS approval_id, conversation_id, ts AS requested_at,
   'user-' || CAST(user_id AS VARCHAR) AS requested_by,
   CASE WHEN event_id % 11 = 0 THEN 'OTHER_ACTION' ELSE 'SEND_PAYMENT_REMINDER' END AS action_type,
   'Send a payment reminder for invoice ' || invoice_number || '.' AS action_description,
   '{"invoice_number":"' || invoice_number || '","channel":"EMAIL"}' AS action_payload,
-  CASE event_id % 5 WHEN 0 THEN 'PENDING' WHEN 1 THEN 'APPROVED' WHEN 2 THEN 'REJECTED'
+  CASE state WHEN 0 THEN 'PENDING' WHEN 1 THEN 'APPROVED' WHEN 2 THEN 'REJECTED'
        WHEN 3 THEN 'CANCELLED' ELSE 'EXECUTED' END AS approval_status,
-  CASE WHEN event_id % 5 <> 0 THEN ts + INTERVAL 1 HOUR END AS reviewed_at,
-  CASE WHEN event_id % 5 <> 0 THEN 'AR_MANAGER' END AS reviewed_by,
+  CASE WHEN state <> 0 THEN ts + INTERVAL 1 HOUR END AS reviewed_at,
+  CASE WHEN state <> 0 THEN 'AR_MANAGER' END AS reviewed_by,
   CAST(NULL AS VARCHAR) AS review_comments,
-  CASE WHEN event_id % 5 = 4 THEN ts + INTERVAL 2 HOUR END AS executed_at,
-  CASE WHEN event_id % 5 = 4 THEN 'SUCCESS' END AS execution_status,
-  CASE WHEN event_id % 5 = 4 THEN 'Notification ' || CAST(event_id + 1 AS VARCHAR)
+  CASE WHEN state = 4 THEN ts + INTERVAL 2 HOUR END AS executed_at,
+  CASE WHEN state = 4 THEN 'SUCCESS' END AS execution_status,
+  CASE WHEN state = 4 THEN 'Notification ' || CAST(nid AS VARCHAR)
        || ' created by orchestrator.' END AS execution_message,
   invoice_number AS wanted_invoice
-FROM ev"""
+FROM ev2"""
 
 CTES["box"] = """
 SELECT *, CASE WHEN notification_status = 'RETRY' THEN created_at + INTERVAL 1 MINUTE END AS next_retry_at,
@@ -189,7 +195,7 @@ SELECT *, CASE WHEN notification_status = 'RETRY' THEN created_at + INTERVAL 1 M
        WHEN notification_status = 'RETRY' THEN 'Notification delivery failed.' END AS failure_reason,
   CASE WHEN notification_status = 'DEAD' THEN updated_at END AS dead_at
 FROM (
-  SELECT event_id + 1 AS notification_id, event_id AS approval_id, conversation_id,
+  SELECT nid AS notification_id, aid AS approval_id, conversation_id,
     'PAYMENT_REMINDER' AS notification_type,
     CASE WHEN k % 7 <> 0 THEN 'u' || CAST(user_id AS VARCHAR) || '@example.com' END AS recipient_address,
     'Payment Reminder - Invoice ' || invoice_number AS subject_text,
@@ -200,15 +206,15 @@ FROM (
     3 AS max_retry_count, ts AS created_at, ts + to_minutes(k) AS updated_at, k
   FROM (SELECT *, CASE event_type WHEN 'click' THEN 'PENDING' WHEN 'signup' THEN 'PROCESSING'
                        WHEN 'purchase' THEN 'SENT' WHEN 'view' THEN 'RETRY'
-                       ELSE CASE WHEN k % 2 = 0 THEN 'DEAD' ELSE 'FAILED' END END AS st FROM ev)
-  WHERE event_id % 5 = 4 OR event_id % 25 = 1)"""
+                       ELSE CASE WHEN k % 2 = 0 THEN 'DEAD' ELSE 'FAILED' END END AS st FROM ev2)
+  WHERE second OR event_id % 5 = 4 OR event_id % 25 = 1)"""
 
 CTES["rec"] = """
 SELECT notification_id AS recovery_id, notification_id, notification_status AS previous_status,
   'PENDING' AS new_status, 'AR_MANAGER' AS recovered_by,
   'Manual recovery from notification console.' AS recovery_reason,
   updated_at + INTERVAL 5 MINUTE AS recovered_at
-FROM box WHERE k % 10 = 0 AND notification_status IN ('DEAD', 'FAILED', 'RETRY')"""
+FROM box WHERE notification_status IN ('DEAD', 'FAILED', 'RETRY')"""
 
 CTES["runs"] = """
 SELECT event_id AS orchestration_id, invoice_number, event_id AS approval_id,

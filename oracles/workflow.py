@@ -35,7 +35,7 @@ res AS (SELECT *, CASE why WHEN 'INVOICE_NOT_FOUND' THEN 'Invoice ' || invoice_n
   FROM (SELECT *, CASE WHEN cid IS NULL THEN 'INVOICE_NOT_FOUND' WHEN same > 1 THEN 'AMBIGUOUS_INVOICE' {order} END AS why FROM res0))"""
 
 
-RUN_REQUESTS = "wanted AS (SELECT event_id AS request_id, invoice_number FROM ev WHERE event_id % 4 = 0)"
+RUN_REQUESTS = "wanted AS (SELECT event_id AS request_id, invoice_number FROM ev)"
 
 for key, first in (("resolve_recipients", True), ("resolve_recipients_address_first", False)):
     SQL[key] = f"""
@@ -54,7 +54,7 @@ SELECT request_id, invoice_number, cid AS customer_id, customer_name,
 REMIND = """
 rq AS (SELECT event_id, conversation_id, 'user-' || user_id AS requested_by, invoice_number,
     (SELECT max(approval_id) FROM appr) + row_number() OVER (ORDER BY event_id) AS approval_id
-  FROM ev WHERE event_id % 4 = 0 AND event_id % 28 <> 0)"""
+  FROM ev WHERE event_id % 28 <> 0)"""
 SQL["request_reminders"] = f"""
 WITH {REMIND}
 SELECT {APPR} FROM appr
@@ -80,7 +80,7 @@ DECIDE = f"""
 dec AS (
   SELECT event_id AS decision_id, event_id AS approval_id, CASE WHEN k % 10 = 4 THEN 'MAYBE'
     WHEN k % 2 = 1 THEN ' approved ' ELSE 'REJECTED' END AS decision, 'comment ' || k AS comments
-  FROM ev WHERE event_id % 3 = 0
+  FROM ev
   UNION ALL SELECT event_id + {LATER}, event_id, 'REJECTED', 'comment ' || k FROM ev WHERE event_id % 6 = 0
   UNION ALL SELECT event_id + {2 * LATER}, event_id + {UNKNOWN}, 'APPROVED', 'comment ' || k FROM ev
     WHERE event_id % 30 = 3),
@@ -123,9 +123,9 @@ def executions(form):
     plain = "WHEN 1 = 0 THEN NULL" if form != "recipient" else "WHEN r.why IS NOT NULL THEN r.why"
     twice = "" if form == "message" else "WHEN b.notification_id IS NOT NULL THEN 'DUPLICATE_NOTIFICATION'"
     return f"""
-ex AS (SELECT event_id AS request_id, event_id AS approval_id FROM ev WHERE event_id % 4 <> 3
-  UNION ALL SELECT event_id + {LATER}, event_id FROM ev WHERE event_id % 4 <> 3 AND event_id % 10 = 1
-  UNION ALL SELECT event_id + {2 * LATER}, event_id + {UNKNOWN} FROM ev WHERE event_id % 4 <> 3 AND event_id % 50 = 0),
+ex AS (SELECT event_id AS request_id, event_id AS approval_id FROM ev
+  UNION ALL SELECT event_id + {LATER}, event_id FROM ev WHERE event_id % 10 = 1
+  UNION ALL SELECT event_id + {2 * LATER}, event_id + {UNKNOWN} FROM ev WHERE event_id % 50 = 0),
 one AS (SELECT e.approval_id AS aid, e.first, a.*, a.wanted_invoice AS invoice_number
   FROM (SELECT approval_id, min(request_id) AS first FROM ex GROUP BY approval_id) e
   LEFT JOIN appr a ON a.approval_id = e.approval_id),
@@ -208,8 +208,8 @@ SQL["claim_notifications_oldest"] = claimed(
 
 TRIES = f"""
 att AS (SELECT notification_id AS attempt_id, notification_id, CASE WHEN k % 9 = 0 THEN repeat('timeout ', 600)
-    WHEN k % 2 = 1 THEN 'Recipient address is missing.' END AS error FROM box WHERE k % 4 <> 3
-  UNION ALL SELECT notification_id + {LATER}, notification_id, NULL FROM box WHERE k % 4 <> 3 AND k % 5 = 0
+    WHEN k % 2 = 1 THEN 'Recipient address is missing.' END AS error FROM box
+  UNION ALL SELECT notification_id + {LATER}, notification_id, NULL FROM box WHERE k % 5 = 0
   UNION ALL SELECT notification_id + {2 * LATER}, notification_id + {UNKNOWN}, NULL FROM box WHERE k = 1),
 won AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY notification_id ORDER BY attempt_id) AS r FROM att)
   WHERE r = 1)"""
@@ -262,7 +262,7 @@ tr AS (SELECT notification_id, notification_id AS attempt_id,
 
 RQ = f"""
 rqs AS (SELECT notification_id AS request_id, notification_id, CASE WHEN k % 2 = 0 THEN 'reason ' || k END AS recovery_reason
-    FROM box WHERE k % 3 = 0
+    FROM box
   UNION ALL SELECT notification_id + {LATER}, notification_id, CASE WHEN k % 2 = 0 THEN 'reason ' || k END
     FROM box WHERE k % 6 = 0
   UNION ALL SELECT notification_id + {2 * LATER}, notification_id + {UNKNOWN}, NULL FROM box WHERE k = 3),
@@ -317,8 +317,8 @@ WITH {START}
 SELECT * FROM conv UNION ALL SELECT cv, {NOW}, NULL, 'ACTIVE', 'SYSTEM' FROM fine2"""
 
 COMPLETE = f"""
-ids AS (SELECT DISTINCT oid FROM (SELECT event_id AS oid FROM ev WHERE event_id % 3 <> 2
-  UNION ALL SELECT event_id + {UNKNOWN} FROM ev WHERE event_id % 3 <> 2 AND event_id % 40 = 0)),
+ids AS (SELECT DISTINCT oid FROM (SELECT event_id AS oid FROM ev
+  UNION ALL SELECT event_id + {UNKNOWN} FROM ev WHERE event_id % 40 = 0)),
 joined AS (SELECT i.oid, r.* FROM ids i LEFT JOIN runs r ON r.orchestration_id = i.oid),
 {recipients('joined', False)},
 verdict AS (SELECT r.* EXCLUDE (approval_id), r.approval_id AS aid, a.conversation_id, b.notification_id AS existing,
