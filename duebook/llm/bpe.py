@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import public_tokenizers
-from duebook.llm.common import packed, read
+from duebook.llm.common import packed, read, small_batches
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 LEAF = 4096  # characters of a leaf, and ids of a leaf in decoding
@@ -102,7 +102,7 @@ def round_trip(docs: DataFrame, path: str | None = None, text: str = "text", kee
 
     def run(batches):
         enc, sizes = codec(path)
-        for b in batches:
+        for b in small_batches(batches):
             ids = [encode(t.as_py(), enc, sizes) for t in b.column("_text")]
             yield pa.RecordBatch.from_arrays(
                 [b.column("_row"), pa.array([x.tobytes() for x in ids], pa.binary()),

@@ -36,3 +36,10 @@ def packed(df: DataFrame) -> Column:
 
 def read(spark, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
+
+
+def small_batches(batches, rows: int = 256):
+    """Arrow batches cut to `rows` rows, which bounds what a task holds besides its input."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from duebook.llm.common import packed, read
+from duebook.llm.common import packed, read, small_batches
 from duebook.storage import materialize
 
 DIMENSIONS = 4096
@@ -113,7 +113,7 @@ def fit(
     )
 
     def vectors(batches):
-        for b in batches:
+        for b in small_batches(batches):
             langs, tfs = [], []
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
                 tf = counts(text)
@@ -169,24 +169,18 @@ def predict(docs: DataFrame, model: Model, keep=None) -> DataFrame:
 
     def label(batches):
         m = shared.value
-        for b in batches:
-            texts = b.column("_text")
-            langs, scores, out = [], [], []
-            for start in range(0, len(texts), 256):
-                chunk = [counts(t.as_py()) for t in texts[start: start + 256]]
-                some = [i for i, tf in enumerate(chunk) if tf is not None]
-                lang, score, bad = [UNKNOWN] * len(chunk), [0.0] * len(chunk), [True] * len(chunk)
-                if some and m.langs:
-                    cos = unit(np.array([chunk[i] for i in some]), m.idf).astype(np.float32) @ m.centroids.T
-                    best = np.argmax(cos, axis=1)
-                    for i, k, row in zip(some, best.tolist(), cos):
-                        lang[i], score[i] = m.langs[k], float(min(1.0, max(0.0, row[k])))
-                        bad[i] = bool(row[k] < m.limits[k])
-                langs += lang
-                scores += score
-                out += bad
+        for b in small_batches(batches):
+            chunk = [counts(t.as_py()) for t in b.column("_text")]
+            some = [i for i, tf in enumerate(chunk) if tf is not None]
+            lang, score, bad = [UNKNOWN] * len(chunk), [0.0] * len(chunk), [True] * len(chunk)
+            if some and m.langs:
+                cos = unit(np.array([chunk[i] for i in some]), m.idf).astype(np.float32) @ m.centroids.T
+                best = np.argmax(cos, axis=1)
+                for i, k, row in zip(some, best.tolist(), cos):
+                    lang[i], score[i] = m.langs[k], float(min(1.0, max(0.0, row[k])))
+                    bad[i] = bool(row[k] < m.limits[k])
             yield pa.RecordBatch.from_arrays(
-                [b.column("_row"), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(out, pa.bool_())],
+                [b.column("_row"), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(bad, pa.bool_())],
                 ["_row", "lang_pred", "score", "rejected"],
             )
 

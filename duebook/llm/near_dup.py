@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duebook.llm.common import packed, read, row_key
+from duebook.llm.common import packed, read, row_key, small_batches
 from duebook.llm.components import components
 from duebook.llm.hashing import slices
 from duebook.storage import materialize
@@ -59,7 +59,7 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     """_id, _fp, doc_id, cid (fingerprint of the set, null when empty), n, sketch."""
 
     def run(batches):
-        for b in batches:
+        for b in small_batches(batches):
             cids, ns, sketches = [], [], []
             for t in b.column("_text"):
                 s = shingle_set(t.as_py(), size)
@@ -229,7 +229,7 @@ def near_duplicates(docs: DataFrame, size: int = 4, threshold: int = 80) -> Data
     members = materialize(member.join(cells, "centre"), "near-canopies")
 
     def full(batches):
-        for b in batches:
+        for b in small_batches(batches):
             sets = [shingle_set(t.as_py(), size).tobytes() for t in b.column("_text")]
             yield pa.RecordBatch.from_arrays([b.column("cid"), pa.array(sets, pa.binary())], ["cid", "set"])
 

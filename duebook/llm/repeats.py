@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from duebook.llm.common import packed, read, row_key
+from duebook.llm.common import packed, read, row_key, small_batches
 from duebook.llm.hashing import byte_values, mix
 from duebook.storage import discard, materialize
 
@@ -277,7 +277,7 @@ def remove_repeats(docs: DataFrame, keep=None) -> DataFrame:
     ).select("_row", "_text", "spans")
 
     def run(batches):
-        for b in batches:
+        for b in small_batches(batches):
             sizes, spans, kept = [], [], []
             for t, s in zip(b.column("_text"), b.column("spans").to_pylist()):
                 raw = (t.as_py() or "").encode("utf-8", "surrogatepass")
