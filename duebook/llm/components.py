@@ -22,7 +22,7 @@ def _stars(links: DataFrame, large: bool) -> DataFrame:
             links.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(least.select("a", F.col("m").alias("b")))
         )
-    return hung.where("a <> b").distinct()
+    return hung.where("a <> b")
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -39,7 +39,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         if tuple(now) == state or not now[0]:
             break
         state = tuple(now)
-        table = materialize(_stars(materialize(_stars(table, True), "links"), False), "links")
+        table = materialize(_stars(materialize(_stars(table, True), "links"), False).distinct(), "links")
     return table.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
         table.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
     )

@@ -11,7 +11,7 @@
    canopy once, however many lists it shares.  No pair is ever written.
 4. A canopy is cut into cells of bounded size.  Inside a cell the union of two sketches
    estimates the Jaccard index of every pair and drops hopeless ones; full sets verify the
-   rest.  A cell returns a spanning forest of its links.  The centre goes to every cell.
+   rest.  A cell returns its components, each as a star.  The centre goes to every cell.
 5. For canopies of several cells, classes that are already connected to the largest part of
    the canopy need no more comparing among themselves; the others meet everything that they
    have not met, again in cells.
@@ -91,7 +91,10 @@ def _keys(sketch: Column, n: Column) -> Column:
 
 
 def links_of(cids: np.ndarray, sets: list, threshold: int) -> list[tuple[int, int]]:
-    """Spanning forest of the pairs with 100 * |A & B| >= threshold * |A | B|."""
+    """Components of the pairs with 100 * |A & B| >= threshold * |A | B|, as a star each.
+
+    `cids` are in ascending order.
+    """
     m = len(sets)
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
 
@@ -137,7 +140,8 @@ def links_of(cids: np.ndarray, sets: list, threshold: int) -> list[tuple[int, in
             i = todo.pop()
             found = np.flatnonzero(linked[i] & left)
             left[found] = False
-            out += [(int(cids[i]), int(cids[j])) for j in found]
+            # Ids come in order, so `start` has the smallest of its component.
+            out += [(int(cids[start]), int(cids[j])) for j in found]
             todo += found.tolist()
     return out
 
@@ -167,10 +171,12 @@ def _upto(n: Column) -> Column:
     return F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)
 
 
-def _rest(members: DataFrame, sets: DataFrame, first: DataFrame, threshold: int) -> DataFrame:
-    """Links of canopies of several cells that their first cells could not see."""
+def _rest(members: DataFrame, sets: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
+    """Links of canopies of several cells that their first cells could not see.
+
+    `labels` has the components (node, label) so far.
+    """
     wide = members.where("cells > 1")
-    labels = components(first, "a", "b")
     placed = materialize(
         wide.join(labels, wide["cid"] == labels["node"], "left")
         .select("centre", "cid", F.coalesce("label", "cid").alias("label")),
@@ -245,9 +251,11 @@ def near_duplicates(docs: DataFrame, size: int = 4, threshold: int = 80) -> Data
         members.where("cid = centre and cells > 1").select("centre", "cid", F.explode(_upto(F.col("cells"))).alias("cell"))
     )
     links = materialize(_cells(spread.join(sets, "cid"), ["centre", "cell"], threshold), "near-links")
-    if not members.where("cells > 1").isEmpty():
-        links = links.unionByName(materialize(_rest(members, sets, links, threshold), "near-links"))
     labels = materialize(components(links, "a", "b"), "near-labels")
+    if not members.where("cells > 1").isEmpty():
+        more = materialize(_rest(members, sets, labels, threshold), "near-links")
+        known = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+        labels = materialize(components(known.unionByName(more), "a", "b"), "near-labels")
     owned = classes.join(labels, classes["cid"] == labels["node"], "left").select(
         "cid", "rep", "least", F.coalesce("label", "cid").alias("label")
     )
