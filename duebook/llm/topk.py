@@ -21,6 +21,7 @@ from duebook.storage import materialize
 
 _EXACT = 2.0**53
 _LONG = 2**63 - 1
+QUERIES = 128  # queries of a block that are compared at a time
 
 
 def segment_stats(x: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -39,44 +40,57 @@ def _level(x: np.ndarray, parts: int) -> np.ndarray:
 
 
 def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Inner products of whole numbers; beyond 64 bits they stop at the largest long."""
+    """Inner products of rows of whole numbers; beyond 64 bits they stop at the largest long."""
     top = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * max(1, x.shape[1])
     if top < _EXACT:
-        return np.rint(x @ q).astype(np.int64)
-    whole = [sum(int(a) * int(b) for a, b in zip(q.tolist(), row)) for row in x.tolist()]
-    return np.array([max(-_LONG, min(_LONG, s)) for s in whole], dtype=np.int64)
+        return np.rint(q @ x.T).astype(np.int64)
+    qs, xs = [[int(c) for c in r] for r in q.tolist()], [[int(c) for c in r] for r in x.tolist()]
+    whole = [[max(-_LONG, min(_LONG, sum(map(int.__mul__, a, c)))) for c in xs] for a in qs]
+    return np.array(whole, dtype=np.int64).reshape(len(qs), len(xs))
 
 
 def search_block(qids, quids, q, xids, xuids, x, k: int, levels=(1, 4, 16)):
     """Best k rows of the block for each query: (query number, candidate number, score)."""
     if not len(q) or not len(x):
         return []
-    with np.errstate(over="ignore", invalid="ignore"):
-        q2, x2 = (q * q).sum(axis=1), (x * x).sum(axis=1)
-        stats = [(_level(q, p), _level(x, p)) for p in levels]
+    q2, x2 = (q * q).sum(axis=1), (x * x).sum(axis=1)
+    # Half of |q|^2 + |x|^2 - distance^2, with the squares of both sides taken out once.
+    stats = []
+    for lq, lx in ((_level(q, p), _level(x, p)) for p in levels if x.shape[1]):
+        stats.append((lq, lx, (q2 - (lq * lq).sum(axis=1)) / 2, (x2 - (lx * lx).sum(axis=1)) / 2))
     own = {int(u): i for i, u in enumerate(xuids)}
     out = []
-    for i in range(len(q)):
-        self_at = own.get(int(quids[i]), -1)
-        alive = np.arange(len(x))
-        if self_at >= 0:
-            alive = alive[alive != self_at]
-        floor = None
-        for lq, lx in stats:
-            if len(alive) <= k:
+    for at in range(0, len(q), QUERIES):
+        part = slice(at, at + QUERIES)
+        alive = np.ones((len(q[part]), len(x)), dtype=bool)
+        for i, u in enumerate(quids[part]):
+            if int(u) in own:
+                alive[i, own[int(u)]] = False
+        cols, floor = np.arange(len(x)), None
+        for lq, lx, cq, cx in stats:
+            if len(cols) <= k:
                 break
-            d = lx[alive] - lq[i]
-            with np.errstate(over="ignore", invalid="ignore"):
-                upper = (q2[i] + x2[alive] - (d * d).sum(axis=1)) / 2
-                # Rounding of the bounds must never drop a true result.
-                upper = upper + 1e-9 * (q2[i] + x2[alive]) + 1.0
+            upper = lq[part] @ lx[cols].T + cq[part][:, None] + cx[cols][None, :]
+            # Rounding of the bounds must never drop a true result.
+            upper += 1e-9 * (q2[part][:, None] + x2[cols][None, :]) + 1.0
+            here = alive[:, cols]
             if floor is None:
-                probe = alive[np.argpartition(-upper, k - 1)[:k]] if np.isfinite(upper).all() else alive[:k]
-                floor = np.sort(exact_scores(q[i], x[probe]))[-k]
-            alive = alive[~(upper < floor)]
-        scores = exact_scores(q[i], x[alive])
-        best = np.lexsort((xids[alive], -scores))[:k] if len(alive) else []
-        out += [(i, int(alive[j]), int(scores[j])) for j in best]
+                probe = np.argpartition(np.where(here, -upper, np.inf), k - 1, axis=1)[:, :k]
+                floor = np.full(len(here), -np.inf)
+                for i, p in enumerate(probe):
+                    if here[i, p].all():
+                        floor[i] = exact_scores(q[part][i: i + 1], x[cols[p]]).min()
+            here &= ~(upper < floor[:, None])
+            alive[:, cols] = here
+            cols = cols[here.any(axis=0)]
+        scores, here = exact_scores(q[part], x[cols]), alive[:, cols]
+        for i in range(len(here)):
+            left = np.flatnonzero(here[i])
+            if len(left) > k:
+                least = np.partition(scores[i, left], -k)[-k]
+                left = left[scores[i, left] >= least]
+            best = left[np.lexsort((xids[cols[left]], -scores[i, left]))[:k]]
+            out += [(at + i, int(cols[j]), int(scores[i, j])) for j in best]
     return out
 
 
