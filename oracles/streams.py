@@ -17,7 +17,7 @@ FROM (SELECT notification_status, unnest([0, 6, 12, 18]) AS back,
 GROUP BY 1, 2, 3"""
 
 ATTEMPTS = """
-att AS (SELECT event_id // 7 AS nid, event_id AS aid, ts AS moment, k % 4 = 0 AS ok FROM ev),
+att AS (SELECT event_id * 2 // 5 AS nid, event_id AS aid, ts AS moment, k % 4 = 0 AS ok FROM ev),
 firsts AS (SELECT nid, min(CASE WHEN ok THEN (moment, aid) END) AS win FROM att GROUP BY nid),
 fails AS (SELECT a.nid, a.moment, row_number() OVER (PARTITION BY a.nid ORDER BY a.moment, a.aid) AS n
   FROM att a JOIN firsts f ON f.nid = a.nid WHERE NOT a.ok AND (f.win IS NULL OR (a.moment, a.aid) < f.win)),

@@ -91,7 +91,8 @@ def test_metrics_and_dedup(spark, events, tmp_path):
         append_available,
     )
     got = appended(spark, path, schema)
-    assert got.count() == got.select("approval_id").distinct().count() == 777
+    ids = jobs.dedup_requests_of(events).select("approval_id").distinct().count()
+    assert got.count() == got.select("approval_id").distinct().count() == ids
 
 
 def test_payment_totals(spark, tmp_path):
