@@ -1,9 +1,11 @@
 """URL filters: fixed rules first, mined association rules for the rest.
 
-A url becomes a small set of tokens.  Spark's FP-growth mines token combinations of labelled
+A whole url becomes a set of tokens.  Spark's FP-growth mines token combinations of labelled
 pages together with the label; rules `tokens -> block` that reach the minimum support and
-confidence are kept.  An inverted index lists each rule under its rarest token, so a url
-meets only rules of which it has that token, and the rest of the rule is checked there.
+confidence are kept.  Tokens in too few bad pages to be part of any rule are left out before,
+and tokens that occur in the same labelled pages are mined as one.  An inverted index lists
+each rule under its rarest part, so a url meets only rules of which it has that part, and the
+rest of the rule is checked there.
 
 Main path: built-in functions and Spark ML only.
 """
@@ -22,68 +24,100 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-HOST_LABELS, PATH_PARTS = 4, 2
 BLOCK = "=block"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def parts(url: Column) -> tuple[Column, Column, Column]:
-    """Scheme, host and path; empty where the url is null or has no `://`."""
+def parts(url: Column) -> tuple[Column, Column, Column, Column, Column]:
+    """Scheme, host, path, query and fragment; empty where the url is null or has no `://`."""
     at = F.instr(url, "://")
     rest = F.when(at > 0, url.substr(at + 3, F.length(url))).otherwise("")
     rest = F.coalesce(rest, F.lit(""))
     host = F.translate(F.regexp_extract(rest, "^[^/?#]*", 0), _UPPER, _LOWER)
     path = F.regexp_extract(rest, "^[^/?#]*([^?#]*)", 1)
     scheme = F.coalesce(F.when(at > 0, F.translate(url.substr(F.lit(1), at - 1), _UPPER, _LOWER)), F.lit(""))
-    return scheme, host, path
+    query = F.regexp_extract(rest, r"^[^?#]*\?([^#]*)", 1)
+    fragment = F.regexp_extract(rest, "(?s)^[^#]*#(.*)", 1)
+    return scheme, host, path, query, fragment
 
 
-def tokens(scheme: Column, host: Column, path: Column) -> Column:
-    """Scheme, the last host labels and the first path parts: at most seven tokens."""
-    labels = F.filter(F.split(host, r"\."), lambda x: x != "")
-    places = F.filter(F.split(path, "/"), lambda x: x != "")
-    tail = F.slice(labels, F.greatest(F.size(labels) - (HOST_LABELS - 1), F.lit(1)), HOST_LABELS)
+def tokens(scheme: Column, host: Column, path: Column, query: Column, fragment: Column) -> Column:
+    """Scheme, all host labels, path parts, parameter names and values, and fragment parts."""
+
+    def named(kind: str, values: Column) -> Column:
+        return F.transform(F.filter(values, lambda x: x != ""), lambda x: F.concat(F.lit(kind), x))
+
+    pairs = F.split(query, "[&;]")
     return F.array_distinct(
         F.concat(
-            F.filter(F.array(F.concat(F.lit("s:"), scheme)), lambda x: x != "s:"),
-            F.transform(tail, lambda x: F.concat(F.lit("h:"), x)),
-            F.transform(F.slice(places, 1, PATH_PARTS), lambda x: F.concat(F.lit("p:"), x)),
+            named("s:", F.array(scheme)),
+            named("h:", F.split(host, r"\.")),
+            named("p:", F.split(path, "/")),
+            named("q:", F.transform(pairs, lambda x: F.regexp_extract(x, "^[^=]*", 0))),
+            named("v:", F.transform(pairs, lambda x: F.regexp_extract(x, "(?s)^[^=]*=(.*)", 1))),
+            named("f:", F.split(fragment, "[/?&=]")),
         )
     )
 
 
 def mine(labelled: DataFrame, min_support: float = 0.01, min_confidence: float = 0.8) -> DataFrame:
-    """`_need` (tokens of a rule) and `_rarest` of rules that block, from `tokens`, `bad`.
+    """`_need` and `_rarest` of rules that block, from `tokens`, `bad`.
 
     A rule holds for at least `min_support` of the labelled urls and blocks rightly in at
     least `min_confidence` of those that have its tokens.  No labelled rows give no rules.
+    `_need` has the parts of a rule, each a list of tokens that occur in the same labelled
+    urls; any one of them will do.  `_rarest` is the part that the fewest labelled urls have.
     """
     spark = labelled.sparkSession
+    # Written with its row numbers, which are the same in both readings below.
+    rows = materialize(
+        labelled.where(F.size("tokens") > 0).select("tokens", "bad", F.monotonically_increasing_id().alias("_n")),
+        "url-labelled",
+    )
+    empty = spark.createDataFrame([], "_need array<array<string>>, _rarest array<string>")
+    n = rows.count()
+    if n == 0:
+        return empty
+    # A token in fewer bad urls than a rule must hold for is in no rule.
+    each = rows.select("bad", "_n", F.explode("tokens").alias("_t")).groupBy("_t").agg(
+        F.sum(F.col("bad").cast("long")).alias("_bad"), F.count("*").alias("_f"),
+        F.bit_xor(F.xxhash64("_n")).alias("_x"), F.bit_xor(F.xxhash64("_n", F.lit(1))).alias("_y"),
+    ).where(F.col("_bad") >= F.ceil(F.lit(float(min_support)) * n))
+    # Two hashes of the urls that have a token tell the tokens of other urls apart.
+    parts = materialize(
+        each.groupBy("_f", "_x", "_y").agg(F.sort_array(F.collect_list("_t")).alias("_part")), "url-parts"
+    ).withColumn("_name", F.col("_part")[0])
+    firsts = parts.select(F.col("_name").alias("_t"))
+    found = (
+        rows.select("_n", F.explode("tokens").alias("_t")).join(firsts, "_t")
+        .groupBy("_n").agg(F.collect_list("_t").alias("_items"))
+    )
+    items = F.coalesce("_items", F.array().cast("array<string>"))
     baskets = materialize(
-        labelled.where(F.size("tokens") > 0).select(
-            F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BLOCK)))).otherwise(F.col("tokens")).alias("items")
+        rows.select("_n", "bad").join(found, "_n", "left").select(
+            F.when(F.col("bad"), F.concat(items, F.array(F.lit(BLOCK)))).otherwise(items).alias("items")
         ),
         "url-baskets",
     )
-    empty = spark.createDataFrame([], "_need array<string>, _rarest string")
-    if baskets.isEmpty():
-        return empty
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    singles = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("_t"), F.col("freq").alias("_f"))
     rules = materialize(
-        model.associationRules.where(F.col("consequent")[0] == BLOCK).select(F.array_sort("antecedent").alias("_need")),
+        model.associationRules.where(F.col("consequent")[0] == BLOCK).select(F.array_sort("antecedent").alias("_rule")),
         "url-rules",
     )
     return (
-        rules.select("_need", F.explode("_need").alias("_t")).join(singles, "_t")
-        .groupBy("_need").agg(F.min_by("_t", F.struct("_f", "_t")).alias("_rarest"))
+        rules.select("_rule", F.explode("_rule").alias("_name")).join(parts, "_name")
+        .groupBy("_rule").agg(
+            F.collect_list("_part").alias("_need"), F.min_by("_part", F.struct("_f", "_name")).alias("_rarest")
+        )
+        .select("_need", "_rarest")
     )
 
 
 def blocked_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """`_url` of the urls (`_url`, `tokens`) that a rule blocks, each once."""
-    hits = urls.select("_url", "tokens", F.explode("tokens").alias("_rarest")).join(rules, "_rarest")
-    return hits.where(F.size(F.array_except("_need", "tokens")) == 0).select("_url").distinct()
+    index = rules.select("_need", F.explode("_rarest").alias("_t"))
+    hits = urls.select("_url", "tokens", F.explode("tokens").alias("_t")).join(index, "_t")
+    return hits.where(F.forall("_need", lambda part: F.arrays_overlap(part, F.col("tokens")))).select("_url").distinct()
 
 
 def listed(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
@@ -105,9 +139,9 @@ def judge(
     quality 0 or toxic 1.  Null urls and urls without `://` have an empty host and path, no
     rule, and are allowed.  Repeated urls get the same verdict, repeated rows stay.
     """
-    scheme, host, path = parts(F.col("url"))
-    seen = pages.select("page_id", "url", scheme.alias("scheme"), host.alias("host"), path.alias("path"))
-    seen = materialize(seen.withColumn("tokens", tokens(F.col("scheme"), F.col("host"), F.col("path"))), "urls")
+    cut = dict(zip(("scheme", "host", "path", "query", "fragment"), parts(F.col("url"))))
+    seen = pages.select("page_id", "url", *[c.alias(n) for n, c in cut.items()])
+    seen = materialize(seen.select("page_id", "url", "host", "path", tokens(*map(F.col, cut)).alias("tokens")), "urls")
     known = (
         labels.groupBy("doc_id")
         .agg(F.max((F.col("quality").eqNullSafe(0) | F.col("toxic").eqNullSafe(1)).cast("int")).alias("_bad"),

@@ -280,6 +280,38 @@ def test_mined_rules_block(spark):
     assert got[0] == got[1000] == got[1001] == "block" and got[1] == got[2] == got[1002] == "allow"
 
 
+@pytest.mark.parametrize("bad, other, fresh", [
+    ("/a/b/casino/{}", "/a/b/news/{}", "/c/d/casino/x"),
+    ("/a/b/c/d/e/casino/{}", "/a/b/c/d/e/news/{}", "/casino"),
+    ("/{}?page=2&ref=x", "/{}?page=2&ref=y", "/n?ref=x"),
+    ("/{}?casino=1", "/{}?news=1", "/n?page=1&casino=7"),
+    ("/{}#/casino/{}", "/{}#/news/{}", "/n?ref=z#casino"),
+])
+def test_rules_come_from_the_whole_url(spark, bad, other, fresh):
+    pages = [(i, "http://www.site.org" + (bad if i % 4 == 0 else other).format(i, i)) for i in range(200)]
+    pages += [(1000, "http://m.site.org" + fresh), (1001, "http://m.site.org/read")]
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    got = {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame(pages, "page_id long, url string"), labels).collect()}
+    assert got[0] == got[196] == got[1000] == "block" and got[1] == got[1001] == "allow"
+
+
+def test_rules_come_from_all_host_labels(spark):
+    pages = [(i, f"http://{'casino' if i % 4 == 0 else 'news'}.a.b.c.d.org/{i}") for i in range(200)]
+    pages += [(1000, "http://casino.x.y.z.net/new"), (1001, "http://x.a.b.c.d.org/new")]
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    got = {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame(pages, "page_id long, url string"), labels).collect()}
+    assert got[0] == got[1000] == "block" and got[1] == got[1001] == "allow"
+
+
+def test_tokens_of_one_long_url_are_mined_as_one(spark):
+    """60 tokens that only one labelled page has would make 2^60 combinations."""
+    long = "http://site.org/" + "/".join(f"x{i}" for i in range(60))
+    pages = [(1, long), (2, "http://site.org/y"), (3, "http://site.org/a/x59"), (4, "http://site.org/b")]
+    labels = spark.createDataFrame([(1, 0, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    got = {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame(pages, "page_id long, url string"), labels).collect()}
+    assert got == {1: "block", 2: "allow", 3: "block", 4: "allow"}
+
+
 def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank string")
 
