@@ -4,7 +4,9 @@ Texts become TF-IDF vectors of character n-grams (1 to 3 characters of the lower
 hashed into a fixed number of dimensions), scaled to length 1.  Each language has several
 centroids, found by spherical k-means over a bounded sample of its labelled texts.  A text
 takes the language of the centroid with the highest cosine; it is rejected where that cosine
-is below the limit of the centroid, which comes from the distances of the sample.
+is below the limit of the centroid for texts of so many letters.  The limits are low quantiles
+of the cosines of the sample, whose texts are also cut to each length, as short texts score
+lower.
 """
 
 import functools
@@ -28,16 +30,23 @@ def _is_letter() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(0x110000)], dtype=bool)
 
 
-def counts(text: str | None) -> np.ndarray | None:
-    """Hashed n-gram counts of a whole text; None where it has no letter."""
+# Limits are found for texts of 1, 2, 4 ... letters and taken in between by the logarithm.
+STEPS = 13
+
+
+def codes(text: str | None) -> np.ndarray | None:
+    """Lower-cased letters of a whole text, blanks for all else; None where it has no letter."""
     if text is None:
         return None
     lower = text.lower()
     raw = np.frombuffer(lower.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     # Letters keep their code, everything else is a blank: digits and signs name no language.
     letters = np.where(_is_letter()[raw], raw, np.uint32(32))
-    if not (letters != 32).any():
-        return None
+    return letters if (letters != 32).any() else None
+
+
+def counts(letters: np.ndarray) -> np.ndarray:
+    """Hashed n-gram counts of `codes`."""
     chars = np.concatenate(([np.uint32(32)], letters, [np.uint32(32)]))
     out = np.zeros(DIMENSIONS, dtype=np.float64)
     h = np.zeros(len(chars), dtype=np.uint32)
@@ -76,24 +85,59 @@ def spherical_means(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray
     return c
 
 
+def least_cosines(vectors, centroids, heads, idf, quantile: float, margin: float, enough: int) -> np.ndarray:
+    """The lowest cosine that a centroid (row) accepts from texts of 1, 2, 4 ... letters (column).
+
+    Every text of the sample is cut to each length and measured against centroids without
+    itself.  A limit is the quantile of the cosines nearest to the centroid where these are at
+    least `enough`, else of all of the language.  A length that fewer than four fifths of the
+    sample have takes the limit of the length before: a low quantile of few texts is chance.
+    """
+    own = np.argmax(vectors @ centroids.T, axis=1)
+    sums = np.array([vectors[own == i].sum(axis=0) for i in range(len(centroids))])
+    rest = sums[own] - vectors
+    size = np.linalg.norm(rest, axis=1, keepdims=True)
+    # A cluster of one text would not be there without it: the text is measured against others.
+    alone = (size[:, 0] <= 1e-9) & (len(centroids) > 1)
+    rest = np.where(size > 1e-9, rest / np.maximum(size, 1e-9), centroids[own])
+    places = [np.flatnonzero(h != 32) for h in heads]
+
+    def limits_of(v, at):
+        cos = v @ centroids.T
+        cos[np.arange(len(at)), own[at]] = np.where(alone[at], -1, (v * rest[at]).sum(axis=1))
+        near, best = np.argmax(cos, axis=1), cos.max(axis=1)
+        by = [best[near == i] for i in range(len(centroids))]
+        return [np.quantile(x if len(x) >= enough else best, quantile, method="lower") - margin for x in by]
+
+    out = np.empty((len(centroids), STEPS))
+    for step in range(STEPS):
+        long = np.array([i for i, p in enumerate(places) if len(p) >= 1 << step], dtype=np.int64)
+        if step and len(long) < 0.8 * len(heads):
+            out[:, step] = out[:, step - 1]
+            continue
+        v = unit(np.array([counts(heads[i][: places[i][(1 << step) - 1] + 1]) for i in long]), idf)
+        out[:, step] = limits_of(v, long)
+    return out
+
+
 class Model:
-    """IDF weights, centroids, the language of each and the lowest cosine it accepts."""
+    """IDF weights, centroids, the language of each and the lowest cosines it accepts (by length)."""
 
     def __init__(self, idf, centroids, langs, limits):
         self.idf, self.centroids, self.langs, self.limits = idf, centroids, langs, limits
 
 
 def fit(
-    labelled: DataFrame, per_language: int = 400, clusters: int = 4, slack: float = 0.4,
-    max_languages: int = 1000,
+    labelled: DataFrame, per_language: int = 400, clusters: int = 4, quantile: float = 0.02,
+    max_languages: int = 1000, margin: float = 0.01, enough: int = 100,
 ) -> Model:
     """Model from `text`, `lang` of labelled rows.
 
     At most `per_language` different texts of each language are used (those with the smallest
     hashes, so reruns agree) and at most `max_languages` languages; both bound what
     the tasks and the driver hold.  Rows with null lang or without a letter teach nothing.
-    A centroid accepts texts whose cosine is at least `slack` times the lowest one of its
-    sample.
+    A centroid accepts texts whose cosine is at least the `quantile` of those of its sample
+    at that length, less `margin`; see `least_cosines`.
     """
     spark = labelled.sparkSession
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
@@ -114,15 +158,20 @@ def fit(
 
     def vectors(batches):
         for b in small_batches(batches):
-            langs, tfs = [], []
+            langs, tfs, heads = [], [], []
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
-                tf = counts(text)
-                if tf is not None:
+                letters = codes(text)
+                if letters is not None:
                     langs.append(lang)
-                    tfs.append(tf.astype(np.float32).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(tfs, pa.binary())], ["lang", "tf"])
+                    tfs.append(counts(letters).astype(np.float32).tobytes())
+                    # What the longest length that limits are found for needs of the text.
+                    last = np.flatnonzero(letters != 32)[: 1 << (STEPS - 1)][-1]
+                    heads.append(letters[: last + 1].tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(langs, pa.string()), pa.array(tfs, pa.binary()), pa.array(heads, pa.binary())], ["lang", "tf", "head"]
+            )
 
-    tf = materialize(sample.mapInArrow(vectors, "lang string, tf binary"), "language-sample")
+    tf = materialize(sample.mapInArrow(vectors, "lang string, tf binary, head binary"), "language-sample")
 
     def seen(batches):
         n, df = 0, np.zeros(DIMENSIONS, dtype=np.int64)
@@ -133,7 +182,7 @@ def fit(
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([df.tolist()], pa.list_(pa.int64()))], ["n", "df"])
 
     # One row of document frequencies per partition of the bounded sample.
-    parts = tf.coalesce(8).mapInArrow(seen, "n long, df array<long>").collect()
+    parts = tf.select("tf").coalesce(8).mapInArrow(seen, "n long, df array<long>").collect()
     n = sum(r.n for r in parts)
     df = np.sum([r.df for r in parts], axis=0) if parts else np.zeros(DIMENSIONS)
     idf = np.log((1 + n) / (1 + np.asarray(df, dtype=np.float64))) + 1
@@ -141,22 +190,23 @@ def fit(
     def centroids(key, table):
         v = unit(np.array([np.frombuffer(x, dtype=np.float32) for x in table.column("tf").to_pylist()], dtype=np.float64), idf)
         c = spherical_means(v, clusters)
-        cos = v @ c.T
-        near = np.argmax(cos, axis=1)
-        rows = [(i, c[i].astype(np.float32).tobytes(), float(cos[near == i, i].min()) * slack) for i in range(len(c)) if (near == i).any()]
+        c = c[np.unique(np.argmax(v @ c.T, axis=1))]
+        heads = [np.frombuffer(x, dtype=np.uint32) for x in table.column("head").to_pylist()]
+        least = least_cosines(v, c, heads, idf, quantile, margin, enough)
+        rows = [(i, c[i].astype(np.float32).tobytes(), least[i].tolist()) for i in range(len(c))]
         return pa.table({
             "lang": pa.array([key[0].as_py()] * len(rows), pa.string()),
             "cluster": pa.array([r[0] for r in rows], pa.int32()),
             "centroid": pa.array([r[1] for r in rows], pa.binary()),
-            "least": pa.array([r[2] for r in rows], pa.float64()),
+            "least": pa.array([r[2] for r in rows], pa.list_(pa.float64())),
         })
 
     found = (
-        tf.groupBy("lang").applyInArrow(centroids, "lang string, cluster int, centroid binary, least double")
+        tf.groupBy("lang").applyInArrow(centroids, "lang string, cluster int, centroid binary, least array<double>")
         .orderBy("lang", "cluster").limit(max_languages * clusters).collect()
     )
     c = np.array([np.frombuffer(r.centroid, dtype=np.float32) for r in found]).reshape(len(found), DIMENSIONS)
-    return Model(idf, c.astype(np.float32), [r.lang for r in found], np.array([r.least for r in found]))
+    return Model(idf, c.astype(np.float32), [r.lang for r in found], np.array([r.least for r in found]).reshape(len(found), STEPS))
 
 
 def predict(docs: DataFrame, model: Model, keep=None) -> DataFrame:
@@ -170,15 +220,16 @@ def predict(docs: DataFrame, model: Model, keep=None) -> DataFrame:
     def label(batches):
         m = shared.value
         for b in small_batches(batches):
-            chunk = [counts(t.as_py()) for t in b.column("_text")]
-            some = [i for i, tf in enumerate(chunk) if tf is not None]
+            chunk = [codes(t.as_py()) for t in b.column("_text")]
+            some = [i for i, letters in enumerate(chunk) if letters is not None]
             lang, score, bad = [UNKNOWN] * len(chunk), [0.0] * len(chunk), [True] * len(chunk)
             if some and m.langs:
-                cos = unit(np.array([chunk[i] for i in some]), m.idf).astype(np.float32) @ m.centroids.T
+                cos = unit(np.array([counts(chunk[i]) for i in some]), m.idf).astype(np.float32) @ m.centroids.T
                 best = np.argmax(cos, axis=1)
                 for i, k, row in zip(some, best.tolist(), cos):
                     lang[i], score[i] = m.langs[k], float(min(1.0, max(0.0, row[k])))
-                    bad[i] = bool(row[k] < m.limits[k])
+                    long = np.log2((chunk[i] != 32).sum())
+                    bad[i] = bool(row[k] < np.interp(long, np.arange(STEPS), m.limits[k]))
             yield pa.RecordBatch.from_arrays(
                 [b.column("_row"), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(bad, pa.bool_())],
                 ["_row", "lang_pred", "score", "rejected"],

@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import base64
 import hashlib
 
 import numpy as np
@@ -208,6 +209,36 @@ def test_foreign_texts_are_rejected(spark):
     assert [r.rejected for r in got] == [True, False, False, False]
 
 
+FOREIGN = {
+    "Finnish": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja "
+               "omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "Dutch": "Alle mensen worden vrij en gelijk in waardigheid en rechten geboren. Zij zijn begiftigd met verstand en "
+             "geweten, en behoren zich jegens elkander in een geest van broederschap te gedragen.",
+    "Italian": "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione e di "
+               "coscienza e devono agire gli uni verso gli altri in spirito di fratellanza.",
+}
+
+
+def test_noise_and_unlearned_languages_are_rejected_and_held_out_texts_stay(spark):
+    rng = np.random.default_rng(7)
+
+    def noise(alphabet, n):
+        return " ".join("".join(rng.choice(list(alphabet), size=rng.integers(2, 10))) for _ in range(n))
+
+    every = "abcdefghijklmnopqrstuvwxyz"
+    odd = [noise(every, n) for n in (40, 100, 400) for _ in range(5)]
+    odd += [noise("bcdfghjklmnpqrstvwxz", n) for n in (40, 100, 400) for _ in range(5)]
+    odd += [base64.b64encode(rng.bytes(n)).decode() for n in (200, 1000, 4000) for _ in range(5)]
+    odd += FOREIGN.values()
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.fit(language.training(docs))
+    frame = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    kept = [r for r in language.predict(frame, model).collect() if not r.rejected]
+    assert kept == []
+    held = language.predict(docs.where(language.held_out(F.col("doc_id"))), model).collect()
+    assert len(held) > 250 and sum(not r.rejected for r in held) >= 0.96 * len(held)
+
+
 def test_lines(spark, docs, nothing):
     rows = lines.line_dedup(docs).collect()
     assert len(rows) == len(ROWS)
