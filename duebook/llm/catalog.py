@@ -1,7 +1,7 @@
 """Registered queries of the training-data operators, and SQL where SQL can express them."""
 
 import corpus_pipeline
-from duebook.llm import bpe, language, lines, mixing, near_dup, quality, repeats, sharding, topk, urls
+from duebook.llm import bpe, clusters, language, lines, mixing, near_dup, quality, repeats, sharding, topk, urls
 
 
 def queries():
@@ -16,6 +16,7 @@ def queries():
         "op8_line_dedup": lines.op8_line_dedup,
         "op9_shards": sharding.op9_shards,
         "op10_top_k": topk.op10_top_k,
+        "op13_centroid_clusters": clusters.op13_centroid_clusters,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -29,4 +30,5 @@ def oracle_sql():
         "op6_url_filter": urls.OP6_SQL,
         "op8_line_dedup": lines.OP8_SQL,
         "op10_top_k": topk.OP10_SQL,
+        "op13_centroid_clusters": clusters.OP13_SQL,
     }
