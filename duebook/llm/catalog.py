@@ -1,7 +1,9 @@
 """Registered queries of the training-data operators, and SQL where SQL can express them."""
 
 import corpus_pipeline
-from duebook.llm import bpe, clusters, language, lines, mixing, near_dup, quality, repeats, sharding, topk, urls
+from duebook.llm import (
+    bpe, clusters, language, lines, mixing, near_dup, packing, prefix_trie, quality, repeats, sharding, topk, urls,
+)
 
 
 def queries():
@@ -16,6 +18,8 @@ def queries():
         "op8_line_dedup": lines.op8_line_dedup,
         "op9_shards": sharding.op9_shards,
         "op10_top_k": topk.op10_top_k,
+        "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+        "op12_best_fit": packing.op12_best_fit,
         "op13_centroid_clusters": clusters.op13_centroid_clusters,
         "pipeline": corpus_pipeline.run,
     }
@@ -30,5 +34,6 @@ def oracle_sql():
         "op6_url_filter": urls.OP6_SQL,
         "op8_line_dedup": lines.OP8_SQL,
         "op10_top_k": topk.OP10_SQL,
+        "op11_prefix_trie": prefix_trie.OP11_SQL,
         "op13_centroid_clusters": clusters.OP13_SQL,
     }

@@ -12,6 +12,7 @@ centroid, which are added up exactly; means are rounded down in whole numbers.
 Vectors are never shuffled and never gathered: a task holds one Arrow batch and the tree.
 """
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -219,17 +220,12 @@ def cluster(
 
 def with_inertia(found: DataFrame, points: np.ndarray) -> DataFrame:
     """Adds the inertia of the cluster and of all, and the digest of the centroid."""
-    spark = found.sparkSession
-    total = F.sum(F.col("distance").cast("decimal(38,0)"))
-    per = found.groupBy("cluster").agg(total.alias("own"))  # at most k rows
-    digests = spark.createDataFrame(
-        [(i, ",".join(map(str, p))) for i, p in enumerate(points.tolist())], "cluster int, components string"
-    )
-    limit = F.lit(_LONG).cast("decimal(38,0)")
-    facts = per.join(F.broadcast(digests), "cluster").crossJoin(F.broadcast(per.agg(F.sum("own").alias("all_own")))).select(
-        "cluster", F.least("own", limit).cast("long").alias("cluster_inertia"),
-        F.least("all_own", limit).cast("long").alias("inertia"),
-        F.sha2("components", 256).alias("centroid_sha256"),
+    per = found.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("own")).collect()  # at most k rows
+    own = {r.cluster: int(r.own) for r in per}
+    facts = found.sparkSession.createDataFrame(
+        [(c, min(own[c], _LONG), min(sum(own.values()), _LONG),
+          hashlib.sha256(",".join(map(str, points[c].tolist())).encode()).hexdigest()) for c in sorted(own)],
+        "cluster int, cluster_inertia long, inertia long, centroid_sha256 string",
     )
     return found.join(F.broadcast(facts), "cluster").select(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
