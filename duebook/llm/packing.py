@@ -18,9 +18,9 @@ least, and one for each piece of more than half a sequence.
 import functools
 import os
 import re
+import struct
 import zlib
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -34,11 +34,27 @@ from duebook.storage import discard, materialize
 VOCABULARY = "byte_bpe_50k.json"
 CAPACITY = 2048
 END = 0
-CACHED = 1 << 17  # words of up to WORD characters that a worker remembers
-WORD = 48
+CACHED = 1 << 17  # parts of up to PART characters that a worker remembers, twice
+PART = 48
+
 # Between a character that is not white space and a blank or a newline no match of the
-# splitting pattern goes on, so parts cut there are encoded on their own.
-_PART = re.compile(r"(?<=\S)(?=[ \n])")
+# splitting pattern goes on, nor between a letter and an ASCII sign or digit.  So texts may be
+# cut there and their parts encoded on their own.
+_PARTS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")  # the same cuts where there is no other white space
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+_CUT = re.compile(r"(?<=\S)(?=[ \n])")
+_WORD = re.compile("(\n?)( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([\x00-@\\[-`{-\x7f].*)?", re.DOTALL)
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself, or the next free one from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Encoder:
@@ -46,21 +62,47 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        parts = [_PART.split(t) if t else [] for t in texts]
-        new = list({p for ps in parts for p in ps}.difference(self.known))
-        fresh = {
-            p: np.array(e.ids, dtype="<u4").tobytes()
-            for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False))
-        }
-        known = self.known
-        out = [b"".join([known[p] if p in known else fresh[p] for p in ps]) for ps in parts]
-        if len(known) + len(fresh) > CACHED:
-            known.clear()
-        known.update((p, i) for p, i in fresh.items() if len(p) <= WORD)
-        return out
+        self.tokenizer, self.letters = Tokenizer.from_file(path), _byte_letters()
+        self.model = self.tokenizer.model
+        self.new, self.old = {}, {}  # parts seen lately, and before these
+
+    def _whole(self, text: str) -> bytes:
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _part(self, part: str) -> bytes:
+        found = self.new.get(part)
+        if found is None:
+            found = self.old.get(part)
+            if found is None:
+                found = self._fresh(part)
+            if len(part) <= PART:
+                if len(self.new) >= CACHED:
+                    self.old, self.new = self.new, {}
+                self.new[part] = found
+        return found
+
+    def _fresh(self, part: str) -> bytes:
+        word = _WORD.fullmatch(part)
+        if not word:
+            return self._whole(part)
+        line, letters, rest = word.groups()
+        # A blank and letters are one match of the splitting pattern: only merging is left to do.
+        if letters.isascii():
+            shown = letters.replace(" ", self.letters[32])
+        else:
+            shown = letters.encode().decode("latin-1").translate(self.letters)
+        raw = _packed([t.id for t in self.model.tokenize(shown)])
+        return (self._part(line) if line else b"") + raw + (self._part(rest) if rest else b"")
+
+    def ids(self, text: str) -> bytes:
+        parts = _CUT.split(text) if _OTHER_SPACE.search(text) else _PARTS.findall(text)
+        new, out = self.new, []
+        for p in parts:
+            found = new.get(p)
+            if found is None:
+                found, new = self._part(p), self.new
+            out.append(found)
+        return b"".join(out)
 
 
 @functools.cache
@@ -78,8 +120,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END,
         enc, number = encoder(path), TaskContext.get().partitionId() << 40
         for b in small_batches(batches, 64):
             rows = []
-            for place, raw in enumerate(enc.ids([t or "" for t in b.column(1).to_pylist()])):
-                raw += int(end).to_bytes(4, "little")
+            for place, text in enumerate(b.column(1)):
+                raw = enc.ids(text.as_py() or "") + int(end).to_bytes(4, "little")
                 n = len(raw) // 4
                 first = n if n <= capacity else (n % capacity or capacity)
                 cuts = [0, *range(first, n + 1, capacity)]
