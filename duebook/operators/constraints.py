@@ -120,38 +120,39 @@ def row_rules(table: str) -> dict[str, Column]:
     return rules
 
 
-def _rules(tables) -> list[tuple[str, str, str]]:
-    """(table, rule, kind) of every rule that applies to the supplied tables."""
-    out = []
+def _spaces(tables) -> dict[tuple[str, str], list[tuple[str, str]]]:
+    """Value spaces: the (table, column) that owns the values -> all key columns that take them, the owner first."""
+    out = {(t, c): [(t, c)] for t in tables for c in UNIQUE.get(t, [])
+           if REFERENCES.get(t, {}).get(c) not in tables}
     for t in tables:
-        out += [(t, rule, "row") for rule in row_rules(t)]
-        out += [(t, f"{c} UNIQUE", "unique") for c in UNIQUE.get(t, [])]
-        out += [(t, f"{c} REFERENCES", "reference") for c, p in REFERENCES.get(t, {}).items() if p in tables]
+        for c, parent in REFERENCES.get(t, {}).items():
+            if parent in tables:
+                out.setdefault((parent, c), [(parent, c)]).append((t, c))
     return out
 
 
-def _entry(number: int, df: DataFrame, column: str | None, parent=False, when: Column | None = None) -> Column:
-    """A struct (rule, long_key, text_key, parent); null where there is nothing to note."""
-    is_long = column is not None and df.schema[column].dataType.typeName() in ("long", "integer")
-    key = F.lit(None) if column is None else F.col(column)
+def _entry(space: int, role: int, key: Column | None, is_long: bool, when: Column) -> Column:
+    """A struct (space, role, long_key, text_key); null where there is nothing to note."""
+    key = F.lit(None) if key is None else key
     noted = F.struct(
-        F.lit(number).alias("rule_number"),
+        F.lit(space).alias("space"), F.lit(role).alias("role"),
         (key if is_long else F.lit(None)).cast("bigint").alias("long_key"),
         (F.lit(None) if is_long else key).cast("string").alias("text_key"),
-        F.lit(parent).alias("parent"),
     )
-    return F.when(key.isNotNull() if when is None else when, noted)
-
-
-def _entries(table: str, df: DataFrame, tables, numbers) -> DataFrame:
-    """Broken row rules and key values of one table, all from one reading of it."""
-    found = [_entry(numbers[table, rule], df, None, when=bad) for rule, bad in row_rules(table).items()]
-    found += [_entry(numbers[table, f"{c} UNIQUE"], df, c) for c in UNIQUE.get(table, [])]
-    for child in tables:
-        for c, parent in REFERENCES.get(child, {}).items():
-            if parent in tables and table in (child, parent):
-                rule = numbers[child, f"{c} REFERENCES"]
-                found += [_entry(rule, df, c)] * (table == child) + [_entry(rule, df, c, parent=True)] * (table == parent)
+    return F.when(when, noted)
+
+
+def _entries(table: str, df: DataFrame, spaces, broken) -> DataFrame:
+    """Broken row rules and key values of one table, all from one reading of it.
+
+    A key value is noted once, however many rules it takes part in.
+    """
+    found = [_entry(broken[table, rule], 0, None, False, bad) for rule, bad in row_rules(table).items()]
+    for number, users in enumerate(spaces.values()):
+        for role, (t, c) in enumerate(users):
+            if t == table:
+                is_long = df.schema[c].dataType.typeName() in ("long", "integer")
+                found.append(_entry(number, role, F.col(c), is_long, F.col(c).isNotNull()))
     return df.select(F.inline(F.filter(F.array(*found), lambda e: e.isNotNull())))
 
 
@@ -166,26 +167,33 @@ def orphan_count(df: DataFrame, column: str, parent: DataFrame, name: str) -> Da
 def constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
     """Violations per table and rule: every table is read once, and one shuffle counts all keys.
 
-    Keys keep their type and are counted per value before the shuffle.  A unique rule counts
-    the rows beyond the first of a value, a foreign key the rows whose value the parent lacks;
-    it is checked where the parent table is supplied as well.
+    A value goes to the shuffle once per key column that has it, counted beforehand; all rules
+    about it are judged there from how often each column has it.  A unique rule counts the rows
+    beyond the first of a value, a foreign key the rows whose value the parent lacks; it is
+    checked where the parent table is supplied as well.
     """
-    rules = _rules(tables)
-    numbers = {(t, rule): i for i, (t, rule, _) in enumerate(rules)}
-    entries = reduce(DataFrame.unionByName, [_entries(t, df, tables, numbers) for t, df in tables.items()])
-    counted = entries.groupBy("rule_number", "long_key", "text_key").agg(
-        F.count_if(~F.col("parent")).alias("_n"), F.count_if(F.col("parent")).alias("_known")
-    )
-    kind = F.get(F.array(*[F.lit(k) for _, _, k in rules]), F.col("rule_number"))
-    wrong = (
-        F.when(kind == "row", F.col("_n")).when(kind == "unique", F.col("_n") - 1)
-        .when(F.col("_known") == 0, F.col("_n")).otherwise(0)
+    spaces = _spaces(tables)
+    rows = [(t, rule) for t in tables for rule in row_rules(t)]
+    broken = {r: -1 - i for i, r in enumerate(rows)}  # row rules are spaces without keys
+    entries = reduce(DataFrame.unionByName, [_entries(t, df, spaces, broken) for t, df in tables.items()])
+    roles = range(max(len(u) for u in spaces.values()))
+    n = [F.col(f"_n{r}") for r in roles]
+    counted = entries.groupBy("space", "long_key", "text_key").agg(
+        *[F.count_if(F.col("role") == r).alias(f"_n{r}") for r in roles]
     )
-    sums = counted.groupBy("rule_number").agg(F.sum(wrong).alias("_violations"))
-    spark = entries.sparkSession
-    named = spark.createDataFrame(
-        [(i, t, rule) for i, (t, rule, _) in enumerate(rules)], "rule_number int, table_name string, rule string"
+    figures = [F.sum(n[0]).alias("rows")]
+    for r in roles:
+        figures.append(F.sum(F.greatest(n[r] - 1, F.lit(0))).alias(f"unique_{r}"))
+        figures.append(F.sum(F.when(n[0] == 0, n[r]).otherwise(0)).alias(f"reference_{r}"))
+    sums = counted.groupBy("space").agg(*figures).unpivot(
+        "space", [f"{kind}_{r}" for r in roles for kind in ("unique", "reference")] + ["rows"], "measure", "_violations"
     )
-    return named.join(sums, "rule_number", "left").select(
+    rules = [(broken[r], "rows", *r) for r in rows]
+    for number, users in enumerate(spaces.values()):
+        for role, (t, c) in enumerate(users):
+            rules += [(number, f"unique_{role}", t, f"{c} UNIQUE")] * (c in UNIQUE.get(t, []))
+            rules += [(number, f"reference_{role}", t, f"{c} REFERENCES")] * (role > 0)
+    named = entries.sparkSession.createDataFrame(rules, "space int, measure string, table_name string, rule string")
+    return named.join(sums, ["space", "measure"], "left").select(
         "table_name", "rule", F.coalesce("_violations", F.lit(0)).cast("bigint").alias("violations")
     )

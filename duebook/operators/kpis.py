@@ -15,8 +15,8 @@ def _statuses(column: str, names: dict[str, str]) -> list[Column]:
     return [F.count_if(F.col(column) == status).alias(name) for name, status in names.items()]
 
 
-def portfolio_kpis(invoices: DataFrame, by=()) -> DataFrame:
-    return invoices.groupBy(*by).agg(
+def _portfolio() -> list[Column]:
+    return [
         F.count("*").alias("total_invoices"),
         total0(F.col("invoice_amount")).alias("total_invoice_amount"),
         total0(F.col("amount_paid")).alias("total_amount_paid"),
@@ -29,41 +29,92 @@ def portfolio_kpis(invoices: DataFrame, by=()) -> DataFrame:
                 "partially_paid_invoices": "PARTIALLY_PAID",
             },
         ),
-    )
+    ]
 
 
-def overdue_kpis(aging: DataFrame, by=()) -> DataFrame:
-    late = aging.where((F.col("days_past_due") > 0) & (F.col("outstanding_amount") > 0))
+def _overdue() -> list[Column]:
     zero = F.lit(0)
-    return late.groupBy(*by).agg(
+    return [
         F.count("*").alias("overdue_invoices"),
         total0(F.col("outstanding_amount")).alias("overdue_outstanding"),
         F.coalesce(F.max("days_past_due"), zero).alias("maximum_days_past_due"),
         F.round(F.coalesce(F.avg("days_past_due"), zero), 4).alias("average_days_past_due"),
-    )
+    ]
 
 
-def orchestration_kpis(runs: DataFrame, by=()) -> DataFrame:
+def _orchestration() -> list[Column]:
     names = ("completed", "failed", "waiting_approval", "processing", "queued")
-    return runs.groupBy(*by).agg(
+    return [
         F.count("*").alias("total_orchestrations"),
         *_statuses("orchestration_status", {n: n.upper() for n in names}),
-    )
+    ]
 
 
-def approval_kpis(approvals: DataFrame, by=()) -> DataFrame:
+def _approval() -> list[Column]:
     names = ("pending", "approved", "executed")
-    return approvals.groupBy(*by).agg(
-        F.count("*").alias("total_approvals"),
-        *_statuses("approval_status", {n: n.upper() for n in names}),
-    )
+    return [F.count("*").alias("total_approvals"), *_statuses("approval_status", {n: n.upper() for n in names})]
 
 
-def notification_kpis(outbox: DataFrame, by=()) -> DataFrame:
+def _notification() -> list[Column]:
     names = ("pending", "processing", "sent", "failed")
-    return outbox.groupBy(*by).agg(
+    return [
         F.count("*").alias("total_notifications"),
         *_statuses("notification_status", {n: n.upper() for n in names}),
+    ]
+
+
+def _late(aging: DataFrame) -> DataFrame:
+    return aging.where((F.col("days_past_due") > 0) & (F.col("outstanding_amount") > 0))
+
+
+def portfolio_kpis(invoices: DataFrame, by=()) -> DataFrame:
+    return invoices.groupBy(*by).agg(*_portfolio())
+
+
+def overdue_kpis(aging: DataFrame, by=()) -> DataFrame:
+    return _late(aging).groupBy(*by).agg(*_overdue())
+
+
+def orchestration_kpis(runs: DataFrame, by=()) -> DataFrame:
+    return runs.groupBy(*by).agg(*_orchestration())
+
+
+def approval_kpis(approvals: DataFrame, by=()) -> DataFrame:
+    return approvals.groupBy(*by).agg(*_approval())
+
+
+def notification_kpis(outbox: DataFrame, by=()) -> DataFrame:
+    return outbox.groupBy(*by).agg(*_notification())
+
+
+def _by_each(df: DataFrame, dimensions, measures) -> DataFrame:
+    """Measures over all rows and per value of each dimension alone, from one pass.
+
+    `dimension` is ALL or a column's name, `value` its value (NULL is a value of its own); with
+    no rows there is the ALL row only.
+    """
+    if not dimensions:
+        return df.agg(*measures).select(F.lit("ALL").alias("dimension"), F.lit(None).cast("string").alias("value"), "*")
+    sets = [[], *[[d] for d in dimensions]]
+    inside = [(F.grouping(d) == 0).alias(f"_in_{d}") for d in dimensions]
+    rows = df.groupingSets(sets, *dimensions).agg(*inside, *measures)
+    dimension = first_match([(F.col(f"_in_{d}"), F.lit(d)) for d in dimensions], F.lit("ALL"))
+    value = first_match([(F.col(f"_in_{d}"), F.col(d).cast("string")) for d in dimensions])
+    return rows.select(
+        dimension.alias("dimension"), value.alias("value"),
+        *[c for c in rows.columns if c not in dimensions and not c.startswith("_in_")],
+    )
+
+
+def indicators_by_each(invoices, aging, runs, approvals, outbox, dimensions) -> tuple[DataFrame, ...]:
+    """The five indicator frames over all rows and per value of each dimension.
+
+    Every frame has the dimensions as columns and is read once, however many there are.
+    """
+    return (
+        _by_each(invoices, dimensions, _portfolio()), _by_each(_late(aging), dimensions, _overdue()),
+        _by_each(runs, dimensions, _orchestration()), _by_each(approvals, dimensions, _approval()),
+        _by_each(outbox, dimensions, _notification()),
     )
 
 

@@ -7,6 +7,7 @@ from duebook import constants as K
 from duebook.functions.expr import at_least, fill
 from duebook.operators import aging as A
 from duebook.operators import risk as R
+from duebook.operators.requested import requested
 
 OVERDUE_COLUMNS = (
     "invoice_id", "invoice_number", "invoice_date", "due_date", "outstanding_amount",
@@ -42,8 +43,8 @@ def customer_summary(
     """
     date = A.as_of_column(invoices, as_of)
     wanted = ids.select("customer_id")
-    invoices = invoices.join(wanted, "customer_id", "left_semi")
-    asked = customers.join(wanted, "customer_id", "left_semi")
+    invoices = requested(invoices, wanted, "customer_id")
+    asked = requested(customers, wanted, "customer_id")
     return R.customer_risk_summary(R.customer_collection_summary(asked, invoices, date))
 
 
@@ -61,7 +62,10 @@ def overdue_invoices(
     before the shuffle as well, so a customer with very many invoices sends few rows per task.
     Without one, `worst_first` gives the order in which a customer's rows are to be shown.
     """
-    late = A.age_invoices(invoices, as_of).where(F.col("days_past_due") > 0)
+    date = A.as_of_column(invoices, as_of)
+    if ids is not None:
+        invoices = requested(invoices, ids, "customer_id")
+    late = A.age_invoices(invoices, date).where(F.col("days_past_due") > 0)
     days, amount = F.col("days_past_due"), F.col("outstanding_amount")
     out = late.withColumns(
         {
@@ -69,8 +73,6 @@ def overdue_invoices(
             "recommended_action": A.action_of(days, amount),
         }
     ).select("customer_id", *OVERDUE_COLUMNS)
-    if ids is not None:
-        out = out.join(ids.select("customer_id"), "customer_id", "left_semi")
     out = out.join(customers.select("customer_id"), "customer_id", "left_semi")
     if limit is None:
         return out
@@ -82,11 +84,7 @@ def invoice_details(
     invoices: DataFrame, customers: DataFrame, numbers: DataFrame | None = None, as_of=None
 ) -> DataFrame:
     """Invoices with customer and aging; aging is NULL for invoices without a balance."""
-    if numbers is not None:
-        wanted = numbers.select("invoice_number")
-        found = invoices.join(wanted, "invoice_number", "left_semi")
-    else:
-        found = invoices
+    found = invoices if numbers is None else requested(invoices, numbers, "invoice_number")
     amount = F.col("outstanding_amount")
     is_open = amount > 0
     days = F.col("_days")
@@ -111,21 +109,41 @@ def _table_type(df: DataFrame) -> str:
 
 
 def register_lookups(
-    spark: SparkSession, invoices: DataFrame, customers: DataFrame, aging: DataFrame, risk: DataFrame
+    spark: SparkSession, invoices: DataFrame, customers: DataFrame, aging: DataFrame, risk: DataFrame, strict=True
 ) -> None:
-    """Views and SQL table functions, callable as ``SELECT * FROM get_customer_summary(42)``."""
+    """Views and SQL table functions, callable as ``SELECT * FROM get_customer_summary(42)``.
+
+    An id that does not exist is an error.  With strict=False it has no rows, which suits
+    lateral joins over many ids.
+    """
     aging.createOrReplaceTempView("vw_ar_aging_detail")
     risk.createOrReplaceTempView("vw_customer_risk_summary")
-    invoice_details(invoices, customers).createOrReplaceTempView("vw_invoice_details")
+    customers.select("customer_id").createOrReplaceTempView("vw_known_customers")
+    details = invoice_details(invoices, customers)
+    details.createOrReplaceTempView("vw_invoice_details")
     overdue, queue = ", ".join(OVERDUE_COLUMNS), ", ".join(A.QUEUE_COLUMNS)
+
+    def known(view, key, message):
+        """One row, the wanted id, if the view has it; else an error."""
+        said = message.replace("%s", "' || CAST(wanted AS STRING) || '")
+        return (
+            f"(SELECT CASE WHEN found > 0 THEN wanted ELSE raise_error('{said}') END AS known_id "
+            f"FROM (SELECT count(*) AS found FROM {view} WHERE {key} = wanted))"
+        )
+
+    def body(columns, view, key, message, more="", owner=None):
+        if not strict:
+            return f"SELECT {columns} FROM {view} WHERE {key} = wanted{more}"
+        return f"SELECT {columns} FROM {known(owner or view, key, message)} JOIN {view} ON {key} = known_id{more}"
+
     functions = {
         "get_customer_summary(wanted BIGINT)": (
-            risk, "SELECT * FROM vw_customer_risk_summary WHERE customer_id = wanted",
+            risk, body(", ".join(risk.columns), "vw_customer_risk_summary", "customer_id", K.ERR_CUSTOMER_LOOKUP),
         ),
         "get_overdue_invoices(wanted BIGINT)": (
             aging.select(*OVERDUE_COLUMNS),
-            f"SELECT {overdue} FROM vw_ar_aging_detail WHERE customer_id = wanted AND days_past_due > 0 "
-            "ORDER BY days_past_due DESC, outstanding_amount DESC, invoice_id",
+            body(overdue, "vw_ar_aging_detail", "customer_id", K.ERR_CUSTOMER_LOOKUP, " AND days_past_due > 0 "
+                 "ORDER BY days_past_due DESC, outstanding_amount DESC, invoice_id", "vw_known_customers"),
         ),
         "get_collection_queue(wanted STRING DEFAULT NULL)": (
             aging.select(*A.QUEUE_COLUMNS),
@@ -133,12 +151,11 @@ def register_lookups(
             "WHERE wanted IS NULL OR collection_priority = upper(wanted)",
         ),
         "get_invoice_details(wanted STRING)": (
-            spark.table("vw_invoice_details"),
-            "SELECT * FROM vw_invoice_details WHERE invoice_number = wanted",
+            details, body(", ".join(details.columns), "vw_invoice_details", "invoice_number", K.ERR_INVOICE_LOOKUP),
         ),
     }
-    for signature, (shape, body) in functions.items():
+    for signature, (shape, text) in functions.items():
         spark.sql(
             f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} "
-            f"RETURNS TABLE({_table_type(shape)}) RETURN {body}"
+            f"RETURNS TABLE({_table_type(shape)}) RETURN {text}"
         )

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from duebook import constants as K
 from duebook.functions.expr import top_with
+from duebook.operators.requested import requested
 
 
 def status_summary(df: DataFrame, column: str, count_name: str) -> DataFrame:
@@ -122,7 +123,7 @@ def outbox_listing(outbox: DataFrame) -> DataFrame:
 def orchestration_status(runs: DataFrame, approvals: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """Runs with the conversation of their approval."""
     if ids is not None:
-        runs = runs.join(ids.select("orchestration_id"), "orchestration_id", "left_semi")
+        runs = requested(runs, ids, "orchestration_id")
     return runs.join(approvals.select("approval_id", "conversation_id"), "approval_id", "left").select(
         "orchestration_id", "invoice_number", "approval_id", "notification_id",
         "orchestration_status", "current_step", "started_at", "completed_at", "error_message",
@@ -132,7 +133,7 @@ def orchestration_status(runs: DataFrame, approvals: DataFrame, ids: DataFrame |
 
 def record_lookup(table: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     """Full rows of the requested ids."""
-    return table.join(ids.select(key), key, "left_semi")
+    return requested(table, ids, key)
 
 
 def customer_contacts(customers: DataFrame) -> DataFrame:

@@ -30,6 +30,7 @@ class Transition(NamedTuple):
     tables: dict[str, DataFrame]  # next state, by table name
     events: DataFrame | None  # audit rows
     rejects: DataFrame  # requests without effect: reason and message
+    added: dict[str, DataFrame] = {}  # the new rows of tables that only grow
 
 
 def highest(df: DataFrame, key: str) -> Column:
@@ -37,6 +38,11 @@ def highest(df: DataFrame, key: str) -> Column:
     return df.agg(F.coalesce(F.max(key), F.lit(0)).cast("bigint")).scalar()
 
 
+def _last_id(ids: dict[str, int] | None, df: DataFrame, key: str) -> Column:
+    """Highest id so far: from `ids` where it is known, else from the table."""
+    return F.lit(ids[key]).cast("bigint") if ids and key in ids else highest(df, key)
+
+
 def first_request(requests: DataFrame, key: str, order: str) -> DataFrame:
     """The earliest request per id; partial aggregation keeps busy ids cheap."""
     rest = [c for c in requests.columns if c != key]
@@ -82,12 +88,15 @@ def _audit(df: DataFrame, kind: str, now: Column, tool: str, arguments: Column,
     return conform(df.withColumns(given), ACTIVITY)
 
 
+def numbered_events(events: DataFrame, last: Column) -> DataFrame:
+    """Audit rows with the ids after `last`."""
+    order = ["activity_time", "conversation_id", "activity_type", "tool_arguments"]
+    return conform(dense_key(events, "activity_id", order, last), ACTIVITY)
+
+
 def append_events(log: DataFrame, events: DataFrame) -> DataFrame:
     """The activity log with new events; their ids continue the log's."""
-    order = ["activity_time", "conversation_id", "activity_type", "tool_arguments"]
-    return log.unionByName(
-        conform(dense_key(events, "activity_id", order, highest(log, "activity_id")), ACTIVITY)
-    )
+    return log.unionByName(numbered_events(events, highest(log, "activity_id")))
 
 
 # ---- recipients -------------------------------------------------------------------------
@@ -103,8 +112,10 @@ def resolve_recipients(
         "customer_id", "customer_name", empty_to_null(F.col("email")).alias("_email"),
         F.upper("status").alias("_status"), F.lit(True).alias("_known"),
     )
-    # One row per number: requests must not multiply where invoices share one.
-    owner = invoices.groupBy("invoice_number").agg(
+    # Only requested invoices are grouped, to one row per number: requests must not multiply
+    # where invoices share one.
+    asked = requests.select("invoice_number").distinct()
+    owner = invoices.join(asked, "invoice_number", "left_semi").groupBy("invoice_number").agg(
         F.min_by("customer_id", "invoice_id").alias("customer_id"), F.count("*").alias("_same")
     )
     # Requests drive both joins, so customers are only met for the requested invoices.
@@ -130,11 +141,13 @@ def resolve_recipients(
 
 
 # ---- approvals --------------------------------------------------------------------------
-def request_reminders(requests: DataFrame, approvals: DataFrame, now: Column) -> Transition:
+def request_reminders(
+    requests: DataFrame, approvals: DataFrame, now: Column, ids: dict[str, int] | None = None
+) -> Transition:
     """A pending approval per request (request_id, conversation_id, requested_by, invoice_number)."""
     keyed = dense_key(
         requests.where(F.col("invoice_number").isNotNull()),
-        "approval_id", ["request_id"], highest(approvals, "approval_id"),
+        "approval_id", ["request_id"], _last_id(ids, approvals, "approval_id"),
     )
     invoice = F.col("invoice_number")
     new = conform(
@@ -153,7 +166,7 @@ def request_reminders(requests: DataFrame, approvals: DataFrame, now: Column) ->
         keyed, "APPROVAL_REQUEST", now, K.REMINDER_ACTION, F.struct("invoice_number", "approval_id")
     )
     rejects = requests.where(invoice.isNull()).withColumn("reason", F.lit("NO_INVOICE_NUMBER"))
-    return Transition({APPROVALS: approvals.unionByName(new)}, events, rejects)
+    return Transition({APPROVALS: approvals.unionByName(new)}, events, rejects, {APPROVALS: new})
 
 
 def decide_approvals(approvals: DataFrame, decisions: DataFrame, now: Column) -> Transition:
@@ -234,9 +247,18 @@ def _new_notifications(ok: DataFrame, now: Column, body: Column) -> DataFrame:
     )
 
 
+def _queued(outbox: DataFrame, wanted: DataFrame) -> DataFrame:
+    """First notification (`_queued`) of each wanted approval that has one."""
+    return (
+        outbox.select("approval_id", "notification_id").join(wanted.select("approval_id").distinct(), "approval_id", "left_semi")
+        .groupBy("approval_id").agg(F.min("notification_id").alias("_queued"))
+    )
+
+
 def execute_approved(
     approvals: DataFrame, outbox: DataFrame, requests: DataFrame, now: Column,
     invoices: DataFrame | None = None, customers: DataFrame | None = None, form="recipient",
+    ids: dict[str, int] | None = None,
 ) -> Transition:
     """Queue the reminders of approved requests (request_id, approval_id).
 
@@ -265,7 +287,7 @@ def execute_approved(
         )
         checks.append((F.col("_why").isNotNull(), F.col("_why"), F.col("_text")))
     if form != "message":
-        queued = outbox.groupBy("approval_id").agg(F.min("notification_id").alias("_queued"))
+        queued = _queued(outbox, wanted)
         found = found.join(queued, "approval_id", "left")
         checks.append(
             (F.col("_queued").isNotNull(), "DUPLICATE_NOTIFICATION",
@@ -277,11 +299,11 @@ def execute_approved(
 
     ok = outcome.where(F.col("reason").isNull())
     invoice = F.col("invoice_number")
-    tables = {}
+    tables, added = {}, {}
     if form == "message":
         done = ok.withColumn("_done", fill(K.TEXT_EXECUTED_MESSAGE_ONLY, invoice))
     else:
-        ok = dense_key(ok, "notification_id", ["approval_id"], highest(outbox, "notification_id"))
+        ok = dense_key(ok, "notification_id", ["approval_id"], _last_id(ids, outbox, "notification_id"))
         nid = F.col("notification_id")
         if form == "plain":
             body = fill(K.TEXT_BODY_PLAIN, invoice)
@@ -293,7 +315,8 @@ def execute_approved(
             done = ok.withColumn(
                 "_done", fill(K.TEXT_EXECUTED, invoice, F.col("recipient_address"), nid)
             )
-        tables[OUTBOX] = outbox.unionByName(_new_notifications(ok, now, body))
+        added[OUTBOX] = _new_notifications(ok, now, body)
+        tables[OUTBOX] = outbox.unionByName(added[OUTBOX])
     after = approvals.join(done.select("approval_id", "_done"), "approval_id", "left")
     hit = F.col("_done").isNotNull()
     tables[APPROVALS] = conform(
@@ -326,7 +349,7 @@ def execute_approved(
         .where(F.col("reason").isNotNull())
         .select("request_id", "approval_id", "reason", "message")
     )
-    return Transition(tables, events, rejects)
+    return Transition(tables, events, rejects, added)
 
 
 # ---- notifications ------------------------------------------------------------------------
@@ -433,7 +456,9 @@ def apply_delivery_results(
     return Transition({OUTBOX: conform(moved, OUTBOX)}, None, rejects)
 
 
-def requeue(outbox: DataFrame, log: DataFrame, requests: DataFrame, now: Column) -> Transition:
+def requeue(
+    outbox: DataFrame, log: DataFrame, requests: DataFrame, now: Column, ids: dict[str, int] | None = None
+) -> Transition:
     """Send DEAD, FAILED and RETRY notifications back to PENDING, with a recovery log row.
 
     `requests` has request_id, notification_id, recovered_by and recovery_reason.
@@ -467,7 +492,7 @@ def requeue(outbox: DataFrame, log: DataFrame, requests: DataFrame, now: Column)
             F.coalesce("_by", F.lit(K.REVIEWER)).alias("recovered_by"),
             F.coalesce("_reason", F.lit(K.TEXT_RECOVERY_REASON)).alias("recovery_reason"),
         ),
-        "recovery_id", ["notification_id"], highest(log, "recovery_id"),
+        "recovery_id", ["notification_id"], _last_id(ids, log, "recovery_id"),
     )
     rows = conform(
         recovered.withColumns({"new_status": F.lit("PENDING"), "recovered_at": now}), RECOVERY
@@ -491,7 +516,7 @@ def requeue(outbox: DataFrame, log: DataFrame, requests: DataFrame, now: Column)
         .select("request_id", "notification_id", "reason", "message")
     )
     return Transition(
-        {OUTBOX: conform(moved, OUTBOX), RECOVERY: log.unionByName(rows)}, rows, rejects
+        {OUTBOX: conform(moved, OUTBOX), RECOVERY: log.unionByName(rows)}, rows, rejects, {RECOVERY: rows}
     )
 
 
@@ -506,6 +531,7 @@ def conversation_for(run: Column) -> Column:
 def start_orchestrations(
     requests: DataFrame, runs: DataFrame, approvals: DataFrame, conversations: DataFrame,
     invoices: DataFrame, customers: DataFrame, now: Column, created_by="SYSTEM",
+    ids: dict[str, int] | None = None,
 ) -> Transition:
     """One run per request (request_id, invoice_number).
 
@@ -514,14 +540,14 @@ def start_orchestrations(
     """
     keyed = dense_key(
         requests.select("request_id", "invoice_number"), "orchestration_id", ["request_id"],
-        highest(runs, "orchestration_id"),
+        _last_id(ids, runs, "orchestration_id"),
     )
     judged = materialize(
         resolve_recipients(keyed, invoices, customers, status_first=False), "run-starts"
     )
     ok = dense_key(
         judged.where(F.col("reason").isNull()).select("orchestration_id", "invoice_number"),
-        "approval_id", ["orchestration_id"], highest(approvals, "approval_id"),
+        "approval_id", ["orchestration_id"], _last_id(ids, approvals, "approval_id"),
     ).withColumn("conversation_id", conversation_for(F.col("orchestration_id")))
     waiting = ok.withColumns(
         {
@@ -554,23 +580,25 @@ def start_orchestrations(
         {"started_at": now, "conversation_status": F.lit("ACTIVE"), "created_by": F.lit(created_by)}
     )
     new_runs = conform(waiting, RUNS).unionByName(conform(failed, RUNS))
+    added = {RUNS: new_runs, APPROVALS: conform(asked, APPROVALS), CONVERSATIONS: conform(opened, CONVERSATIONS)}
     rejects = judged.where(F.col("reason").isNotNull()).select(
         "request_id", "orchestration_id", "invoice_number", "reason", "message"
     )
     return Transition(
         {
             RUNS: runs.unionByName(new_runs),
-            APPROVALS: approvals.unionByName(conform(asked, APPROVALS)),
-            CONVERSATIONS: conversations.unionByName(conform(opened, CONVERSATIONS)),
+            APPROVALS: approvals.unionByName(added[APPROVALS]),
+            CONVERSATIONS: conversations.unionByName(added[CONVERSATIONS]),
         },
         new_runs,
         rejects,
+        added,
     )
 
 
 def complete_orchestrations(
     runs: DataFrame, approvals: DataFrame, outbox: DataFrame, requests: DataFrame,
-    invoices: DataFrame, customers: DataFrame, now: Column,
+    invoices: DataFrame, customers: DataFrame, now: Column, ids: dict[str, int] | None = None,
 ) -> Transition:
     """Approve waiting runs (orchestration_id) and carry them through to a sent notification.
 
@@ -587,7 +615,7 @@ def complete_orchestrations(
         wanted.join(known, "orchestration_id", "left"), invoices, customers, status_first=False
     ).withColumnsRenamed({"reason": "_why", "message": "_text"})
     approval = approvals.select("approval_id", "conversation_id", "approval_status")
-    queued = outbox.groupBy("approval_id").agg(F.min("notification_id").alias("_queued"))
+    queued = _queued(outbox, known.join(wanted, "orchestration_id", "left_semi"))
     # Of several runs that wait for the same approval only the first can be completed.
     owner = (
         known.where(status == "WAITING_APPROVAL")
@@ -628,7 +656,7 @@ def complete_orchestrations(
     )
     ok = dense_key(
         judged.where(F.col("reason").isNull()), "notification_id", ["orchestration_id"],
-        highest(outbox, "notification_id"),
+        _last_id(ids, outbox, "notification_id"),
     )
     name = F.coalesce(F.col("customer_name"), F.lit(""))
     sent = _new_notifications(ok, now, fill(K.TEXT_BODY, name, F.col("invoice_number"))).withColumns(
@@ -695,6 +723,7 @@ def complete_orchestrations(
         },
         events,
         rejects,
+        {OUTBOX: sent},
     )
 
 

@@ -10,9 +10,13 @@ from duebook.operators import (
     aging, blocks, checks, constraints, conversations, kpis, lookups, merge, normalize, operations,
     payments, replay, risk, staging, workflow,
 )
+from duebook.plans import reports, stored
+from duebook.plans.colocated import Colocated
 from duebook.plans.core import Core, core
 from duebook.sources import fixtures, raw, requests
+from duebook.storage import materialize, new_path
 from duebook.streaming import jobs
+from duebook.tables import Tables
 
 QUERIES: dict[str, Callable[[Core], DataFrame]] = {}
 
@@ -48,6 +52,7 @@ register(
         _checked(c)[0], "transactions.csv", fixtures.load_date()
     ),
     profile_transactions=lambda c: staging.profile_transactions(c.staging),
+    profile_by_sketches=lambda c: _estimated_profile(c),
     source_inventory=lambda c: staging.source_inventory(c.raw),
     source_sample=lambda c: staging.source_sample(
         c.raw.withColumn("transaction_id", F.col("transaction_id").cast("bigint")),
@@ -56,11 +61,41 @@ register(
 )
 
 
+def _estimated_profile(c):
+    """Exact figures, and for distinct counts whether sketches of each month's rows, united, keep their bound."""
+    months = c.staging.withColumn("source_part", F.date_format("invoice_date", "yyyy-MM"))
+    kept = materialize(staging.profile_sketches(months), "profile-sketches")
+    guess, exact = staging.profile_from_sketches(kept), staging.profile_transactions(c.staging)
+    bound = staging.sketch_bound()
+    figures = []
+    for name in exact.columns:
+        true, said = exact.select(name).scalar(), F.col(name)
+        if name in staging.PROFILED:
+            figures.append((F.abs(said - true) <= F.ceil(true * bound)).alias(f"{name}_within"))
+        else:
+            figures.append(said)
+    return guess.select(*figures)
+
+
 @query
-def upsert(c):
-    # Every third customer arrives again with a new limit, next to customers not seen before.
-    known = c.customers.where("customer_id % 3 = 0").select(
-        "customer_id", "customer_name", "status", F.lit("25000").cast("decimal(18,2)").alias("credit_limit")
+def malformed_lines(c):
+    """Lines of a raw file by what is wrong with them."""
+    path = new_path(c.spark, "raw-lines")
+    fixtures.raw_lines(c.staging).write.options(header=True, sep="\u0001", quote="").csv(path)
+    rows = raw.conform_columns(raw.read_raw_transactions(c.spark, {"lines": path}, faults=True))
+    typed = materialize(raw.coerce_types(rows), "parsed-lines")
+    good, bad = staging.split_rejects(typed, raw.fault_rules(typed))
+    return (
+        bad.groupBy("failed_rules", raw.FAULT).agg(F.count("*").alias("line_count"))
+        .unionByName(good.groupBy(F.lit("none").alias("failed_rules"), raw.FAULT).agg(F.count("*").alias("line_count")))
+    )
+
+
+def _new_limits(c):
+    """Every customer again with a new limit, next to customers not seen before."""
+    known = c.customers.select(
+        "customer_id", "customer_name", "status",
+        F.when(F.col("customer_id") % 3 == 0, 25000).otherwise(12000).cast("decimal(18,2)").alias("credit_limit"),
     )
     fresh = c.invoices.select(
         (F.col("invoice_id") + 1000000).alias("customer_id"),
@@ -68,19 +103,31 @@ def upsert(c):
         F.lit("ACTIVE").alias("status"),
         F.lit("500").cast("decimal(18,2)").alias("credit_limit"),
     )
-    return merge.upsert(c.customers, known.unionByName(fresh), ["customer_id"]).select(
-        "customer_id", "customer_name", "email", "status", "credit_limit", "current_balance"
-    )
+    return known.unionByName(fresh)
+
+
+def _largest_invoices(c):
+    return c.invoices.groupBy("customer_id").agg(F.max("invoice_amount").alias("credit_limit"))
+
+
+UPSERTED = ["customer_id", "customer_name", "email", "status", "credit_limit", "current_balance"]
+UPDATED = ["customer_id", "customer_name", "credit_limit"]
+
+
+@query
+def upsert(c):
+    return merge.upsert(c.customers, _new_limits(c), ["customer_id"]).select(*UPSERTED)
 
 
 @query
 def update_from(c):
-    largest = c.invoices.where("customer_id % 2 = 0").groupBy("customer_id").agg(
-        F.max("invoice_amount").alias("credit_limit")
-    )
-    return merge.update_from(c.customers, largest, ["customer_id"]).select(
-        "customer_id", "customer_name", "credit_limit"
-    )
+    return merge.update_from(c.customers, _largest_invoices(c), ["customer_id"]).select(*UPDATED)
+
+
+def _moved_keys(customers):
+    """Some customers under another id, so that their invoices have no customer."""
+    cid = F.col("customer_id")
+    return customers.withColumn("customer_id", F.when(cid % 50 == 1, -cid).otherwise(cid))
 
 
 def _damaged(c):
@@ -95,7 +142,7 @@ def _damaged(c):
         }
     )
     return {
-        "customers": c.customers.where("customer_id % 50 <> 1"),
+        "customers": _moved_keys(c.customers),
         "payment_terms": c.terms,
         "invoices": invoices.unionByName(invoices.where("invoice_id % 500 = 0")),
         "invoice_lines": c.lines.withColumns(
@@ -112,13 +159,19 @@ def _damaged(c):
                 "invoice_id": F.when(F.col("payment_id") % 60 != 0, F.col("invoice_id")).otherwise(-1),
             }
         ),
-        "agent_conversations": c.sessions.where("conversation_id <> 'conv-7'"),
+        "agent_conversations": c.sessions.withColumn(
+            "conversation_id",
+            F.when(F.col("conversation_id") == "conv-7", "conv-seven").otherwise(F.col("conversation_id")),
+        ),
         "agent_activity_log": c.activity.withColumn(
             "error_message", F.concat(F.col("error_message"), F.lit("!"))
         ),
-        "agent_approval_requests": c.approvals.where("approval_id % 50 <> 4").withColumn(
-            "approval_status",
-            F.when(F.col("approval_id") % 33 == 0, "LOST").otherwise(F.col("approval_status")),
+        "agent_approval_requests": c.approvals.withColumns(
+            {
+                "approval_status": F.when(F.col("approval_id") % 33 == 0, "LOST").otherwise(F.col("approval_status")),
+                "approval_id": F.when(F.col("approval_id") % 50 == 4, F.col("approval_id") + requests.UNKNOWN)
+                .otherwise(F.col("approval_id")),
+            }
         ),
         "agent_notification_outbox": c.outbox,
         "agent_notification_recovery_log": c.recovery_log,
@@ -179,6 +232,13 @@ def load_counts(c):
     )
 
 
+@query
+def load_counts_published(c):
+    frames = {"customers": c.customers, "payment_terms": c.terms, "invoices": c.invoices, "invoice_lines": c.lines}
+    tables = stored.create(stored.tables_at(c.spark, new_path(c.spark, "load"), 16), frames)
+    return stored.load_counts(tables)
+
+
 @query
 def reconcile_header_lines(c):
     return normalize.reconcile_header_lines(c.invoices, c.lines)
@@ -186,8 +246,15 @@ def reconcile_header_lines(c):
 
 @query
 def reconcile_invoices(c):
-    # Lines of every 50th invoice are left out so that there is something to find.
-    return normalize.reconcile_invoices(c.invoices, c.lines.where("invoice_id % 50 <> 0"))
+    # Lines of some invoices have another amount, those of others belong to unknown invoices.
+    iid, amount = F.col("invoice_id"), F.col("line_amount")
+    changed = c.lines.withColumns(
+        {
+            "line_amount": F.when(iid % 50 == 0, amount + 1).otherwise(amount).cast("decimal(18,2)"),
+            "invoice_id": F.when(iid % 50 == 1, -iid).otherwise(iid),
+        }
+    )
+    return normalize.reconcile_invoices(c.invoices, changed)
 
 
 @query
@@ -215,8 +282,9 @@ def apply_payments(c):
 
 @query
 def orphan_payments(c):
-    # Against the paid invoices only, so that half payments show up as orphans.
-    return payments.orphan_payments(c.payments, c.invoices.where("invoice_status = 'PAID'"))
+    iid = F.col("invoice_id")
+    lost = c.payments.withColumn("invoice_id", F.when(F.col("payment_id") % 4 == 0, -iid).otherwise(iid))
+    return payments.orphan_payments(lost, c.invoices)
 
 
 register(
@@ -265,7 +333,7 @@ def _sql(text):
     """A query over the registered table functions, with all wanted ids in the view `wanted`."""
 
     def run(c):
-        lookups.register_lookups(c.spark, c.invoices, c.customers, c.aging, c.risk)
+        lookups.register_lookups(c.spark, c.invoices, c.customers, c.aging, c.risk, strict=False)
         orders = fixtures.read_table(c.spark, c.folder, "orders")
         orders.select(F.col("o_custkey").alias("customer_id")).distinct().createOrReplaceTempView(
             "wanted_customers"
@@ -340,7 +408,34 @@ def collections_narrative_by_status(c):
     return kpis.collections_narrative(*_indicators(c, by, frames), by=by)
 
 
+DIMENSIONS = ("status", "customer_type", "country")
+
+
+def _by_each(c):
+    """The five indicator frames over everything and per status, segment and country of the customer."""
+    country = c.staging.groupBy("customer_id").agg(F.max("country").alias("country"))
+    owner = c.customers.select("customer_id", "status", "customer_type").join(country, "customer_id", "left")
+    invoices = c.invoices.join(owner, "customer_id", "left")
+    of_number = invoices.select("invoice_number", *DIMENSIONS)
+    payload = F.get_json_object("action_payload", "$.invoice_number")
+    subject = F.regexp_extract("subject_text", "Invoice (.*)$", 1).alias("invoice_number")
+    return kpis.indicators_by_each(
+        invoices, c.aging.join(owner, "customer_id", "left"), c.orchestrations.join(of_number, "invoice_number", "left"),
+        c.approvals.withColumn("invoice_number", payload).join(of_number, "invoice_number", "left"),
+        c.outbox.select("notification_status", subject).join(of_number, "invoice_number", "left"), DIMENSIONS,
+    )
+
+
 register(
+    portfolio_kpis_by_each=lambda c: _by_each(c)[0],
+    overdue_kpis_by_each=lambda c: _by_each(c)[1],
+    orchestration_kpis_by_each=lambda c: _by_each(c)[2],
+    approval_kpis_by_each=lambda c: _by_each(c)[3],
+    notification_kpis_by_each=lambda c: _by_each(c)[4],
+    collections_narrative_by_each=lambda c: kpis.collections_narrative(*_by_each(c), by=("dimension", "value")),
+    management_report=lambda c: reports.report_lines(
+        reports.management_report(c.invoices, c.customers, c.orchestrations, c.approvals, c.outbox, "2001-08-20")
+    ),
     portfolio_kpis=lambda c: kpis.portfolio_kpis(c.invoices),
     overdue_kpis=lambda c: kpis.overdue_kpis(c.aging),
     orchestration_kpis=lambda c: kpis.orchestration_kpis(c.orchestrations),
@@ -478,12 +573,12 @@ def _step_events(step):
     return lambda c: _workflow(c)[step]().events.drop("activity_id")
 
 
-def _delivered(c):
-    """Claim, then one delivery round that fails where there is no address."""
+@query
+def delivery_round(c):
+    """Claim what is ready, then settle it with the attempts made."""
     claimed = workflow.claim_notifications(c.outbox, fixtures.now())
-    return workflow.apply_delivery_results(
-        claimed, requests.delivery_results(claimed), fixtures.now()
-    ).tables[workflow.OUTBOX]
+    attempts = requests.attempts(c.spark, c.folder)
+    return workflow.apply_delivery_results(claimed, attempts, fixtures.now()).tables[workflow.OUTBOX]
 
 
 @query
@@ -530,7 +625,6 @@ register(
     apply_delivery_results=_table("apply_delivery_results", workflow.OUTBOX),
     apply_delivery_results_rejects=_rejects("apply_delivery_results"),
     apply_delivery_results_final=_table("apply_delivery_results_final", workflow.OUTBOX),
-    delivery_round=_delivered,
     requeue=_table("requeue", workflow.OUTBOX),
     requeue_log=_table("requeue", workflow.RECOVERY),
     requeue_rejects=_rejects("requeue"),
@@ -544,9 +638,109 @@ register(
     complete_orchestrations_rejects=_rejects("complete_orchestrations"),
     transition_history=_history,
     illegal_transitions=lambda c: workflow.illegal_transitions(_history(c)),
+    run_transition_history=lambda c: workflow.transition_history(
+        requests.run_changes(c.spark, c.folder), K.ORCHESTRATION_TRANSITIONS
+    ),
 )
 
 
+# ---- the same steps on stored tables, of which only touched buckets are rewritten ----------
+def _stored(c, *names) -> Tables:
+    frames = {
+        "customers": c.customers, workflow.APPROVALS: c.approvals, workflow.OUTBOX: c.outbox,
+        workflow.RECOVERY: c.recovery_log, workflow.RUNS: c.orchestrations,
+        workflow.CONVERSATIONS: c.sessions, workflow.ACTIVITY: c.activity,
+    }
+    return stored.create(stored.tables_at(c.spark, new_path(c.spark, "stored"), 16), {n: frames[n] for n in names})
+
+
+def _stored_step(names, step, table):
+    """A step on freshly stored tables, and one of them afterwards (or its rejects)."""
+
+    def run(c):
+        tables = _stored(c, *names)
+        done = step(c, tables, (c.spark, c.folder), fixtures.now())
+        return done.rejects if table is None else tables.read(table)
+
+    return run
+
+
+def _decide(c, tables, at, now):
+    return stored.decide_approvals(tables, requests.decisions(*at), now)
+
+
+def _execute(c, tables, at, now):
+    return stored.execute_approved(tables, requests.executions(*at), now, c.invoices, c.customers)
+
+
+def _settle(c, tables, at, now):
+    return stored.apply_delivery_results(tables, requests.attempts(*at), now)
+
+
+def _requeue(c, tables, at, now):
+    return stored.requeue(tables, requests.recoveries(*at), now)
+
+
+def _start(c, tables, at, now):
+    return stored.start_orchestrations(tables, requests.run_requests(*at), c.invoices, c.customers, now)
+
+
+def _complete(c, tables, at, now):
+    return stored.complete_orchestrations(tables, requests.run_approvals(*at), c.invoices, c.customers, now)
+
+
+def _ask(c, tables, at, now):
+    return stored.request_reminders(tables, requests.reminder_requests(*at), now)
+
+
+_BOX, _REQUEUED = [workflow.OUTBOX], [workflow.OUTBOX, workflow.RECOVERY]
+_EXECUTED = [workflow.APPROVALS, workflow.OUTBOX]
+_STARTED = [workflow.RUNS, workflow.APPROVALS, workflow.CONVERSATIONS]
+_COMPLETED = [workflow.RUNS, workflow.APPROVALS, workflow.OUTBOX]
+register(
+    stored_request_reminders=_stored_step([workflow.APPROVALS], _ask, workflow.APPROVALS),
+    stored_decide_approvals=_stored_step([workflow.APPROVALS], _decide, workflow.APPROVALS),
+    stored_decide_approvals_rejects=_stored_step([workflow.APPROVALS], _decide, None),
+    stored_execute_approved=_stored_step(_EXECUTED, _execute, workflow.APPROVALS),
+    stored_execute_approved_outbox=_stored_step(_EXECUTED, _execute, workflow.OUTBOX),
+    stored_apply_delivery_results=_stored_step(_BOX, _settle, workflow.OUTBOX),
+    stored_requeue=_stored_step(_REQUEUED, _requeue, workflow.OUTBOX),
+    stored_requeue_log=_stored_step(_REQUEUED, _requeue, workflow.RECOVERY),
+    stored_start_orchestrations=_stored_step(_STARTED, _start, workflow.RUNS),
+    stored_complete_orchestrations=_stored_step(_COMPLETED, _complete, workflow.RUNS),
+    stored_complete_orchestrations_approvals=_stored_step(_COMPLETED, _complete, workflow.APPROVALS),
+    stored_complete_orchestrations_outbox=_stored_step(_COMPLETED, _complete, workflow.OUTBOX),
+)
+
+
+@query
+def stored_upsert(c):
+    tables = _stored(c, "customers")
+    stored.upsert(tables, "customers", _new_limits(c))
+    return tables.read("customers").select(*UPSERTED)
+
+
+@query
+def stored_update_from(c):
+    tables = _stored(c, "customers")
+    stored.update_from(tables, "customers", _largest_invoices(c))
+    return tables.read("customers").select(*UPDATED)
+
+
+# ---- tables bucketed alike: joins on their key without a shuffle ----------------------------
+@query
+def colocated_customer_summary(c):
+    date = aging.reporting_date(c.invoices).scalar()
+    both = Colocated(c.spark, {"customers": c.customers, "invoices": c.invoices}, "customer_id", 8)
+    return both.apply(lambda customers, invoices: risk.customer_collection_summary(customers, invoices, date))
+
+
+@query
+def colocated_apply_payments(c):
+    both = Colocated(c.spark, {"invoices": c.new_invoices, "payments": c.payments}, "invoice_id", 8)
+    return both.apply(payments.apply_payments).drop("payment_term_id", "dispute_flag", "created_date")
+
+
 # ---- checks ---------------------------------------------------------------------------------
 def _checked_tables(c):
     return {
@@ -571,7 +765,7 @@ def integrity_checks(c):
             "due_date": F.when(iid % 70 != 0, F.col("due_date")),
         }
     )
-    return checks.integrity_checks(damaged, c.customers.where("customer_id % 50 <> 1"))
+    return checks.integrity_checks(damaged, _moved_keys(c.customers))
 
 
 @query

@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from duebook.operators import aging, conversations, normalize, payments, risk
+from duebook.operators.requested import store_for_lookups
 from duebook.sources import fixtures
 from duebook.sources.raw import read_raw_transactions
 from duebook.storage import materialize, new_path
@@ -46,7 +47,10 @@ class Core:
 
     @cached_property
     def invoices(self) -> DataFrame:
-        return materialize(payments.apply_payments(self.new_invoices, self.payments), "invoices")
+        settled = payments.apply_payments(self.new_invoices, self.payments)
+        return store_for_lookups(
+            settled, new_path(self.spark, "invoices"), "customer_id", ["customer_id", "invoice_number"]
+        )
 
     @cached_property
     def lines(self) -> DataFrame:
@@ -57,9 +61,8 @@ class Core:
     @cached_property
     def customers(self) -> DataFrame:
         plain = normalize.build_customers(self.staging, fixtures.load_date())
-        return materialize(
-            normalize.customer_balances(fixtures.with_contacts(plain), self.invoices), "customers"
-        )
+        full = normalize.customer_balances(fixtures.with_contacts(plain), self.invoices)
+        return store_for_lookups(full, new_path(self.spark, "customers"), "customer_id", ["customer_id"])
 
     @cached_property
     def raw_parts(self) -> dict[str, str]:

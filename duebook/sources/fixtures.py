@@ -122,6 +122,26 @@ def raw_transactions(staging: DataFrame) -> DataFrame:
     return staging.select("transaction_id", *[c.alias(n) for n, c in text.items()])
 
 
+def raw_lines(staging: DataFrame) -> DataFrame:
+    """Staged rows as lines of a raw file, in a column named as its header, some of them malformed."""
+    tid = F.col("transaction_id")
+    quoted = F.concat(F.lit('"'), F.col("description"), F.lit('"'))
+    description = (
+        F.when(tid % 40 == 3, F.concat(F.lit('"'), F.col("description"))).when(tid % 40 == 4, F.concat(quoted, F.lit("x")))
+        .otherwise(quoted)
+    )
+    first = [F.col("invoice_no"), F.col("stock_code"), description]
+    rest = [
+        F.col("quantity").cast("int").cast("string"), F.date_format("invoice_date", "yyyy-MM-dd HH:mm:ss"),
+        F.col("unit_price").cast("string"), F.coalesce(F.col("customer_id").cast("string"), F.lit("")), F.col("country"),
+    ]
+    line = (
+        F.when(tid % 40 == 1, F.concat_ws(",", *first, *rest, F.lit("one too many"))).when(tid % 40 == 2, F.concat_ws(",", *first))
+        .otherwise(F.concat_ws(",", *first, *rest))
+    )
+    return staging.select(line.alias(",".join(K.RAW_HEADER)))
+
+
 def derive_payments(invoices: DataFrame, created: Column) -> DataFrame:
     """Payment fixture: ids divisible by 5 paid in full, the next id half, others unpaid."""
     turn, amount = F.col("invoice_id") % 5, F.col("invoice_amount")

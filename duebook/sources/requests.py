@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duebook import constants as K
-from duebook.functions.expr import empty_to_null, first_match
+from duebook.functions.expr import first_match
 from duebook.sources.fixtures import _events, outbox
 
 LATER = 10**10  # added to a request id to make a later repeat
@@ -85,15 +85,6 @@ def attempts(spark, folder) -> DataFrame:
     )
 
 
-def delivery_results(outbox: DataFrame) -> DataFrame:
-    """One attempt per notification in processing; it fails when there is no recipient."""
-    none = empty_to_null(F.col("recipient_address")).isNull()
-    return outbox.where(F.col("notification_status") == "PROCESSING").select(
-        F.col("notification_id").alias("attempt_id"), "notification_id",
-        F.when(none, K.TEXT_NO_RECIPIENT).alias("error"),
-    )
-
-
 def recoveries(spark, folder) -> DataFrame:
     rows = outbox(spark, folder).withColumn("k", F.col("_k"))
     nid = F.col("notification_id")
@@ -147,3 +138,12 @@ def status_changes_of(events: DataFrame) -> DataFrame:
         F.col("user_id").alias("entity_id"), _eid().alias("change_id"),
         F.col("ts").alias("changed_at"), status.alias("status"),
     )
+
+
+def run_changes(spark, folder) -> DataFrame:
+    """Events read as status changes of the runs of the event's user, by the place of the event."""
+    words = F.array(*[F.lit(w) for w in K.ORCHESTRATION_STATUSES])
+    return _events(spark, folder).select(
+        F.col("user_id").alias("entity_id"), _eid().alias("change_id"), F.col("ts").alias("changed_at"),
+        F.get(words, (_eid() % len(K.ORCHESTRATION_STATUSES)).cast("int")).alias("status"),
+    )

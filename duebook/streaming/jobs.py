@@ -3,11 +3,12 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duebook.operators.payments import settle
+from duebook.plans.stored import create, tables_at
 from duebook.schemas import struct
 from duebook.sources import fixtures, requests
 from duebook.storage import new_path
 from duebook.streaming import operators as S
+from duebook.streaming import stored
 from duebook.streaming.run import (
     append_available, appended, latest, stream_files, update_available,
 )
@@ -36,15 +37,13 @@ def dedup_requests_of(events: DataFrame) -> DataFrame:
 
 
 def payments_to_balances(c) -> DataFrame:
-    """Balances after the whole payment stream."""
+    """Stored invoices after the whole payment stream, settled batch by batch."""
     source = new_path(c.spark, "payment-stream")
     c.payments.write.parquet(source)
-    stream = S.stream_payments_to_balances(
-        stream_files(c.spark, source, struct("payments"), files_per_batch=4)
-    )
-    path = update_available(stream, "balances")
-    totals = latest(c.spark, path, stream.schema, ["invoice_id"])
-    return settle(c.new_invoices, totals).drop("payment_term_id", "dispute_flag", "created_date")
+    tables = create(tables_at(c.spark, new_path(c.spark, "settled"), 16), {"invoices": c.new_invoices})
+    stream = stream_files(c.spark, source, struct("payments"), files_per_batch=4)
+    stored.settle_payments(tables, stream, new_path(c.spark, "settled-state"))
+    return tables.read("invoices").drop("payment_term_id", "dispute_flag", "created_date")
 
 
 def notification_metrics(c, slide=None) -> DataFrame:
@@ -57,8 +56,9 @@ def notification_metrics(c, slide=None) -> DataFrame:
 
 def retry_machine(c) -> DataFrame:
     stream = S.stream_retry_machine(attempts_of(event_stream(c.spark, c.folder)))
-    path = update_available(stream, "retry-machine")
-    return latest(c.spark, path, stream.schema, ["notification_id"])
+    tables = tables_at(c.spark, new_path(c.spark, "retry-status"), 16)
+    stored.retry_status(tables, stream, new_path(c.spark, "retry-state"))
+    return tables.read(stored.STATUS).drop("is_final")
 
 
 def stuck_detector(c) -> DataFrame:
@@ -75,9 +75,9 @@ def session_stream(c) -> DataFrame:
 
 
 def dedup_requests(c) -> DataFrame:
-    stream = S.stream_dedup_requests(dedup_requests_of(event_stream(c.spark, c.folder)))
-    path = append_available(stream, "dedup")
-    return appended(c.spark, path, stream.schema).select("approval_id")
+    tables = tables_at(c.spark, new_path(c.spark, "requests"), 16)
+    stored.dedup_requests(tables, dedup_requests_of(event_stream(c.spark, c.folder)), new_path(c.spark, "dedup-state"))
+    return tables.read(stored.SEEN).select("approval_id")
 
 
 def _orders(c):

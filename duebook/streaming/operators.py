@@ -33,19 +33,26 @@ def stream_notification_metrics(
     )
 
 
-def stream_retry_machine(attempts: DataFrame, lateness="1 hour") -> DataFrame:
+def stream_retry_machine(attempts: DataFrame, lateness="1 hour", start: DataFrame | None = None) -> DataFrame:
     """Status per notification after its attempts so far (update mode).
 
+    `start` has notification_id, failures (at least one) and last_failure_at of notifications
+    that were tried before the stream began (`stored.open_and_closed` of an outbox).
+
     A notification ends as SENT at its first success or DEAD at its third failure; until then
     it is RETRY, and RETRY_DUE once the back-off is over.  The outcome does not depend on the
-    order in which attempts arrive.  Attempts are reduced before the shuffle.
+    order in which attempts arrive.  Attempts are reduced before the shuffle.  Ended
+    notifications leave the state once the watermark has passed them, with a last row that says
+    `is_final`; attempts that come after that make new rows, which `stored.retry_status` turns
+    away.
     """
     reduced = attempts.mapInPandas(compact_attempts, ATTEMPTS)
     return (
         reduced.withWatermark("attempt_at", lateness)
         .groupBy("notification_id")
         .transformWithStateInPandas(
-            RetryMachine(), outputStructType=RETRY_OUTPUT, outputMode="update", timeMode="EventTime"
+            RetryMachine(), outputStructType=RETRY_OUTPUT, outputMode="update", timeMode="EventTime",
+            initialState=None if start is None else start.groupBy("notification_id"),
         )
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from duebook import constants as K
 
 RETRY_OUTPUT = """notification_id bigint, notification_status string, retry_count int,
-  changed_at timestamp, next_retry_at timestamp"""
+  changed_at timestamp, next_retry_at timestamp, is_final boolean"""
 STUCK_OUTPUT = "entity_id bigint, stuck_since timestamp, detected_at timestamp"
 
 DELAY = pd.Timedelta(K.RETRY_DELAY)
@@ -29,8 +29,17 @@ def _millis(t: pd.Timestamp) -> int:
     return t.value // 1_000_000
 
 
+def _millis_of(d: pd.Timedelta) -> int:
+    return d.value // 1_000_000
+
+
 class RetryMachine(StatefulProcessor):
-    """Keeps the first success and the first failures of a notification."""
+    """Keeps the first success and the first failures of a notification.
+
+    A notification that was sent or is dead leaves the state when the watermark has passed the
+    attempt that ended it: no earlier attempt can come any more.  Then its row goes out once
+    more, as final.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -52,6 +61,13 @@ class RetryMachine(StatefulProcessor):
         at = failures["attempt_at"].iloc[-1]
         return "RETRY", n, at, at + DELAY
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        """Failures so far, all at the time of the last one; their ids come before any attempt's."""
+        at = int(pd.Timestamp(initialState["last_failure_at"].iloc[0]).value // 1000)
+        failures = int(initialState["failures"].iloc[0])
+        self.kept.put([(at, i - failures - 1, False) for i in range(min(failures, K.MAX_RETRY_COUNT))])
+        self.handle.registerTimer(at // 1000 + _millis_of(DELAY))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         before = pd.DataFrame(
             [(pd.Timestamp(at * 1000), i, ok) for at, i, ok in self.kept.get()]
@@ -77,17 +93,20 @@ class RetryMachine(StatefulProcessor):
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
         status, count, at, due = self._status(key, best)
-        if due is not None:
-            self.handle.registerTimer(_millis(due))
-        yield _row(RETRY_COLUMNS, (key[0], status, count, at, due))
+        self.handle.registerTimer(_millis(at if due is None else due))
+        yield _row(RETRY_COLUMNS, (key[0], status, count, at, due, False))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         attempts = pd.DataFrame(
             [(pd.Timestamp(at * 1000), i, ok) for at, i, ok in self.kept.get()],
             columns=[*ORDER, "delivered"],
         )
-        _, count, at, due = self._status(key, attempts)
-        yield _row(RETRY_COLUMNS, (key[0], "RETRY_DUE", count, at, due))
+        status, count, at, due = self._status(key, attempts)
+        if due is None:
+            self.kept.clear()
+            yield _row(RETRY_COLUMNS, (key[0], status, count, at, due, True))
+        else:
+            yield _row(RETRY_COLUMNS, (key[0], "RETRY_DUE", count, at, due, False))
 
     def close(self) -> None:
         pass
@@ -130,7 +149,9 @@ class StuckDetector(StatefulProcessor):
         pass
 
 
-RETRY_COLUMNS = ["notification_id", "notification_status", "retry_count", "changed_at", "next_retry_at"]
+RETRY_COLUMNS = [
+    "notification_id", "notification_status", "retry_count", "changed_at", "next_retry_at", "is_final",
+]
 
 
 def _row(columns, values) -> pd.DataFrame:

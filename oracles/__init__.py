@@ -14,4 +14,4 @@ def oracle_sql() -> dict[str, str]:
             if name in out:
                 raise ValueError(f"oracle {name} is defined twice")
             out[name] = with_tables(sql)
-    return out
+    return out | {"management_report": with_tables(reports.management_report(receivables.SQL))}

@@ -49,8 +49,9 @@ SQL["reconcile_invoices"] = f"""
 SELECT coalesce(h.invoice_id, l.invoice_id) AS invoice_id,
   {money('coalesce(h.invoice_amount, 0)', 'header_total')}, {money('coalesce(l.t, 0)', 'line_total')},
   {money('coalesce(h.invoice_amount, 0) - coalesce(l.t, 0)', 'difference')}
-FROM inv h FULL JOIN (SELECT invoice_id, sum(line_amount) AS t FROM lines WHERE invoice_id % 50 <> 0
-                      GROUP BY invoice_id) l ON l.invoice_id = h.invoice_id
+FROM inv h FULL JOIN (SELECT CASE WHEN invoice_id % 50 = 1 THEN -invoice_id ELSE invoice_id END AS invoice_id,
+                        sum(CASE WHEN invoice_id % 50 = 0 THEN line_amount + 1 ELSE line_amount END) AS t
+                      FROM lines GROUP BY ALL) l ON l.invoice_id = h.invoice_id
 WHERE coalesce(h.invoice_amount, 0) <> coalesce(l.t, 0)"""
 
 SQL["top_customers_by_outstanding"] = f"""
@@ -91,8 +92,9 @@ SELECT count(*) AS invalid_invoice_balances FROM inv
 WHERE invoice_amount <> coalesce(amount_paid, 0) + coalesce(outstanding_amount, 0)"""
 
 SQL["orphan_payments"] = """
-SELECT count(*) AS orphan_payments FROM pay p
-WHERE NOT EXISTS (SELECT 1 FROM inv i WHERE i.invoice_id = p.invoice_id AND i.invoice_status = 'PAID')"""
+SELECT count(*) AS orphan_payments
+FROM (SELECT CASE WHEN payment_id % 4 = 0 THEN -invoice_id ELSE invoice_id END AS invoice_id FROM pay) p
+WHERE NOT EXISTS (SELECT 1 FROM inv i WHERE i.invoice_id = p.invoice_id)"""
 
 SQL["top_payments"] = f"""
 SELECT p.payment_id, i.invoice_number, c.customer_name, p.payment_date,
@@ -237,15 +239,14 @@ WHERE sample_row <= 5"""
 
 SQL["upsert"] = f"""
 SELECT customer_id, customer_name, email, status,
-  CAST(CASE WHEN customer_id % 3 = 0 THEN 25000 ELSE 10000 END AS DOUBLE) AS credit_limit,
+  CAST(CASE WHEN customer_id % 3 = 0 THEN 25000 ELSE 12000 END AS DOUBLE) AS credit_limit,
   {money('current_balance', 'current_balance')} FROM cust
 UNION ALL
 SELECT invoice_id + 1000000, 'New customer ' || CAST(invoice_id AS VARCHAR), NULL, 'ACTIVE', 500, NULL FROM inv"""
 
 SQL["update_from"] = f"""
 SELECT c.customer_id, c.customer_name, {money('coalesce(m.top, 10000)', 'credit_limit')}
-FROM cust c LEFT JOIN (SELECT customer_id, max(invoice_amount) AS top FROM inv WHERE customer_id % 2 = 0
-                       GROUP BY customer_id) m ON m.customer_id = c.customer_id"""
+FROM cust c LEFT JOIN (SELECT customer_id, max(invoice_amount) AS top FROM inv GROUP BY customer_id) m ON m.customer_id = c.customer_id"""
 
 RISK = SUMMARY + ", risk_level, recommended_action"
 SQL["customer_summary"] = f"SELECT {RISK} FROM risk WHERE customer_id IN (SELECT o_custkey FROM orders)"
@@ -287,3 +288,24 @@ SQL["sql_customer_summary"] = SQL["customer_summary"]
 SQL["sql_overdue_invoices"] = f"""
 SELECT {OVERDUE} FROM aging WHERE days > 0 AND customer_id IN (SELECT o_custkey FROM orders)"""
 SQL["sql_invoice_details"] = SQL["invoice_details"]
+
+for name in ("upsert", "update_from"):
+    SQL[f"stored_{name}"] = SQL[name]
+SQL["colocated_customer_summary"] = SQL["customer_collection_summary"]
+SQL["colocated_apply_payments"] = SQL["apply_payments"]
+SQL["load_counts_published"] = SQL["load_counts"]
+
+SQL["profile_by_sketches"] = """
+SELECT count(*) AS total_rows, true AS unique_invoices_within, true AS unique_products_within,
+  true AS unique_customers_within, true AS countries_within,
+  count(CASE WHEN invoice_no LIKE 'C%' THEN 1 END) AS cancelled_rows,
+  count(CASE WHEN quantity < 0 THEN 1 END) AS negative_quantity_rows,
+  count(*) - count(customer_id) AS missing_customer_ids FROM stg"""
+
+SQL["malformed_lines"] = """
+SELECT CASE transaction_id % 40 WHEN 1 THEN 'line with too few or too many fields' WHEN 2 THEN 'line with too few or too many fields'
+         WHEN 3 THEN 'line with bad quotes' WHEN 4 THEN 'line with bad quotes' ELSE 'none' END AS failed_rules,
+  CASE transaction_id % 40 WHEN 1 THEN '9 of 8 fields' WHEN 2 THEN '3 of 8 fields' WHEN 3 THEN 'bad quotes'
+         WHEN 4 THEN 'bad quotes' END AS line_fault,
+  count(*) AS line_count
+FROM stg GROUP BY ALL"""

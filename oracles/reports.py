@@ -6,7 +6,8 @@ SQL = {}
 
 # ---- table rules: defects are planted in the same way as in the query --------------------
 DAMAGED = """
-WITH c1 AS (SELECT *, 'LOW' AS risk_category, 10000 AS credit_limit FROM cust WHERE customer_id % 50 <> 1),
+WITH c1 AS (SELECT * REPLACE (CASE WHEN customer_id % 50 = 1 THEN -customer_id ELSE customer_id END AS customer_id),
+    'LOW' AS risk_category, 10000 AS credit_limit FROM cust),
 i0 AS (SELECT invoice_id, invoice_number, customer_id, 1 AS payment_term_id, invoice_date, amount_paid, outstanding_amount,
     CASE WHEN invoice_id % 110 = 0 THEN 10000000000 ELSE invoice_amount END AS invoice_amount,
     CASE WHEN invoice_id % 100 = 0 THEN 'LATE' ELSE invoice_status END AS invoice_status,
@@ -20,10 +21,12 @@ p1 AS (SELECT payment_id, payment_date, payment_method, reference_number,
     CASE WHEN payment_id % 40 <> 0 THEN payment_amount ELSE 0 END AS payment_amount,
     CASE WHEN payment_id % 60 <> 0 THEN invoice_id ELSE -1 END AS invoice_id FROM pay),
 t1 AS (SELECT 1 AS payment_term_id, 'NET 30' AS term_name, 30 AS due_days),
-v1 AS (SELECT * FROM conv WHERE conversation_id <> 'conv-7'),
+v1 AS (SELECT * REPLACE (CASE conversation_id WHEN 'conv-7' THEN 'conv-seven' ELSE conversation_id END AS conversation_id)
+       FROM conv),
 g1 AS (SELECT * REPLACE (error_message || '!' AS error_message) FROM log),
-a1 AS (SELECT * REPLACE (CASE WHEN approval_id % 33 = 0 THEN 'LOST' ELSE approval_status END AS approval_status)
-       FROM appr WHERE approval_id % 50 <> 4),
+a1 AS (SELECT * REPLACE (CASE WHEN approval_id % 33 = 0 THEN 'LOST' ELSE approval_status END AS approval_status,
+         CASE WHEN approval_id % 50 = 4 THEN approval_id + 1000000000000 ELSE approval_id END AS approval_id)
+       FROM appr),
 o1 AS (SELECT * FROM box), r1 AS (SELECT * FROM rec), n1 AS (SELECT * FROM runs)
 """
 
@@ -224,6 +227,51 @@ SELECT status, {TEXT} FROM (SELECT s.status,
 FROM (SELECT DISTINCT status FROM own) s)"""
 
 
+# ---- the indicators per value of each dimension, one SELECT each --------------------------------
+OWNERS = """
+WITH nat AS (SELECT customer_id, max(country) AS country FROM stg GROUP BY customer_id),
+own AS (SELECT c.customer_id, c.status, 'RETAIL' AS customer_type, n.country FROM cust c
+        LEFT JOIN nat n ON n.customer_id = c.customer_id),
+inv_own AS (SELECT i.*, o.status, o.customer_type, o.country FROM inv i LEFT JOIN own o ON o.customer_id = i.customer_id),
+late_own AS (SELECT a.*, o.status, o.customer_type, o.country FROM aging a LEFT JOIN own o ON o.customer_id = a.customer_id
+             WHERE a.days > 0),
+num AS (SELECT invoice_number, status, customer_type, country FROM inv_own),
+runs_own AS (SELECT r.*, n.status, n.customer_type, n.country FROM runs r LEFT JOIN num n ON n.invoice_number = r.invoice_number),
+appr_own AS (SELECT a.*, n.status, n.customer_type, n.country FROM appr a LEFT JOIN num n ON n.invoice_number = a.wanted_invoice),
+box_own AS (SELECT b.*, n.status, n.customer_type, n.country FROM box b
+            LEFT JOIN num n ON 'Payment Reminder - Invoice ' || n.invoice_number = b.subject_text)
+"""
+
+
+def _each(measures, table):
+    parts = [f"SELECT 'ALL' AS dimension, CAST(NULL AS VARCHAR) AS value, {measures} FROM {table}"]
+    parts += [f"SELECT '{d}', {d}, {measures} FROM {table} GROUP BY {d}" for d in ("status", "customer_type", "country")]
+    return " UNION ALL ".join(parts)
+
+
+for name, measures, table in [
+    ("portfolio", PORTFOLIO, "inv_own"), ("overdue", OVERDUE, "late_own"), ("orchestration", RUNS, "runs_own"),
+    ("approval", APPROVALS, "appr_own"), ("notification", NOTES, "box_own"),
+]:
+    SQL[f"{name}_kpis_by_each"] = OWNERS + _each(measures, table)
+_FIGURES = " UNION ALL BY NAME ".join(
+    "(" + _each(measures, table) + ")"
+    for measures, table in [
+        ("CAST(sum(outstanding_amount) AS DOUBLE) AS owed", "inv_own"),
+        ("count(*) AS late_n, CAST(sum(outstanding_amount) AS DOUBLE) AS late, max(days) AS days", "late_own"),
+        ("count_if(orchestration_status = 'COMPLETED') AS done, count_if(orchestration_status = 'FAILED') AS failed, "
+         "count_if(orchestration_status = 'WAITING_APPROVAL') AS waiting", "runs_own"),
+        ("count_if(approval_status = 'PENDING') AS pending", "appr_own"),
+        ("count_if(notification_status = 'SENT') AS sent, count_if(notification_status = 'FAILED') AS unsent", "box_own"),
+    ]
+)
+_FOLDED = ", ".join(
+    f"coalesce(max({c}), 0) AS {c}" for c in "owed late_n late days done failed waiting pending sent unsent".split()
+)
+SQL["collections_narrative_by_each"] = OWNERS + f"""
+SELECT dimension, value, {TEXT} FROM (SELECT dimension, value, {_FOLDED} FROM ({_FIGURES}) GROUP BY dimension, value)"""
+
+
 # ---- operations reports --------------------------------------------------------------------
 SQL["notification_status_summary"] = """
 SELECT notification_status, count(*) AS notification_count FROM box GROUP BY notification_status"""
@@ -278,3 +326,29 @@ SQL["recipient_coverage"] = COVER + " ORDER BY i.invoice_number, i.customer_id L
 SQL["recipient_coverage_all"] = COVER
 SQL["reachable_recipients"] = COVER + """ WHERE c.email IS NOT NULL AND c.email <> ''
 ORDER BY i.invoice_number, i.customer_id LIMIT 20"""
+
+
+def management_report(others) -> str:
+    """The sections of the report, each from its own query."""
+
+    def body(sql, name):
+        own = sql.strip()
+        inner = own[own.index("SELECT"):] if not own.upper().startswith("WITH") else own
+        return f"({inner}) {name}"
+
+    def pairs(section, item, source, metrics):
+        return [
+            f"SELECT '{section}' AS section, CAST({item} AS VARCHAR) AS item, '{m}' AS metric, CAST({m} AS DOUBLE) AS value, "
+            f"CAST(NULL AS VARCHAR) AS text FROM {source}" for m in metrics
+        ]
+
+    amounts = ["invoice_count", "outstanding_amount"]
+    out = [f"SELECT 'DASHBOARD' AS section, section AS item, metric, value, CAST(NULL AS VARCHAR) AS text FROM "
+           f"{body(SQL['executive_dashboard'], 'd')}"]
+    out += pairs("AGING", "aging_bucket", body(others["aging_summary"], "g"), amounts)
+    out += pairs("PRIORITY", "collection_priority", body(others["priority_summary"], "g"), amounts)
+    out += pairs("OVERDUE", "invoice_number", body(SQL["top_overdue_invoices"], "g"), ["days_past_due", "outstanding_amount"])
+    out.append("SELECT 'ACTIONS', CAST(orchestration_id AS VARCHAR), 'orchestration_status', NULL, orchestration_status FROM "
+               + body(SQL["recent_orchestrations"], "g"))
+    out.append("SELECT 'SUMMARY', NULL, 'summary', NULL, summary FROM " + body(SQL["collections_narrative"], "g"))
+    return " UNION ALL ".join(out)

@@ -254,11 +254,7 @@ SELECT * FROM (SELECT a.attempt_id, a.notification_id,
        WHEN b.notification_status <> 'PROCESSING' THEN b.notification_status END AS message
 FROM att a LEFT JOIN box b ON b.notification_id = a.notification_id
 LEFT JOIN won w ON w.notification_id = a.notification_id) WHERE reason IS NOT NULL"""
-SQL["delivery_round"] = f"""
-WITH cl AS ({claimed(READY)}),
-tr AS (SELECT notification_id, notification_id AS attempt_id,
-    CASE WHEN recipient_address IS NULL THEN 'Recipient address is missing.' END AS error
-  FROM cl WHERE notification_status = 'PROCESSING') {settled('cl', 'tr')}"""
+SQL["delivery_round"] = f"WITH {TRIES}, cl AS ({claimed(READY)}) " + settled("cl")
 
 RQ = f"""
 rqs AS (SELECT notification_id AS request_id, notification_id, CASE WHEN k % 2 = 0 THEN 'reason ' || k END AS recovery_reason
@@ -384,6 +380,20 @@ WITH {CHANGES}
 SELECT previous_status, status, count(*) AS jumps FROM marked WHERE NOT is_allowed GROUP BY previous_status, status"""
 
 
+SQL["run_transition_history"] = """
+WITH ch AS (SELECT user_id AS entity_id, event_id AS change_id, ts AS changed_at,
+    ['STARTED', 'WAITING_APPROVAL', 'APPROVED', 'QUEUED', 'PROCESSING', 'COMPLETED', 'FAILED'][event_id % 7 + 1] AS status FROM ev),
+hist AS (SELECT *, lag(status) OVER w AS previous_status, lead(changed_at) OVER w AS nxt FROM ch
+  WINDOW w AS (PARTITION BY entity_id ORDER BY changed_at, change_id))
+SELECT entity_id, change_id, changed_at, previous_status, status,
+  CAST(epoch_us(nxt) - epoch_us(changed_at) AS DOUBLE) / 1000000 AS seconds_in_status,
+  CASE WHEN previous_status IS NOT NULL THEN (previous_status, status) IN (
+    ('STARTED', 'WAITING_APPROVAL'), ('STARTED', 'FAILED'), ('WAITING_APPROVAL', 'APPROVED'), ('WAITING_APPROVAL', 'FAILED'),
+    ('APPROVED', 'QUEUED'), ('APPROVED', 'FAILED'), ('QUEUED', 'PROCESSING'), ('QUEUED', 'FAILED'),
+    ('PROCESSING', 'COMPLETED'), ('PROCESSING', 'FAILED')) END AS is_allowed
+FROM hist"""
+
+
 # ---- checks ----------------------------------------------------------------------------------
 def check(name, bad, text, source):
     return (
@@ -422,7 +432,7 @@ WITH i1 AS (SELECT invoice_id, customer_id, invoice_amount, amount_paid,
     CASE WHEN invoice_id % 90 = 0 THEN -invoice_amount WHEN invoice_id % 91 = 0 THEN invoice_amount + 1
          ELSE outstanding_amount END AS outstanding_amount,
     CASE WHEN invoice_id % 70 <> 0 THEN due_date END AS due_date FROM inv),
-c1 AS (SELECT * FROM cust WHERE customer_id % 50 <> 1)
+c1 AS (SELECT * REPLACE (CASE WHEN customer_id % 50 = 1 THEN -customer_id ELSE customer_id END AS customer_id) FROM cust)
 """ + UNION.join(integrity("i1", "c1"))
 SQL["workflow_checks"] = UNION.join(WORK)
 
@@ -448,3 +458,11 @@ SELECT total_checks, passed, warnings, failed,
 FROM (SELECT count(*) AS total_checks, count(CASE WHEN status = 'PASS' THEN 1 END) AS passed,
   count(CASE WHEN status = 'WARNING' THEN 1 END) AS warnings, count(CASE WHEN status = 'FAIL' THEN 1 END) AS failed
 FROM ({ALL}))"""
+
+# ---- the same steps on stored tables ---------------------------------------------------------
+for name in (
+    "request_reminders decide_approvals decide_approvals_rejects execute_approved execute_approved_outbox "
+    "apply_delivery_results requeue requeue_log start_orchestrations complete_orchestrations "
+    "complete_orchestrations_approvals complete_orchestrations_outbox"
+).split():
+    SQL[f"stored_{name}"] = SQL[name]
