@@ -170,8 +170,9 @@ class Run:
         folder = f"{tables.root}/{name}/{RUN}={self.id}"
         writer = df.observe(seen, *counted).withColumn(BUCKET, bucket).repartition(BUCKET).write
         writer.mode("append").options(**(options or {})).partitionBy(BUCKET).parquet(folder)
-        self.metrics[name] = dict(seen.get)
         written = {n.partition("=")[2] for n in tables._names(folder, f"{BUCKET}=")}
+        # Where the optimizer knows that there are no rows it leaves the counting out as well.
+        self.metrics[name] = dict(seen.get) if written else {"rows": 0, "highest": None}
         if mode == "replace":
             for b in tables._touched(entry, keys):
                 entry["parts"].pop(str(b), None)
