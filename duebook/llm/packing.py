@@ -18,10 +18,11 @@ least, and one for each piece of more than half a sequence.
 import functools
 import os
 import re
-import struct
 import zlib
 
+import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,75 +35,45 @@ from duebook.storage import discard, materialize
 VOCABULARY = "byte_bpe_50k.json"
 CAPACITY = 2048
 END = 0
-CACHED = 1 << 17  # parts of up to PART characters that a worker remembers, twice
-PART = 48
 
-# Between a character that is not white space and a blank or a newline no match of the
-# splitting pattern goes on, nor between a letter and an ASCII sign or digit.  So texts may be
-# cut there and their parts encoded on their own.
-_PARTS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")  # the same cuts where there is no other white space
-_OTHER_SPACE = re.compile(r"[^\S \n]")
-_CUT = re.compile(r"(?<=\S)(?=[ \n])")
-_WORD = re.compile("(\n?)( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([\x00-@\\[-`{-\x7f].*)?", re.DOTALL)
+# Characters whose class (letter, digit, white space, other) all versions of Unicode agree on.
+_PLAIN = re.compile("[\t\n\r -~¡-¬®-ɏ]*")
 
 
-def _byte_letters() -> dict[int, str]:
-    """The letter that byte-level vocabularies write for each byte: itself, or the next free one from 256 on."""
-    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    hidden = [b for b in range(256) if b not in shown]
-    return {b: chr(256 + n) for n, b in enumerate(hidden)}
-
-
-def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+def _byte_values() -> dict[str, int]:
+    """Byte of each letter that byte-level vocabularies write: itself, or the next free one from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(hidden)}
 
 
 class Encoder:
-    """Ids of texts, as little-endian unsigned 32-bit integers; frequent parts are remembered."""
+    """Ids of texts by a byte-level vocabulary of `tokenizers`, as little-endian unsigned 32-bit integers.
+
+    Texts of plain characters and without the string of a special token take a faster way to the
+    same ids: the vocabulary numbers its merges in order, so its ids are ranks, by which
+    `tiktoken` merges.  All other texts are encoded by `tokenizers`.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.tokenizer, self.letters = Tokenizer.from_file(path), _byte_letters()
-        self.model = self.tokenizer.model
-        self.new, self.old = {}, {}  # parts seen lately, and before these
-
-    def _whole(self, text: str) -> bytes:
-        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _part(self, part: str) -> bytes:
-        found = self.new.get(part)
-        if found is None:
-            found = self.old.get(part)
-            if found is None:
-                found = self._fresh(part)
-            if len(part) <= PART:
-                if len(self.new) >= CACHED:
-                    self.old, self.new = self.new, {}
-                self.new[part] = found
-        return found
-
-    def _fresh(self, part: str) -> bytes:
-        word = _WORD.fullmatch(part)
-        if not word:
-            return self._whole(part)
-        line, letters, rest = word.groups()
-        # A blank and letters are one match of the splitting pattern: only merging is left to do.
-        if letters.isascii():
-            shown = letters.replace(" ", self.letters[32])
-        else:
-            shown = letters.encode().decode("latin-1").translate(self.letters)
-        raw = _packed([t.id for t in self.model.tokenize(shown)])
-        return (self._part(line) if line else b"") + raw + (self._part(rest) if rest else b"")
-
-    def ids(self, text: str) -> bytes:
-        parts = _CUT.split(text) if _OTHER_SPACE.search(text) else _PARTS.findall(text)
-        new, out = self.new, []
-        for p in parts:
-            found = new.get(p)
-            if found is None:
-                found, new = self._part(p), self.new
-            out.append(found)
-        return b"".join(out)
+        self.tokenizer, values = Tokenizer.from_file(path), _byte_values()
+        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        ranks = {bytes(map(values.get, t)): i for t, i in self.tokenizer.get_vocab().items() if t not in special}
+        self.plain = tiktoken.Encoding(
+            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
+        self.special = tuple(special)
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        out = [None] * len(texts)
+        for i, text in enumerate(texts):
+            if _PLAIN.fullmatch(text) and not any(t in text for t in self.special):
+                out[i] = self.plain.encode_ordinary(text)
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
+            out[i] = e.ids
+        return [np.array(ids, dtype="<u4").tobytes() for ids in out]
 
 
 @functools.cache
@@ -120,8 +91,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END,
         enc, number = encoder(path), TaskContext.get().partitionId() << 40
         for b in small_batches(batches, 64):
             rows = []
-            for place, text in enumerate(b.column(1)):
-                raw = enc.ids(text.as_py() or "") + int(end).to_bytes(4, "little")
+            for place, raw in enumerate(enc.ids([t or "" for t in b.column(1).to_pylist()])):
+                raw += int(end).to_bytes(4, "little")
                 n = len(raw) // 4
                 first = n if n <= capacity else (n % capacity or capacity)
                 cuts = [0, *range(first, n + 1, capacity)]
@@ -223,16 +194,20 @@ def _round(spark: SparkSession, gaps: DataFrame, waiting: DataFrame, longest: in
         _across([tuple(r) for r in counts]), "g_block int, g_rank long, block int, p_rank long, n long"
     )  # at most two rows a range
     # Both sides get the name of their match: the range of the gap and its rank there.
-    piece = left.where("NOT gap").join(
-        F.broadcast(matched), (left["block"] == matched["block"]) & (F.col("rank") >= F.col("p_rank")) & (F.col("rank") < F.col("p_rank") + F.col("n")), "left"
-    ).select("id", "size", F.col("g_block").alias("block"), (F.col("g_rank") - (F.col("rank") - F.col("p_rank"))).alias("rank"))
+    place = (left["block"] == matched["block"]) & (F.col("rank") >= F.col("p_rank")) & (F.col("rank") < F.col("p_rank") + F.col("n"))
+    piece = left.where("NOT gap").join(F.broadcast(matched), place, "left").select(
+        "id", "size", F.col("g_block").alias("block"), (F.col("g_rank") - (F.col("rank") - F.col("p_rank"))).alias("rank")
+    )
     free = left.where("gap").select("block", "rank", F.col("id").alias("g_id"), F.col("size").alias("g_size"))
-    met = free.join(piece, ["block", "rank"], "full")
+    # Pieces without a match have no name and take no part in the join.
+    met = free.join(piece.where("block IS NOT NULL"), ["block", "rank"], "left")
+    none = F.lit(None).cast("long")
+    lone = piece.where("block IS NULL").select(F.lit(False).alias("gap"), "id", "size", none.alias("bin"))
     crossed = met.select(F.explode(F.array(
         F.struct(F.lit(False).alias("gap"), "id", "size", F.col("g_id").alias("bin")),
         F.struct(F.lit(True).alias("gap"), F.col("g_id").alias("id"),
-                 (F.col("g_size") - F.when(F.col("id").isNull(), 0).otherwise(F.col("size"))).alias("size"), F.lit(None).cast("long").alias("bin")),
-    )).alias("r")).select("r.*").where("id IS NOT NULL")
+                 (F.col("g_size") - F.coalesce("size", F.lit(0))).alias("size"), none.alias("bin")),
+    )).alias("r")).select("r.*").where("id IS NOT NULL").unionByName(lone)
     done = materialize(swept.where("rank IS NULL").select("gap", "id", "size", "bin").unionByName(crossed), "round")
     discard(swept)
     return done
