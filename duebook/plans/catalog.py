@@ -524,38 +524,38 @@ register(
 # ---- workflow -----------------------------------------------------------------------------
 def _workflow(c):
     """Every transition on the fixture tables, as functions so that only the wanted one runs."""
-    now, at = fixtures.now(), (c.spark, c.folder)
+    now = fixtures.now()
 
     def execute(form):
         return workflow.execute_approved(
-            c.approvals, c.outbox, requests.executions(*at), now, c.invoices, c.customers, form
+            c.approvals, c.outbox, c.request("executions"), now, c.invoices, c.customers, form
         )
 
     return {
         "request_reminders": lambda: workflow.request_reminders(
-            requests.reminder_requests(*at), c.approvals, now
+            c.request("reminder_requests"), c.approvals, now
         ),
         "decide_approvals": lambda: workflow.decide_approvals(
-            c.approvals, requests.decisions(*at), now
+            c.approvals, c.request("decisions"), now
         ),
         "execute_approved": lambda: execute("recipient"),
         "execute_approved_plain": lambda: execute("plain"),
         "execute_approved_message": lambda: execute("message"),
         "apply_delivery_results": lambda: workflow.apply_delivery_results(
-            c.outbox, requests.attempts(*at), now
+            c.outbox, c.request("attempts"), now
         ),
         "apply_delivery_results_final": lambda: workflow.apply_delivery_results(
-            c.outbox, requests.attempts(*at), now, retries=False
+            c.outbox, c.request("attempts"), now, retries=False
         ),
         "requeue": lambda: workflow.requeue(
-            c.outbox, c.recovery_log, requests.recoveries(*at), now
+            c.outbox, c.recovery_log, c.request("recoveries"), now
         ),
         "start_orchestrations": lambda: workflow.start_orchestrations(
-            requests.run_requests(*at), c.orchestrations, c.approvals,
+            c.request("run_requests"), c.orchestrations, c.approvals,
             c.sessions, c.invoices, c.customers, now,
         ),
         "complete_orchestrations": lambda: workflow.complete_orchestrations(
-            c.orchestrations, c.approvals, c.outbox, requests.run_approvals(*at), c.invoices,
+            c.orchestrations, c.approvals, c.outbox, c.request("run_approvals"), c.invoices,
             c.customers, now,
         ),
     }
@@ -577,7 +577,7 @@ def _step_events(step):
 def delivery_round(c):
     """Claim what is ready, then settle it with the attempts made."""
     claimed = workflow.claim_notifications(c.outbox, fixtures.now())
-    attempts = requests.attempts(c.spark, c.folder)
+    attempts = c.request("attempts")
     return workflow.apply_delivery_results(claimed, attempts, fixtures.now()).tables[workflow.OUTBOX]
 
 
@@ -594,19 +594,19 @@ def _shared_numbers(c):
 
 
 def _history(c):
-    changes = requests.status_changes(c.spark, c.folder)
+    changes = c.request("status_changes")
     return workflow.transition_history(changes, K.NOTIFICATION_TRANSITIONS)
 
 
 register(
     resolve_recipients=lambda c: workflow.resolve_recipients(
-        requests.run_requests(c.spark, c.folder), c.invoices, c.customers
+        c.request("run_requests"), c.invoices, c.customers
     ),
     resolve_recipients_address_first=lambda c: workflow.resolve_recipients(
-        requests.run_requests(c.spark, c.folder), c.invoices, c.customers, status_first=False
+        c.request("run_requests"), c.invoices, c.customers, status_first=False
     ),
     resolve_recipients_ambiguous=lambda c: workflow.resolve_recipients(
-        requests.run_requests(c.spark, c.folder), _shared_numbers(c), c.customers
+        c.request("run_requests"), _shared_numbers(c), c.customers
     ),
     request_reminders=_table("request_reminders", workflow.APPROVALS),
     request_reminders_events=_step_events("request_reminders"),
@@ -639,7 +639,7 @@ register(
     transition_history=_history,
     illegal_transitions=lambda c: workflow.illegal_transitions(_history(c)),
     run_transition_history=lambda c: workflow.transition_history(
-        requests.run_changes(c.spark, c.folder), K.ORCHESTRATION_TRANSITIONS
+        c.request("run_changes"), K.ORCHESTRATION_TRANSITIONS
     ),
 )
 
@@ -659,38 +659,38 @@ def _stored_step(names, step, table):
 
     def run(c):
         tables = _stored(c, *names)
-        done = step(c, tables, (c.spark, c.folder), fixtures.now())
+        done = step(c, tables, fixtures.now())
         return done.rejects if table is None else tables.read(table)
 
     return run
 
 
-def _decide(c, tables, at, now):
-    return stored.decide_approvals(tables, requests.decisions(*at), now)
+def _decide(c, tables, now):
+    return stored.decide_approvals(tables, c.request("decisions"), now)
 
 
-def _execute(c, tables, at, now):
-    return stored.execute_approved(tables, requests.executions(*at), now, c.invoices, c.customers)
+def _execute(c, tables, now):
+    return stored.execute_approved(tables, c.request("executions"), now, c.invoices, c.customers)
 
 
-def _settle(c, tables, at, now):
-    return stored.apply_delivery_results(tables, requests.attempts(*at), now)
+def _settle(c, tables, now):
+    return stored.apply_delivery_results(tables, c.request("attempts"), now)
 
 
-def _requeue(c, tables, at, now):
-    return stored.requeue(tables, requests.recoveries(*at), now)
+def _requeue(c, tables, now):
+    return stored.requeue(tables, c.request("recoveries"), now)
 
 
-def _start(c, tables, at, now):
-    return stored.start_orchestrations(tables, requests.run_requests(*at), c.invoices, c.customers, now)
+def _start(c, tables, now):
+    return stored.start_orchestrations(tables, c.request("run_requests"), c.invoices, c.customers, now)
 
 
-def _complete(c, tables, at, now):
-    return stored.complete_orchestrations(tables, requests.run_approvals(*at), c.invoices, c.customers, now)
+def _complete(c, tables, now):
+    return stored.complete_orchestrations(tables, c.request("run_approvals"), c.invoices, c.customers, now)
 
 
-def _ask(c, tables, at, now):
-    return stored.request_reminders(tables, requests.reminder_requests(*at), now)
+def _ask(c, tables, now):
+    return stored.request_reminders(tables, c.request("reminder_requests"), now)
 
 
 _BOX, _REQUEUED = [workflow.OUTBOX], [workflow.OUTBOX, workflow.RECOVERY]
@@ -805,7 +805,7 @@ register(
     stream_dedup_requests=jobs.dedup_requests,
     retry_outcomes=lambda c: replay.retry_outcomes(jobs.attempts_of(_event_rows(c))),
     stuck_intervals=lambda c: replay.stuck_intervals(
-        requests.status_changes(c.spark, c.folder), _final_watermark(c)
+        c.request("status_changes"), _final_watermark(c)
     ),
     sessions=lambda c: replay.sessions(_event_rows(c), "user_id", "ts", "event_id"),
 )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from duebook.operators import aging, conversations, normalize, payments, risk
 from duebook.operators.requested import store_for_lookups
-from duebook.sources import fixtures
+from duebook.sources import fixtures, requests
 from duebook.sources.raw import read_raw_transactions
 from duebook.storage import materialize, new_path
 
@@ -22,6 +22,7 @@ class Core:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._requests = {}
 
     # ---- stored layers -----------------------------------------------------------
     @cached_property
@@ -118,6 +119,13 @@ class Core:
     def orchestrations(self) -> DataFrame:
         return materialize(fixtures.orchestrations(self.spark, self.folder), "orchestrations")
 
+    def request(self, name: str) -> DataFrame:
+        """A stored table of workflow requests (a function of `sources.requests`)."""
+        if name not in self._requests:
+            rows = getattr(requests, name)(self.spark, self.folder)
+            self._requests[name] = materialize(rows, f"requests-{name}")
+        return self._requests[name]
+
     @property
     def messages(self) -> DataFrame:
         return fixtures.messages(self.spark, self.folder)
