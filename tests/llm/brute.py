@@ -29,6 +29,23 @@ def repeats(rows, length=400):
     return out
 
 
+def shared_words(rows, size=51):
+    """{id: words in passages of `size` words that a text with another id has too}; ids are unique."""
+    words = {i: WORD.findall(t or "") for i, t in rows}
+    owners = {}
+    for i, w in words.items():
+        for s in range(len(w) - size + 1):
+            owners.setdefault(tuple(w[s:s + size]), set()).add(i)
+    out = {}
+    for i, w in words.items():
+        hit = bytearray(len(w))
+        for s in range(len(w) - size + 1):
+            if len(owners[tuple(w[s:s + size])]) > 1:
+                hit[s:s + size] = b"\1" * size
+        out[i] = sum(hit)
+    return out
+
+
 def shingles(text, size):
     words = [w.translate({c: c + 32 for c in range(65, 91)}) for w in WORD.findall(text or "")]
     if not words:
@@ -54,6 +71,45 @@ def components(rows, size, threshold):
     return {i: top(i) for i in parent}
 
 
+def url_parts(url):
+    """Host, path and the tokens of a whole url."""
+    lower = {c: c + 32 for c in range(65, 91)}
+    if url is None or "://" not in url:
+        return "", "", frozenset()
+    scheme, rest = url.split("://", 1)
+    host = re.match(r"[^/?#]*", rest).group().translate(lower)
+    path = re.match(r"[^/?#]*([^?#]*)", rest).group(1)
+    query = re.match(r"[^?#]*(?:\?([^#]*))?", rest).group(1) or ""
+    fragment = rest.split("#", 1)[1] if "#" in rest else ""
+    out = [("s", scheme.translate(lower))] + [("h", x) for x in host.split(".")] + [("p", x) for x in path.split("/")]
+    for pair in re.split("[&;]", query):
+        name, _, value = pair.partition("=")
+        out += [("q", name), ("v", value)]
+    out += [("f", x) for x in re.split("[/?&=]", fragment)]
+    return host, path, frozenset(x for x in out if x[1])
+
+
+def url_verdicts(pages, labels, rules, min_pages, min_confidence=0.8):
+    """{id: (host, path, rule, verdict)}; ids and labels are unique."""
+    known = {i: q == 0 or t == 1 for i, q, t in labels if q is not None or t is not None}
+    seen = {i: url_parts(u) for i, u in pages}
+    labelled = [(seen[i][2], bad) for i, bad in known.items() if i in seen and seen[i][2]]
+    counts = Counter(t for tokens, bad in labelled if bad for t in tokens)
+    often = {t for t, n in counts.items() if n >= min_pages}
+    sets = Counter()
+    for tokens, bad in labelled:
+        of = sorted(tokens & often)
+        sets.update((frozenset(t for j, t in enumerate(of) if m >> j & 1), bad) for m in range(1, 1 << len(of)))
+    mined = [s for s, bad in sets if bad and sets[s, True] >= min_pages
+             and sets[s, True] / (sets[s, True] + sets[s, False]) >= min_confidence]
+    out = {}
+    for i, (host, path, tokens) in seen.items():
+        fits = [(len(h + p), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        _, name, verdict = max(fits, default=(0, None, None))
+        out[i] = host, path, name, verdict or ("block" if any(s <= tokens for s in mined) else "allow")
+    return out
+
+
 def lines(rows, min_sites):
     """{id: text without boilerplate}."""
     sites, first = {}, {}

@@ -81,6 +81,36 @@ def test_repeats_across_the_pieces_of_a_long_text(spark):
     assert got == {1: [(a, a + n) for a, n in at[:2]], 2: [(0, 1800), (1801, 2201)], 3: []}
 
 
+def test_shared_passages_at_every_limit(spark):
+    """Passages of 50, 51 and 60 words, at ends, over white space of all kinds, inside one text, in long texts."""
+    rng = np.random.default_rng(9)
+
+    def noise(n):
+        return [f"w{x}" for x in rng.integers(0, 10**9, n)]
+
+    p50, p51, p60, own = noise(50), noise(51), noise(60), noise(55)
+    long = noise(3 * 4000)
+    texts = [
+        noise(20) + p50, p50 + noise(5), p51, noise(9) + p51 + noise(9), p60 + noise(30), noise(70) + p60, noise(7) + p60[3:57] + noise(2),
+        own + noise(3) + own, long, noise(60) + long[9000:9051] + noise(60), [], noise(51), ["é", "日本"] * 30, ["é", "日本"] * 26,
+    ]
+    gaps = [" ", "\n", "\t ", "\x0b"]
+    rows = [(i, "".join(w + gaps[int(rng.integers(0, 4))] for w in t)) for i, t in enumerate(texts)] + [(99, None)]
+    for chunk in (repeats.CHUNK, 3000):
+        repeats.CHUNK, before = chunk, repeats.CHUNK
+        words, offsets = [], None
+        import pyarrow as pa
+
+        offsets, names = repeats._word_names(pa.array([t for _, t in rows], pa.string()))
+        repeats.CHUNK = before
+        words.append(names)
+        assert np.diff(offsets).tolist() == [len(brute.WORD.findall(t or "")) for _, t in rows]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r._id: r.n_shared_words for r in repeats.shared_passages(frame).collect()}
+    assert got == {i: n for i, n in brute.shared_words(rows).items() if n}
+    assert repeats.shared_passages(frame.limit(0)).count() == 0
+
+
 def test_quality(spark, docs, nothing):
     rows = {(r.doc_id, r.n_words): r for r in quality.quality_rules(docs).collect()}
     assert quality.quality_rules(docs).count() == len(ROWS)
@@ -339,10 +369,34 @@ def test_tokens_of_one_long_url_are_mined_as_one(spark):
     long = "http://site.org/" + "/".join(f"x{i}" for i in range(60))
     pages = [(1, long), (2, "http://site.org/y"), (3, "http://site.org/a/x59"), (4, "http://site.org/b")]
     labels = spark.createDataFrame([(1, 0, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
-    got = {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame(pages, "page_id long, url string"), labels).collect()}
+    frame = spark.createDataFrame(pages, "page_id long, url string")
+    got = {r.page_id: r.verdict for r in urls.judge(frame, labels, min_pages=1).collect()}
     assert got == {1: "block", 2: "allow", 3: "block", 4: "allow"}
 
 
+@pytest.mark.parametrize("size", [400, 2400])
+def test_urls_against_brute_force(spark, size):
+    """The same bad pages among few and among many: rules need ten of them, not a share."""
+    rng = np.random.default_rng(size)
+    hosts, parts, names = ["a.com", "www.b.net", "x.y.org", "spam.org"], ["en", "es", "buy", "Read", ""], ["ref", "id", "page"]
+    pages = []
+    for i in range(size):
+        url = f"HTTP{'s' * int(rng.integers(0, 2))}://{rng.choice(hosts)}/" + "/".join(rng.choice(parts, int(rng.integers(0, 4))))
+        if rng.random() < 0.5:
+            url += "?" + "&".join(f"{rng.choice(names)}={rng.integers(0, 3)}" for _ in range(int(rng.integers(1, 3))))
+        if rng.random() < 0.2:
+            url += f"#top/{rng.integers(0, 2)}"
+        pages.append((i, url))
+    bad = {i for i, u in pages if "spam" in u and "/buy" in u and "ref=1" in u}
+    bad = set(sorted(bad)[:14]) | {i for i in range(size) if rng.random() < 0.02}
+    labels = [(i, 0 if i in bad else 1, 0) for i in range(0, size) if rng.random() < 0.9 or i in bad]
+    frame = spark.createDataFrame(pages, "page_id long, url string")
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    for min_pages in (3, urls.MIN_PAGES):
+        got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge(frame, known, min_pages=min_pages).collect()}
+        assert got == brute.url_verdicts(pages, labels, urls.RULES, min_pages)
+
+
 def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank string")
 

@@ -29,8 +29,11 @@ def test_same_rows_as_sql(spark, con, name):
 
 
 def test_repeats(spark, docs):
-    got = {r[0]: tuple(r)[1:] for r in QUERIES["op1_suffix_dedup"](spark, FOLDER).collect()}
-    assert got == brute.repeats([(r.doc_id, r.text) for r in docs])
+    rows = QUERIES["op1_suffix_dedup"](spark, FOLDER).collect()
+    assert {r[0]: tuple(r)[1:5] for r in rows} == brute.repeats([(r.doc_id, r.text) for r in docs])
+    shared = brute.shared_words([(r.doc_id, r.text) for r in docs])
+    assert {r.doc_id for r in rows if r.shares_passage} == {i for i, n in shared.items() if n}
+    assert all(0 <= r.n_shared_words <= shared[r.doc_id] for r in rows) and any(shared.values())
 
 
 def test_bpe_is_that_of_the_library(spark, docs):
