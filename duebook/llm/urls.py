@@ -25,6 +25,7 @@ RULES = (
     ("net", "/fr/", "block"),
 )
 BLOCK = "=block"
+MIN_PAGES = 10  # bad labelled pages that a rule needs
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -60,11 +61,12 @@ def tokens(scheme: Column, host: Column, path: Column, query: Column, fragment:
     )
 
 
-def mine(labelled: DataFrame, min_support: float = 0.01, min_confidence: float = 0.8) -> DataFrame:
+def mine(labelled: DataFrame, min_pages: int = MIN_PAGES, min_confidence: float = 0.8) -> DataFrame:
     """`_need` and `_rarest` of rules that block, from `tokens`, `bad`.
 
-    A rule holds for at least `min_support` of the labelled urls and blocks rightly in at
-    least `min_confidence` of those that have its tokens.  No labelled rows give no rules.
+    A rule holds for at least `min_pages` bad urls, a number that does not grow with the
+    corpus, and blocks rightly in at least `min_confidence` of those that have its tokens.  No
+    labelled rows give no rules.
     `_need` has the parts of a rule, each a list of tokens that occur in the same labelled
     urls; any one of them will do.  `_rarest` is the part that the fewest labelled urls have.
     """
@@ -82,7 +84,7 @@ def mine(labelled: DataFrame, min_support: float = 0.01, min_confidence: float =
     each = rows.select("bad", "_n", F.explode("tokens").alias("_t")).groupBy("_t").agg(
         F.sum(F.col("bad").cast("long")).alias("_bad"), F.count("*").alias("_f"),
         F.bit_xor(F.xxhash64("_n")).alias("_x"), F.bit_xor(F.xxhash64("_n", F.lit(1))).alias("_y"),
-    ).where(F.col("_bad") >= F.ceil(F.lit(float(min_support)) * n))
+    ).where(F.col("_bad") >= min_pages)
     # Two hashes of the urls that have a token tell the tokens of other urls apart.
     parts = materialize(
         each.groupBy("_f", "_x", "_y").agg(F.sort_array(F.collect_list("_t")).alias("_part")), "url-parts"
@@ -99,7 +101,9 @@ def mine(labelled: DataFrame, min_support: float = 0.01, min_confidence: float =
         ),
         "url-baskets",
     )
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
+    # Half a page less than the number, as the share is multiplied by n again and rounded up.
+    share = min(1.0, (min_pages - 0.5) / n)
+    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence).fit(baskets)
     rules = materialize(
         model.associationRules.where(F.col("consequent")[0] == BLOCK).select(F.array_sort("antecedent").alias("_rule")),
         "url-rules",
@@ -131,7 +135,7 @@ def listed(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def judge(
-    pages: DataFrame, labels: DataFrame, rules=RULES, min_support: float = 0.01, min_confidence: float = 0.8
+    pages: DataFrame, labels: DataFrame, rules=RULES, min_pages: int = MIN_PAGES, min_confidence: float = 0.8
 ) -> DataFrame:
     """page_id, host, path, rule, verdict; one row per row of `pages`.
 
@@ -150,7 +154,7 @@ def judge(
     )
     labelled = seen.join(known, F.col("page_id") == F.col("doc_id")).select("tokens", (F.col("_bad") == 1).alias("bad"))
     urls = seen.where(F.size("tokens") > 0).groupBy(F.col("url").alias("_url")).agg(F.first("tokens").alias("tokens"))
-    blocked = materialize(blocked_urls(urls, mine(labelled, min_support, min_confidence)), "urls-blocked")
+    blocked = materialize(blocked_urls(urls, mine(labelled, min_pages, min_confidence)), "urls-blocked")
     name, verdict = listed(F.col("host"), F.col("path"), rules)
     mined = F.when(F.col("_url").isNotNull(), "block").otherwise("allow")
     return seen.join(blocked, F.col("url") == F.col("_url"), "left").select(
@@ -165,25 +169,41 @@ def op6_url_filter(spark, folder: str) -> DataFrame:
 OP6_SQL = r"""
 WITH u AS (
   SELECT page_id, url, coalesce(CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END, '') AS rest,
-    coalesce(CASE WHEN strpos(url, '://') > 0 THEN lower(substr(url, 1, strpos(url, '://') - 1)) END, '') AS scheme
+    coalesce(CASE WHEN strpos(url, '://') > 0 THEN translate(substr(url, 1, strpos(url, '://') - 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') END, '') AS scheme
   FROM pages
 ), p AS (
-  SELECT page_id, url, scheme, lower(regexp_extract(rest, '^[^/?#]*')) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u
-), l AS (
-  SELECT *, list_filter(string_split(host, '.'), lambda x: x <> '') AS hl, list_filter(string_split(path, '/'), lambda x: x <> '') AS pl FROM p
+  SELECT page_id, url, scheme,
+    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+    string_split_regex(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '[&;]') AS pairs,
+    string_split_regex(regexp_extract(rest, '(?s)^[^#]*#(.*)', 1), '[/?&=]') AS fragments
+  FROM u
 ), t AS (
-  SELECT page_id, url, host, path, list_sort(list_distinct(list_concat(
-    CASE WHEN scheme <> '' THEN ['s:' || scheme] ELSE [] END,
-    list_transform(hl[greatest(len(hl) - 3, 1):], lambda x: 'h:' || x), list_transform(pl[1:2], lambda x: 'p:' || x)))) AS tok FROM l
+  SELECT page_id, url, host, path, list_sort(list_distinct(list_filter(list_concat(
+    ['s:' || scheme],
+    list_transform(string_split(host, '.'), lambda x: 'h:' || x),
+    list_transform(string_split(path, '/'), lambda x: 'p:' || x),
+    list_transform(pairs, lambda x: 'q:' || regexp_extract(x, '^[^=]*')),
+    list_transform(pairs, lambda x: 'v:' || regexp_extract(x, '(?s)^[^=]*=(.*)', 1)),
+    list_transform(fragments, lambda x: 'f:' || x)), lambda x: len(x) > 2))) AS tok
+  FROM p
 ), known AS (
-  SELECT t.tok, bool_or(coalesce(quality = 0, false) OR coalesce(toxic = 1, false)) AS bad
-  FROM t JOIN labels ON page_id = doc_id WHERE (quality IS NOT NULL OR toxic IS NOT NULL) AND len(tok) > 0 GROUP BY t.page_id, t.url, t.tok
+  SELECT row_number() OVER () AS n, * FROM (
+    SELECT t.tok, bool_or(coalesce(quality = 0, false) OR coalesce(toxic = 1, false)) AS bad
+    FROM (SELECT *, row_number() OVER () AS at FROM t) t JOIN labels ON page_id = doc_id
+    WHERE (quality IS NOT NULL OR toxic IS NOT NULL) AND len(tok) > 0 GROUP BY t.at, t.tok)
+), often AS (
+  -- A rule needs ten bad pages, so do all its tokens.
+  SELECT token FROM (SELECT bad, unnest(tok) AS token FROM known) GROUP BY token HAVING count_if(bad) >= 10
+), short AS (
+  SELECT n, any_value(bad) AS bad, list_sort(list(token)) AS tok
+  FROM (SELECT n, bad, unnest(tok) AS token FROM known) JOIN often USING (token) GROUP BY n
 ), sets AS (
   SELECT bad, list_filter(tok, lambda x, i: (m >> (i - 1)) % 2 = 1) AS need
-  FROM (SELECT bad, tok, unnest(range(1, (1 << len(tok)))) AS m FROM known)
+  FROM (SELECT bad, tok, unnest(range(1, (1 << len(tok)))) AS m FROM short)
 ), mined AS (
-  SELECT need FROM sets GROUP BY need
-  HAVING count_if(bad) >= ceil(0.01::DOUBLE * (SELECT count(*) FROM known)) AND count_if(bad) / count(*) >= 0.8::DOUBLE
+  SELECT need FROM sets GROUP BY need HAVING count_if(bad) >= 10 AND count_if(bad) / count(*) >= 0.8::DOUBLE
 ), hit AS (
   SELECT DISTINCT url FROM t JOIN mined ON list_has_all(tok, need)
 ), r(h, p, v) AS (
