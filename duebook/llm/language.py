@@ -69,20 +69,30 @@ def unit(tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return v / np.where(size == 0, 1, size)
 
 
-def spherical_means(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
-    """Up to `k` unit centroids; starts are the farthest points, so reruns agree."""
-    mean = vectors.mean(axis=0)
-    centres = [vectors[np.argmax(vectors @ mean)]]
-    best = vectors @ centres[0]
-    while len(centres) < min(k, len(vectors)):
-        centres.append(vectors[np.argmin(best)])
-        best = np.maximum(best, vectors @ centres[-1])
-    c = np.array(centres)
-    for _ in range(rounds):
-        near = np.argmax(vectors @ c.T, axis=1)
-        sums = np.array([vectors[near == i].sum(axis=0) if (near == i).any() else c[i] for i in range(len(c))])
-        c = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
-    return c
+def spherical_means(vectors: np.ndarray, k: int, rounds: int = 12, least: float = 0.03) -> np.ndarray:
+    """Up to `k` unit centroids of clusters that hold at least the share `least` of the vectors.
+
+    Starts are drawn one after the other with a probability that grows with the distance to
+    those before (seeded, so reruns agree).  Clusters that end smaller go, the smallest first,
+    and their vectors join the others: an odd text makes no centroid of its own.
+    """
+    rng = np.random.default_rng(len(vectors))
+    starts = [int(rng.integers(len(vectors)))]
+    while len(starts) < min(k, len(vectors)):
+        far = np.maximum(0, 1 - (vectors @ vectors[starts].T).max(axis=1)) ** 2
+        if far.sum() <= 1e-9:
+            break
+        starts.append(int(rng.choice(len(vectors), p=far / far.sum())))
+    c = vectors[starts]
+    while True:
+        for _ in range(rounds):
+            near = np.argmax(vectors @ c.T, axis=1)
+            sums = np.array([vectors[near == i].sum(axis=0) if (near == i).any() else c[i] for i in range(len(c))])
+            c = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
+        size = np.bincount(np.argmax(vectors @ c.T, axis=1), minlength=len(c))
+        if len(c) == 1 or size.min() >= least * len(vectors):
+            return c
+        c = np.delete(c, size.argmin(), axis=0)
 
 
 def least_cosines(vectors, centroids, heads, idf, quantile: float, margin: float, enough: int) -> np.ndarray:
@@ -133,9 +143,10 @@ def fit(
 ) -> Model:
     """Model from `text`, `lang` of labelled rows.
 
-    At most `per_language` different texts of each language are used (those with the smallest
-    hashes, so reruns agree) and at most `max_languages` languages; both bound what
-    the tasks and the driver hold.  Rows with null lang or without a letter teach nothing.
+    Centroids are found on at most `per_language` different texts of each language (those with
+    the smallest hashes, so reruns agree); document frequencies are counted over all labelled
+    rows.  More than `max_languages` languages are an error; both numbers bound what the tasks
+    and the driver hold.  Rows with null lang or without a letter teach nothing.
     A centroid accepts texts whose cosine is at least the `quantile` of those of its sample
     at that length, less `margin`; see `least_cosines`.
     """
@@ -144,13 +155,19 @@ def fit(
         "lang", "text", F.xxhash64("text").alias("h")
     )
     # Hashes are chosen before texts travel; copies of a text count once.
+    salted = Window.partitionBy("lang", "_salt").orderBy("h")
     order = Window.partitionBy("lang").orderBy("h")
+    # First the smallest of each of 64 parts of a language, then the smallest of these.
     chosen = (
-        rows.groupBy("lang", "h").agg(F.lit(1).alias("one"))
+        rows.groupBy("lang", "h").agg(F.lit(1).alias("one")).withColumn("_salt", F.pmod("h", F.lit(64)))
+        .withColumn("_n", F.row_number().over(salted)).where(F.col("_n") <= per_language)
         .withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language)
         .groupBy(F.col("lang").alias("_lang")).agg(F.max("h").alias("_last"))
     )
     limits = materialize(chosen, "language-limits")  # one row per language
+    languages = limits.count()
+    if languages > max_languages:
+        raise ValueError(f"{languages} languages are more than max_languages={max_languages}.")
     sample = (
         rows.join(limits, (F.col("lang") == F.col("_lang")) & (F.col("h") <= F.col("_last")))
         .groupBy("lang", "h").agg(F.any_value("text").alias("text"))
@@ -176,16 +193,22 @@ def fit(
     def seen(batches):
         n, df = 0, np.zeros(DIMENSIONS, dtype=np.int64)
         for b in batches:
-            for x in b.column("tf").to_pylist():
-                df += np.frombuffer(x, dtype=np.float32) > 0
-                n += 1
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([df.tolist()], pa.list_(pa.int64()))], ["n", "df"])
-
-    # One row of document frequencies per partition of the bounded sample.
-    parts = tf.select("tf").coalesce(8).mapInArrow(seen, "n long, df array<long>").collect()
-    n = sum(r.n for r in parts)
-    df = np.sum([r.df for r in parts], axis=0) if parts else np.zeros(DIMENSIONS)
-    idf = np.log((1 + n) / (1 + np.asarray(df, dtype=np.float64))) + 1
+            for text in b.column("text"):
+                letters = codes(text.as_py())
+                if letters is not None:
+                    df += counts(letters) > 0
+                    n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([[n, *df.tolist()]], pa.list_(pa.int64()))], ["df"])
+
+    # One row per partition, added up by Spark: the number of texts, then one sum per dimension.
+    sums = (
+        rows.select("text").mapInArrow(seen, "df array<long>").select(F.posexplode("df").alias("at", "n"))
+        .groupBy("at").agg(F.sum("n").alias("n")).collect()
+    )
+    found = np.zeros(DIMENSIONS + 1)
+    for r in sums:
+        found[r["at"]] = r["n"]
+    idf = np.log((1 + found[0]) / (1 + found[1:])) + 1
 
     def centroids(key, table):
         v = unit(np.array([np.frombuffer(x, dtype=np.float32) for x in table.column("tf").to_pylist()], dtype=np.float64), idf)
@@ -203,7 +226,7 @@ def fit(
 
     found = (
         tf.groupBy("lang").applyInArrow(centroids, "lang string, cluster int, centroid binary, least array<double>")
-        .orderBy("lang", "cluster").limit(max_languages * clusters).collect()
+        .orderBy("lang", "cluster").collect()
     )
     c = np.array([np.frombuffer(r.centroid, dtype=np.float32) for r in found]).reshape(len(found), DIMENSIONS)
     return Model(idf, c.astype(np.float32), [r.lang for r in found], np.array([r.least for r in found]).reshape(len(found), STEPS))
