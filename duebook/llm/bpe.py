@@ -23,7 +23,7 @@ import public_tokenizers
 from duebook.llm.common import packed, read, small_batches
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-LEAF = 4096  # characters of a leaf, and ids of a leaf in decoding
+LEAF = 512  # characters of a leaf, and ids of a leaf in decoding
 
 
 @functools.cache
