@@ -2,9 +2,9 @@
 
 Results that several jobs need are written once as Parquet into the folder that
 ``spark.checkpoint.dir`` names, so they survive the loss of any executor and are read
-back with column pruning and filter pushdown.  Where that is unset they go below the
-warehouse, the other folder that all executors share.  An application's tables are removed
-when its Python process ends.
+back with column pruning and filter pushdown.  Where that is unset a session on one machine
+writes below its warehouse; on a cluster it is an error, since executors would not see each
+other's files.  An application's tables are removed when its Python process ends.
 """
 
 import atexit
@@ -25,7 +25,12 @@ def shared_folder(spark: SparkSession) -> str:
     """Folder for this application below ``spark.checkpoint.dir``."""
     app = spark.sparkContext.applicationId
     if app not in _FOLDERS:
-        base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            master = spark.sparkContext.master
+            if not master.startswith("local") or master.startswith("local-cluster"):
+                raise ValueError("Set spark.checkpoint.dir to a folder that the driver and all executors share.")
+            base = spark.conf.get("spark.sql.warehouse.dir")
         _FOLDERS[app] = f"{base.rstrip('/')}/duebook-{app}-{uuid.uuid4().hex[:8]}"
         atexit.register(_remove, spark, app)
     return _FOLDERS[app]

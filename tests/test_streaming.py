@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from duebook.operators import replay
 from duebook.operators.payments import paid_per_invoice
+from duebook.plans.stored import tables_at
 from duebook.sources import fixtures, requests
-from duebook.streaming import jobs
+from duebook.streaming import jobs, stored
 from duebook.streaming import operators as S
 from duebook.streaming.run import append_available, appended, latest, stream_files, update_available
 
@@ -38,10 +39,15 @@ def rows(df):
 
 
 def test_retry_machine(spark, events, tmp_path):
-    schema, path = in_turns(
-        spark, events, str(tmp_path), lambda s: S.stream_retry_machine(jobs.attempts_of(s)), update_available
-    )
-    got = latest(spark, path, schema, ["notification_id"])
+    tables = tables_at(spark, str(tmp_path / "status"), 8)
+
+    def run(stream, name, path):
+        path = path or str(tmp_path / "state")
+        stored.retry_status(tables, stream, path)
+        return path
+
+    in_turns(spark, events, str(tmp_path), lambda s: S.stream_retry_machine(jobs.attempts_of(s)), run)
+    got = tables.read(stored.STATUS).drop("is_final")
     want = replay.retry_outcomes(jobs.attempts_of(events))
     mark = events.agg(F.max("ts") - F.expr("INTERVAL 1 HOUR")).first()[0]
     due = (F.col("notification_status") == "RETRY") & (F.col("next_retry_at") <= F.lit(mark))
