@@ -2,8 +2,10 @@
 
 Every text is measured once.  KLL sketches of the measures are built per (lang, source) with
 partial aggregation, so a source with a third of all rows is summed up before the shuffle,
-and merged into sketches per language and over all rows.  Limits are Tukey fences of the
-sketch quantiles, widened by a fixed slack, and joined back to the measures.
+and merged into sketches per language and over all rows.  A limit is a quantile of the group
+plus a multiple of its distance from another one, at least by a small floor, and is joined
+back to the measures.  Shares that are 0 in most texts take high quantiles, which move as soon
+as a tenth of a group's texts have symbols, or a hundredth repeated lines.
 
 Main path: built-in functions only.
 """
@@ -16,14 +18,17 @@ from duebook.storage import materialize
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
-# A measure's lower and upper slack around the fences (None: no limit on that side).  The
-# slack of a text of n words is sqrt(100 / n) times as wide where n is below 100, as the mean
-# of few words varies more.
-MEASURES = {
-    "word_length": (0.75, 0.75),
-    "symbol_share": (None, 0.1),
-    "line_share": (None, 0.4),
+# Limit -> measure, quantile, the quantile that it is compared with, how many times their
+# distance is added, and the floor: the least distance from the quantile.  The floor of a text
+# of n words is sqrt(100 / n) times as wide where n is below 100, as the mean of few words
+# varies more.
+LIMITS = {
+    "word_length_low": ("word_length", 0.25, 0.75, 3.0, 0.75),
+    "word_length_high": ("word_length", 0.75, 0.25, 3.0, 0.75),
+    "symbol_share_high": ("symbol_share", 0.9, 0.5, 3.0, 0.1),
+    "line_share_high": ("line_share", 0.99, 0.5, 1.0, 0.25),
 }
+MEASURES = ("word_length", "symbol_share", "line_share")
 
 
 def measured(docs: DataFrame, text: str = "text", keep=("doc_id", "lang", "source")) -> DataFrame:
@@ -100,20 +105,16 @@ def with_shares(measures: DataFrame) -> DataFrame:
     )
 
 
-def _fences(sketches: dict[str, Column], spread: float) -> list[Column]:
+def _fences(sketches: dict[str, Column]) -> list[Column]:
     out = []
-    for name, (low, high) in MEASURES.items():
-        s = sketches[name]
-        q1 = F.kll_sketch_get_quantile_double(s, F.lit(0.25))
-        q3 = F.kll_sketch_get_quantile_double(s, F.lit(0.75))
-        if low is not None:
-            out.append((q1 - spread * (q3 - q1)).alias(f"{name}_low"))
-        if high is not None:
-            out.append((q3 + spread * (q3 - q1)).alias(f"{name}_high"))
+    for name, (measure, at, other, times, _) in LIMITS.items():
+        q = F.kll_sketch_get_quantile_double(sketches[measure], F.lit(at))
+        r = F.kll_sketch_get_quantile_double(sketches[measure], F.lit(other))
+        out.append((q + times * (q - r)).alias(name))
     return out
 
 
-def limits(shares: DataFrame, k: int = 2048, spread: float = 3.0, min_rows: int = 50) -> DataFrame:
+def limits(shares: DataFrame, k: int = 2048, min_rows: int = 50) -> DataFrame:
     """One row per (lang, source) with the limits of its texts.
 
     A group of fewer than `min_rows` measured texts takes the limits of its language, a
@@ -133,9 +134,7 @@ def limits(shares: DataFrame, k: int = 2048, spread: float = 3.0, min_rows: int
         )
 
     sketch = {m: F.col(m) for m in MEASURES}
-    fences = _fences(sketch, spread)
-    names = [f"{m}_{side}" for m, sides in MEASURES.items()
-             for side, slack in zip(("low", "high"), sides) if slack is not None]
+    fences = _fences(sketch)
     own = groups.select("lang", "source", "_n", F.struct(*fences).alias("own"))
     language = merged("lang").select(
         F.col("lang").alias("_lang"), F.col("_n").alias("_ln"), F.struct(*fences).alias("language")
@@ -151,12 +150,12 @@ def limits(shares: DataFrame, k: int = 2048, spread: float = 3.0, min_rows: int
         F.col("_ln") >= min_rows, F.col("language")
     ).otherwise(F.col("everything"))
     return table.select("lang", "source", chosen.alias("_limits")).select(
-        "lang", "source", *[F.col("_limits")[n].alias(n) for n in names]
+        "lang", "source", *[F.col("_limits")[n].alias(n) for n in LIMITS]
     )
 
 
 def quality_rules(
-    docs: DataFrame, k: int = 2048, spread: float = 3.0, min_rows: int = 50,
+    docs: DataFrame, k: int = 2048, min_rows: int = 50,
     min_words: int = 10, max_repeat_percent: int = 20,
 ) -> DataFrame:
     """doc_id, lang, source, base measures, `base_failed` and `kept`, one row per document.
@@ -167,19 +166,17 @@ def quality_rules(
     Columns of `docs` other than doc_id, text, lang and source are ignored.
     """
     shares = materialize(with_shares(measured(docs)), "quality-measures")
-    table = limits(shares, k, spread, min_rows).select(
-        F.col("lang").alias("_lang"), F.col("source").alias("_source"),
-        *[f"{m}_{s}" for m, sides in MEASURES.items()
-          for s, slack in zip(("low", "high"), sides) if slack is not None],
+    table = limits(shares, k, min_rows).select(
+        F.col("lang").alias("_lang"), F.col("source").alias("_source"), *LIMITS
     )
     n = F.col("n_words")
     base = (n < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * n)
     inside, wide = F.lit(True), F.greatest(F.lit(1.0), F.sqrt(F.lit(100.0) / F.when(n > 0, n)))
-    for m, (low, high) in MEASURES.items():
-        if low is not None:
-            inside = inside & (F.col(m) >= F.col(f"{m}_low") - low * wide)
-        if high is not None:
-            inside = inside & (F.col(m) <= F.col(f"{m}_high") + high * wide)
+    for name, (measure, at, other, _, floor) in LIMITS.items():
+        if at < other:
+            inside = inside & (F.col(measure) >= F.col(name) - floor * wide)
+        else:
+            inside = inside & (F.col(measure) <= F.col(name) + floor * wide)
     joined = shares.join(
         table,
         shares["lang"].eqNullSafe(F.col("_lang")) & shares["source"].eqNullSafe(F.col("_source")),
@@ -224,12 +221,12 @@ WITH base AS (
 ), q AS (
   SELECT lang, source, grouping(lang) + grouping(source) AS lvl, count(*) AS n,
     quantile_disc(wl, 0.25) AS wl1, quantile_disc(wl, 0.75) AS wl3,
-    quantile_disc(ss, 0.25) AS ss1, quantile_disc(ss, 0.75) AS ss3,
-    quantile_disc(ls, 0.25) AS ls1, quantile_disc(ls, 0.75) AS ls3
+    quantile_disc(ss, 0.5) AS ss2, quantile_disc(ss, 0.9) AS ss3,
+    quantile_disc(ls, 0.5) AS ls2, quantile_disc(ls, 0.99) AS ls3
   FROM s WHERE n_words > 0 GROUP BY GROUPING SETS ((lang, source), (lang), ())
 ), f AS (
   SELECT lang, source, lvl, n, wl1 - 3 * (wl3 - wl1) AS wl_low, wl3 + 3 * (wl3 - wl1) AS wl_high,
-    ss3 + 3 * (ss3 - ss1) AS ss_high, ls3 + 3 * (ls3 - ls1) AS ls_high
+    ss3 + 3 * (ss3 - ss2) AS ss_high, ls3 + (ls3 - ls2) AS ls_high
   FROM q
 ), judged AS (
   SELECT s.*, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
@@ -241,6 +238,6 @@ WITH base AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
   NOT base_failed AND coalesce(wl >= lim.wl_low - 0.75::DOUBLE * wide AND wl <= lim.wl_high + 0.75::DOUBLE * wide
-    AND ss <= lim.ss_high + 0.1::DOUBLE * wide AND ls <= lim.ls_high + 0.4::DOUBLE * wide, false) AS kept
+    AND ss <= lim.ss_high + 0.1::DOUBLE * wide AND ls <= lim.ls_high + 0.25::DOUBLE * wide, false) AS kept
 FROM judged
 """
