@@ -3,9 +3,10 @@
 Vectors are cut into segments, at several resolutions.  A segment is kept as its mean and its
 deviation (the length of what is left of it after the mean).  From them the distance of two
 vectors has the lower bound  sum len * (mean - mean')^2 + (dev - dev')^2,  and with the
-lengths of both an upper bound of their inner product.  Bounds are taken coarse to fine;
-pairs that cannot beat the current k-th score drop out, and survivors are scored exactly in
-whole numbers.
+lengths of both an upper bound of their inner product.  Bounds are taken coarse to fine; at
+every resolution the pairs of highest bounds are scored exactly, which raises the k-th score
+that others must reach, and pairs that cannot reach it drop out.  Survivors are scored exactly
+in whole numbers: pair by pair where few are left, else all rows of the columns that are left.
 
 Queries meet candidates in blocks of fixed size, so neither side is held whole by a task and
 nothing is broadcast; a block returns k rows per query.
@@ -49,8 +50,22 @@ def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.array(whole, dtype=np.int64).reshape(len(qs), len(xs))
 
 
-def search_block(qids, quids, q, xids, xuids, x, k: int, levels=(1, 4, 16)):
-    """Best k rows of the block for each query: (query number, candidate number, score)."""
+def pair_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Inner products of row i of `q` with the rows of x[i], as `exact_scores` gives them."""
+    top = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * max(1, x.shape[2])
+    if top < _EXACT:
+        return np.rint(np.einsum("rd,rkd->rk", q, x)).astype(np.int64)
+    return np.array([exact_scores(q[i: i + 1], x[i])[0] for i in range(len(q))], dtype=np.int64).reshape(x.shape[:2])
+
+
+FEW = 0.1  # share of pairs below which survivors are scored one by one
+
+
+def search_block(qids, quids, q, xids, xuids, x, k: int, levels=(1, 4, 16, 32), tally: list | None = None):
+    """Best k rows of the block for each query: (query number, candidate number, score).
+
+    `tally` gets (pairs scored exactly, pairs) of every group of queries.
+    """
     if not len(q) or not len(x):
         return []
     q2, x2 = (q * q).sum(axis=1), (x * x).sum(axis=1)
@@ -66,7 +81,7 @@ def search_block(qids, quids, q, xids, xuids, x, k: int, levels=(1, 4, 16)):
         for i, u in enumerate(quids[part]):
             if int(u) in own:
                 alive[i, own[int(u)]] = False
-        cols, floor = np.arange(len(x)), None
+        cols, floor, scored = np.arange(len(x)), np.full(len(alive), -np.inf), 0
         for lq, lx, cq, cx in stats:
             if len(cols) <= k:
                 break
@@ -74,16 +89,26 @@ def search_block(qids, quids, q, xids, xuids, x, k: int, levels=(1, 4, 16)):
             # Rounding of the bounds must never drop a true result.
             upper += 1e-9 * (q2[part][:, None] + x2[cols][None, :]) + 1.0
             here = alive[:, cols]
-            if floor is None:
-                probe = np.argpartition(np.where(here, -upper, np.inf), k - 1, axis=1)[:, :k]
-                floor = np.full(len(here), -np.inf)
-                for i, p in enumerate(probe):
-                    if here[i, p].all():
-                        floor[i] = exact_scores(q[part][i: i + 1], x[cols[p]]).min()
+            probe = np.argpartition(np.where(here, -upper, np.inf), k - 1, axis=1)[:, :k]
+            known = pair_scores(q[part], x[cols[probe]])
+            full = np.take_along_axis(here, probe, axis=1).all(axis=1)
+            floor = np.maximum(floor, np.where(full, known.min(axis=1), -np.inf))
+            scored += probe.size
             here &= ~(upper < floor[:, None])
             alive[:, cols] = here
             cols = cols[here.any(axis=0)]
-        scores, here = exact_scores(q[part], x[cols]), alive[:, cols]
+        here = alive[:, cols]
+        if here.sum() < FEW * here.size:
+            scores = np.zeros(here.shape, dtype=np.int64)
+            for i, row in enumerate(here):
+                left = np.flatnonzero(row)
+                scores[i, left] = exact_scores(q[part][i: i + 1], x[cols[left]])[0]
+            scored += int(here.sum())
+        else:
+            scores = exact_scores(q[part], x[cols])
+            scored += here.size
+        if tally is not None:
+            tally.append((scored, alive.size))
         for i in range(len(here)):
             left = np.flatnonzero(here[i])
             if len(left) > k:
