@@ -10,8 +10,8 @@
    form a canopy; classes that share any list are together in a canopy, and a class is in a
    canopy once, however many lists it shares.  No pair is ever written.
 4. A canopy is cut into cells of bounded size.  Inside a cell the union of two sketches
-   estimates the Jaccard index of every pair and drops hopeless ones; full sets verify the
-   rest.  A cell returns its components, each as a star.  The centre goes to every cell.
+   estimates the Jaccard index of every pair and drops hopeless ones (a pair at the threshold,
+   of sets above the sketch, with a probability of 2e-8); full sets verify the rest.  A cell returns its components, each as a star.  The centre goes to every cell.
 5. For canopies of several cells, classes that are already connected to the largest part of
    the canopy need no more comparing among themselves; the others meet everything that they
    have not met, again in cells.

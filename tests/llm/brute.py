@@ -1,9 +1,13 @@
 """Plain versions of the operators for small inputs."""
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter
 
+import xxhash
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -123,3 +127,46 @@ def lines(rows, min_sites):
         i: None if text is None else "\n".join(x for x in text.split("\n") if x not in drop or first[x] == i)
         for i, _, text in rows
     }
+
+
+def _xx(seed, *values):
+    """Spark's xxhash64 of strings, longs and booleans; nulls leave the hash as it is."""
+    for v in values:
+        if v is None:
+            continue
+        raw = v.encode() if isinstance(v, str) else int(v).to_bytes(4 if isinstance(v, bool) else 8, "little", signed=True)
+        seed = xxhash.xxh64_intdigest(raw, seed=seed % 2**64)
+    return seed - 2**64 if seed >= 2**63 else seed
+
+
+def shards(rows, n, per_shard):
+    """{id: (size, shard, slot)}; ids are unique.  Units one after the other, by the largest dot product."""
+    facts, groups = [], {}
+    for i, text in rows:
+        g = _xx(42, text, text is None)
+        v = (len((text or "").encode()) + 8, len(WORD.findall(text or "")), 1)
+        facts.append((i, g, v, zlib.crc32((text or "").encode())))
+        groups[g] = tuple(map(sum, zip(groups.get(g, (0, 0, 0)), v)))
+    total = [sum(v[d] for v in groups.values()) for d in range(3)]
+    most = [max(1.0, t / (n * per_shard)) for t in total]
+    units = {}
+    for fact in facts:
+        weight = max(x / m for x, m in zip(groups[fact[1]], most))
+        if weight > 1:
+            name = f"g:{fact[1]}:{_xx(42, fact[0], 'piece') % math.ceil(weight)}"
+        else:
+            name = f"u:{fact[1] % (n * per_shard)}"
+        units.setdefault(name, []).append(fact)
+    sums = {u: [sum(f[2][d] for f in fs) * n / total[d] if total[d] else 0.0 for d in range(3)] for u, fs in units.items()}
+    room = [[1.0 if t else 0.0 for t in total] for _ in range(n)]
+    offset, out, of = [0] * n, {}, {}
+    for u in sorted(sorted(units), key=lambda u: -max(sums[u])):
+        scores = [sum(a * b for a, b in zip(r, sums[u])) for r in room]
+        # Sums of products in another order may differ in the last places.
+        of[u] = next(s for s, x in enumerate(scores) if x >= max(scores) - 1e-12)
+        room[of[u]] = [a - b for a, b in zip(room[of[u]], sums[u])]
+    for u in sorted(units):
+        for k, (i, g, v, crc) in enumerate(sorted(units[u], key=lambda f: (f[1], f[0], f[2][0], f[3]))):
+            out[i] = v[0], of[u], offset[of[u]] + k
+        offset[of[u]] += len(units[u])
+    return out

@@ -131,6 +131,18 @@ def test_quality_limits_follow_the_group(spark):
     assert not got.pop(500) and all(got.values())
 
 
+def test_quality_limits_move_with_few_texts_of_a_group(spark):
+    """Symbols in a seventh of a source's texts, repeated lines in a fiftieth: no outliers there, but elsewhere."""
+    def text(i, symbols=0, lines=0):
+        body = " ".join(f"w{j}x{i}" + "#" * (j < symbols) for j in range(60))
+        return body + "".join("\nsame line here" for _ in range(lines))
+
+    rows = [(i, text(i, 20 if i % 7 == 0 else 0, 9 if i % 50 == 1 else 0), "en", "forum") for i in range(300)]
+    rows += [(1000 + i, text(1000 + i, 20 if i == 0 else 0, 9 if i == 1 else 0), "en", "news") for i in range(300)]
+    got = {r.doc_id: r.kept for r in quality.quality_rules(documents(spark, rows), max_repeat_percent=100).collect()}
+    assert {i for i, kept in got.items() if not kept} == {1000, 1001}
+
+
 def test_near_duplicates(spark, docs, nothing):
     rows = near_dup.near_duplicates(docs).collect()
     assert len(rows) == len(ROWS)
@@ -269,6 +281,20 @@ def test_noise_and_unlearned_languages_are_rejected_and_held_out_texts_stay(spar
     assert len(held) > 250 and sum(not r.rejected for r in held) >= 0.96 * len(held)
 
 
+def test_bounds_leave_out_most_pairs_of_clustered_vectors():
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(40, 64)) * 4
+    x = np.floor(256 * (centres[rng.integers(0, 40, 3000)] + rng.normal(size=(3000, 64)) * 0.1))
+    ids, tally = np.arange(3000), []
+    got = topk.search_block(ids[::30], ids[::30], x[::30], ids, ids, x, 5, tally=tally)
+    scores = (x[::30] @ x.T).astype(np.int64)
+    want = set()
+    for i, row in enumerate(scores):
+        others = sorted((-s, j) for j, s in enumerate(row) if j != 30 * i)
+        want |= {(i, j, -s) for s, j in others[:5]}
+    assert set(got) == want and sum(s for s, _ in tally) < 0.05 * sum(n for _, n in tally)
+
+
 def test_lines(spark, docs, nothing):
     rows = lines.line_dedup(docs).collect()
     assert len(rows) == len(ROWS)

@@ -66,6 +66,8 @@ def test_shards(spark, docs):
     assert all(sorted(r.slot for r in x) == list(range(len(x))) for x in per.values())
     loads = [sum(r["size"] for r in x) for x in per.values()]
     assert len(loads) == 24 and max(loads) - min(loads) <= 2 * max(size.values())
+    want = brute.shards([(r.doc_id, r.text) for r in docs], 24, 128)
+    assert {r.doc_id: (r["size"], r.shard, r.slot) for r in rows} == want
 
 
 def test_pipeline_stages(spark, docs, tmp_path):
