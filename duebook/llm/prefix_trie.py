@@ -83,12 +83,16 @@ class SlotTable:
         return np.where(held, slot, -1)
 
 
-def subtree_sums(keys, parents, depth, counts) -> np.ndarray:
-    """`counts` (one row per kind) of every key plus those of all keys below it."""
+def subtree_sums(keys, parents, depth, counts, linked=None) -> np.ndarray:
+    """`counts` (one row per kind) of every key plus those of all keys below it.
+
+    Keys that are not `linked` (by default: of depth 0) add nothing to their parent.
+    """
+    linked = depth > 0 if linked is None else linked
     table = SlotTable(keys)
     slot, n = table.slots(keys), len(keys)
     parent_slot, depths = np.empty(n, dtype=np.int64), np.empty(n, dtype=np.int64)
-    parent_slot[slot], depths[slot] = np.where(depth > 0, table.slots(parents), -1), depth
+    parent_slot[slot], depths[slot] = np.where(linked, table.slots(parents), -1), depth
     flat = np.zeros((len(counts), n), dtype=np.int64)
     flat[:, slot] = counts
     order = np.argsort(-depths, kind="stable")
@@ -101,8 +105,11 @@ def subtree_sums(keys, parents, depth, counts) -> np.ndarray:
     return flat[:, slot]
 
 
-def _in_shards(nodes: DataFrame, shard: Column, key, parent, depth: str) -> DataFrame:
-    """`nodes` with `leaves` and `saved` summed over what lies below in the same shard."""
+def _in_shards(nodes: DataFrame, shard: Column, key, parent, depth: str, linked: Column | None = None) -> DataFrame:
+    """`nodes` with `leaves` and `saved` summed over what lies below in the same shard.
+
+    Rows that are not `linked` (by default: of depth 0) add nothing to their parent.
+    """
     columns = nodes.columns
 
     def run(table: pa.Table) -> pa.Table:
@@ -110,14 +117,16 @@ def _in_shards(nodes: DataFrame, shard: Column, key, parent, depth: str) -> Data
             return np.stack([table.column(c).fill_null(0).to_numpy() for c in names], axis=1)
 
         sums = subtree_sums(
-            matrix(key), matrix(parent), table.column(depth).to_numpy(), matrix(["leaves", "saved"]).T
+            matrix(key), matrix(parent), table.column(depth).to_numpy(), matrix(["leaves", "saved"]).T,
+            table.column("_linked").to_numpy(zero_copy_only=False),
         )
         table = table.select(columns)
         for name, values in zip(("leaves", "saved"), sums):
             table = table.set_column(columns.index(name), name, pa.array(values, pa.int64()))
         return table
 
-    return nodes.withColumn("_shard", shard).groupBy("_shard").applyInArrow(run, nodes.schema)
+    linked = F.col(depth) > 0 if linked is None else linked
+    return nodes.withColumns({"_shard": shard, "_linked": linked}).groupBy("_shard").applyInArrow(run, nodes.schema)
 
 
 def _values(depth: Column, turn: Column, seed: int) -> list[Column]:
@@ -369,9 +378,11 @@ def prefix_trie(conversations: DataFrame, limit: int | None = None, shard: int =
         .groupBy(F.col("up_conv").alias("conv_id"), (F.col("top") - 1).alias("depth"))
         .agg(F.sum("leaves").alias("more_leaves"), F.sum("saved").alias("more_saved"))
     )
+    # What comes from other segments has been added to the nodes where it hangs: only links inside are left.
+    inside = F.expr(f"coalesce(parent_conv_id = conv_id AND (depth - 1) div {limit} = band, false)")
     large = _in_shards(
         large.join(below, ["conv_id", "depth"], "left").withColumns(added).drop("more_leaves", "more_saved"),
-        F.pmod(F.xxhash64("conv_id", "band"), F.lit(shards)), _KEY, ["p1", "p2"], "depth",
+        F.pmod(F.xxhash64("conv_id", "band"), F.lit(shards)), _KEY, ["p1", "p2"], "depth", inside,
     ).drop("band")
     return small.unionByName(large).join(_ends(prefixes), _KEY, "left").select(
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", F.col("leaves").alias("n_leaves"),
