@@ -1,19 +1,25 @@
-"""Keyed state machines.  Their state has a fixed size, however many rows a key has."""
+"""Keyed state machines.  Their state has a fixed size for each key, however many rows it has."""
 
 from collections.abc import Iterator
+from itertools import batched
 
 import pandas as pd
+from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from duebook import constants as K
 
 RETRY_OUTPUT = """notification_id bigint, notification_status string, retry_count int,
-  changed_at timestamp, next_retry_at timestamp, is_final boolean"""
+  changed_micros bigint, next_retry_micros bigint, is_final boolean"""
+RETRY_ROW = Row(
+    "notification_id", "notification_status", "retry_count", "changed_micros", "next_retry_micros", "is_final",
+)
 STUCK_OUTPUT = "entity_id bigint, stuck_since timestamp, detected_at timestamp"
 
 DELAY = pd.Timedelta(K.RETRY_DELAY)
 LIMIT = pd.Timedelta(K.STALE_AFTER)
 ORDER = ["attempt_at", "attempt_id"]
+WIDTH = 2 + 2 * (1 + K.MAX_RETRY_COUNT)  # numbers kept of a notification: id, next look, success, failures
 
 
 def compact_attempts(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -29,12 +35,34 @@ def _millis(t: pd.Timestamp) -> int:
     return t.value // 1_000_000
 
 
-def _millis_of(d: pd.Timedelta) -> int:
-    return d.value // 1_000_000
+def _micros_of(d: pd.Timedelta) -> int:
+    return d.value // 1000
+
+
+def _ordered(attempts) -> list[tuple]:
+    return sorted(set(attempts))
+
+
+def retry_state(sent, failures):
+    """Status, number of failures, time of the last change and of the next retry of a notification.
+
+    `sent` is its first success or None, `failures` its first failures in order; attempts are
+    pairs (microseconds, id).
+    """
+    counted = [f for f in failures if sent is None or f < sent]
+    if len(counted) == K.MAX_RETRY_COUNT:
+        return "DEAD", len(counted), counted[-1][0], None
+    if sent is not None:
+        return "SENT", len(counted), sent[0], None
+    return "RETRY", len(counted), counted[-1][0], counted[-1][0] + _micros_of(DELAY)
 
 
 class RetryMachine(StatefulProcessor):
-    """Keeps the first success and the first failures of a notification.
+    """Keeps the first success and the first failures of each notification of a group.
+
+    A notification has a fixed number of values in its group, with the time at which it is to be
+    looked at next; the group has one timer, for the least of these.  So the exchanges with the
+    state store grow with the groups that a batch touches and not with its notifications.
 
     A notification that was sent or is dead leaves the state when the watermark has passed the
     attempt that ended it: no earlier attempt can come any more.  Then its row goes out once
@@ -43,75 +71,87 @@ class RetryMachine(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.kept = handle.getListState("kept", "attempt_at bigint, attempt_id bigint, delivered boolean")
-
-    def _status(self, key, attempts: pd.DataFrame):
-        success = attempts[attempts["delivered"]].head(1)
-        failures = attempts[~attempts["delivered"]]
-        if len(success):
-            first = tuple(success[ORDER].iloc[0])
-            earlier = failures.apply(lambda r: (r["attempt_at"], r["attempt_id"]) < first, axis=1)
-            failures = failures[earlier.astype(bool)] if len(failures) else failures
-        failures = failures.head(K.MAX_RETRY_COUNT)
-        n = len(failures)
-        if n == K.MAX_RETRY_COUNT:
-            return "DEAD", n, failures["attempt_at"].iloc[-1], None
-        if len(success):
-            return "SENT", n, success["attempt_at"].iloc[0], None
-        at = failures["attempt_at"].iloc[-1]
-        return "RETRY", n, at, at + DELAY
-
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        """Failures so far, all at the time of the last one; their ids come before any attempt's."""
-        at = int(pd.Timestamp(initialState["last_failure_at"].iloc[0]).value // 1000)
-        failures = int(initialState["failures"].iloc[0])
-        self.kept.put([(at, i - failures - 1, False) for i in range(min(failures, K.MAX_RETRY_COUNT))])
-        self.handle.registerTimer(at // 1000 + _millis_of(DELAY))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        before = pd.DataFrame(
-            [(pd.Timestamp(at * 1000), i, ok) for at, i, ok in self.kept.get()]
-            if self.kept.exists() else [],
-            columns=[*ORDER, "delivered"],
-        )
-        before = before.astype(
-            {"attempt_at": "datetime64[ns]", "attempt_id": "int64", "delivered": "bool"}
-        )
-        best = before
-        for chunk in rows:
-            chunk = chunk[[*ORDER, "delivered"]].astype({"attempt_at": "datetime64[ns]"})
-            merged = pd.concat([best, chunk]).drop_duplicates().sort_values(ORDER)
-            best = pd.concat(
-                [
-                    merged[merged["delivered"]].head(1),
-                    merged[~merged["delivered"]].head(K.MAX_RETRY_COUNT),
-                ]
-            ).sort_values(ORDER)
-        self.kept.put(
-            [(int(at.value // 1000), int(i), bool(ok)) for at, i, ok in best.itertuples(index=False)]
-        )
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        status, count, at, due = self._status(key, best)
-        self.handle.registerTimer(_millis(at if due is None else due))
-        yield _row(RETRY_COLUMNS, (key[0], status, count, at, due, False))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        attempts = pd.DataFrame(
-            [(pd.Timestamp(at * 1000), i, ok) for at, i, ok in self.kept.get()],
-            columns=[*ORDER, "delivered"],
-        )
-        status, count, at, due = self._status(key, attempts)
-        if due is None:
-            self.kept.clear()
-            yield _row(RETRY_COLUMNS, (key[0], status, count, at, due, True))
+        self.kept = handle.getValueState("group", "notifications array<bigint>")
+
+    def _load(self) -> dict:
+        """Notification -> (time of the next look or None, first success or None, first failures)."""
+        values, out = self.kept.get() or ((),), {}
+        for number, look, *places in batched(values[0], WIDTH):
+            sent, *failures = [None if at is None else (at, i) for at, i in batched(places, 2)]
+            out[number] = look, sent, [f for f in failures if f]
+        return out
+
+    def _store(self, before: int | None, group: dict) -> None:
+        """Keep the group, whose timer was set to `before`: `WIDTH` numbers per notification."""
+        values, none = [], (None, None)
+        for number, (look, sent, failures) in group.items():
+            values += number, look, *(sent or none), *[v for f in failures for v in f]
+            values += none * (K.MAX_RETRY_COUNT - len(failures))
+        if group:
+            self.kept.update((values,))
         else:
-            yield _row(RETRY_COLUMNS, (key[0], "RETRY_DUE", count, at, due, False))
+            self.kept.clear()
+        timer = _next_look(group)
+        if timer != before:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            if timer is not None:
+                self.handle.registerTimer(timer)
+
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        """Failures so far, all at the time of the last one; their ids come before any attempt's."""
+        group = {}
+        for row in initialState["open"]:
+            at, n = row["at"], row["failures"]
+            failures = [(at, i - n - 1) for i in range(min(n, K.MAX_RETRY_COUNT))]
+            group[row["notification_id"]] = (at + _micros_of(DELAY)) // 1000, None, failures
+        self._store(None, group)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        group = self._load()
+        before, changed = _next_look(group), set()
+        for row in rows:
+            number, attempt = row["notification_id"], (row["attempt_micros"], row["attempt_id"])
+            look, sent, failures = group.get(number, (None, None, []))
+            if row["delivered"]:
+                sent = attempt if sent is None else min(sent, attempt)
+            else:
+                failures = _ordered([*failures, attempt])[: K.MAX_RETRY_COUNT]
+            group[number] = look, sent, failures
+            changed.add(number)
+        found = []
+        for number in changed:
+            _, sent, failures = group[number]
+            status, count, at, due = retry_state(sent, failures)
+            group[number] = (at if due is None else due) // 1000, sent, failures
+            found.append(RETRY_ROW(number, status, count, at, due, False))
+        self._store(before, group)
+        yield from found
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        group, found = self._load(), []
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        for number, (look, sent, failures) in list(group.items()):
+            if look is None or look > now:
+                continue
+            status, count, at, due = retry_state(sent, failures)
+            if due is None:
+                del group[number]
+                found.append(RETRY_ROW(number, status, count, at, due, True))
+            else:
+                group[number] = None, sent, failures
+                found.append(RETRY_ROW(number, "RETRY_DUE", count, at, due, False))
+        self._store(None, group)
+        yield from found
 
     def close(self) -> None:
         pass
 
 
+def _next_look(group: dict) -> int | None:
+    return min((look for look, _, _ in group.values() if look is not None), default=None)
+
+
 class StuckDetector(StatefulProcessor):
     """Keeps the last change of an entity and a timer for the end of the staleness limit."""
 
@@ -147,15 +187,3 @@ class StuckDetector(StatefulProcessor):
 
     def close(self) -> None:
         pass
-
-
-RETRY_COLUMNS = [
-    "notification_id", "notification_status", "retry_count", "changed_at", "next_retry_at", "is_final",
-]
-
-
-def _row(columns, values) -> pd.DataFrame:
-    frame = pd.DataFrame([values], columns=columns)
-    for c in ("changed_at", "next_retry_at"):
-        frame[c] = pd.to_datetime(frame[c])
-    return frame.astype({"retry_count": "int32"})

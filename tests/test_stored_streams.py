@@ -203,3 +203,14 @@ def test_dropped_rows_are_counted(spark, tmp_path):
             )
             query.awaitTermination()
     assert stored.dropped_behind_watermark(query) == 2
+
+
+def test_the_state_of_many_notifications_is_kept_by_group(spark, tmp_path):
+    """Exchanges with the state store grow with the groups of a batch, not with its notifications."""
+    attempts = [(i, 3 * i + k, at(2 * k + i % 7), (i + k) % 4 == 3) for i in range(900) for k in range(1 + i % 3)]
+    feed(spark, tmp_path / "in", attempts, ATTEMPTS)
+    tables = tables_at(spark, str(tmp_path / "t"), 8)
+    stream = S.stream_retry_machine(stream_files(spark, str(tmp_path / "in"), ATTEMPTS), groups=16)
+    query = stored.retry_status(tables, stream, str(tmp_path / "state"))
+    assert status_of(tables) == outcome(spark, attempts)
+    assert max(op.numRowsTotal for p in query.recentProgress for op in p.stateOperators) <= 16 * 3
