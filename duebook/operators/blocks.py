@@ -16,10 +16,12 @@ _POSITION_BITS = 33  # monotonically_increasing_id keeps the row's place in its
 
 
 def ordered_blocks(df: DataFrame, order, blocks: int | None = None, name="ordered") -> DataFrame:
-    """Rows of `df` with `_block` and 1-based `_pos`; blocks follow each other in `order`."""
-    n = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Rows of `df` with `_block` and 1-based `_pos`; blocks follow each other in `order`.
+
+    Without `blocks` their number follows the data: adaptive execution unites small ones.
+    """
     sliced = (
-        df.repartitionByRange(n, *order)
+        df.repartitionByRange(*([blocks] if blocks else []), *order)
         .sortWithinPartitions(*order)
         .withColumn("_block", F.spark_partition_id())
         .withColumn(

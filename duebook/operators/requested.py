@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from duebook.storage import SPLIT
+
 FEW = 1000  # ids that become a filter; more are joined
 
 
@@ -28,7 +30,7 @@ def lookup_options(columns, row_group: int | None = None) -> dict[str, str]:
     return out | ({"parquet.block.size": str(row_group)} if row_group else {})
 
 
-def store_for_lookups(df: DataFrame, path: str, order: str, columns, row_group: int | None = None) -> DataFrame:
+def store_for_lookups(df: DataFrame, path: str, order: str, columns, row_group: int | None = SPLIT) -> DataFrame:
     """Write `df` so that lookups skip row groups: sorted by `order` in each file, Bloom filters on `columns`."""
     df.sortWithinPartitions(order).write.options(**lookup_options(columns, row_group)).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,8 +12,9 @@ from duebook.operators import aging, conversations, normalize, payments, risk
 from duebook.operators.requested import store_for_lookups
 from duebook.sources import fixtures, requests
 from duebook.sources.raw import read_raw_transactions
-from duebook.storage import materialize, new_path
+from duebook.storage import input_bytes, materialize, new_path, size_tasks
 
+INPUTS = ("customer", "part", "orders", "lineitem", "events", "conversations")
 _CORES = {}
 
 
@@ -24,6 +25,10 @@ class Core:
         self.spark, self.folder = spark, folder
         self._requests = {}
 
+    @cached_property
+    def input_bytes(self) -> int:
+        return input_bytes(self.spark, [f"{self.folder}/{name}.parquet" for name in INPUTS])
+
     # ---- stored layers -----------------------------------------------------------
     @cached_property
     def staging(self) -> DataFrame:
@@ -136,4 +141,5 @@ def core(spark: SparkSession, folder: str) -> Core:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _CORES:
         _CORES[key] = Core(spark, folder)
+    size_tasks(spark, _CORES[key].input_bytes)
     return _CORES[key]

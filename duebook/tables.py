@@ -117,6 +117,13 @@ def bucket_of(key: list[Column], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int").alias(BUCKET)
 
 
+def _by_bucket(rows: DataFrame) -> DataFrame:
+    """Rows dealt out by bucket; a large bucket goes to several tasks, each of which writes a file of it."""
+    if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return rows.hint("rebalance", F.col(BUCKET))
+    return rows.repartition(BUCKET)
+
+
 class Run:
     """Tables written together.  Nothing is visible to readers before `publish`."""
 
@@ -168,7 +175,7 @@ class Run:
         counted = [F.count("*").alias("rows"), *[F.sum(c).alias(f"sum_{c}") for c in sums]]
         counted += [F.max(key).alias("highest")] if whole else []
         folder = f"{tables.root}/{name}/{RUN}={self.id}"
-        writer = df.observe(seen, *counted).withColumn(BUCKET, bucket).repartition(BUCKET).write
+        writer = _by_bucket(df.observe(seen, *counted).withColumn(BUCKET, bucket)).write
         writer.mode("append").options(**(options or {})).partitionBy(BUCKET).parquet(folder)
         written = {n.partition("=")[2] for n in tables._names(folder, f"{BUCKET}=")}
         # Where the optimizer knows that there are no rows it leaves the counting out as well.
