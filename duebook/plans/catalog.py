@@ -527,9 +527,9 @@ def _workflow(c):
     now = fixtures.now()
 
     def execute(form):
-        return workflow.execute_approved(
-            c.approvals, c.outbox, c.request("executions"), now, c.invoices, c.customers, form
-        )
+        # Only an address makes invoices and customers necessary.
+        parties = (c.invoices, c.customers) if form == "recipient" else (None, None)
+        return workflow.execute_approved(c.approvals, c.outbox, c.request("executions"), now, *parties, form)
 
     return {
         "request_reminders": lambda: workflow.request_reminders(
@@ -647,11 +647,13 @@ register(
 # ---- the same steps on stored tables, of which only touched buckets are rewritten ----------
 def _stored(c, *names) -> Tables:
     frames = {
-        "customers": c.customers, workflow.APPROVALS: c.approvals, workflow.OUTBOX: c.outbox,
-        workflow.RECOVERY: c.recovery_log, workflow.RUNS: c.orchestrations,
-        workflow.CONVERSATIONS: c.sessions, workflow.ACTIVITY: c.activity,
+        "customers": "customers", workflow.APPROVALS: "approvals", workflow.OUTBOX: "outbox",
+        workflow.RECOVERY: "recovery_log", workflow.RUNS: "orchestrations",
+        workflow.CONVERSATIONS: "sessions", workflow.ACTIVITY: "activity",
     }
-    return stored.create(stored.tables_at(c.spark, new_path(c.spark, "stored"), 16), {n: frames[n] for n in names})
+    # Tables that are not named are not derived either.
+    wanted = {n: getattr(c, frames[n]) for n in names}
+    return stored.create(stored.tables_at(c.spark, new_path(c.spark, "stored"), 16), wanted)
 
 
 def _stored_step(names, step, table):
