@@ -15,10 +15,11 @@ _COPIES_PER_PIECE = 1_000_000
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row's place in its low 33 bits
 
 
-def ordered_blocks(df: DataFrame, order, blocks: int | None = None, name="ordered") -> DataFrame:
+def ordered_blocks(df: DataFrame, order, blocks: int | None = None, name="ordered", keep=None) -> DataFrame:
     """Rows of `df` with `_block` and 1-based `_pos`; blocks follow each other in `order`.
 
     Without `blocks` their number follows the data: adaptive execution unites small ones.
+    With `keep` only these columns are written; the others serve the order alone.
     """
     sliced = (
         df.repartitionByRange(*([blocks] if blocks else []), *order)
@@ -29,12 +30,13 @@ def ordered_blocks(df: DataFrame, order, blocks: int | None = None, name="ordere
             F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)) + 1,
         )
     )
-    return materialize(sliced, name)
+    return materialize(sliced if keep is None else sliced.select(*keep, "_block", "_pos"), name)
 
 
-def dense_key(df: DataFrame, name: str, order, start: Column | int = 0, blocks=None) -> DataFrame:
-    """`df` plus `name` = start + 1, start + 2, ... in `order`, which must be unique."""
-    cut = ordered_blocks(df, order, blocks, name=f"keys-{name}")
+def dense_key(df: DataFrame, name: str, order, start: Column | int = 0, blocks=None, keep=None) -> DataFrame:
+    """`df` (or its columns `keep`) plus `name` = start + 1, start + 2, ... in `order`, which must be unique."""
+    keep = df.columns if keep is None else keep
+    cut = ordered_blocks(df, order, blocks, name=f"keys-{name}", keep=keep)
     sizes = cut.groupBy("_block").agg(F.count("*").alias("_rows"))
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
@@ -43,37 +45,27 @@ def dense_key(df: DataFrame, name: str, order, start: Column | int = 0, blocks=N
     start = F.lit(start) if isinstance(start, int) else start
     return cut.join(F.broadcast(offsets), "_block").select(
         (start + F.col("_offset") + F.col("_pos")).cast("bigint").alias(name),
-        *[c for c in df.columns if c != name],
+        *[c for c in keep if c != name],
     )
 
 
 def dense_key_with_copies(df: DataFrame, name: str, blocks=None) -> DataFrame:
     """`dense_key` in the order of all columns, for rows that may have any number of copies.
 
-    Copies are counted before the sort, so they cannot fill one block, and are written out
-    again in pieces that different tasks take.
+    Copies are counted first and then numbered, which makes the order unique, so one row's copies
+    may span several blocks.  A row with many copies is numbered in pieces that different tasks take.
     """
     order = df.columns
-    cut = ordered_blocks(
-        df.groupBy(*order).agg(F.count("*").alias("_copies")), order, blocks, name=f"keys-{name}"
-    )
-    sizes = cut.groupBy("_block").agg(F.sum("_copies").alias("_rows"))
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
-    )
-    inside = Window.partitionBy("_block").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
-    first = F.col("_offset") + F.coalesce(F.sum("_copies").over(inside), F.lit(0))
-    placed = cut.join(F.broadcast(offsets), "_block").withColumn("_first", first)
+    counted = df.groupBy(*order).agg(F.count("*").alias("_copies"))
     last_piece = F.expr(f"(_copies - 1) div {_COPIES_PER_PIECE}")
-    pieces = placed.select(
-        *order, "_first", "_copies", F.explode(F.sequence(F.lit(0), last_piece)).alias("_piece")
-    ).repartition("_first", "_piece")
+    pieces = counted.where(F.col("_copies") > _COPIES_PER_PIECE).select(
+        *order, "_copies", F.explode(F.sequence(F.lit(0), last_piece)).alias("_piece")
+    ).repartition(*order, "_piece")
+    few = counted.where(F.col("_copies") <= _COPIES_PER_PIECE).select(*order, "_copies", F.lit(0).cast("bigint").alias("_piece"))
     low = F.col("_piece") * _COPIES_PER_PIECE
     high = F.least(low + _COPIES_PER_PIECE, F.col("_copies"))
-    return pieces.select(
-        *order, F.explode(F.sequence(F.col("_first") + low + 1, F.col("_first") + high)).alias(name)
-    ).select(name, *order)
+    numbered = few.unionByName(pieces).select(*order, F.explode(F.sequence(low + 1, high)).alias("_copy"))
+    return dense_key(numbered, name, [*order, "_copy"], blocks=blocks, keep=order).select(name, *order)
 
 
 def running(cut: DataFrame, keys, sums=None, lasts=None) -> DataFrame:

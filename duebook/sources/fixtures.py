@@ -45,17 +45,25 @@ SALES_ORDER = [
 ]
 
 
-def sales(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines in the shape of staged transactions."""
+SOLD = ["l_partkey", "l_quantity", "l_extendedprice", "_cancelled"]
+
+
+def sales(spark: SparkSession, folder: str, numbered=True) -> DataFrame:
+    """Order lines in the shape of staged transactions; without ids where `numbered` is False."""
 
     def table(name):
         return read_table(spark, folder, name)
 
-    # Ids are given to the order lines themselves, before any join.
-    lines = dense_key(
-        read_table(spark, folder, "lineitem", place=True).select("l_orderkey", *SALES_ORDER),
-        "transaction_id", ["l_orderkey", *SALES_ORDER],
-    )
+    cancelled = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
+    lines = read_table(spark, folder, "lineitem", place=numbered).withColumn("_cancelled", cancelled)
+    if numbered:
+        # Ids are given to the order lines themselves, before any join.
+        lines = dense_key(
+            lines.select("l_orderkey", *SALES_ORDER, "_cancelled"),
+            "transaction_id", ["l_orderkey", *SALES_ORDER], keep=["l_orderkey", *SOLD],
+        )
+    else:
+        lines = lines.select(F.lit(None).cast("bigint").alias("transaction_id"), "l_orderkey", *SOLD)
     orders = table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
     joined = (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -69,7 +77,7 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
             F.col("n_nationkey") == F.col("c_nationkey"),
         )
     )
-    cancelled = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
+    cancelled = F.col("_cancelled")
     last = F.lit(LAST_DAY).cast("date")
     age = (F.datediff(last, F.to_date("o_orderdate")) % SPAN_DAYS).cast("int")
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
@@ -89,10 +97,10 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def staging(spark: SparkSession, folder: str) -> DataFrame:
+def staging(spark: SparkSession, folder: str, numbered=True) -> DataFrame:
     """Staged transactions; ids are the places of the lines in the order of their values."""
     return conform(
-        sales(spark, folder).withColumns(
+        sales(spark, folder, numbered).withColumns(
             {
                 "load_date": load_date(),
                 "source_file": F.lit("lineitem.parquet"),
