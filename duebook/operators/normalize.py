@@ -10,6 +10,7 @@ from duebook.operators.merge import update_from
 from duebook.schemas import conform
 
 INVOICE_ORDER = ("invoice_number", "customer_id")
+INVOICED = ["invoice_no", "customer_id", "invoice_date", "quantity", "unit_price"]  # what customers and invoices are built from
 
 
 def is_eligible() -> Column:

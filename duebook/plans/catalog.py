@@ -81,7 +81,7 @@ def _estimated_profile(c):
 def malformed_lines(c):
     """Lines of a raw file by what is wrong with them."""
     path = new_path(c.spark, "raw-lines")
-    fixtures.raw_lines(c.staging).write.options(header=True, sep="\u0001", quote="").csv(path)
+    fixtures.raw_lines(c.staging).write.options(header=True, sep="\u0001", quote="", compression="gzip").csv(path)
     rows = raw.conform_columns(raw.read_raw_transactions(c.spark, {"lines": path}, faults=True))
     typed = materialize(raw.coerce_types(rows), "parsed-lines")
     good, bad = staging.split_rejects(typed, raw.fault_rules(typed))
@@ -132,7 +132,7 @@ def _moved_keys(customers):
 
 def _damaged(c):
     """All tables with defects planted by rule."""
-    iid = F.col("invoice_id")
+    iid, lines = F.col("invoice_id"), c.lines
     invoices = c.invoices.withColumns(
         {
             "invoice_status": F.when(iid % 100 == 0, "LATE").otherwise(F.col("invoice_status")),
@@ -145,7 +145,7 @@ def _damaged(c):
         "customers": _moved_keys(c.customers),
         "payment_terms": c.terms,
         "invoices": invoices.unionByName(invoices.where("invoice_id % 500 = 0")),
-        "invoice_lines": c.lines.withColumns(
+        "invoice_lines": lines.withColumns(
             {
                 "quantity": F.when(F.col("invoice_line_id") % 90 != 0, F.col("quantity")).otherwise(0),
                 "description": F.when(
@@ -192,12 +192,12 @@ def eligible_transactions(c):
 
 @query
 def build_customers(c):
-    return normalize.build_customers(c.staging, fixtures.load_date())
+    return normalize.build_customers(c.sold, fixtures.load_date())
 
 
 @query
 def build_invoices(c):
-    return normalize.build_invoices(c.staging, c.terms, fixtures.load_date())
+    return normalize.build_invoices(c.sold, c.terms, fixtures.load_date())
 
 
 @query
@@ -213,7 +213,7 @@ def build_invoice_lines(c):
 
 @query
 def customer_balances(c):
-    plain = fixtures.with_contacts(normalize.build_customers(c.staging, fixtures.load_date()))
+    plain = fixtures.with_contacts(normalize.build_customers(c.sold, fixtures.load_date()))
     return normalize.customer_balances(plain, c.invoices).select(
         "customer_id", "customer_name", "email", "status", "current_balance"
     )

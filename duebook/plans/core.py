@@ -1,7 +1,8 @@
 """The stored layers: staging, then the receivables tables that reports read.
 
-Each table is derived from the driver's tables once per application and folder, written to
-the shared folder, and read back from there by every later query.
+Tables that take a shuffle are derived from the driver's tables once per application and folder,
+written to the shared folder, and read back from there by every later query.  What one pass over
+rows gives (workflow tables, requests, keyed rows whose blocks are stored) is not written again.
 """
 
 from functools import cached_property
@@ -34,6 +35,14 @@ class Core:
     def staging(self) -> DataFrame:
         return materialize(fixtures.staging(self.spark, self.folder), "staging")
 
+    @cached_property
+    def sold(self) -> DataFrame:
+        """The part of the staged rows that customers and invoices need; their ids, which take a sort, are not."""
+        if "staging" in vars(self):
+            return self.staging
+        rows = fixtures.staging(self.spark, self.folder, numbered=False)
+        return materialize(rows.select(*normalize.INVOICED), "sold")
+
     @cached_property
     def terms(self) -> DataFrame:
         return normalize.default_payment_terms(self.spark)
@@ -41,15 +50,11 @@ class Core:
     @cached_property
     def new_invoices(self) -> DataFrame:
         """Invoices as first loaded, before payments."""
-        return materialize(
-            normalize.build_invoices(self.staging, self.terms, fixtures.load_date()), "new-invoices"
-        )
+        return normalize.build_invoices(self.sold, self.terms, fixtures.load_date())
 
     @cached_property
     def payments(self) -> DataFrame:
-        return materialize(
-            fixtures.derive_payments(self.new_invoices, fixtures.load_date()), "payments"
-        )
+        return fixtures.derive_payments(self.new_invoices, fixtures.load_date())
 
     @cached_property
     def invoices(self) -> DataFrame:
@@ -60,13 +65,12 @@ class Core:
 
     @cached_property
     def lines(self) -> DataFrame:
-        return materialize(
-            normalize.build_invoice_lines(self.staging, self.new_invoices), "invoice-lines"
-        )
+        staging = self.staging  # before the invoices, which then are built from it as well
+        return materialize(normalize.build_invoice_lines(staging, self.new_invoices), "invoice-lines")
 
     @cached_property
     def customers(self) -> DataFrame:
-        plain = normalize.build_customers(self.staging, fixtures.load_date())
+        plain = normalize.build_customers(self.sold, fixtures.load_date())
         full = normalize.customer_balances(fixtures.with_contacts(plain), self.invoices)
         return store_for_lookups(full, new_path(self.spark, "customers"), "customer_id", ["customer_id"])
 
@@ -80,7 +84,7 @@ class Core:
         }
         paths = {name: new_path(self.spark, "raw") for name in parts}
         for name, part in parts.items():
-            part.write.option("header", True).csv(paths[name])
+            part.write.options(header=True, compression="gzip").csv(paths[name])
         return paths
 
     @property
@@ -101,16 +105,16 @@ class Core:
     # ---- workflow tables -----------------------------------------------------------
     @cached_property
     def approvals(self) -> DataFrame:
-        return materialize(fixtures.approvals(self.spark, self.folder), "approvals")
+        return fixtures.approvals(self.spark, self.folder)
 
     @cached_property
     def outbox(self) -> DataFrame:
-        return materialize(fixtures.outbox_table(self.spark, self.folder), "outbox")
+        return fixtures.outbox_table(self.spark, self.folder)
 
     @cached_property
     def activity(self) -> DataFrame:
         events = fixtures.activity_events(self.spark, self.folder)
-        return materialize(conversations.activity_log(events), "activity")
+        return conversations.activity_log(events)
 
     @cached_property
     def sessions(self) -> DataFrame:
@@ -118,17 +122,16 @@ class Core:
 
     @cached_property
     def recovery_log(self) -> DataFrame:
-        return materialize(fixtures.recovery_log(self.spark, self.folder), "recovery-log")
+        return fixtures.recovery_log(self.spark, self.folder)
 
     @cached_property
     def orchestrations(self) -> DataFrame:
-        return materialize(fixtures.orchestrations(self.spark, self.folder), "orchestrations")
+        return fixtures.orchestrations(self.spark, self.folder)
 
     def request(self, name: str) -> DataFrame:
-        """A stored table of workflow requests (a function of `sources.requests`)."""
+        """A table of workflow requests (a function of `sources.requests`)."""
         if name not in self._requests:
-            rows = getattr(requests, name)(self.spark, self.folder)
-            self._requests[name] = materialize(rows, f"requests-{name}")
+            self._requests[name] = getattr(requests, name)(self.spark, self.folder)
         return self._requests[name]
 
     @property

@@ -1,6 +1,7 @@
 """Queries derive, shuffle and write no more than they need."""
 
 from duebook.operators import workflow
+from duebook.operators.blocks import dense_key, dense_key_with_copies
 from duebook.plans import catalog
 from duebook.plans.core import Core
 
@@ -19,3 +20,35 @@ def test_only_named_tables_are_stored(spark):
     tables = catalog._stored(c, workflow.RUNS)
     assert set(tables.pointer()["tables"]) == {workflow.RUNS}
     assert not (RECEIVABLES | {"approvals", "outbox", "sessions", "activity"}) & set(vars(c))
+
+
+def test_invoices_and_customers_need_no_ids_of_staged_rows(spark):
+    c, whole = Core(spark, FOLDER), Core(spark, FOLDER)
+    assert whole.staging.count() == c.sold.count()
+    assert c.invoices.exceptAll(whole.invoices).isEmpty() and whole.invoices.exceptAll(c.invoices).isEmpty()
+    assert c.customers.exceptAll(whole.customers).isEmpty() and whole.customers.exceptAll(c.customers).isEmpty()
+    assert "staging" not in vars(c)
+
+
+def test_columns_of_the_order_alone_are_not_written(spark):
+    rows = spark.range(1000).selectExpr("id % 7 as a", "id as b", "id * 2 as c")
+    keyed = dense_key(rows, "n", ["a", "b"], blocks=3, keep=["c"])
+    assert keyed.columns == ["n", "c"]
+    assert {f.name for f in spark.read.parquet(*keyed.inputFiles()).schema} == {"c", "_block", "_pos"}
+    want = rows.selectExpr("row_number() over (order by a, b) as n", "c")
+    assert keyed.exceptAll(want).isEmpty() and keyed.count() == 1000
+
+
+def test_copies_are_moved_twice(spark):
+    rows = spark.range(100).selectExpr("id % 10 as a", "'x' as b")
+    keyed = dense_key_with_copies(rows, "n", blocks=3)
+    text = keyed._jdf.queryExecution().executedPlan().toString()
+    # Reading the sorted rows takes no shuffle but that of the sizes of blocks.
+    assert text.count("Exchange hashpartitioning(_block") == text.count("Exchange hashpartitioning") == 1
+    assert "Window [sum(_copies" not in text and "rangepartitioning" not in text
+
+
+def test_rows_of_one_pass_are_not_stored(spark):
+    c = Core(spark, FOLDER)
+    for table in (c.approvals, c.outbox, c.activity, c.recovery_log, c.orchestrations, c.request("executions")):
+        assert all("events.parquet" in f or "orders.parquet" in f for f in table.inputFiles())
