@@ -2,7 +2,7 @@
 
 Tables that take a shuffle are derived from the driver's tables once per application and folder,
 written to the shared folder, and read back from there by every later query.  What one pass over
-rows gives (workflow tables, requests, keyed rows whose blocks are stored) is not written again.
+rows gives (workflow tables, requests, invoices before payments) is not written again.
 """
 
 from functools import cached_property
@@ -54,7 +54,9 @@ class Core:
 
     @cached_property
     def payments(self) -> DataFrame:
-        return fixtures.derive_payments(self.new_invoices, fixtures.load_date())
+        return materialize(
+            fixtures.derive_payments(self.new_invoices, fixtures.load_date()), "payments"
+        )
 
     @cached_property
     def invoices(self) -> DataFrame:
