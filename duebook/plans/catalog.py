@@ -192,12 +192,12 @@ def eligible_transactions(c):
 
 @query
 def build_customers(c):
-    return normalize.build_customers(c.sold, fixtures.load_date())
+    return normalize.build_customers(c.sold_once, fixtures.load_date())
 
 
 @query
 def build_invoices(c):
-    return normalize.build_invoices(c.sold, c.terms, fixtures.load_date())
+    return normalize.build_invoices(c.sold_once, c.terms, fixtures.load_date())
 
 
 @query

@@ -43,6 +43,13 @@ class Core:
         rows = fixtures.staging(self.spark, self.folder, numbered=False)
         return materialize(rows.select(*normalize.INVOICED), "sold")
 
+    @property
+    def sold_once(self) -> DataFrame:
+        """The rows of `sold` for a query that reads them once: where they are not stored, they need not be."""
+        if {"staging", "sold"} & set(vars(self)):
+            return self.sold
+        return fixtures.staging(self.spark, self.folder, numbered=False).select(*normalize.INVOICED)
+
     @cached_property
     def terms(self) -> DataFrame:
         return normalize.default_payment_terms(self.spark)

@@ -48,12 +48,27 @@ SALES_ORDER = [
 SOLD = ["l_partkey", "l_quantity", "l_extendedprice", "_cancelled"]
 
 
+def _cents() -> Column:
+    return F.round(F.col("l_extendedprice") * 100)
+
+
+def _sold_on(last: Column) -> Column:
+    """Day of the sale: the order's day, moved into the last `SPAN_DAYS` days."""
+    age = (F.datediff(last, F.to_date("o_orderdate")) % SPAN_DAYS).cast("int")
+    return F.date_sub(last, age)
+
+
 def sales(spark: SparkSession, folder: str, numbered=True) -> DataFrame:
-    """Order lines in the shape of staged transactions; without ids where `numbered` is False."""
+    """Order lines in the shape of staged transactions; without ids where `numbered` is False.
+
+    Without ids the lines, by far the most rows, are moved once, for their orders: parts, of which no
+    column may be wanted, are met before that, and customers are met by the orders.
+    """
 
     def table(name):
         return read_table(spark, folder, name)
 
+    last = F.lit(LAST_DAY).cast("date")
     cancelled = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
     lines = read_table(spark, folder, "lineitem", place=numbered).withColumn("_cancelled", cancelled)
     if numbered:
@@ -62,25 +77,26 @@ def sales(spark: SparkSession, folder: str, numbered=True) -> DataFrame:
             lines.select("l_orderkey", *SALES_ORDER, "_cancelled"),
             "transaction_id", ["l_orderkey", *SALES_ORDER], keep=["l_orderkey", *SOLD],
         )
+        cents = _cents().cast("bigint")
     else:
-        lines = lines.select(F.lit(None).cast("bigint").alias("transaction_id"), "l_orderkey", *SOLD)
-    orders = table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    joined = (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table("part").select("p_partkey", "p_name"), F.col("p_partkey") == F.col("l_partkey"))
-        .join(
-            table("customer").select("c_custkey", "c_nationkey"),
-            F.col("c_custkey") == F.col("o_custkey"),
-        )
-        .join(
-            table("nation").select("n_nationkey", "n_name"),
-            F.col("n_nationkey") == F.col("c_nationkey"),
+        # Whole cents take less room than a double.  What they cannot hold stays one, and is an
+        # error only where the line has an order.
+        whole = _cents().try_cast("bigint")
+        lines = lines.select(
+            F.lit(None).cast("bigint").alias("transaction_id"), "l_orderkey", "l_partkey", "l_quantity", "_cancelled",
+            whole.alias("_whole"), F.when(whole.isNull(), F.col("l_extendedprice")).alias("l_extendedprice"),
         )
-    )
+        cents = F.coalesce(F.col("_whole"), _cents().cast("bigint"))
+    orders = table("orders").select("o_orderkey", "o_custkey", _sold_on(last).alias("_sold_on"))
+    of_order = F.col("l_orderkey") == F.col("o_orderkey")
+    parts, of_part = table("part").select("p_partkey", "p_name"), F.col("p_partkey") == F.col("l_partkey")
+    buyers, of_buyer = table("customer").select("c_custkey", "c_nationkey"), F.col("c_custkey") == F.col("o_custkey")
+    nations, of_nation = table("nation").select("n_nationkey", "n_name"), F.col("n_nationkey") == F.col("c_nationkey")
+    if numbered:
+        joined = lines.join(orders, of_order).join(parts, of_part).join(buyers, of_buyer).join(nations, of_nation)
+    else:
+        joined = lines.join(parts, of_part).join(orders.join(buyers, of_buyer).join(nations, of_nation), of_order)
     cancelled = F.col("_cancelled")
-    last = F.lit(LAST_DAY).cast("date")
-    age = (F.datediff(last, F.to_date("o_orderdate")) % SPAN_DAYS).cast("int")
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     unit_cents = F.expr("_cents div (CAST(l_quantity AS BIGINT) * 20)")
     return joined.withColumn("_cents", cents).select(
         "transaction_id",
@@ -90,7 +106,7 @@ def sales(spark: SparkSession, folder: str, numbered=True) -> DataFrame:
         F.col("l_partkey").cast("string").alias("stock_code"),
         F.col("p_name").alias("description"),
         (F.when(cancelled, -1).otherwise(1) * F.col("l_quantity").cast("int")).alias("quantity"),
-        F.date_sub(last, age).cast("timestamp").alias("invoice_date"),
+        F.col("_sold_on").cast("timestamp").alias("invoice_date"),
         (unit_cents * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(10,2)").alias("unit_price"),
         F.when(F.col("o_orderkey") % 5 != 0, F.col("o_custkey")).alias("customer_id"),
         F.col("n_name").alias("country"),

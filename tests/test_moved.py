@@ -1,9 +1,12 @@
 """Queries derive, shuffle and write no more than they need."""
 
-from duebook.operators import workflow
+from pyspark.sql import functions as F
+
+from duebook.operators import normalize, workflow
 from duebook.operators.blocks import dense_key, dense_key_with_copies
 from duebook.plans import catalog
 from duebook.plans.core import Core
+from duebook.sources import fixtures
 
 FOLDER = "/root/testdata/sf0.001"
 RECEIVABLES = {"staging", "new_invoices", "payments", "invoices", "customers"}
@@ -52,3 +55,31 @@ def test_rows_of_one_pass_are_not_stored(spark):
     c = Core(spark, FOLDER)
     for table in (c.approvals, c.outbox, c.activity, c.recovery_log, c.orchestrations, c.request("executions")):
         assert all("events.parquet" in f or "orders.parquet" in f for f in table.inputFiles())
+
+
+def test_invoices_alone_are_built_without_a_copy_of_the_staged_rows(spark):
+    c, whole = Core(spark, FOLDER), Core(spark, FOLDER)
+    built = catalog.QUERIES["build_invoices"](c)
+    assert not {"staging", "sold"} & set(vars(c))
+    want = normalize.build_invoices(whole.staging, whole.terms, fixtures.load_date())
+    assert built.exceptAll(want).isEmpty() and want.exceptAll(built).isEmpty()
+
+
+def test_lines_meet_parts_before_and_customers_after_their_orders_are_sorted_out(spark, tmp_path):
+    for table in ("part", "customer", "nation", "orders"):
+        spark.read.parquet(f"{FOLDER}/{table}.parquet").write.parquet(str(tmp_path / f"{table}.parquet"))
+    lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
+    # A price that is no number matters only where the line has an order.
+    lost = lines.limit(1).withColumns({"l_orderkey": F.lit(-1).cast("bigint"), "l_extendedprice": F.lit("NaN").cast("double")})
+    lines.unionByName(lost).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows = fixtures.staging(spark, str(tmp_path), numbered=False).select(*normalize.INVOICED)
+        text = rows._jdf.queryExecution().optimizedPlan().toString()
+        # The join of lines and orders is the last one: both sides are complete by then.
+        first = next(line for line in text.splitlines() if "Join" in line)
+        assert "l_orderkey" in first and "o_orderkey" in first
+        want = fixtures.staging(spark, FOLDER).select(*normalize.INVOICED)
+        assert rows.exceptAll(want).isEmpty() and want.exceptAll(rows).isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
