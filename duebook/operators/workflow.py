@@ -66,6 +66,24 @@ def _with_reason(df: DataFrame, pairs) -> DataFrame:
     return df.withColumns({"reason": reason, "message": message})
 
 
+def _judged(df: DataFrame, checks) -> DataFrame:
+    """`df` with reason and message of the first (condition, reason, message) check that holds."""
+    return df.withColumns(
+        {
+            "reason": first_match([(c, code if isinstance(code, Column) else F.lit(code)) for c, code, _ in checks]),
+            "message": first_match([(c, text) for c, _, text in checks]),
+        }
+    )
+
+
+def _holds(checks) -> Column:
+    """Whether any of the checks holds."""
+    out = F.lit(False)
+    for condition, _, _ in checks:
+        out = out | F.coalesce(condition, F.lit(False))
+    return out
+
+
 def reminder_payload(invoice: Column) -> Column:
     return F.to_json(
         F.struct(invoice.alias("invoice_number"), F.lit(K.REMINDER_CHANNEL).alias("channel"))
@@ -281,23 +299,29 @@ def execute_approved(
         ),
         (F.col("invoice_number").isNull(), "BAD_PAYLOAD", F.lit(K.ERR_PAYLOAD)),
     ]
+    closed = None
+    if form != "message":
+        # Only approvals that pass so far are met with notifications and recipients.
+        early = list(checks)
+        first = materialize(found.withColumn("_closed", _holds(early)), "execution-requests")
+        closed = _judged(first.where("_closed").drop("_closed"), early)
+        found = first.where("NOT _closed").drop("_closed")
+        found = found.join(_queued(outbox, found), "approval_id", "left")
     if form == "recipient":
         found = resolve_recipients(found, invoices, customers).withColumnsRenamed(
             {"reason": "_why", "message": "_text"}
         )
         checks.append((F.col("_why").isNotNull(), F.col("_why"), F.col("_text")))
     if form != "message":
-        queued = _queued(outbox, wanted)
-        found = found.join(queued, "approval_id", "left")
         checks.append(
             (F.col("_queued").isNotNull(), "DUPLICATE_NOTIFICATION",
              fill(K.ERR_DUPLICATE, aid, F.col("_queued")))
         )
-    reason = first_match([(c, code if isinstance(code, Column) else F.lit(code)) for c, code, _ in checks])
-    message = first_match([(c, text) for c, _, text in checks])
-    outcome = materialize(found.withColumns({"reason": reason, "message": message}), "executions")
+    outcome = materialize(_judged(found, checks), "executions")
 
     ok = outcome.where(F.col("reason").isNull())
+    if closed is not None:
+        outcome = outcome.unionByName(closed, allowMissingColumns=True)
     invoice = F.col("invoice_number")
     tables, added = {}, {}
     if form == "message":

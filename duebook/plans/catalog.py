@@ -528,7 +528,7 @@ def _workflow(c):
 
     def execute(form):
         # Only an address makes invoices and customers necessary.
-        parties = (c.invoices, c.customers) if form == "recipient" else (None, None)
+        parties = c.parties if form == "recipient" else (None, None)
         return workflow.execute_approved(c.approvals, c.outbox, c.request("executions"), now, *parties, form)
 
     return {
@@ -551,12 +551,10 @@ def _workflow(c):
             c.outbox, c.recovery_log, c.request("recoveries"), now
         ),
         "start_orchestrations": lambda: workflow.start_orchestrations(
-            c.request("run_requests"), c.orchestrations, c.approvals,
-            c.sessions, c.invoices, c.customers, now,
+            c.request("run_requests"), c.orchestrations, c.approvals, c.sessions, *c.parties, now,
         ),
         "complete_orchestrations": lambda: workflow.complete_orchestrations(
-            c.orchestrations, c.approvals, c.outbox, c.request("run_approvals"), c.invoices,
-            c.customers, now,
+            c.orchestrations, c.approvals, c.outbox, c.request("run_approvals"), *c.parties, now,
         ),
     }
 
@@ -599,11 +597,9 @@ def _history(c):
 
 
 register(
-    resolve_recipients=lambda c: workflow.resolve_recipients(
-        c.request("run_requests"), c.invoices, c.customers
-    ),
+    resolve_recipients=lambda c: workflow.resolve_recipients(c.request("run_requests"), *c.parties),
     resolve_recipients_address_first=lambda c: workflow.resolve_recipients(
-        c.request("run_requests"), c.invoices, c.customers, status_first=False
+        c.request("run_requests"), *c.parties, status_first=False
     ),
     resolve_recipients_ambiguous=lambda c: workflow.resolve_recipients(
         c.request("run_requests"), _shared_numbers(c), c.customers
@@ -672,7 +668,7 @@ def _decide(c, tables, now):
 
 
 def _execute(c, tables, now):
-    return stored.execute_approved(tables, c.request("executions"), now, c.invoices, c.customers)
+    return stored.execute_approved(tables, c.request("executions"), now, *c.parties)
 
 
 def _settle(c, tables, now):
@@ -684,11 +680,11 @@ def _requeue(c, tables, now):
 
 
 def _start(c, tables, now):
-    return stored.start_orchestrations(tables, c.request("run_requests"), c.invoices, c.customers, now)
+    return stored.start_orchestrations(tables, c.request("run_requests"), *c.parties, now)
 
 
 def _complete(c, tables, now):
-    return stored.complete_orchestrations(tables, c.request("run_approvals"), c.invoices, c.customers, now)
+    return stored.complete_orchestrations(tables, c.request("run_approvals"), *c.parties, now)
 
 
 def _ask(c, tables, now):

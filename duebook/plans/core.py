@@ -83,6 +83,12 @@ class Core:
         full = normalize.customer_balances(fixtures.with_contacts(plain), self.invoices)
         return store_for_lookups(full, new_path(self.spark, "customers"), "customer_id", ["customer_id"])
 
+    @cached_property
+    def contacts(self) -> DataFrame:
+        """Customers before any balance."""
+        plain = normalize.build_customers(self.sold, fixtures.load_date())
+        return materialize(fixtures.with_contacts(plain), "contacts")
+
     @cached_property
     def raw_parts(self) -> dict[str, str]:
         """The staged rows as two folders of raw CSV files."""
@@ -105,6 +111,14 @@ class Core:
     def aging(self) -> DataFrame:
         return aging.ar_aging_detail(self.invoices, self.customers)
 
+    @property
+    def parties(self) -> tuple[DataFrame, DataFrame]:
+        """Invoices and customers as far as recipients are concerned: what is paid or owed need not be known."""
+        if "customers" in vars(self):
+            return self.invoices, self.customers
+        contacts = self.contacts  # before the invoices, which are built from the same rows
+        return (self.invoices if "invoices" in vars(self) else self.new_invoices), contacts
+
     @property
     def risk(self) -> DataFrame:
         return risk.customer_risk_summary(

@@ -1,5 +1,6 @@
 """Queries derive, shuffle and write no more than they need."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from duebook.operators import normalize, workflow
@@ -7,6 +8,8 @@ from duebook.operators.blocks import dense_key, dense_key_with_copies
 from duebook.plans import catalog
 from duebook.plans.core import Core
 from duebook.sources import fixtures
+from duebook.storage import materialize
+from duebook.tables import Tables
 
 FOLDER = "/root/testdata/sf0.001"
 RECEIVABLES = {"staging", "new_invoices", "payments", "invoices", "customers"}
@@ -83,3 +86,39 @@ def test_lines_meet_parts_before_and_customers_after_their_orders_are_sorted_out
         assert rows.exceptAll(want).isEmpty() and want.exceptAll(rows).isEmpty()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize(
+    "name", ["execute_approved_rejects", "execute_approved_outbox", "start_orchestrations_approvals",
+             "stored_complete_orchestrations_outbox"],
+)
+def test_recipients_need_no_payments_or_balances(spark, name):
+    c = Core(spark, FOLDER)
+    assert catalog.QUERIES[name](c).count() > 0
+    assert not {"staging", "payments", "invoices", "customers"} & set(vars(c))
+
+
+@pytest.mark.parametrize(
+    "name, column, status",
+    [("execute_approved_rejects", "approval_status", "APPROVED"),
+     ("stored_complete_orchestrations_outbox", "orchestration_status", "WAITING_APPROVAL")],
+)
+def test_only_requests_that_pass_so_far_meet_recipients(spark, monkeypatch, name, column, status):
+    met, real = [], workflow.resolve_recipients
+
+    def seen(requests, *others, **more):
+        met.append(requests.select(column).distinct().collect())
+        return real(requests, *others, **more)
+
+    monkeypatch.setattr(workflow, "resolve_recipients", seen)
+    assert catalog.QUERIES[name](Core(spark, FOLDER)).count() > 0
+    assert [[r[0] for r in rows] for rows in met] == [[status]]
+
+
+def test_stored_files_are_zstd(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path), {"t": "id"}, 2)
+    run = tables.run()
+    run.create("t", spark.range(10))
+    run.publish()
+    files = [*tables.read("t").inputFiles(), *materialize(spark.range(10), "numbers").inputFiles()]
+    assert all(f.endswith(".zstd.parquet") for f in files)
