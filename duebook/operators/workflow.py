@@ -635,48 +635,35 @@ def complete_orchestrations(
     known = runs.select(
         "orchestration_id", "invoice_number", "approval_id", "orchestration_status"
     )
-    found = resolve_recipients(
-        wanted.join(known, "orchestration_id", "left"), invoices, customers, status_first=False
-    ).withColumnsRenamed({"reason": "_why", "message": "_text"})
+    first = materialize(wanted.join(known, "orchestration_id", "left"), "run-requests")
+    idle = [
+        (status.isNull(), "NOT_FOUND", fill(K.ERR_RUN_MISSING, rid)),
+        (status != "WAITING_APPROVAL", "NOT_WAITING", fill(K.ERR_RUN_STATUS, rid, status)),
+    ]
+    # Only runs that wait are met with approvals, notifications and recipients.
+    closed = _judged(first.where(_holds(idle)), idle)
+    waiting = first.where(~_holds(idle))
     approval = approvals.select("approval_id", "conversation_id", "approval_status")
-    queued = _queued(outbox, known.join(wanted, "orchestration_id", "left_semi"))
+    queued = _queued(outbox, waiting)
     # Of several runs that wait for the same approval only the first can be completed.
-    owner = (
-        known.where(status == "WAITING_APPROVAL")
-        .join(wanted, "orchestration_id", "left_semi")
-        .groupBy("approval_id")
-        .agg(F.min("orchestration_id").alias("_owner"))
-    )
-    full = (
-        found.join(approval, "approval_id", "left")
+    owner = waiting.groupBy("approval_id").agg(F.min("orchestration_id").alias("_owner"))
+    full = resolve_recipients(
+        waiting.join(approval, "approval_id", "left")
         .join(queued, "approval_id", "left")
-        .join(owner, "approval_id", "left")
-    )
-    untouched = [
-        (status.isNull(), F.lit("NOT_FOUND"), fill(K.ERR_RUN_MISSING, rid)),
-        (status != "WAITING_APPROVAL", F.lit("NOT_WAITING"), fill(K.ERR_RUN_STATUS, rid, status)),
-        (F.col("_why").isNotNull(), F.col("_why"), F.col("_text")),
-    ]
+        .join(owner, "approval_id", "left"),
+        invoices, customers, status_first=False,
+    ).withColumnsRenamed({"reason": "_why", "message": "_text"})
+    unreachable = [(F.col("_why").isNotNull(), F.col("_why"), F.col("_text"))]
     pending = F.coalesce(F.col("approval_status") == "PENDING", F.lit(False))
     fatal = [
-        (~pending | (F.col("_owner") != rid), F.lit("APPROVAL_NOT_PENDING"), F.lit(K.ERR_RUN_APPROVAL)),
+        (~pending | (F.col("_owner") != rid), "APPROVAL_NOT_PENDING", F.lit(K.ERR_RUN_APPROVAL)),
         (
-            F.col("_queued").isNotNull(), F.lit("DUPLICATE_NOTIFICATION"),
+            F.col("_queued").isNotNull(), "DUPLICATE_NOTIFICATION",
             fill(K.ERR_DUPLICATE, F.col("approval_id"), F.col("_queued")),
         ),
     ]
-    stays = F.lit(False)
-    for condition, _, _ in untouched:
-        stays = stays | F.coalesce(condition, F.lit(False))
     judged = materialize(
-        full.withColumns(
-            {
-                "reason": first_match([(c, code) for c, code, _ in untouched + fatal]),
-                "message": first_match([(c, text) for c, _, text in untouched + fatal]),
-                "_stays": stays,
-            }
-        ),
-        "run-completions",
+        _judged(full.withColumn("_stays", _holds(unreachable)), unreachable + fatal), "run-completions"
     )
     ok = dense_key(
         judged.where(F.col("reason").isNull()), "notification_id", ["orchestration_id"],
@@ -736,9 +723,8 @@ def complete_orchestrations(
     events = ok.select(
         "orchestration_id", "approval_id", "notification_id", F.inline(trail)
     ).withColumn("changed_at", now)
-    rejects = judged.where(F.col("reason").isNotNull()).select(
-        "orchestration_id", "reason", "message"
-    )
+    turned_down = ["orchestration_id", "reason", "message"]
+    rejects = judged.where(F.col("reason").isNotNull()).select(*turned_down).unionByName(closed.select(*turned_down))
     return Transition(
         {
             RUNS: conform(next_runs, RUNS),

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from duebook.storage import CODEC
+
 BUCKET, RUN = "_bucket", "_run"
 
 
@@ -176,7 +178,8 @@ class Run:
         counted += [F.max(key).alias("highest")] if whole else []
         folder = f"{tables.root}/{name}/{RUN}={self.id}"
         writer = _by_bucket(df.observe(seen, *counted).withColumn(BUCKET, bucket)).write
-        writer.mode("append").options(**(options or {})).partitionBy(BUCKET).parquet(folder)
+        given = {"compression": CODEC} | (options or {})
+        writer.mode("append").options(**given).partitionBy(BUCKET).parquet(folder)
         written = {n.partition("=")[2] for n in tables._names(folder, f"{BUCKET}=")}
         # Where the optimizer knows that there are no rows it leaves the counting out as well.
         self.metrics[name] = dict(seen.get) if written else {"rows": 0, "highest": None}
