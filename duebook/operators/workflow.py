@@ -641,7 +641,8 @@ def complete_orchestrations(
         (status != "WAITING_APPROVAL", "NOT_WAITING", fill(K.ERR_RUN_STATUS, rid, status)),
     ]
     # Only runs that wait are met with approvals, notifications and recipients.
-    closed = _judged(first.where(_holds(idle)), idle)
+    # The others are turned down once for each copy of their approval.
+    closed = _judged(first.where(_holds(idle)).join(approvals.select("approval_id"), "approval_id", "left"), idle)
     waiting = first.where(~_holds(idle))
     approval = approvals.select("approval_id", "conversation_id", "approval_status")
     queued = _queued(outbox, waiting)

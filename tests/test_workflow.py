@@ -267,3 +267,16 @@ def test_requests_that_share_an_id_are_settled_by_their_values(spark):
     for order in (rows, rows[::-1]):
         df = spark.createDataFrame(order, "k int, request_id int, v string")
         assert W.first_request(df, "k", "request_id").first()["v"] == "a"
+
+
+def test_a_run_is_turned_down_for_each_copy_of_its_approval(spark, now):
+    runs = frame(spark, W.RUNS, [
+        {"orchestration_id": 1, "invoice_number": "N0001", "approval_id": 5, "orchestration_status": "QUEUED"},
+        {"orchestration_id": 2, "invoice_number": "N0002", "approval_id": 6, "orchestration_status": "WAITING_APPROVAL"},
+        {"orchestration_id": 3, "invoice_number": "N0001", "orchestration_status": "FAILED"},
+    ])
+    approvals = frame(spark, W.APPROVALS, [approval(5), approval(5), approval(6), approval(6)])
+    asked = spark.createDataFrame([(1,), (2,), (3,), (9,)], "orchestration_id bigint")
+    out = W.complete_orchestrations(runs, approvals, frame(spark, W.OUTBOX, []), asked, *contacts(spark), now)
+    got = sorted((r.orchestration_id, r.reason) for r in out.rejects.collect())
+    assert got == [(1, "NOT_WAITING")] * 2 + [(2, "NO_EMAIL")] * 2 + [(3, "NOT_WAITING"), (9, "NOT_FOUND")]
