@@ -67,6 +67,15 @@ def invoice_headers(staging: DataFrame) -> DataFrame:
     )
 
 
+def billed(staging: DataFrame, together=()) -> DataFrame:
+    """Number and customer of the rows of `invoice_headers`; no amount of eligible rows is below 0.
+
+    Rows of one number must agree in the columns `together`: where rows lie by them, none is moved.
+    """
+    keys = [F.col("invoice_no").alias("invoice_number"), "customer_id"]
+    return eligible_transactions(staging).select(*together, *keys).distinct().select("invoice_number", "customer_id")
+
+
 def build_invoices(staging: DataFrame, terms: DataFrame, created: Column) -> DataFrame:
     """Open invoices with dense ids in (invoice number, customer) order."""
     term_id = F.lit(K.DEFAULT_TERM[0]).cast("bigint")

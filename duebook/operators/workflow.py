@@ -131,13 +131,15 @@ def resolve_recipients(
         F.upper("status").alias("_status"), F.lit(True).alias("_known"),
     )
     # Only requested invoices are grouped, to one row per number: requests must not multiply
-    # where invoices share one.
+    # where invoices share one.  Invoices without ids would get them in the order of their customers.
     asked = requests.select("invoice_number").distinct()
+    place = "invoice_id" if "invoice_id" in invoices.columns else "customer_id"
     owner = invoices.join(asked, "invoice_number", "left_semi").groupBy("invoice_number").agg(
-        F.min_by("customer_id", "invoice_id").alias("customer_id"), F.count("*").alias("_same")
+        F.min_by("customer_id", place).alias("customer_id"), F.count("*").alias("_same")
     )
-    # Requests drive both joins, so customers are only met for the requested invoices.
-    found = requests.join(owner, "invoice_number", "left").join(contact, "customer_id", "left")
+    # Customers are met by the requested invoices, of which there are at most as many as requests
+    # and which are narrower; requests are moved once, for their invoices.
+    found = requests.join(owner.join(contact, "customer_id", "left"), "invoice_number", "left")
     cid = F.col("customer_id")
     missing = [
         (F.col("_known").isNull(), "INVOICE_NOT_FOUND", fill(K.ERR_INVOICE, F.col("invoice_number")))
@@ -566,9 +568,8 @@ def start_orchestrations(
         requests.select("request_id", "invoice_number"), "orchestration_id", ["request_id"],
         _last_id(ids, runs, "orchestration_id"),
     )
-    judged = materialize(
-        resolve_recipients(keyed, invoices, customers, status_first=False), "run-starts"
-    )
+    found = resolve_recipients(keyed, invoices, customers, status_first=False)
+    judged = materialize(found.select(*keyed.columns, "reason", "message"), "run-starts")
     ok = dense_key(
         judged.where(F.col("reason").isNull()).select("orchestration_id", "invoice_number"),
         "approval_id", ["orchestration_id"], _last_id(ids, approvals, "approval_id"),

@@ -83,10 +83,19 @@ class Core:
         full = normalize.customer_balances(fixtures.with_contacts(plain), self.invoices)
         return store_for_lookups(full, new_path(self.spark, "customers"), "customer_id", ["customer_id"])
 
+    @cached_property
+    def billed(self) -> DataFrame:
+        """Numbers and customers of the invoices; ids, dates and amounts take more to build and to move."""
+        for name in ("invoices", "new_invoices"):
+            if name in vars(self):
+                return vars(self)[name].select("invoice_id", "invoice_number", "customer_id")
+        rows = fixtures.sales(self.spark, self.folder, numbered=False, judged=True)
+        return materialize(normalize.billed(rows, ["_order"]), "billed")
+
     @cached_property
     def contacts(self) -> DataFrame:
-        """Customers before any balance."""
-        plain = normalize.build_customers(self.sold, fixtures.load_date())
+        """Customers that have invoices, before any balance."""
+        plain = normalize.build_customers(self.billed, fixtures.load_date())
         return materialize(fixtures.with_contacts(plain), "contacts")
 
     @cached_property
@@ -116,8 +125,7 @@ class Core:
         """Invoices and customers as far as recipients are concerned: what is paid or owed need not be known."""
         if "customers" in vars(self):
             return self.invoices, self.customers
-        contacts = self.contacts  # before the invoices, which are built from the same rows
-        return (self.invoices if "invoices" in vars(self) else self.new_invoices), contacts
+        return self.billed, self.contacts
 
     @property
     def risk(self) -> DataFrame:

@@ -98,6 +98,99 @@ def test_recipients_need_no_payments_or_balances(spark, name):
     assert not {"staging", "payments", "invoices", "customers"} & set(vars(c))
 
 
+def test_recipients_need_no_ids_dates_or_amounts(spark):
+    c, whole = Core(spark, FOLDER), Core(spark, FOLDER)
+    started = catalog.QUERIES["start_orchestrations_approvals"](c)
+    assert not RECEIVABLES & set(vars(c)) and "sold" not in vars(c)
+    runs = [c.request("run_requests"), c.orchestrations, c.approvals, c.sessions]
+    want = workflow.start_orchestrations(*runs, whole.invoices, whole.customers, fixtures.now()).tables[workflow.APPROVALS]
+    assert started.exceptAll(want).isEmpty() and want.exceptAll(started).isEmpty()
+
+
+def odd_lines(spark, path):
+    """Tables of `FOLDER` in which lines and orders come twice and lines have odd values."""
+    for table in ("part", "customer", "nation"):
+        spark.read.parquet(f"{FOLDER}/{table}.parquet").write.parquet(f"{path}/{table}.parquet")
+    orders = spark.read.parquet(f"{FOLDER}/orders.parquet")
+    orders.unionByName(orders.where("o_orderkey % 3 = 0").withColumn("o_custkey", F.col("o_custkey") + 1)).unionByName(orders).write.parquet(
+        f"{path}/orders.parquet")
+    lines, key = spark.read.parquet(f"{FOLDER}/lineitem.parquet"), F.col("l_orderkey")
+    odd = lines.withColumns({
+        "l_extendedprice": F.when(key % 7 == 1, -F.col("l_extendedprice")).when(key % 7 != 2, F.col("l_extendedprice")),
+        "l_quantity": F.when(key % 11 == 1, -F.col("l_quantity")).when(key % 11 != 2, F.col("l_quantity")),
+    })
+    # Values that are no numbers matter only where the line has an order.
+    lost = lines.limit(1).withColumn("l_orderkey", F.lit(-1).cast("bigint"))
+    nan = F.lit("NaN").cast("double")
+    for part in (lost.withColumn("l_extendedprice", nan), lost.withColumn("l_quantity", nan), lost.withColumn("l_quantity", F.lit(0.0)), odd):
+        odd = odd.unionByName(part)
+    odd.write.parquet(f"{path}/lineitem.parquet")
+    return path
+
+
+def test_billed_rows_are_those_of_invoices(spark, tmp_path):
+    c, whole = Core(spark, odd_lines(spark, str(tmp_path))), Core(spark, str(tmp_path))
+    want = whole.new_invoices.select("invoice_number", "customer_id")
+    assert c.billed.count() > 0 and "sold" not in vars(c)
+    assert c.billed.exceptAll(want).isEmpty() and want.exceptAll(c.billed).isEmpty()
+    assert want.count() < Core(spark, FOLDER).billed.count() * 2  # some are left out
+    # Of customers that share a number the smallest has the lowest id.
+    asked = want.select("invoice_number").unionByName(spark.createDataFrame([("none",), (None,)], "invoice_number string"))
+    owners = fixtures.with_contacts(normalize.build_customers(whole.sold, fixtures.load_date()))
+    plain, ids = (workflow.resolve_recipients(asked, *p) for p in (c.parties, (whole.new_invoices, owners)))
+    assert plain.where("reason = 'AMBIGUOUS_INVOICE'").count() > 0
+    assert plain.exceptAll(ids).isEmpty() and ids.exceptAll(plain).isEmpty()
+
+
+def test_values_that_cannot_be_read_are_errors_where_the_line_has_an_order(spark, tmp_path):
+    for table in ("part", "customer", "nation", "orders"):
+        spark.read.parquet(f"{FOLDER}/{table}.parquet").write.parquet(str(tmp_path / f"{table}.parquet"))
+    lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
+    lines.withColumn("l_extendedprice", F.lit("NaN").cast("double")).write.parquet(str(tmp_path / "lineitem.parquet"))
+    with pytest.raises(Exception, match="CAST"):
+        Core(spark, str(tmp_path)).billed.count()
+
+
+def test_lines_are_moved_with_their_order_alone(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows = normalize.billed(fixtures.sales(spark, FOLDER, numbered=False, judged=True), ["_order"])
+        text = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Rows that met by their order are not moved again.
+    moved = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert moved and not any("invoice_number" in line for line in moved)
+    # Lines that cannot be eligible stay where they are.
+    first = next(line for line in text.splitlines() if "Filter" in line)
+    assert "l_quantity" in first and "l_extendedprice" in first
+
+
+def test_names_and_addresses_of_started_runs_are_not_written(spark, monkeypatch):
+    written, real = {}, workflow.materialize
+
+    def seen(df, name):
+        written[name] = df.columns
+        return real(df, name)
+
+    monkeypatch.setattr(workflow, "materialize", seen)
+    assert catalog.QUERIES["start_orchestrations_approvals"](Core(spark, FOLDER)).count() > 0
+    assert set(written["run-starts"]) == {"request_id", "orchestration_id", "invoice_number", "reason", "message"}
+
+
+def test_requests_are_moved_once_for_their_recipients(spark):
+    c = Core(spark, FOLDER)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        asked = c.request("run_requests")
+        text = workflow.resolve_recipients(asked, *c.parties)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Customers are met by invoices: the first join is that of requests with both.
+    joins = [line for line in text.splitlines() if "Join LeftOuter" in line]
+    assert "invoice_number" in joins[0] and "customer_id" in joins[1]
+
+
 @pytest.mark.parametrize(
     "name, column, status",
     [("execute_approved_rejects", "approval_status", "APPROVED"),
